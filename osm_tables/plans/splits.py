@@ -1,7 +1,7 @@
-"""Cutting files into byte ranges, one Spark task each.
+"""Cutting files into byte ranges, read by one Spark task each.
 
-The plan holds one entry per *file*, not per range, so it stays as small as the caller's own list of
-paths however large the files are. A task finds its ranges from its number alone.
+The plan holds a few numbers per *file*, none per range, so it stays as small as the caller's own list
+of paths however large the files are. A task finds its ranges from its number alone.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 from typing import NamedTuple
 
 # A range shorter than this could hardly hold one blob; asking for more parallelism adds nothing.
@@ -21,71 +22,72 @@ class FileRange(NamedTuple):
     stop: int
 
 
-class _Run(NamedTuple):
-    """Consecutive tasks: either one large file in steps, or one task with several whole files."""
+@dataclass(frozen=True)
+class SplitPlan:
+    """Tasks of equal length along one line on which all files lie end to end.
+
+    Opening a file counts as some bytes before its first byte. Cuts may fall anywhere in a file, so
+    a task can hold the end of one file, some whole files and the start of another.
+    """
 
-    first_file: int
-    n_files: int
+    sizes: tuple[int, ...]
+    starts: tuple[int, ...]
     step: int
+    n_tasks: int
+
+    def task_of(self, file_no: int, offset: int) -> int:
+        return (self.starts[file_no] + offset) // self.step
+
+    def ranges_of(self, task_no: int) -> list[FileRange]:
+        first, last = task_no * self.step, (task_no + 1) * self.step
+        ranges = []
+        for file_no in range(max(0, bisect_right(self.starts, first) - 1), len(self.sizes)):
+            if self.starts[file_no] >= last:
+                break
+            start = max(0, first - self.starts[file_no])
+            stop = min(self.sizes[file_no], last - self.starts[file_no])
+            if start < stop:
+                ranges.append(FileRange(file_no, start, stop))
+        return ranges
 
 
 @dataclass(frozen=True)
-class SplitPlan:
+class PerFilePlan:
+    """Every file cut on its own, each range a task of its own."""
+
     sizes: tuple[int, ...]
-    runs: tuple[_Run, ...]
+    steps: tuple[int, ...]
     first_tasks: tuple[int, ...]
     n_tasks: int
 
-    def first_task_and_step(self, file_no: int) -> tuple[int, int]:
-        """The first task that reads a file, and the bytes per task (all of a packed file)."""
-        at = bisect_right(self.runs, file_no, key=lambda run: run.first_file) - 1
-        return self.first_tasks[at], self.runs[at].step or max(1, self.sizes[file_no])
+    def task_of(self, file_no: int, offset: int) -> int:
+        return self.first_tasks[file_no] + offset // self.steps[file_no]
 
     def ranges_of(self, task_no: int) -> list[FileRange]:
-        at = bisect_right(self.first_tasks, task_no) - 1
-        run = self.runs[at]
-        if run.step == 0:
-            files = range(run.first_file, run.first_file + run.n_files)
-            return [FileRange(f, 0, self.sizes[f]) for f in files]
-        size = self.sizes[run.first_file]
-        start = (task_no - self.first_tasks[at]) * run.step
-        return [FileRange(run.first_file, start, min(start + run.step, size))]
+        file_no = bisect_right(self.first_tasks, task_no) - 1
+        step = self.steps[file_no]
+        start = (task_no - self.first_tasks[file_no]) * step
+        return [FileRange(file_no, start, min(start + step, self.sizes[file_no]))]
 
 
 def split_bytes(
     sizes: Sequence[int], max_partition_bytes: int, open_cost_bytes: int, parallelism: int
 ) -> int:
     """Spark's own target size for one file partition, for these files together."""
-    per_core = sum(size + open_cost_bytes for size in sizes) // max(1, parallelism)
-    return min(max_partition_bytes, max(open_cost_bytes, per_core))
+    per_core = -(-sum(size + open_cost_bytes for size in sizes) // max(1, parallelism))
+    return max(1, min(max_partition_bytes, max(open_cost_bytes, per_core)))
 
 
 def plan_splits(
     sizes: Sequence[int], target_bytes: int, open_cost_bytes: int, partitions: int = 1
-) -> SplitPlan:
-    """Cut files longer than the target, and pack files that fit in it into shared tasks.
-
-    ``partitions`` is the least number of ranges wanted from every file.
-    """
-    runs: list[_Run] = []
-    first_tasks: list[int] = []
-    n_tasks = 0
-    packed = 0
-    for file_no, size in enumerate(sizes):
-        step = max(MIN_RANGE_BYTES, min(target_bytes, size // partitions))
-        if partitions > 1 and size > step or size > target_bytes:
-            runs.append(_Run(file_no, 1, step))
-            first_tasks.append(n_tasks)
-            n_tasks += -(-size // step)
-            packed = 0
-            continue
-        cost = size + open_cost_bytes
-        if packed and packed + cost <= target_bytes:
-            runs[-1] = runs[-1]._replace(n_files=runs[-1].n_files + 1)
-            packed += cost
-        else:
-            runs.append(_Run(file_no, 1, 0))
-            first_tasks.append(n_tasks)
-            n_tasks += 1
-            packed = cost
-    return SplitPlan(tuple(sizes), tuple(runs), tuple(first_tasks), n_tasks)
+) -> SplitPlan | PerFilePlan:
+    """Tasks of ``target_bytes``; with ``partitions`` > 1, at least so many ranges of every file."""
+    if partitions > 1:
+        steps = [max(MIN_RANGE_BYTES, min(target_bytes, size // partitions)) for size in sizes]
+        # An empty file still has one (empty) range, so that every task belongs to a file.
+        counts = [max(1, -(-size // step)) for size, step in zip(sizes, steps)]
+        *first_tasks, n_tasks = accumulate(counts, initial=0)
+        return PerFilePlan(tuple(sizes), tuple(steps), tuple(first_tasks), n_tasks)
+    *bases, total = accumulate((size + open_cost_bytes for size in sizes), initial=0)
+    starts = tuple(base + open_cost_bytes for base in bases)
+    return SplitPlan(tuple(sizes), starts, target_bytes, max(1, -(-total // target_bytes)))

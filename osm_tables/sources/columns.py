@@ -59,7 +59,7 @@ def varints(data: np.ndarray) -> np.ndarray:
     return values
 
 
-def _varints_at(data: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def varints_at(data: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The varint at every position, and the positions after them."""
     byte = data[pos]
     values = (byte & 0x7F).astype(np.uint64)
@@ -96,7 +96,7 @@ class Messages:
         pos = starts[live]
         while live.size:
             ends = stops[live]
-            keys, pos = _varints_at(data, pos)
+            keys, pos = varints_at(data, pos)
             numbers = (keys >> np.uint64(3)).astype(np.int64)
             pos, after = self._extent(data, keys & np.uint64(7), pos, ends)
             rounds.append((owner[live], numbers, pos, after))
@@ -108,21 +108,23 @@ class Messages:
     @staticmethod
     def _extent(data, wire, pos, ends):
         """Where every field's payload starts and stops."""
-        is_bytes, is_varint = wire == BYTES, wire == VARINT
-        fixed = np.select([wire == FIXED64, wire == FIXED32], [8, 4], 0)
-        if not (is_bytes | is_varint | (fixed > 0)).all():
-            raise ValueError("wire type is not supported")
-        after = pos + fixed
-        numeric = np.flatnonzero(fixed == 0)
-        if (pos[numeric] >= ends[numeric]).any():
-            raise ValueError("field does not fit its message")
-        values, past = _varints_at(data, pos[numeric])
-        sized = is_bytes[numeric]
-        if (values[sized] > np.uint64(len(data))).any():
-            raise ValueError("field does not fit its message")
-        after[numeric] = past + np.where(sized, values, 0).astype(np.int64)
-        start = pos.copy()
-        start[numeric] = np.where(sized, past, pos[numeric])
+        is_bytes = wire == BYTES
+        if (is_bytes | (wire == VARINT)).all():
+            if (pos >= ends).any():
+                raise ValueError("field does not fit its message")
+            values, past = varints_at(data, pos)
+            lengths = np.where(is_bytes, values, 0)
+            if (lengths > len(data)).any():
+                raise ValueError("field does not fit its message")
+            start, after = np.where(is_bytes, past, pos), past + lengths.astype(np.int64)
+        else:
+            # Fixed-width fields, which the format does not use, are stepped over.
+            widths = np.select([wire == FIXED64, wire == FIXED32], [8, 4], 0)
+            start, after = pos.copy(), pos + widths
+            rest = np.flatnonzero(widths == 0)
+            if not (is_bytes | (wire == VARINT))[rest].all():
+                raise ValueError("wire type is not supported")
+            start[rest], after[rest] = Messages._extent(data, wire[rest], pos[rest], ends[rest])
         if (after > ends).any():
             raise ValueError("field does not fit its message")
         return start, after
@@ -156,13 +158,18 @@ class Messages:
         np.add.at(counts, rows, np.diff(done[ends]))
         return varints(payload), counts
 
+    def count(self, number: int) -> int:
+        """How many numbers a repeated field holds in all rows together."""
+        _, starts, stops = self.spans(number)
+        return sum(int((self._data[a:b] < 0x80).sum()) for a, b in zip(starts, stops))
+
     def scalar(self, number: int) -> tuple[np.ndarray, np.ndarray]:
         """A single field as (values, present) per row; the last occurrence wins."""
         rows, starts, _ = self.spans(number)
         values = np.zeros(self.n_rows, np.uint64)
         present = np.zeros(self.n_rows, bool)
         if len(rows):
-            values[rows] = _varints_at(self._data, starts)[0]
+            values[rows] = varints_at(self._data, starts)[0]
             present[rows] = True
         return values, present
 

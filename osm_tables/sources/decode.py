@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 from .. import schema as S
 from ..options import ENTITY_TYPES, NODE, RELATION, WAY
-from .columns import Messages, offsets_of, padded, running_sum, zigzag
+from .columns import Messages, offsets_of, padded, running_sum, varints_at, zigzag
 from .wire import BYTES, VARINT, fields, signed, varint
 
 # Payload fields of a blob, and the features a reader must know to read a file.
@@ -74,14 +74,15 @@ class _Block:
         self._strings = None
         self._string_lengths = None
         self._table = (0, 0)
-        self.spans = {n: ([], []) for n in _KINDS if _KINDS[n][0] in types}
+        self.types = types
+        groups = []
         self._raw = bytes(block)
         size = len(self._raw)
         for number, wire, start, stop in fields(self._raw, 0, size):
             if number == 1 and wire == BYTES:
                 self._table = (start, stop)
             elif number == 2 and wire == BYTES:
-                self._find_entities(start, stop)
+                groups.append((start, stop))
             elif wire == VARINT and 17 <= number <= 20:
                 value = signed(varint(self._raw, start, stop)[0])
                 if number == 17:
@@ -93,28 +94,41 @@ class _Block:
                 else:
                     self.lon_offset = value
         self.data = padded(self._raw)
-
-    def _find_entities(self, pos: int, stop: int) -> None:
-        # One step per entity, so short lengths are read in place.
-        raw, spans = self._raw, self.spans
-        while pos < stop:
-            key = raw[pos]
-            if key & 7 == BYTES and key < 0x80 and pos + 1 < stop:
-                length = raw[pos + 1]
-                if length < 0x80:
-                    pos += 2
-                else:
-                    length, pos = varint(raw, pos + 1, stop)
-                end = pos + length
-                if end > stop:
-                    raise ValueError("entity does not fit its group")
-                found = spans.get(key >> 3)
-                if found is not None:
-                    found[0].append(pos)
-                    found[1].append(end)
-                pos = end
+        self.entities = self._entities(groups)
+
+    def _field_starts(self, pos: int, stop: int) -> list[int]:
+        """Where every field of a group starts. One step per entity, so common lengths are read here."""
+        raw, found = self._raw, []
+        while pos < stop - 2:
+            found.append(pos)
+            length = raw[pos + 1]
+            if raw[pos] & 0x87 != BYTES:
+                pos = next(fields(raw, pos, stop))[3]
+            elif length < 0x80:
+                pos += length + 2
+            elif raw[pos + 2] < 0x80:
+                pos += (length & 0x7F | raw[pos + 2] << 7) + 3
             else:
-                _, _, _, pos = next(fields(raw, pos, stop))
+                pos = next(fields(raw, pos, stop))[3]
+        if pos < stop:
+            found.append(pos)
+            pos = next(fields(raw, pos, stop))[3]
+        if pos != stop:
+            raise ValueError("entity does not fit its group")
+        return found
+
+    def _entities(self, groups: list[tuple[int, int]]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """(starts, stops) of the messages of every wanted kind, over all groups."""
+        if not groups:
+            return {}
+        at = np.concatenate([np.array(self._field_starts(a, b), np.int64) for a, b in groups])
+        keys, found = self.data[at], {}
+        for kind in _KINDS:
+            where = at[keys == kind * 8 + BYTES]
+            if len(where) and _KINDS[kind][0] in self.types:
+                lengths, starts = varints_at(self.data, where + 1)
+                found[kind] = (starts, starts + lengths.astype(np.int64))
+        return found
 
     def strings(self) -> pa.Array:
         if self._strings is None:
@@ -137,9 +151,7 @@ class _Block:
         return self._string_lengths[ids]
 
     def batches(self, schema: pa.Schema, origin: str) -> Iterator[pa.RecordBatch]:
-        for number, (starts, stops) in self.spans.items():
-            if not starts:
-                continue
+        for number, (starts, stops) in self.entities.items():
             entity_type, read = _KINDS[number]
             if number == GROUP_DENSE:
                 # Deltas start again in every dense message, and each has its own optional parts.
@@ -151,7 +163,7 @@ class _Block:
                 if rows.wants(*_ENTITY_COLUMNS):
                     read(self, messages, rows)
                 else:
-                    rows.n = len(messages.repeated(1)[0]) if number == GROUP_DENSE else len(starts)
+                    rows.n = messages.count(1) if number == GROUP_DENSE else len(starts)
                 yield from rows.batches()
 
 

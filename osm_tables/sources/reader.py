@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, replace
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..options import OsmReadOptions
-from ..plans.splits import FileRange, SplitPlan, plan_splits, split_bytes
+from ..plans.splits import FileRange, PerFilePlan, SplitPlan, plan_splits, split_bytes
 from .blobs import DATA_BLOB, HEADER_BLOB, blobs_from, blobs_of_range
 from .decode import check_header, decode_blob
 from .files import ReadAhead, file_sizes, to_location
@@ -26,7 +27,7 @@ class FileSet:
 
     names: tuple[str, ...]
     locations: tuple[str, ...]
-    plan: SplitPlan
+    plan: SplitPlan | PerFilePlan
 
     def open(self, file_no: int, chunk_bytes: int) -> ReadAhead:
         return ReadAhead(self.locations[file_no], self.plan.sizes[file_no], chunk_bytes)
@@ -108,32 +109,31 @@ def ranges_df(spark: SparkSession, files: FileSet) -> DataFrame:
 
 
 def whole_blob_ranges_df(spark: SparkSession, files: FileSet) -> DataFrame:
-    """(split_no, file_no, start, stop) from an exact walk over all blob headers, one task per file.
+    """(task_no, file_no, start, stop) from an exact walk over all blob headers, one task per file.
 
-    Consecutive blobs are joined until they reach the file's range size, as the plan counts on.
+    A blob goes to the task in whose range it starts; each task's rows are then on one partition.
     """
-    schema = pa.schema([(n, pa.int64()) for n in ("split_no", "file_no", "start", "stop")])
-    plan = files.plan
+    schema = pa.schema([(n, pa.int64()) for n in ("task_no", "file_no", "start", "stop")])
 
     def walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file_no in batch.column(0).to_pylist():
-                first_task, step = plan.first_task_and_step(file_no)
-                rows, start = [], 0
                 with files.open(file_no, HEADER_CHUNK) as source:
-                    for blob in blobs_from(source, 0):
-                        if blob.end - start >= step or blob.end == source.size:
-                            rows.append((first_task + len(rows), file_no, start, blob.end))
-                            start = blob.end
-                yield pa.RecordBatch.from_pylist(
-                    [dict(zip(schema.names, row)) for row in rows], schema=schema
-                )
+                    by_task = groupby(
+                        blobs_from(source, 0), lambda b: files.plan.task_of(file_no, b.offset)
+                    )
+                    for task_no, blobs in by_task:
+                        first = last = next(blobs)
+                        for last in blobs:
+                            pass
+                        row = (task_no, file_no, first.offset, last.end)
+                        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row))], schema)
 
     n = len(files.names)
     walked = spark.range(0, n, 1, n).mapInArrow(
-        walk, "split_no long, file_no long, start long, stop long"
+        walk, "task_no long, file_no long, start long, stop long"
     )
-    return walked.repartitionById(plan.n_tasks, F.col("split_no").cast("int"))
+    return walked.repartitionById(files.plan.n_tasks, F.col("task_no").cast("int"))
 
 
 def read_osm(
