@@ -1,7 +1,17 @@
 """OpenStreetMap extracts as Spark DataFrames."""
 
+from .operators import blob_index, count_by_type
 from .options import FORMAT, OsmReadOptions
 from .schema import osm_schema
+from .sources.datasource import register_osm
 from .sources.reader import read_osm
 
-__all__ = ["FORMAT", "OsmReadOptions", "osm_schema", "read_osm"]
+__all__ = [
+    "FORMAT",
+    "OsmReadOptions",
+    "blob_index",
+    "count_by_type",
+    "osm_schema",
+    "read_osm",
+    "register_osm",
+]

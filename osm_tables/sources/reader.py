@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..functions.entities import tags_as_map
 from ..options import OsmReadOptions
 from ..plans.splits import FileRange, PerFilePlan, SplitPlan, plan_splits, split_bytes
 from .blobs import DATA_BLOB, HEADER_BLOB, blobs_from, blobs_of_range
@@ -49,8 +50,8 @@ def file_set(
     return FileSet(tuple(paths), locations, plan_splits(sizes, target, open_cost_bytes, partitions))
 
 
-def session_file_set(spark: SparkSession, paths: Sequence[str], partitions: int) -> FileSet:
-    """The file set cut as the session's file source settings ask."""
+def split_settings(spark: SparkSession) -> dict:
+    """How the session's file source settings want files to be cut, as arguments of ``file_set``."""
 
     def setting(name):  # None where neither the user nor Spark sets a value
         return spark.conf.get(name, None)
@@ -60,14 +61,12 @@ def session_file_set(spark: SparkSession, paths: Sequence[str], partitions: int)
         or setting("spark.sql.leafNodeDefaultParallelism")
         or spark.sparkContext.defaultParallelism
     )
-    return file_set(
-        paths,
-        partitions,
-        _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")),
-        _bytes(spark.conf.get("spark.sql.files.openCostInBytes")),
-        int(parallelism),
-        setting("spark.hadoop.fs.defaultFS"),
-    )
+    return {
+        "max_partition_bytes": _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")),
+        "open_cost_bytes": _bytes(spark.conf.get("spark.sql.files.openCostInBytes")),
+        "parallelism": int(parallelism),
+        "default_fs": setting("spark.hadoop.fs.defaultFS"),
+    }
 
 
 def _bytes(text: str) -> int:
@@ -157,7 +156,7 @@ def read_osm(
         raise ValueError(f"splits must be 'ranges' or 'index', not {splits!r}")
     options = replace(options or OsmReadOptions(), **settings)
     options = options.with_paths(*([paths] if isinstance(paths, str) else paths))
-    files = session_file_set(spark, options.paths, options.partitions)
+    files = file_set(options.paths, options.partitions, **split_settings(spark))
 
     result = S.osm_schema(options, columns)
     decoded = S.osm_schema(replace(options, tags_as_map=False), columns)
@@ -187,6 +186,5 @@ def read_osm(
 def _as_result(name: str, options: OsmReadOptions):
     column = F.col(f"`{name}`")
     if name == S.TAGS and options.tags_as_map:
-        # Spark's own map builder, so duplicate keys obey spark.sql.mapKeyDedupPolicy.
-        return F.map_from_entries(column).alias(name)
+        return tags_as_map(column).alias(name)
     return column
