@@ -233,7 +233,7 @@ class _Rows:
         """Tags as a list or a map, whichever the schema has; null for an entity without tags."""
         offsets, text, kind = offsets_of(counts), self.block.text, self.type_of(S.TAGS)
         if pa.types.is_map(kind):
-            _reject_duplicate_keys(np.repeat(np.arange(self.n), counts), keys)
+            self._reject_repeated_keys(keys, counts)
 
         def column(a, b):
             bounds = pa.array(offsets[a : b + 1] - offsets[a], pa.int32())
@@ -248,6 +248,16 @@ class _Rows:
         self.charge(keys, counts)
         self.charge(values, counts)
 
+    def _reject_repeated_keys(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        # The string table may hold the same text twice.
+        distinct = self.block.strings().dictionary_encode().indices.to_numpy().astype(np.int64)
+        pairs = np.repeat(np.arange(self.n), counts) * len(distinct) + distinct[keys]
+        if len(np.unique(pairs)) != len(pairs):
+            raise ValueError(
+                "an entity has the same tag key twice, which a map cannot hold; "
+                "read tags as a list, or use read_osm with spark.sql.mapKeyDedupPolicy=LAST_WIN"
+            )
+
     def charge(self, ids: np.ndarray, counts: np.ndarray) -> None:
         """Account for the text that every row will hold."""
         if len(ids):
@@ -271,15 +281,6 @@ def _structs(kind: pa.StructType, *arrays: pa.Array) -> pa.StructArray:
     return pa.StructArray.from_arrays(list(arrays), fields=list(kind))
 
 
-def _reject_duplicate_keys(rows: np.ndarray, keys: np.ndarray) -> None:
-    pairs = np.stack([rows, keys])
-    if np.unique(pairs, axis=1).shape[1] != pairs.shape[1]:
-        raise ValueError(
-            "an entity has the same tag key twice, which a map cannot hold; "
-            "read tags as a list, or use read_osm with spark.sql.mapKeyDedupPolicy=LAST_WIN"
-        )
-
-
 def _same_length(n: int, *arrays: np.ndarray) -> None:
     if any(len(a) != n for a in arrays):
         raise ValueError("parallel fields differ in length")
