@@ -6,14 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import (
-    DataSource,
-    DataSourceReader,
-    EqualTo,
-    Filter,
-    In,
-    InputPartition,
-)
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 from .. import schema as S
@@ -31,21 +24,18 @@ class TaskPartition(InputPartition):
 
 
 class OsmReader(DataSourceReader):
+    """Reads the selected kinds; the ``types`` option selects them, filters do not.
+
+    It takes no filters from Spark: Spark keeps one reader for all queries on a loaded DataFrame, so
+    a filter pushed by one query would also remove rows from the next.
+    """
+
     def __init__(self, options: OsmReadOptions, schema: StructType, settings: dict):
         self._schema = schema
         self._types = options.selected_types
         # Spark copies the reader to the tasks before it asks for partitions, so files are listed now.
         self._files = file_set(options.paths, options.partitions, **settings)
 
-    def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        """Skip kinds that a filter on entity_type rules out. Spark still applies every filter."""
-        for condition in filters:
-            if isinstance(condition, EqualTo) and condition.attribute == (S.ENTITY_TYPE,):
-                self._types &= {condition.value}
-            elif isinstance(condition, In) and condition.attribute == (S.ENTITY_TYPE,):
-                self._types &= set(condition.value)
-            yield condition
-
     def partitions(self) -> list[InputPartition]:
         return [TaskPartition(n) for n in range(self._files.plan.n_tasks)]
 
@@ -87,6 +77,4 @@ def register_osm(spark: SparkSession) -> None:
             options = OsmReadOptions.parse(self.options)
             return OsmReader(options, _accepted(options, schema), settings)
 
-    # Without this setting Spark refuses every read of a source that takes filters.
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(OsmDataSource)
