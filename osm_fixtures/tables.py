@@ -194,8 +194,9 @@ def _write_files(directory: str):
                 flush(codec, layout, 1)
         for codec, stream in streams.items():
             stream.close()
-            # Every attempt of a task writes the same bytes; the last move wins.
+            # Every attempt of a task has the same rows; the last whole file to arrive stays.
             system.move(f"{attempt}/{codec}", f"{root}/{codec}/part-{context.partitionId():06d}.pbf")
+        system.delete_dir(attempt)
         yield pa.RecordBatch.from_pydict({"n_rows": pa.array([n_rows], pa.int64())})
 
     return write

@@ -46,35 +46,44 @@ def varints(data: np.ndarray) -> np.ndarray:
     first = np.empty_like(last)
     first[0] = 0
     first[1:] = last[:-1] + 1
-    more = last - first
-    values = (data[first] & 0x7F).astype(np.uint64)
-    longest = int(more.max())
-    if longest > 9:
-        raise ValueError("malformed varint")
-    where = None
-    for k in range(1, longest + 1):
-        where = np.flatnonzero(more >= k) if where is None else where[more[where] >= k]
-        digits = (data[first[where] + k] & 0x7F).astype(np.uint64)
-        values[where] |= digits << np.uint64(7 * k)
-    return values
+    return varints_at(padded(data), first)[0]
 
 
 def varints_at(data: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The varint at every position, and the positions after them."""
+    """The varint at every position of a padded array, and the positions after them."""
     byte = data[pos]
-    values = (byte & 0x7F).astype(np.uint64)
-    pos = pos + 1
-    more = np.flatnonzero(byte >= 0x80)
-    shift = 7
-    while more.size:
-        if shift > 63:
-            raise ValueError("malformed varint")
-        byte = data[pos[more]]
-        values[more] |= (byte & 0x7F).astype(np.uint64) << np.uint64(shift)
-        pos[more] += 1
-        more = more[byte >= 0x80]
-        shift += 7
-    return values, pos
+    if (byte < 0x80).all():
+        return byte.astype(np.uint64), pos + 1
+    # Eight bytes at once. The lowest top bit that is clear marks the last byte of the number.
+    words = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))[pos]
+    ends = ~words & np.uint64(0x8080808080808080)
+    mask = ends ^ (ends - np.uint64(1))
+    values = words & mask & np.uint64(0x7F7F7F7F7F7F7F7F)
+    for bits, low in _JOIN:
+        values = (values & low) | ((values & ~low) >> bits)
+    after = pos + (np.bitwise_count(mask) >> 3)
+    long = np.flatnonzero(ends == 0)
+    if long.size:
+        values[long], after[long] = _long_varints(data, pos[long], values[long])
+    return values, after
+
+
+# Steps that close the gaps between 7-bit groups: how far to shift, and the bits that stay in place.
+_JOIN = tuple(
+    (np.uint64(bits), np.uint64(low))
+    for bits, low in ((1, 0x007F007F007F007F), (2, 0x00003FFF00003FFF), (4, 0x000000000FFFFFFF))
+)
+
+
+def _long_varints(data, pos, values):
+    """Numbers of nine and ten bytes, whose first 56 bits are in ``values``."""
+    ninth, tenth = data[pos + 8], data[pos + 9]
+    two_more = ninth >= 0x80
+    if (two_more & (tenth >= 0x80)).any():
+        raise ValueError("malformed varint")
+    values = values | (ninth & 0x7F).astype(np.uint64) << np.uint64(56)
+    values |= np.where(two_more, tenth, 0).astype(np.uint64) << np.uint64(63)
+    return values, pos + 9 + two_more
 
 
 class Messages:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import SparkSession
@@ -11,16 +13,23 @@ from pyspark.sql.types import StructType
 
 from .. import schema as S
 from ..options import FORMAT, OsmReadOptions
-from .reader import decode_range, file_set, split_settings
+from ..plans.splits import FileRange
+from .reader import check_splits, decode_range, file_set, split_settings, whole_blob_ranges
 
-# An option of this source only: the wanted columns, separated by commas. Spark does not tell a
-# Python source which columns a query uses.
+WALK_THREADS = 16
+
+# Options of this source only. ``columns`` names the wanted columns, separated by commas, because
+# Spark does not tell a Python source which columns a query uses. ``splits`` is as in ``read_osm``.
 COLUMNS = "columns"
+SPLITS = "splits"
 
 
 class TaskPartition(InputPartition):
-    def __init__(self, task_no: int):
+    """What one task reads: a task number of the plan, or stretches of whole blobs."""
+
+    def __init__(self, task_no: int, whole_blobs: list[FileRange] | None = None):
         super().__init__(task_no)
+        self.whole_blobs = whole_blobs
 
 
 class OsmReader(DataSourceReader):
@@ -30,19 +39,33 @@ class OsmReader(DataSourceReader):
     a filter pushed by one query would also remove rows from the next.
     """
 
-    def __init__(self, options: OsmReadOptions, schema: StructType, settings: dict):
+    def __init__(self, options: OsmReadOptions, splits: str, schema: StructType, settings: dict):
+        check_splits(splits)
+        self._splits = splits
         self._schema = schema
         self._types = options.selected_types
         # Spark copies the reader to the tasks before it asks for partitions, so files are listed now.
         self._files = file_set(options.paths, options.partitions, **settings)
 
     def partitions(self) -> list[InputPartition]:
-        return [TaskPartition(n) for n in range(self._files.plan.n_tasks)]
+        if self._splits == "ranges":
+            return [TaskPartition(n) for n in range(self._files.plan.n_tasks)]
+        # Without a session there is no job to walk the files in; threads overlap the waiting.
+        parts = defaultdict(list)
+        with ThreadPoolExecutor(WALK_THREADS) as pool:
+            for found in pool.map(self._walk, range(len(self._files.names))):
+                for task_no, part in found:
+                    parts[task_no].append(part)
+        return [TaskPartition(n, parts[n]) for n in sorted(parts)] or [TaskPartition(0, [])]
+
+    def _walk(self, file_no: int) -> list[tuple[int, FileRange]]:
+        return list(whole_blob_ranges(self._files, file_no))
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        schema = S.to_arrow_schema(self._schema)
-        for part in self._files.plan.ranges_of(partition.value):
-            yield from decode_range(self._files, part, schema, self._types)
+        schema, known_start = S.to_arrow_schema(self._schema), partition.whole_blobs is not None
+        parts = partition.whole_blobs if known_start else self._files.plan.ranges_of(partition.value)
+        for part in parts:
+            yield from decode_range(self._files, part, schema, self._types, known_start)
 
 
 def _accepted(options: OsmReadOptions, asked: StructType) -> StructType:
@@ -75,6 +98,7 @@ def register_osm(spark: SparkSession) -> None:
 
         def reader(self, schema: StructType) -> DataSourceReader:
             options = OsmReadOptions.parse(self.options)
-            return OsmReader(options, _accepted(options, schema), settings)
+            splits = self.options.get(SPLITS, "ranges")
+            return OsmReader(options, splits, _accepted(options, schema), settings)
 
     spark.dataSource.register(OsmDataSource)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,9 @@ DEFAULT_GRANULARITY = 100
 DEFAULT_DATE_GRANULARITY = 1000
 NANODEGREE = 0.000000001
 
-# Text of one batch is kept below this, far from the 2 GiB that Arrow's string offsets can address.
+# A block normally becomes one batch. Larger blocks are cut, so that a batch fits in memory twice over
+# and its text stays far from the 2 GiB that Arrow's string offsets can address.
+MAX_BATCH_ROWS = 100_000
 MAX_BATCH_TEXT = 512 * 1024 * 1024
 
 Column = Callable[[int, int], pa.Array]
@@ -265,11 +268,11 @@ class _Rows:
             self._text_cost = self._text_cost + np.diff(ends[offsets_of(counts)])
 
     def batches(self) -> Iterator[pa.RecordBatch]:
-        cuts = [0, self.n] if self.n else []
+        cuts = {0, self.n, *range(0, self.n, MAX_BATCH_ROWS)}
         total = np.cumsum(self._text_cost)
         if total[-1] > MAX_BATCH_TEXT:
-            cuts[1:1] = (np.flatnonzero(np.diff(total // MAX_BATCH_TEXT)) + 1).tolist()
-        for a, b in zip(cuts, cuts[1:]):
+            cuts.update((np.flatnonzero(np.diff(total // MAX_BATCH_TEXT)) + 1).tolist())
+        for a, b in pairwise(sorted(cuts)):
             arrays = [
                 self.columns[f.name](a, b) if f.name in self.columns else pa.nulls(b - a, f.type)
                 for f in self.schema

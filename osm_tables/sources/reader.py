@@ -44,7 +44,8 @@ def file_set(
 ) -> FileSet:
     if not paths:
         raise ValueError("no paths to read")
-    locations = tuple(to_location(p, default_fs) for p in paths)
+    # The same text is kept once, which halves what a task receives for many plain paths.
+    locations = tuple(p if (at := to_location(p, default_fs)) == p else at for p in paths)
     sizes = file_sizes(locations)
     target = split_bytes(sizes, max_partition_bytes, open_cost_bytes, parallelism)
     return FileSet(tuple(paths), locations, plan_splits(sizes, target, open_cost_bytes, partitions))
@@ -107,26 +108,30 @@ def ranges_df(spark: SparkSession, files: FileSet) -> DataFrame:
     return spark.range(0, n, 1, n).withColumnRenamed("id", "task_no")
 
 
-def whole_blob_ranges_df(spark: SparkSession, files: FileSet) -> DataFrame:
-    """(task_no, file_no, start, stop) from an exact walk over all blob headers, one task per file.
+def whole_blob_ranges(files: FileSet, file_no: int) -> Iterator[tuple[int, FileRange]]:
+    """(task, stretch of whole blobs) from an exact walk over all blob headers of one file.
 
-    A blob goes to the task in whose range it starts; each task's rows are then on one partition.
+    A blob goes to the task in whose range it starts.
     """
-    schema = pa.schema([(n, pa.int64()) for n in ("task_no", "file_no", "start", "stop")])
+    with files.open(file_no, HEADER_CHUNK) as source:
+        blobs = blobs_from(source, 0)
+        for task_no, group in groupby(blobs, lambda b: files.plan.task_of(file_no, b.offset)):
+            first = last = next(group)
+            for last in group:
+                pass
+            yield task_no, FileRange(file_no, first.offset, last.end)
+
+
+def whole_blob_ranges_df(spark: SparkSession, files: FileSet) -> DataFrame:
+    """(task_no, file_no, start, stop): every file walked by a task, then each task's rows together."""
+    schema = pa.schema([(n, pa.int64()) for n in ("task_no", *FileRange._fields)])
 
     def walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file_no in batch.column(0).to_pylist():
-                with files.open(file_no, HEADER_CHUNK) as source:
-                    by_task = groupby(
-                        blobs_from(source, 0), lambda b: files.plan.task_of(file_no, b.offset)
-                    )
-                    for task_no, blobs in by_task:
-                        first = last = next(blobs)
-                        for last in blobs:
-                            pass
-                        row = (task_no, file_no, first.offset, last.end)
-                        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row))], schema)
+                for task_no, part in whole_blob_ranges(files, file_no):
+                    row = {"task_no": task_no, **part._asdict()}
+                    yield pa.RecordBatch.from_pylist([row], schema)
 
     n = len(files.names)
     walked = spark.range(0, n, 1, n).mapInArrow(
@@ -135,6 +140,11 @@ def whole_blob_ranges_df(spark: SparkSession, files: FileSet) -> DataFrame:
     return walked.repartitionById(files.plan.n_tasks, F.col("task_no").cast("int"))
 
 
+def check_splits(splits: str) -> None:
+    if splits not in ("ranges", "index"):
+        raise ValueError(f"splits must be 'ranges' or 'index', not {splits!r}")
+
+
 def read_osm(
     spark: SparkSession,
     paths: str | Sequence[str] = (),
@@ -152,8 +162,7 @@ def read_osm(
     shuffle. ``splits="index"`` first walks every header of every file (one task per file); it is
     needed only for files whose uncompressed blobs contain what looks like other blobs.
     """
-    if splits not in ("ranges", "index"):
-        raise ValueError(f"splits must be 'ranges' or 'index', not {splits!r}")
+    check_splits(splits)
     options = replace(options or OsmReadOptions(), **settings)
     options = options.with_paths(*([paths] if isinstance(paths, str) else paths))
     files = file_set(options.paths, options.partitions, **split_settings(spark))
@@ -172,9 +181,8 @@ def read_osm(
 
     def read_whole_blobs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                part = FileRange(row["file_no"], row["start"], row["stop"])
-                yield from decode_range(files, part, arrow_schema, types, known_start=True)
+            for _, *part in zip(*batch.to_pydict().values()):
+                yield from decode_range(files, FileRange(*part), arrow_schema, types, True)
 
     if splits == "ranges":
         entities = ranges_df(spark, files).mapInArrow(read_by_number, decoded)

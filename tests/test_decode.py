@@ -444,6 +444,8 @@ def test_batches_with_much_text_are_cut(tmp_path, monkeypatch):
     groups = [way(i, [i, i + 1], rest=tags if i % 3 else b"") for i in range(50)]
     path = write(tmp_path / "text.pbf", data(block(["", "k", "v" * 100], *groups, dense([1, 2]))))
     whole = read_rows(path)
+    monkeypatch.setattr(decode, "MAX_BATCH_ROWS", 7)
+    assert read_rows(path) == whole
     monkeypatch.setattr(decode, "MAX_BATCH_TEXT", 250)
     assert read_rows(path) == whole
     assert read_rows(path, tags_as_map=True) == [

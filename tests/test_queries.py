@@ -27,7 +27,7 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, sf_dir, tables, name):
     result = QUERIES[name](spark, sf_dir)
-    expected = tables.execute(ORACLES[name]).to_arrow_table()
+    expected = tables.sql(ORACLES[name]).to_arrow_table()
     columns = sorted(expected.column_names)
     assert sorted(result.columns) == columns
     got = result.select(*[f"`{c}`" for c in columns]).toArrow()

@@ -190,6 +190,20 @@ def test_ambiguous_file_is_refused_then_read_by_index(spark, tmp_path):
     assert read_osm(spark, path, partitions=20, splits="index").count() == 31
 
 
+def test_data_source_reads_the_same_file_by_index(session, tmp_path):
+    inner = b"".join(small_blocks())
+    payload = put(2, way(1, [7])) + put(1, put(1, "") + put(1, inner))
+    path = write(tmp_path / "nested.pbf", HEADER, data(payload), *small_blocks(100))
+    source = session.read.format(FORMAT).option("partitions", 20)
+    with pytest.raises(PySparkException, match="splits='index'"):
+        source.load(path).count()
+    assert rows(source.option("splits", "index").load(path)) == expected(path)
+    empty = write(tmp_path / "empty.pbf")
+    assert source.option("splits", "index").load(empty).count() == 0
+    with pytest.raises(PySparkException, match="splits must be"):
+        source.option("splits", "other").load(path).count()
+
+
 def test_blob_index(spark, osm_file):
     for partitions in (1, 5):
         blobs = blob_index(spark, osm_file, partitions).orderBy("offset").collect()
