@@ -36,13 +36,10 @@ def running_sum(deltas: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return total[1:] - np.repeat(total[starts], counts)
 
 
-def varints(data: np.ndarray) -> np.ndarray:
-    """All varints of a byte array that holds nothing else."""
-    last = np.flatnonzero(data < 0x80)
+def varints(data: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """All varints of a byte array that holds nothing else; ``last`` says where each one ends."""
     if len(last) == len(data):
         return data.astype(np.uint64)
-    if len(last) == 0 or last[-1] != len(data) - 1:
-        raise ValueError("packed field ends inside a number")
     first = np.empty_like(last)
     first[0] = 0
     first[1:] = last[:-1] + 1
@@ -159,13 +156,15 @@ class Messages:
         else:
             shift = starts - offsets_of(lengths)[:-1]
             payload = self._data[np.arange(total) + np.repeat(shift, lengths)]
-        ends = offsets_of(lengths)
-        finals = ends[1:][lengths > 0] - 1
-        if (payload[finals] >= 0x80).any():
+        last = np.flatnonzero(payload < 0x80)
+        ends = np.cumsum(lengths)
+        # Numbers that end within each occurrence; every occurrence must end with a number.
+        done = np.searchsorted(last, ends)
+        filled = lengths > 0
+        if (done[filled] == 0).any() or (last[done[filled] - 1] != ends[filled] - 1).any():
             raise ValueError("packed field ends inside a number")
-        done = offsets_of(payload < 0x80)
-        np.add.at(counts, rows, np.diff(done[ends]))
-        return varints(payload), counts
+        np.add.at(counts, rows, np.diff(done, prepend=0))
+        return varints(payload, last), counts
 
     def count(self, number: int) -> int:
         """How many numbers a repeated field holds in all rows together."""

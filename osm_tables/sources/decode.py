@@ -75,7 +75,6 @@ class _Block:
         self.granularity, self.date_granularity = DEFAULT_GRANULARITY, DEFAULT_DATE_GRANULARITY
         self.lat_offset = self.lon_offset = 0
         self._strings = None
-        self._string_lengths = None
         self._table = (0, 0)
         self.types = types
         groups = []
@@ -148,10 +147,10 @@ class _Block:
         return self.strings().take(pa.array(ids, pa.int64()))
 
     def text_bytes(self, ids: np.ndarray) -> np.ndarray:
-        if self._string_lengths is None:
-            lengths = pc.binary_length(self.strings())
-            self._string_lengths = lengths.to_numpy().astype(np.int64)
-        return self._string_lengths[ids]
+        return pc.binary_length(self.strings()).to_numpy().astype(np.int64)[ids]
+
+    def longest_text(self) -> int:
+        return pc.max(pc.binary_length(self.strings())).as_py() or 0
 
     def batches(self, schema: pa.Schema, origin: str) -> Iterator[pa.RecordBatch]:
         for number, (starts, stops) in self.entities.items():
@@ -262,8 +261,8 @@ class _Rows:
             )
 
     def charge(self, ids: np.ndarray, counts: np.ndarray) -> None:
-        """Account for the text that every row will hold."""
-        if len(ids):
+        """Account for the text that every row will hold, unless it cannot come near the limit."""
+        if len(ids) * self.block.longest_text() > MAX_BATCH_TEXT // 8:
             ends = offsets_of(self.block.text_bytes(ids))
             self._text_cost = self._text_cost + np.diff(ends[offsets_of(counts)])
 
