@@ -44,11 +44,11 @@ class Blob(NamedTuple):
         return self.data_offset + self.datasize
 
 
-def read_blob_header(source: ReadAhead, offset: int) -> Blob:
-    (length,) = struct.unpack(">i", source.read(offset, 4))
+def read_blob_header(source: ReadAhead, offset: int, keep_window: bool = False) -> Blob:
+    (length,) = struct.unpack(">i", source.read(offset, 4, keep_window))
     if not 0 <= length <= MAX_HEADER_BYTES:
         raise ValueError(f"{source.location}: bad blob header length {length} at offset {offset}")
-    header = source.read(offset + 4, length)
+    header = source.read(offset + 4, length, keep_window)
     blob_type = datasize = None
     try:
         for number, wire, start, stop in fields(header, 0, length):
@@ -65,12 +65,12 @@ def read_blob_header(source: ReadAhead, offset: int) -> Blob:
 
 def _is_sync_point(source: ReadAhead, offset: int) -> bool:
     try:
-        blob = read_blob_header(source, offset)
+        blob = read_blob_header(source, offset, keep_window=True)
         if blob.blob_type != DATA_BLOB or blob.datasize > MAX_BLOB_BYTES:
             return False
         if blob.end == source.size:
             return True
-        read_blob_header(source, blob.end)
+        read_blob_header(source, blob.end, keep_window=True)
     except (ValueError, EOFError):
         return False
     return True
@@ -83,7 +83,7 @@ def find_sync_point(source: ReadAhead, start: int, stop: int) -> int | None:
     pos, last = start + 4, min(stop + 4 + overlap, source.size)
     while pos + overlap < last:
         length = min(_SYNC_CHUNK, last - pos)
-        chunk = bytes(source.read(pos, length))
+        chunk = bytes(source.read(pos, length, keep_window=True))
         found = chunk.find(_SYNC_PATTERN)
         while found >= 0:
             if _is_sync_point(source, pos + found - 4):

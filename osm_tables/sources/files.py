@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Sequence
+from concurrent.futures import Future, ThreadPoolExecutor
 from urllib.parse import quote
 
 from pyarrow import fs
@@ -58,37 +59,69 @@ def file_sizes(locations: Sequence[str]) -> list[int]:
 
 
 class ReadAhead:
-    """Byte ranges of one open file, served from a chunk that is read ahead of them."""
+    """Byte ranges of one open file, mostly read in order, served from a window of it.
 
-    def __init__(self, location: str, size: int, chunk_bytes: int):
+    The bytes after the window, up to ``until``, are fetched while the caller works on the window, so
+    that decoding does not wait for remote storage.
+    """
+
+    def __init__(self, location: str, size: int, chunk_bytes: int, until: int = 0):
         self.location = location
         self.size = size
         self._chunk_bytes = chunk_bytes
+        self._until = min(until, size)
         system, path = file_system(location)
         self._file = system.open_input_file(path)
         self._start = 0
-        self._chunk = memoryview(b"")
+        self._window = memoryview(b"")
+        self._fetcher = ThreadPoolExecutor(1) if until else None
+        self._next: Future | None = None
 
     def __enter__(self) -> ReadAhead:
         return self
 
     def __exit__(self, *exc) -> None:
+        if self._fetcher is not None:
+            self._fetcher.shutdown(cancel_futures=True)
         self._file.close()
 
-    def read(self, offset: int, length: int) -> memoryview:
-        """Exactly ``length`` bytes, or an error: a short read never passes as end of file."""
+    def read(self, offset: int, length: int, keep_window: bool = False) -> memoryview:
+        """Exactly ``length`` bytes, or an error: a short read never passes as end of file.
+
+        ``keep_window`` is for a look elsewhere that should not move the window.
+        """
         at = offset - self._start
-        if at < 0 or at + length > len(self._chunk):
-            if offset + length > self.size:
-                raise EOFError(
-                    f"{self.location}: truncated, {length} bytes wanted at offset {offset} "
-                    f"but the file ends at {self.size}"
-                )
-            wanted = min(max(length, self._chunk_bytes), self.size - offset)
-            self._file.seek(offset)
-            self._chunk = memoryview(self._file.read_buffer(wanted)).cast("B")
-            self._start = offset
-            at = 0
-            if len(self._chunk) < length:
-                raise EOFError(f"{self.location}: truncated, short read at offset {offset}")
-        return self._chunk[at : at + length]
+        if 0 <= at and at + length <= len(self._window):
+            return self._window[at : at + length]
+        if offset + length > self.size:
+            raise EOFError(
+                f"{self.location}: truncated, {length} bytes wanted at offset {offset} "
+                f"but the file ends at {self.size}"
+            )
+        if keep_window:
+            return memoryview(self._fetch(offset, length))
+        self._move_window(offset, length)
+        return self._window[:length]
+
+    def _fetch(self, offset: int, length: int) -> bytes:
+        data = self._file.read_at(length, offset)
+        if len(data) < length:
+            raise EOFError(f"{self.location}: truncated, short read at offset {offset}")
+        return data
+
+    def _move_window(self, offset: int, length: int) -> None:
+        parts, fetched = [], 0
+        if self._next is not None and self._start <= offset <= self._start + len(self._window):
+            # The window goes on: what is left of it, and what came after it in the meantime.
+            parts = [self._window[offset - self._start :], self._next.result()]
+            fetched = sum(map(len, parts))
+        if fetched < length or not parts:
+            end = min(max(offset + length, offset + self._chunk_bytes), self.size)
+            parts.append(self._fetch(offset + fetched, end - offset - fetched))
+        self._start = offset
+        self._window = memoryview(parts[0] if len(parts) == 1 else b"".join(parts))
+        self._next = None
+        end = offset + len(self._window)
+        if end < self._until:
+            ahead = min(self._chunk_bytes, self._until - end)
+            self._next = self._fetcher.submit(self._fetch, end, ahead)

@@ -30,8 +30,8 @@ class FileSet:
     locations: tuple[str, ...]
     plan: SplitPlan | PerFilePlan
 
-    def open(self, file_no: int, chunk_bytes: int) -> ReadAhead:
-        return ReadAhead(self.locations[file_no], self.plan.sizes[file_no], chunk_bytes)
+    def open(self, file_no: int, chunk_bytes: int, until: int = 0) -> ReadAhead:
+        return ReadAhead(self.locations[file_no], self.plan.sizes[file_no], chunk_bytes, until)
 
 
 def file_set(
@@ -87,7 +87,7 @@ def decode_range(
     ``known_start`` says that the range is a stretch of whole blobs already.
     """
     find_blobs = blobs_from if known_start else blobs_of_range
-    with files.open(part.file_no, DATA_CHUNK) as source:
+    with files.open(part.file_no, DATA_CHUNK, until=part.stop) as source:
         for blob in find_blobs(source, part.start, part.stop):
             kind = blob.blob_type.lower()
             if kind not in (DATA_BLOB.lower(), HEADER_BLOB.lower()):
