@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 
 from .wire import BYTES, FIXED32, FIXED64, VARINT
@@ -10,10 +12,76 @@ from .wire import BYTES, FIXED32, FIXED64, VARINT
 PADDING = 16
 
 
-def padded(data) -> np.ndarray:
-    out = np.zeros(len(data) + PADDING, np.uint8)
-    out[: len(data)] = np.frombuffer(data, np.uint8)
-    return out
+class Bytes:
+    """The bytes of a block, with numbers read from many places at a time."""
+
+    def __init__(self, content):
+        self.length = len(content)
+        self.data = np.zeros(self.length + PADDING, np.uint8)
+        self.data[: self.length] = np.frombuffer(content, np.uint8)
+        self._words = np.ndarray(self.length + PADDING - 7, "<u8", self.data, strides=(1,))
+
+    @cached_property
+    def last_bytes(self) -> np.ndarray:
+        """Where bytes stand that can end a number."""
+        return np.flatnonzero(self.data[: self.length] < 0x80)
+
+    def varints_at(self, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The varint at every position, and the positions after them."""
+        byte = self.data[pos]
+        if (byte < 0x80).all():
+            return byte.astype(np.uint64), pos + 1
+        # Eight bytes at once. The lowest top bit that is clear marks the last byte of the number.
+        words = self._words[pos]
+        ends = ~words & np.uint64(0x8080808080808080)
+        mask = ends ^ (ends - np.uint64(1))
+        values = words & mask & np.uint64(0x7F7F7F7F7F7F7F7F)
+        for bits, low in _JOIN:
+            values = (values & low) | ((values & ~low) >> bits)
+        after = pos + (np.bitwise_count(mask) >> 3)
+        long = np.flatnonzero(ends == 0)
+        if long.size:
+            values[long], after[long] = self._long_varints(pos[long], values[long])
+        return values, after
+
+    def _long_varints(self, pos, values):
+        """Numbers of nine and ten bytes, whose first 56 bits are in ``values``."""
+        ninth, tenth = self.data[pos + 8], self.data[pos + 9]
+        two_more = ninth >= 0x80
+        if (two_more & (tenth >= 0x80)).any():
+            raise ValueError("malformed varint")
+        values = values | (ninth & 0x7F).astype(np.uint64) << np.uint64(56)
+        values |= np.where(two_more, tenth, 0).astype(np.uint64) << np.uint64(63)
+        return values, pos + 9 + two_more
+
+    def count_varints(self, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many varints fill each byte range, and which last byte is the first one's."""
+        last = self.last_bytes
+        at, to = np.searchsorted(last, starts), np.searchsorted(last, stops)
+        filled = starts < stops
+        if (to[filled] == 0).any() or (last[to[filled] - 1] != stops[filled] - 1).any():
+            raise ValueError("packed field ends inside a number")
+        return to - at, at
+
+    def varints_in(self, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All varints of byte ranges that hold nothing else, and how many each range has."""
+        counts, at = self.count_varints(starts, stops)
+        ends = np.cumsum(counts)
+        if len(counts) == 0 or ends[-1] == 0:
+            return np.empty(0, np.uint64), counts
+        # A number starts after the one before it, or with its range.
+        before = np.arange(-1, ends[-1] - 1) + np.repeat(at - (ends - counts), counts)
+        first = self.last_bytes[before] + 1
+        filled = counts > 0
+        first[(ends - counts)[filled]] = starts[filled]
+        return self.varints_at(first)[0], counts
+
+
+# Steps that close the gaps between 7-bit groups: how far to shift, and the bits that stay in place.
+_JOIN = tuple(
+    (np.uint64(bits), np.uint64(low))
+    for bits, low in ((1, 0x007F007F007F007F), (2, 0x00003FFF00003FFF), (4, 0x000000000FFFFFFF))
+)
 
 
 def zigzag(values: np.ndarray) -> np.ndarray:
@@ -36,53 +104,6 @@ def running_sum(deltas: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return total[1:] - np.repeat(total[starts], counts)
 
 
-def varints(data: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """All varints of a byte array that holds nothing else; ``last`` says where each one ends."""
-    if len(last) == len(data):
-        return data.astype(np.uint64)
-    first = np.empty_like(last)
-    first[0] = 0
-    first[1:] = last[:-1] + 1
-    return varints_at(padded(data), first)[0]
-
-
-def varints_at(data: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The varint at every position of a padded array, and the positions after them."""
-    byte = data[pos]
-    if (byte < 0x80).all():
-        return byte.astype(np.uint64), pos + 1
-    # Eight bytes at once. The lowest top bit that is clear marks the last byte of the number.
-    words = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))[pos]
-    ends = ~words & np.uint64(0x8080808080808080)
-    mask = ends ^ (ends - np.uint64(1))
-    values = words & mask & np.uint64(0x7F7F7F7F7F7F7F7F)
-    for bits, low in _JOIN:
-        values = (values & low) | ((values & ~low) >> bits)
-    after = pos + (np.bitwise_count(mask) >> 3)
-    long = np.flatnonzero(ends == 0)
-    if long.size:
-        values[long], after[long] = _long_varints(data, pos[long], values[long])
-    return values, after
-
-
-# Steps that close the gaps between 7-bit groups: how far to shift, and the bits that stay in place.
-_JOIN = tuple(
-    (np.uint64(bits), np.uint64(low))
-    for bits, low in ((1, 0x007F007F007F007F), (2, 0x00003FFF00003FFF), (4, 0x000000000FFFFFFF))
-)
-
-
-def _long_varints(data, pos, values):
-    """Numbers of nine and ten bytes, whose first 56 bits are in ``values``."""
-    ninth, tenth = data[pos + 8], data[pos + 9]
-    two_more = ninth >= 0x80
-    if (two_more & (tenth >= 0x80)).any():
-        raise ValueError("malformed varint")
-    values = values | (ninth & 0x7F).astype(np.uint64) << np.uint64(56)
-    values |= np.where(two_more, tenth, 0).astype(np.uint64) << np.uint64(63)
-    return values, pos + 9 + two_more
-
-
 class Messages:
     """The fields of many messages of one kind.
 
@@ -92,8 +113,8 @@ class Messages:
     ``owner`` says which row a message belongs to, for sub-messages that some rows lack.
     """
 
-    def __init__(self, data, starts, stops, owner=None, n_rows=None):
-        self._data = data
+    def __init__(self, content: Bytes, starts, stops, owner=None, n_rows=None):
+        self._content = content
         self.n_rows = len(starts) if n_rows is None else n_rows
         starts, stops = np.asarray(starts, np.int64), np.asarray(stops, np.int64)
         owner = np.arange(len(starts)) if owner is None else owner
@@ -102,9 +123,9 @@ class Messages:
         pos = starts[live]
         while live.size:
             ends = stops[live]
-            keys, pos = varints_at(data, pos)
+            keys, pos = content.varints_at(pos)
             numbers = (keys >> np.uint64(3)).astype(np.int64)
-            pos, after = self._extent(data, keys & np.uint64(7), pos, ends)
+            pos, after = self._extent(content, keys & np.uint64(7), pos, ends)
             rounds.append((owner[live], numbers, pos, after))
             keep = after < ends
             live, pos = live[keep], after[keep]
@@ -112,15 +133,15 @@ class Messages:
         self._owner, self._number, self._start, self._stop = map(np.concatenate, columns)
 
     @staticmethod
-    def _extent(data, wire, pos, ends):
+    def _extent(content, wire, pos, ends):
         """Where every field's payload starts and stops."""
         is_bytes = wire == BYTES
         if (is_bytes | (wire == VARINT)).all():
             if (pos >= ends).any():
                 raise ValueError("field does not fit its message")
-            values, past = varints_at(data, pos)
+            values, past = content.varints_at(pos)
             lengths = np.where(is_bytes, values, 0)
-            if (lengths > len(data)).any():
+            if (lengths > content.length).any():
                 raise ValueError("field does not fit its message")
             start, after = np.where(is_bytes, past, pos), past + lengths.astype(np.int64)
         else:
@@ -130,7 +151,7 @@ class Messages:
             rest = np.flatnonzero(widths == 0)
             if not (is_bytes | (wire == VARINT))[rest].all():
                 raise ValueError("wire type is not supported")
-            start[rest], after[rest] = Messages._extent(data, wire[rest], pos[rest], ends[rest])
+            start[rest], after[rest] = Messages._extent(content, wire[rest], pos[rest], ends[rest])
         if (after > ends).any():
             raise ValueError("field does not fit its message")
         return start, after
@@ -146,30 +167,17 @@ class Messages:
     def repeated(self, number: int) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of a repeated field for all rows in a row, and how many each row has."""
         rows, starts, stops = self.spans(number)
+        values, found = self._content.varints_in(starts, stops)
+        if len(found) == self.n_rows and (rows[1:] > rows[:-1]).all():
+            return values, found
         counts = np.zeros(self.n_rows, np.int64)
-        lengths = stops - starts
-        total = int(lengths.sum())
-        if total == 0:
-            return np.empty(0, np.uint64), counts
-        if len(starts) == 1:
-            payload = self._data[starts[0] : stops[0]]
-        else:
-            shift = starts - offsets_of(lengths)[:-1]
-            payload = self._data[np.arange(total) + np.repeat(shift, lengths)]
-        last = np.flatnonzero(payload < 0x80)
-        ends = np.cumsum(lengths)
-        # Numbers that end within each occurrence; every occurrence must end with a number.
-        done = np.searchsorted(last, ends)
-        filled = lengths > 0
-        if (done[filled] == 0).any() or (last[done[filled] - 1] != ends[filled] - 1).any():
-            raise ValueError("packed field ends inside a number")
-        np.add.at(counts, rows, np.diff(done, prepend=0))
-        return varints(payload, last), counts
+        np.add.at(counts, rows, found)
+        return values, counts
 
     def count(self, number: int) -> int:
         """How many numbers a repeated field holds in all rows together."""
         _, starts, stops = self.spans(number)
-        return sum(int((self._data[a:b] < 0x80).sum()) for a, b in zip(starts, stops))
+        return int(self._content.count_varints(starts, stops)[0].sum())
 
     def scalar(self, number: int) -> tuple[np.ndarray, np.ndarray]:
         """A single field as (values, present) per row; the last occurrence wins."""
@@ -177,10 +185,10 @@ class Messages:
         values = np.zeros(self.n_rows, np.uint64)
         present = np.zeros(self.n_rows, bool)
         if len(rows):
-            values[rows] = varints_at(self._data, starts)[0]
+            values[rows] = self._content.varints_at(starts)[0]
             present[rows] = True
         return values, present
 
     def submessages(self, number: int) -> Messages:
         rows, starts, stops = self.spans(number)
-        return Messages(self._data, starts, stops, owner=rows, n_rows=self.n_rows)
+        return Messages(self._content, starts, stops, owner=rows, n_rows=self.n_rows)

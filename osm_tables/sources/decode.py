@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 
 from .. import schema as S
 from ..options import ENTITY_TYPES, NODE, RELATION, WAY
-from .columns import Messages, offsets_of, padded, running_sum, varints_at, zigzag
+from .columns import Bytes, Messages, offsets_of, running_sum, zigzag
 from .wire import BYTES, VARINT, fields, signed, varint
 
 # Payload fields of a blob, and the features a reader must know to read a file.
@@ -95,7 +95,7 @@ class _Block:
                     self.lat_offset = value
                 else:
                     self.lon_offset = value
-        self.data = padded(self._raw)
+        self.content = Bytes(self._raw)
         self.entities = self._entities(groups)
 
     def _field_starts(self, pos: int, stop: int) -> list[int]:
@@ -124,11 +124,11 @@ class _Block:
         if not groups:
             return {}
         at = np.concatenate([np.array(self._field_starts(a, b), np.int64) for a, b in groups])
-        keys, found = self.data[at], {}
+        keys, found = self.content.data[at], {}
         for kind in _KINDS:
             where = at[keys == kind * 8 + BYTES]
             if len(where) and _KINDS[kind][0] in self.types:
-                lengths, starts = varints_at(self.data, where + 1)
+                lengths, starts = self.content.varints_at(where + 1)
                 found[kind] = (starts, starts + lengths.astype(np.int64))
         return found
 
@@ -157,9 +157,9 @@ class _Block:
             entity_type, read = _KINDS[number]
             if number == GROUP_DENSE:
                 # Deltas start again in every dense message, and each has its own optional parts.
-                parts = (Messages(self.data, [a], [b]) for a, b in zip(starts, stops))
+                parts = (Messages(self.content, [a], [b]) for a, b in zip(starts, stops))
             else:
-                parts = (Messages(self.data, starts, stops),)
+                parts = (Messages(self.content, starts, stops),)
             for messages in parts:
                 rows = _Rows(self, schema, entity_type, origin)
                 if rows.wants(*_ENTITY_COLUMNS):
