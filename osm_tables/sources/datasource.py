@@ -14,7 +14,14 @@ from pyspark.sql.types import StructType
 from .. import schema as S
 from ..options import FORMAT, OsmReadOptions
 from ..plans.splits import FileRange
-from .reader import check_splits, decode_range, file_set, split_settings, whole_blob_ranges
+from .reader import (
+    check_splits,
+    entity_decoder,
+    file_set,
+    scan_range,
+    split_settings,
+    whole_blob_ranges,
+)
 
 WALK_THREADS = 16
 
@@ -62,10 +69,10 @@ class OsmReader(DataSourceReader):
         return list(whole_blob_ranges(self._files, file_no))
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        schema, known_start = S.to_arrow_schema(self._schema), partition.whole_blobs is not None
+        decode, known_start = entity_decoder(self._schema, self._types), partition.whole_blobs is not None
         parts = partition.whole_blobs if known_start else self._files.plan.ranges_of(partition.value)
         for part in parts:
-            yield from decode_range(self._files, part, schema, self._types, known_start)
+            yield from scan_range(self._files, part, decode, known_start)
 
 
 def _accepted(options: OsmReadOptions, asked: StructType) -> StructType:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, replace
+from functools import partial
 from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions.entities import tags_as_map
@@ -18,6 +20,9 @@ from .blobs import DATA_BLOB, HEADER_BLOB, blobs_from, blobs_of_range
 from .decode import check_header, decode_blob
 from .files import ReadAhead, file_sizes, to_location
 
+# The contents of a data blob and the file's name, to record batches.
+BlobDecoder = Callable[[memoryview, str], Iterator[pa.RecordBatch]]
+
 DATA_CHUNK = 4 * 1024 * 1024
 HEADER_CHUNK = 16 * 1024
 
@@ -79,10 +84,10 @@ def _bytes(text: str) -> int:
     return int(text) if text[-1].isdigit() else int(text[:-1]) * units[text[-1]]
 
 
-def decode_range(
-    files: FileSet, part: FileRange, schema: pa.Schema, types: frozenset[str], known_start: bool = False
+def scan_range(
+    files: FileSet, part: FileRange, decode: BlobDecoder, known_start: bool = False
 ) -> Iterator[pa.RecordBatch]:
-    """All entities of one range as record batches, one blob in memory at a time.
+    """What ``decode`` makes of every data blob of a range, one blob in memory at a time.
 
     ``known_start`` says that the range is a stretch of whole blobs already.
     """
@@ -97,7 +102,7 @@ def decode_range(
                 if kind == HEADER_BLOB.lower():
                     check_header(contents)
                 else:
-                    yield from decode_blob(contents, schema, types, files.names[part.file_no])
+                    yield from decode(contents, files.names[part.file_no])
             except Exception as e:
                 raise ValueError(f"{source.location}: blob at offset {blob.offset}: {e}") from e
 
@@ -145,6 +150,36 @@ def check_splits(splits: str) -> None:
         raise ValueError(f"splits must be 'ranges' or 'index', not {splits!r}")
 
 
+def scan(
+    spark: SparkSession, options: OsmReadOptions, decode: BlobDecoder, schema: T.StructType, splits: str
+) -> DataFrame:
+    """A DataFrame of what ``decode`` makes of the data blobs of all files, read range by range."""
+    check_splits(splits)
+    files = file_set(options.paths, options.partitions, **split_settings(spark))
+
+    def scan_by_number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for task_no in batch.column(0).to_pylist():
+                for part in files.plan.ranges_of(task_no):
+                    yield from scan_range(files, part, decode)
+
+    def scan_whole_blobs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, *part in zip(*batch.to_pydict().values()):
+                yield from scan_range(files, FileRange(*part), decode, known_start=True)
+
+    if splits == "ranges":
+        return ranges_df(spark, files).mapInArrow(scan_by_number, schema)
+    return whole_blob_ranges_df(spark, files).mapInArrow(scan_whole_blobs, schema)
+
+
+def with_settings(
+    paths: str | Sequence[str], options: OsmReadOptions | None, settings: dict
+) -> OsmReadOptions:
+    options = replace(options or OsmReadOptions(), **settings)
+    return options.with_paths(*([paths] if isinstance(paths, str) else paths))
+
+
 def read_osm(
     spark: SparkSession,
     paths: str | Sequence[str] = (),
@@ -162,33 +197,18 @@ def read_osm(
     shuffle. ``splits="index"`` first walks every header of every file (one task per file); it is
     needed only for files whose uncompressed blobs contain what looks like other blobs.
     """
-    check_splits(splits)
-    options = replace(options or OsmReadOptions(), **settings)
-    options = options.with_paths(*([paths] if isinstance(paths, str) else paths))
-    files = file_set(options.paths, options.partitions, **split_settings(spark))
-
+    options = with_settings(paths, options, settings)
     result = S.osm_schema(options, columns)
     decoded = S.osm_schema(replace(options, tags_as_map=False), columns)
     if not decoded.fields:
         decoded = S.osm_schema(options, [S.ENTITY_TYPE])
-    arrow_schema, types = S.to_arrow_schema(decoded), options.selected_types
-
-    def read_by_number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for task_no in batch.column(0).to_pylist():
-                for part in files.plan.ranges_of(task_no):
-                    yield from decode_range(files, part, arrow_schema, types)
+    decode = entity_decoder(decoded, options.selected_types)
+    entities = scan(spark, options, decode, decoded, splits)
+    return entities.select([_as_result(f.name, options) for f in result.fields])
 
-    def read_whole_blobs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, *part in zip(*batch.to_pydict().values()):
-                yield from decode_range(files, FileRange(*part), arrow_schema, types, True)
 
-    if splits == "ranges":
-        entities = ranges_df(spark, files).mapInArrow(read_by_number, decoded)
-    else:
-        entities = whole_blob_ranges_df(spark, files).mapInArrow(read_whole_blobs, decoded)
-    return entities.select([_as_result(f.name, options) for f in result.fields])
+def entity_decoder(schema: T.StructType, types: frozenset[str]) -> BlobDecoder:
+    return partial(decode_blob, schema=S.to_arrow_schema(schema), types=types)
 
 
 def _as_result(name: str, options: OsmReadOptions):

@@ -7,8 +7,8 @@ from collections import Counter
 
 from osm_fixtures.writer import blob, header_blob, put, put_list, zz
 from osm_tables.options import OsmReadOptions
-from osm_tables.schema import osm_schema, to_arrow_schema
-from osm_tables.sources.reader import decode_range, file_set
+from osm_tables.schema import osm_schema
+from osm_tables.sources.reader import entity_decoder, file_set, scan_range
 
 
 def block(strings, *groups, **scaling) -> bytes:
@@ -64,12 +64,12 @@ HEADER = header_blob("OsmSchema-V0.6", "DenseNodes")
 def read_rows(path: str, columns=None, partitions: int = 1, **settings) -> list[dict]:
     """All rows of a file, range by range, without a Spark session."""
     options = OsmReadOptions(**settings)
-    schema = to_arrow_schema(osm_schema(options, columns))
+    decode = entity_decoder(osm_schema(options, columns), options.selected_types)
     files = file_set([path], partitions, 2**27, 2**22, 1)
     rows = []
     for task_no in range(files.plan.n_tasks):
         for part in files.plan.ranges_of(task_no):
-            for batch in decode_range(files, part, schema, options.selected_types):
+            for batch in scan_range(files, part, decode):
                 batch.validate(full=True)
                 rows += batch.to_pylist()
     return rows

@@ -218,6 +218,16 @@ def test_count_by_type(spark, osm_file):
     assert counts == {"Node": 18, "Way": 6, "Relation": 6}
     counts = count_by_type(spark, osm_file, types={"way"}).collect()
     assert [tuple(r) for r in counts] == [("Way", 6)]
+    options = OsmReadOptions().with_paths(osm_file).with_partitions(4)
+    for splits in ("ranges", "index"):
+        counted = count_by_type(spark, osm_file, options, splits=splits)
+        assert rows(counted) == rows(read_osm(spark, [osm_file] * 2).groupBy("entity_type").count())
+
+
+def test_count_of_kinds_that_are_absent(spark, tmp_path):
+    path = write(tmp_path / "way.pbf", data(block([""], dense([]), way(1))))
+    assert [tuple(r) for r in count_by_type(spark, path).collect()] == [("Way", 1)]
+    assert count_by_type(spark, path, types={"node"}).collect() == []
 
 
 OPTION_SETS = [
