@@ -291,6 +291,71 @@ def filter_entity_type(spark, sf_dir):
     return ways.select("entity_type", "id", _length("nodes", "n_nodes"))
 
 
+SELECTIONS = {
+    "AllEntities": None,
+    "NodesOnly": {"node"},
+    "WaysOnly": {"way"},
+    "RelationsOnly": {"relation"},
+}
+
+
+def full_scan(spark, sf_dir):
+    """Every column of every selected entity, drawn into one row per selection."""
+
+    def size_sum(entities, column, alias):
+        size = F.sum(F.array_size(column)) if column in entities.columns else F.lit(None)
+        return size.cast("long").alias(alias)
+
+    def number_sum(entities, column, alias):
+        known = column in entities.columns
+        return (F.sum(_e7(column) % ID_MODULUS) if known else F.lit(None).cast("long")).alias(alias)
+
+    scans = None
+    for name, types in SELECTIONS.items():
+        entities = read(spark, sf_dir, types=types)
+        scan = entities.agg(
+            F.lit(name).alias("selection"),
+            F.count("entity_type").alias("n"),
+            _id_check(),
+            F.sum("version").alias("versions"),
+            F.sum(F.col("timestamp") % ID_MODULUS).alias("timestamp_check"),
+            F.sum(F.col("changeset") % ID_MODULUS).alias("changeset_check"),
+            F.sum("uid").alias("uid_check"),
+            F.sum(F.length("user_sid")).alias("user_letters"),
+            size_sum(entities, "tags", "n_tags"),
+            number_sum(entities, "latitude", "lat_check"),
+            number_sum(entities, "longitude", "lon_check"),
+            size_sum(entities, "nodes", "n_refs"),
+            size_sum(entities, "members", "n_members"),
+        )
+        scans = scan if scans is None else scans.unionByName(scan)
+    return scans
+
+
+def data_source_options(spark, sf_dir):
+    """Options built in steps, passed to the data source as text and read back there."""
+    osm_tables.register_osm(spark)
+    options = (
+        osm_tables.OsmReadOptions()
+        .with_type("node")
+        .with_type("RELATION")
+        .with_partitions(2)
+        .with_tags_as_map()
+        .with_exclude_metadata()
+        .with_include_origin_file()
+        .with_paths(*entity_files(spark, sf_dir))
+    )
+    entities = spark.read.format(osm_tables.FORMAT).options(**options.to_options()).load()
+    return entities.select(
+        "entity_type",
+        "id",
+        _codec(),
+        F.try_element_at("tags", F.lit("línea")).alias("linea"),
+        F.try_element_at("tags", F.lit("segment")).alias("segment"),
+        _length("members", "n_members"),
+    )
+
+
 _QUERIES: tuple[Query, ...] = (
     entity_counts,
     scan_all,
@@ -319,6 +384,8 @@ _QUERIES: tuple[Query, ...] = (
     types_relation,
     types_node_way,
     filter_entity_type,
+    full_scan,
+    data_source_options,
 )
 
 
@@ -471,6 +538,35 @@ def _shapes_sql() -> str:
     return every + " UNION ALL ".join(rows)
 
 
+_SELECTION_TOTALS = f"""
+, each AS (
+    SELECT entity_type, id, has_info, version, "timestamp", changeset, uid, user_sid,
+           CASE WHEN tagged THEN 2 END AS n_tags, lat_e7, lon_e7,
+           CAST(NULL AS BIGINT) AS n_refs, CAST(NULL AS BIGINT) AS n_members FROM node
+    UNION ALL
+    SELECT entity_type, id, has_info, version, "timestamp", changeset, uid, user_sid,
+           CASE WHEN tagged THEN 2 END, NULL, NULL, n_nodes, NULL FROM way
+    UNION ALL
+    SELECT entity_type, id, has_info, version, "timestamp", changeset, uid, user_sid,
+           2, NULL, NULL, NULL, n_members FROM relation
+), selected AS (
+    SELECT 'AllEntities' AS selection, * FROM each
+    UNION ALL
+    SELECT entity_type || 'sOnly', * FROM each
+)
+SELECT selection, {_CHECKS},
+       CAST(sum(version) FILTER (has_info) AS BIGINT) AS versions,
+       CAST(sum("timestamp" % {ID_MODULUS}) FILTER (has_info) AS BIGINT) AS timestamp_check,
+       CAST(sum(changeset % {ID_MODULUS}) FILTER (has_info) AS BIGINT) AS changeset_check,
+       CAST(sum(uid) FILTER (has_info) AS BIGINT) AS uid_check,
+       CAST(sum(length(user_sid)) FILTER (has_info) AS BIGINT) AS user_letters,
+       CAST(sum(n_tags) AS BIGINT) AS n_tags,
+       CAST(sum(lat_e7 % {ID_MODULUS}) AS BIGINT) AS lat_check,
+       CAST(sum(lon_e7 % {ID_MODULUS}) AS BIGINT) AS lon_check,
+       CAST(sum(n_refs) AS BIGINT) AS n_refs, CAST(sum(n_members) AS BIGINT) AS n_members
+FROM selected GROUP BY selection"""
+
+
 def oracle_sql() -> dict[str, str]:
     """For each key in ``queries()``, SQL over the tables with the same result."""
     parts = {
@@ -539,5 +635,13 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL
             SELECT entity_type, id, CASE WHEN has_info THEN changeset END, NULL, n_nodes FROM way""",
         "filter_entity_type": "SELECT entity_type, id, n_nodes FROM way",
+        "full_scan": _SELECTION_TOTALS,
+        "data_source_options": """
+            SELECT entity_type, id, CASE WHEN codec_key % 4 = 0 THEN 'raw' ELSE 'zlib' END AS codec,
+                   CASE WHEN tagged THEN linea END AS linea, NULL AS segment,
+                   CAST(NULL AS BIGINT) AS n_members FROM node
+            UNION ALL
+            SELECT entity_type, id, CASE WHEN codec_key % 4 = 0 THEN 'raw' ELSE 'zlib' END,
+                   NULL, segment, n_members FROM relation""",
     }
     return {name: _ENTITIES + sql for name, sql in parts.items()}
