@@ -124,13 +124,12 @@ class Messages:
         while live.size:
             ends = stops[live]
             keys, pos = content.varints_at(pos)
-            numbers = (keys >> np.uint64(3)).astype(np.int64)
             pos, after = self._extent(content, keys & np.uint64(7), pos, ends)
-            rounds.append((owner[live], numbers, pos, after))
+            rounds.append((owner[live], keys.view(np.int64), pos, after))
             keep = after < ends
             live, pos = live[keep], after[keep]
         columns = zip(*rounds) if rounds else [[np.empty(0, np.int64)]] * 4
-        self._owner, self._number, self._start, self._stop = map(np.concatenate, columns)
+        self._owner, self._key, self._start, self._stop = map(np.concatenate, columns)
 
     @staticmethod
     def _extent(content, wire, pos, ends):
@@ -156,9 +155,12 @@ class Messages:
             raise ValueError("field does not fit its message")
         return start, after
 
-    def spans(self, number: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def spans(self, number: int, *wires: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, start, stop) of every occurrence of a field, by row and then by position."""
-        where = np.flatnonzero(self._number == number)
+        wanted = self._key == number * 8 + wires[0]
+        for wire in wires[1:]:
+            wanted |= self._key == number * 8 + wire
+        where = np.flatnonzero(wanted)
         rows = self._owner[where]
         if len(rows) > 1 and (rows[1:] <= rows[:-1]).any():
             where = where[np.argsort(rows, kind="stable")]
@@ -166,7 +168,7 @@ class Messages:
 
     def repeated(self, number: int) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of a repeated field for all rows in a row, and how many each row has."""
-        rows, starts, stops = self.spans(number)
+        rows, starts, stops = self.spans(number, BYTES, VARINT)
         values, found = self._content.varints_in(starts, stops)
         if len(found) == self.n_rows and (rows[1:] > rows[:-1]).all():
             return values, found
@@ -176,12 +178,12 @@ class Messages:
 
     def count(self, number: int) -> int:
         """How many numbers a repeated field holds in all rows together."""
-        _, starts, stops = self.spans(number)
+        _, starts, stops = self.spans(number, BYTES, VARINT)
         return int(self._content.count_varints(starts, stops)[0].sum())
 
     def scalar(self, number: int) -> tuple[np.ndarray, np.ndarray]:
         """A single field as (values, present) per row; the last occurrence wins."""
-        rows, starts, _ = self.spans(number)
+        rows, starts, _ = self.spans(number, VARINT)
         values = np.zeros(self.n_rows, np.uint64)
         present = np.zeros(self.n_rows, bool)
         if len(rows):
@@ -190,5 +192,5 @@ class Messages:
         return values, present
 
     def submessages(self, number: int) -> Messages:
-        rows, starts, stops = self.spans(number)
+        rows, starts, stops = self.spans(number, BYTES)
         return Messages(self._content, starts, stops, owner=rows, n_rows=self.n_rows)

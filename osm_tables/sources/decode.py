@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 
 from .. import schema as S
 from ..options import ENTITY_TYPES, NODE, RELATION, WAY
+from .blobs import MAX_BLOB_BYTES
 from .columns import Bytes, Messages, offsets_of, running_sum, zigzag
 from .wire import BYTES, VARINT, fields, signed, varint
 
@@ -31,8 +32,8 @@ DEFAULT_GRANULARITY = 100
 DEFAULT_DATE_GRANULARITY = 1000
 NANODEGREE = 0.000000001
 
-# A block normally becomes one batch. Larger blocks are cut, so that a batch fits in memory twice over
-# and its text stays far from the 2 GiB that Arrow's string offsets can address.
+# The entities of one kind in a block become one batch, which is cut where it would grow beyond this:
+# Arrow's string offsets can address 2 GiB, and a batch is held by Python and by Spark.
 MAX_BATCH_ROWS = 100_000
 MAX_BATCH_TEXT = 512 * 1024 * 1024
 
@@ -48,7 +49,8 @@ def payloads(blob) -> Iterator[bytes | memoryview]:
         elif number == RAW_SIZE and wire == VARINT:
             raw_size = signed(varint(blob, start, stop)[0], 32)
         elif number == ZLIB and wire == BYTES:
-            yield zlib.decompress(blob[start:stop], bufsize=max(raw_size, 4096))
+            # The stated size is only a hint; a wrong one costs time, not memory or rows.
+            yield zlib.decompress(blob[start:stop], bufsize=min(max(raw_size, 4096), MAX_BLOB_BYTES))
         elif wire == BYTES:
             codec = OTHER_CODECS.get(number, f"field {number}")
             raise ValueError(f"blob compression {codec} is not supported")

@@ -331,6 +331,20 @@ def test_unknown_fields_are_stepped_over(rows_of):
     assert sorted(r["id"] for r in rows) == [1, 2]
 
 
+def test_fields_with_another_wire_type_are_unknown(rows_of):
+    rows = rows_of(way(1, [5], rest=put(1, b"id?") + put(4, 7) + uvarint(8 * 8 + 5) + b"\x01\x02\x03\x04"))
+    assert pick(rows, "id", "version") == [(1, None)]
+    assert [n["nodeId"] for n in rows[0]["nodes"]] == [5]
+
+
+def test_wrong_size_hint(tmp_path):
+    for hint in (0, 1, 2**31 - 1, -5):
+        message = put(2, hint) + put(3, zlib.compress(block([""], dense([1, 2]))))
+        header = put(1, "OSMData") + put(3, len(message))
+        path = write(tmp_path / "z.pbf", struct.pack(">I", len(header)) + header + message)
+        assert [r["id"] for r in read_rows(path)] == [1, 2]
+
+
 def test_fields_in_any_order(tmp_path):
     """Scaling and strings may follow the groups that use them."""
     message = put(8, zz(7)) + put(9, zz(8)) + put(3, b"\x01") + put(2, b"\x01") + put(1, zz(1))
