@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..plans.splits import FileRange
 from ..schema import to_arrow_schema
-from ..sources.blobs import blobs_of_range
-from ..sources.reader import HEADER_CHUNK, file_set, ranges_df, split_settings
+from ..sources.reader import HEADER_CHUNK, blobs_in, over_ranges, planned_files, with_settings
 
 BLOB_SCHEMA = T.StructType(
     [
@@ -27,28 +27,26 @@ BLOB_SCHEMA = T.StructType(
 BATCH_ROWS = 10_000
 
 
-def blob_index(spark: SparkSession, paths: str | Sequence[str], partitions: int = 1) -> DataFrame:
+def blob_index(
+    spark: SparkSession, paths: str | Sequence[str], partitions: int = 1, splits: str = "ranges"
+) -> DataFrame:
     """One row per blob, from the blobs' headers only; large files are walked by many tasks.
 
     ``length`` counts the whole blob with its header; ``task_no`` is the read task that owns it.
     """
-    paths = [paths] if isinstance(paths, str) else paths
-    files = file_set(paths, partitions, **split_settings(spark))
-    schema = to_arrow_schema(BLOB_SCHEMA)
-
-    def rows(task_no: int) -> Iterator[tuple]:
-        for part in files.plan.ranges_of(task_no):
-            with files.open(part.file_no, HEADER_CHUNK) as source:
-                for b in blobs_of_range(source, part.start, part.stop):
-                    where = (b.offset, b.end - b.offset, b.data_offset, b.datasize)
-                    yield (files.names[part.file_no], *where, b.blob_type, task_no)
-
-    def walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for task_no in batch.column(0).to_pylist():
-                found = rows(task_no)
-                while chunk := list(islice(found, BATCH_ROWS)):
-                    columns = [pa.array(c, f.type) for c, f in zip(zip(*chunk), schema)]
-                    yield pa.RecordBatch.from_arrays(columns, schema=schema)
-
-    return ranges_df(spark, files).mapInArrow(walk, BLOB_SCHEMA)
+    options = with_settings(paths, None, {"partitions": partitions})
+    files, schema = planned_files(spark, options, splits), to_arrow_schema(BLOB_SCHEMA)
+
+    def rows(task_no: int, part: FileRange) -> Iterator[tuple]:
+        with files.open(part.file_no, HEADER_CHUNK) as source:
+            for b in blobs_in(files, part, source):
+                where = (b.offset, b.end - b.offset, b.data_offset, b.datasize)
+                yield (files.names[part.file_no], *where, b.blob_type, task_no)
+
+    def walk(task_no: int, part: FileRange) -> Iterator[pa.RecordBatch]:
+        found = rows(task_no, part)
+        while chunk := list(islice(found, BATCH_ROWS)):
+            columns = [pa.array(c, f.type) for c, f in zip(zip(*chunk), schema)]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    return over_ranges(spark, files, walk, BLOB_SCHEMA)

@@ -10,7 +10,7 @@ from bisect import bisect_right
 from collections.abc import Sequence
 from dataclasses import dataclass
 from itertools import accumulate
-from typing import NamedTuple
+from typing import NamedTuple, Protocol
 
 # A range shorter than this could hardly hold one blob; asking for more parallelism adds nothing.
 MIN_RANGE_BYTES = 64
@@ -22,6 +22,15 @@ class FileRange(NamedTuple):
     stop: int
 
 
+class Plan(Protocol):
+    sizes: tuple[int, ...]
+    n_tasks: int
+    # Whether ranges are stretches of whole blobs, or cut at any byte.
+    whole_blobs: bool
+
+    def ranges_of(self, task_no: int) -> Sequence[FileRange]: ...
+
+
 @dataclass(frozen=True)
 class SplitPlan:
     """Tasks of equal length along one line on which all files lie end to end.
@@ -34,9 +43,7 @@ class SplitPlan:
     starts: tuple[int, ...]
     step: int
     n_tasks: int
-
-    def task_of(self, file_no: int, offset: int) -> int:
-        return (self.starts[file_no] + offset) // self.step
+    whole_blobs = False
 
     def ranges_of(self, task_no: int) -> list[FileRange]:
         first, last = task_no * self.step, (task_no + 1) * self.step
@@ -59,9 +66,7 @@ class PerFilePlan:
     steps: tuple[int, ...]
     first_tasks: tuple[int, ...]
     n_tasks: int
-
-    def task_of(self, file_no: int, offset: int) -> int:
-        return self.first_tasks[file_no] + offset // self.steps[file_no]
+    whole_blobs = False
 
     def ranges_of(self, task_no: int) -> list[FileRange]:
         file_no = bisect_right(self.first_tasks, task_no) - 1
@@ -70,6 +75,22 @@ class PerFilePlan:
         return [FileRange(file_no, start, min(start + step, self.sizes[file_no]))]
 
 
+@dataclass(frozen=True)
+class WholeBlobPlan:
+    """Ranges found by a walk over all blob headers, listed by task."""
+
+    sizes: tuple[int, ...]
+    ranges: tuple[tuple[FileRange, ...], ...]
+    whole_blobs = True
+
+    @property
+    def n_tasks(self) -> int:
+        return len(self.ranges)
+
+    def ranges_of(self, task_no: int) -> tuple[FileRange, ...]:
+        return self.ranges[task_no]
+
+
 def split_bytes(
     sizes: Sequence[int], max_partition_bytes: int, open_cost_bytes: int, parallelism: int
 ) -> int:

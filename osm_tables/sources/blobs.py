@@ -6,15 +6,17 @@ the next *sync point*: bytes that read as a data blob's header and are followed
 Bytes inside an uncompressed blob can imitate that, so no task trusts its neighbour's guess: each one
 follows its own chain past the end of its range and must land exactly on the next range's sync point.
 The first range starts at offset 0, which is certain, so when every task succeeds every start was
-right; otherwise the job fails instead of returning wrong rows.
+right; otherwise the job fails instead of returning wrong rows. ``stitch`` reads such files too: it
+joins the chains of all ranges, and walks anew the ranges whose start was guessed wrong.
 """
 
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
+from ..plans.splits import FileRange
 from .files import ReadAhead
 from .wire import BYTES, VARINT, fields, signed, varint
 
@@ -133,3 +135,46 @@ def blobs_of_range(source: ReadAhead, start: int, stop: int) -> Iterator[Blob]:
         f"{source.location}: a blob that starts before offset {stop} contains bytes that look like "
         "a blob of their own, so this file cannot be read in byte ranges; use splits='index'"
     )
+
+
+class Chain(NamedTuple):
+    """A range, and the chain of blobs from its first sync point to one at or after its end.
+
+    ``first`` is -1 if the range has no sync point; ``last`` is -1 if the chain breaks off.
+    """
+
+    task_no: int
+    file_no: int
+    stop: int
+    first: int
+    last: int
+
+
+def follow_chain(source: ReadAhead, pos: int, stop: int) -> int:
+    """The first sync point at or after ``stop`` on the chain from a blob start, or the file's end."""
+    for blob in blobs_from(source, pos):
+        if blob.offset >= stop and _is_sync_point(source, blob.offset):
+            return blob.offset
+    return source.size
+
+
+def guess_chain(source: ReadAhead, task_no: int, part: FileRange) -> Chain:
+    first = 0 if part.start == 0 else find_sync_point(source, part.start, part.stop)
+    last = -1
+    if first is not None:
+        try:
+            last = follow_chain(source, first, part.stop)
+        except (ValueError, EOFError):
+            pass  # The guess was wrong, or the file is broken: who needs this chain will find out.
+    return Chain(task_no, part.file_no, part.stop, -1 if first is None else first, last)
+
+
+def stitch(source: ReadAhead, chains: Iterable[Chain]) -> Iterator[tuple[int, FileRange]]:
+    """(task, stretch of whole blobs) for one file, given the chains of its ranges in order."""
+    pos = 0
+    for chain in chains:
+        if pos < chain.stop:
+            right = pos == chain.first and chain.last >= 0
+            end = chain.last if right else follow_chain(source, pos, chain.stop)
+            yield chain.task_no, FileRange(chain.file_no, pos, end)
+            pos = end

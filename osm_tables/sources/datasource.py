@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import SparkSession
@@ -13,14 +13,16 @@ from pyspark.sql.types import StructType
 
 from .. import schema as S
 from ..options import FORMAT, OsmReadOptions
-from ..plans.splits import FileRange
+from .blobs import Chain
 from .reader import (
+    FileSet,
+    chain_of,
     check_splits,
     entity_decoder,
     file_set,
     scan_range,
     split_settings,
-    whole_blob_ranges,
+    with_chains,
 )
 
 WALK_THREADS = 16
@@ -32,11 +34,8 @@ SPLITS = "splits"
 
 
 class TaskPartition(InputPartition):
-    """What one task reads: a task number of the plan, or stretches of whole blobs."""
-
-    def __init__(self, task_no: int, whole_blobs: list[FileRange] | None = None):
+    def __init__(self, task_no: int):
         super().__init__(task_no)
-        self.whole_blobs = whole_blobs
 
 
 class OsmReader(DataSourceReader):
@@ -48,31 +47,28 @@ class OsmReader(DataSourceReader):
 
     def __init__(self, options: OsmReadOptions, splits: str, schema: StructType, settings: dict):
         check_splits(splits)
-        self._splits = splits
-        self._schema = schema
-        self._types = options.selected_types
-        # Spark copies the reader to the tasks before it asks for partitions, so files are listed now.
+        self._decode = entity_decoder(schema, options.selected_types)
+        # Spark copies the reader to the tasks before it asks for partitions, so the plan is made now.
         self._files = file_set(options.paths, options.partitions, **settings)
+        if splits == "index":
+            self._files = _index_files(self._files)
 
     def partitions(self) -> list[InputPartition]:
-        if self._splits == "ranges":
-            return [TaskPartition(n) for n in range(self._files.plan.n_tasks)]
-        # Without a session there is no job to walk the files in; threads overlap the waiting.
-        parts = defaultdict(list)
-        with ThreadPoolExecutor(WALK_THREADS) as pool:
-            for found in pool.map(self._walk, range(len(self._files.names))):
-                for task_no, part in found:
-                    parts[task_no].append(part)
-        return [TaskPartition(n, parts[n]) for n in sorted(parts)] or [TaskPartition(0, [])]
-
-    def _walk(self, file_no: int) -> list[tuple[int, FileRange]]:
-        return list(whole_blob_ranges(self._files, file_no))
+        return [TaskPartition(n) for n in range(self._files.plan.n_tasks)]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        decode, known_start = entity_decoder(self._schema, self._types), partition.whole_blobs is not None
-        parts = partition.whole_blobs if known_start else self._files.plan.ranges_of(partition.value)
-        for part in parts:
-            yield from scan_range(self._files, part, decode, known_start)
+        for part in self._files.plan.ranges_of(partition.value):
+            yield from scan_range(self._files, part, self._decode)
+
+
+def _index_files(files: FileSet) -> FileSet:
+    """As ``index_files``, but where there is no session to run a job in."""
+
+    def walk(task_no: int) -> list[Chain]:
+        return [chain_of(files, task_no, part) for part in files.plan.ranges_of(task_no)]
+
+    with ThreadPoolExecutor(WALK_THREADS) as pool:
+        return with_chains(files, chain.from_iterable(pool.map(walk, range(files.plan.n_tasks))))
 
 
 def _accepted(options: OsmReadOptions, asked: StructType) -> StructType:

@@ -15,8 +15,17 @@ from pyspark.sql import types as T
 from .. import schema as S
 from ..functions.entities import tags_as_map
 from ..options import OsmReadOptions
-from ..plans.splits import FileRange, PerFilePlan, SplitPlan, plan_splits, split_bytes
-from .blobs import DATA_BLOB, HEADER_BLOB, blobs_from, blobs_of_range
+from ..plans.splits import FileRange, Plan, WholeBlobPlan, plan_splits, split_bytes
+from .blobs import (
+    DATA_BLOB,
+    HEADER_BLOB,
+    Blob,
+    Chain,
+    blobs_from,
+    blobs_of_range,
+    guess_chain,
+    stitch,
+)
 from .decode import check_header, decode_blob
 from .files import ReadAhead, file_sizes, to_location
 
@@ -33,7 +42,7 @@ class FileSet:
 
     names: tuple[str, ...]
     locations: tuple[str, ...]
-    plan: SplitPlan | PerFilePlan
+    plan: Plan
 
     def open(self, file_no: int, chunk_bytes: int, until: int = 0) -> ReadAhead:
         return ReadAhead(self.locations[file_no], self.plan.sizes[file_no], chunk_bytes, until)
@@ -84,16 +93,15 @@ def _bytes(text: str) -> int:
     return int(text) if text[-1].isdigit() else int(text[:-1]) * units[text[-1]]
 
 
-def scan_range(
-    files: FileSet, part: FileRange, decode: BlobDecoder, known_start: bool = False
-) -> Iterator[pa.RecordBatch]:
-    """What ``decode`` makes of every data blob of a range, one blob in memory at a time.
+def blobs_in(files: FileSet, part: FileRange, source: ReadAhead) -> Iterator[Blob]:
+    find_blobs = blobs_from if files.plan.whole_blobs else blobs_of_range
+    return find_blobs(source, part.start, part.stop)
 
-    ``known_start`` says that the range is a stretch of whole blobs already.
-    """
-    find_blobs = blobs_from if known_start else blobs_of_range
+
+def scan_range(files: FileSet, part: FileRange, decode: BlobDecoder) -> Iterator[pa.RecordBatch]:
+    """What ``decode`` makes of every data blob of a range, one blob in memory at a time."""
     with files.open(part.file_no, DATA_CHUNK, until=part.stop) as source:
-        for blob in find_blobs(source, part.start, part.stop):
+        for blob in blobs_in(files, part, source):
             kind = blob.blob_type.lower()
             if kind not in (DATA_BLOB.lower(), HEADER_BLOB.lower()):
                 continue
@@ -107,42 +115,54 @@ def scan_range(
                 raise ValueError(f"{source.location}: blob at offset {blob.offset}: {e}") from e
 
 
-def ranges_df(spark: SparkSession, files: FileSet) -> DataFrame:
-    """One row and one task per range. Rows are made where they are used, so nothing is shuffled."""
+def over_ranges(
+    spark: SparkSession,
+    files: FileSet,
+    read: Callable[[int, FileRange], Iterator[pa.RecordBatch]],
+    schema: T.StructType,
+) -> DataFrame:
+    """What ``read`` makes of every range, given its task number; one Spark task for each of the plan.
+
+    A task gets a number and finds its ranges itself, so there is no list of ranges to shuffle.
+    """
+
+    def read_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for task_no in batch.column(0).to_pylist():
+                for part in files.plan.ranges_of(task_no):
+                    yield from read(task_no, part)
+
     n = files.plan.n_tasks
-    return spark.range(0, n, 1, n).withColumnRenamed("id", "task_no")
+    return spark.range(0, n, 1, n).withColumnRenamed("id", "task_no").mapInArrow(read_task, schema)
 
 
-def whole_blob_ranges(files: FileSet, file_no: int) -> Iterator[tuple[int, FileRange]]:
-    """(task, stretch of whole blobs) from an exact walk over all blob headers of one file.
+def chain_of(files: FileSet, task_no: int, part: FileRange) -> Chain:
+    with files.open(part.file_no, HEADER_CHUNK) as source:
+        return guess_chain(source, task_no, part)
 
-    A blob goes to the task in whose range it starts.
-    """
-    with files.open(file_no, HEADER_CHUNK) as source:
-        blobs = blobs_from(source, 0)
-        for task_no, group in groupby(blobs, lambda b: files.plan.task_of(file_no, b.offset)):
-            first = last = next(group)
-            for last in group:
-                pass
-            yield task_no, FileRange(file_no, first.offset, last.end)
 
+def index_files(spark: SparkSession, files: FileSet) -> FileSet:
+    """The files with ranges of whole blobs, from a job that walks all headers range by range."""
+    names = Chain._fields
+    schema = T.StructType([T.StructField(n, T.LongType(), False) for n in names])
+    arrow_schema = S.to_arrow_schema(schema)
 
-def whole_blob_ranges_df(spark: SparkSession, files: FileSet) -> DataFrame:
-    """(task_no, file_no, start, stop): every file walked by a task, then each task's rows together."""
-    schema = pa.schema([(n, pa.int64()) for n in ("task_no", *FileRange._fields)])
+    def walk(task_no: int, part: FileRange) -> Iterator[pa.RecordBatch]:
+        yield pa.RecordBatch.from_pylist([chain_of(files, task_no, part)._asdict()], arrow_schema)
 
-    def walk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for file_no in batch.column(0).to_pylist():
-                for task_no, part in whole_blob_ranges(files, file_no):
-                    row = {"task_no": task_no, **part._asdict()}
-                    yield pa.RecordBatch.from_pylist([row], schema)
-
-    n = len(files.names)
-    walked = spark.range(0, n, 1, n).mapInArrow(
-        walk, "task_no long, file_no long, start long, stop long"
-    )
-    return walked.repartitionById(files.plan.n_tasks, F.col("task_no").cast("int"))
+    # One row of five numbers per range, about as much as Spark itself keeps for a task.
+    found = over_ranges(spark, files, walk, schema).toArrow().select(names).to_pydict()
+    return with_chains(files, (Chain(*row) for row in zip(*found.values())))
+
+
+def with_chains(files: FileSet, chains: Iterable[Chain]) -> FileSet:
+    tasks: list[list[FileRange]] = [[] for _ in range(files.plan.n_tasks)]
+    in_order = sorted(chains, key=lambda c: (c.file_no, c.stop))
+    for file_no, of_file in groupby(in_order, lambda c: c.file_no):
+        with files.open(file_no, HEADER_CHUNK) as source:
+            for task_no, part in stitch(source, of_file):
+                tasks[task_no].append(part)
+    return replace(files, plan=WholeBlobPlan(files.plan.sizes, tuple(map(tuple, tasks))))
 
 
 def check_splits(splits: str) -> None:
@@ -150,27 +170,22 @@ def check_splits(splits: str) -> None:
         raise ValueError(f"splits must be 'ranges' or 'index', not {splits!r}")
 
 
+def planned_files(spark: SparkSession, options: OsmReadOptions, splits: str) -> FileSet:
+    check_splits(splits)
+    files = file_set(options.paths, options.partitions, **split_settings(spark))
+    return index_files(spark, files) if splits == "index" else files
+
+
 def scan(
     spark: SparkSession, options: OsmReadOptions, decode: BlobDecoder, schema: T.StructType, splits: str
 ) -> DataFrame:
     """A DataFrame of what ``decode`` makes of the data blobs of all files, read range by range."""
-    check_splits(splits)
-    files = file_set(options.paths, options.partitions, **split_settings(spark))
-
-    def scan_by_number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for task_no in batch.column(0).to_pylist():
-                for part in files.plan.ranges_of(task_no):
-                    yield from scan_range(files, part, decode)
+    files = planned_files(spark, options, splits)
 
-    def scan_whole_blobs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, *part in zip(*batch.to_pydict().values()):
-                yield from scan_range(files, FileRange(*part), decode, known_start=True)
+    def read(_: int, part: FileRange) -> Iterator[pa.RecordBatch]:
+        return scan_range(files, part, decode)
 
-    if splits == "ranges":
-        return ranges_df(spark, files).mapInArrow(scan_by_number, schema)
-    return whole_blob_ranges_df(spark, files).mapInArrow(scan_whole_blobs, schema)
+    return over_ranges(spark, files, read, schema)
 
 
 def with_settings(
@@ -193,9 +208,9 @@ def read_osm(
     ``settings`` are fields of ``OsmReadOptions``. ``columns`` limits what is decoded: Spark cannot
     push a later ``select`` into the decoder, so name the columns here when a few are enough.
 
-    ``splits="ranges"`` cuts files at byte offsets and finds blobs from there, in one pass with no
-    shuffle. ``splits="index"`` first walks every header of every file (one task per file); it is
-    needed only for files whose uncompressed blobs contain what looks like other blobs.
+    ``splits="ranges"`` cuts files at byte offsets and finds blobs from there, in one pass.
+    ``splits="index"`` first runs a job that walks all blob headers; it is needed only for files whose
+    uncompressed blobs contain what looks like other blobs.
     """
     options = with_settings(paths, options, settings)
     result = S.osm_schema(options, columns)

@@ -6,7 +6,15 @@ import pytest
 from micro import HEADER, block, data, dense, multiset, read_rows, size, way, write
 
 from osm_fixtures.writer import blob, put
-from osm_tables.sources.blobs import AmbiguousSplitError, blobs_from, blobs_of_range
+from osm_tables.plans.splits import FileRange
+from osm_tables.sources import blobs
+from osm_tables.sources.blobs import (
+    AmbiguousSplitError,
+    blobs_from,
+    blobs_of_range,
+    guess_chain,
+    stitch,
+)
 from osm_tables.sources.files import ReadAhead
 
 CHUNKS = [1, 64, 4096, 2**22]
@@ -120,6 +128,40 @@ def test_false_chain_is_never_read_silently(file_in_a_file):
     assert len(read_rows(file_in_a_file)) == 1 + 2 + 3 + 2
 
 
+def offsets_by_index(path, cuts, chunk=4096):
+    bounds = [0, *cuts, size(path)]
+    parts = [FileRange(0, *cut) for cut in zip(bounds, bounds[1:])]
+    found = []
+    with ReadAhead(path, size(path), chunk) as source:
+        chains = [guess_chain(source, i, part) for i, part in enumerate(parts)]
+        for task_no, stretch in stitch(source, chains):
+            assert parts[task_no].start <= stretch.start < parts[task_no].stop
+            found += [b.offset for b in blobs_from(source, stretch.start, stretch.stop)]
+    return found
+
+
+def test_index_of_any_file(plain_file, file_in_a_file):
+    for path in (plain_file, file_in_a_file):
+        expected = offsets(path)
+        for cut in range(1, size(path)):
+            assert offsets_by_index(path, [cut]) == expected
+        for step in (1, 2, 17, 50, 333):
+            assert offsets_by_index(path, range(1, size(path), step)) == expected
+
+
+def test_index_walks_anew_only_where_a_guess_was_wrong(plain_file, file_in_a_file, monkeypatch):
+    walked = []
+    real = blobs.follow_chain
+    monkeypatch.setattr(blobs, "follow_chain", lambda s, pos, stop: walked.append(pos) or real(s, pos, stop))
+    for path, again in ((plain_file, False), (file_in_a_file, True)):
+        bounds = [0, offsets(path)[3] + 30, size(path)]  # within the raw block of the nested file
+        with ReadAhead(path, size(path), 64) as source:
+            chains = [guess_chain(source, 0, FileRange(0, *cut)) for cut in zip(bounds, bounds[1:])]
+            walked.clear()
+            list(stitch(source, chains))
+        assert bool(walked) == again
+
+
 def truncated(tmp_path, keep):
     whole = b"".join([HEADER, *some_blocks(4)])
     return write(tmp_path / "cut.pbf", whole[:keep])
@@ -136,3 +178,5 @@ def test_truncated_anywhere(tmp_path):
             else:
                 with pytest.raises((EOFError, ValueError)):
                     read_rows(path, partitions=partitions)
+                with pytest.raises((EOFError, ValueError)):
+                    offsets_by_index(path, [keep // 3, keep // 2])

@@ -205,8 +205,8 @@ def test_data_source_reads_the_same_file_by_index(session, tmp_path):
 
 
 def test_blob_index(spark, osm_file):
-    for partitions in (1, 5):
-        blobs = blob_index(spark, osm_file, partitions).orderBy("offset").collect()
+    for partitions, splits in ((1, "ranges"), (5, "ranges"), (5, "index")):
+        blobs = blob_index(spark, osm_file, partitions, splits).orderBy("offset").collect()
         assert [b["blob_type"] for b in blobs] == ["OSMHeader"] + ["OSMData"] * 6
         assert [b["offset"] for b in blobs[1:]] == [b["offset"] + b["length"] for b in blobs[:-1]]
         assert blobs[-1]["offset"] + blobs[-1]["length"] == os.path.getsize(osm_file)
