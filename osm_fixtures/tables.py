@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -180,13 +180,13 @@ def _write_files(directory: str):
         for batch in batches:
             table = pa.Table.from_batches([batch])
             n_rows += table.num_rows
-            second_layout = pa.compute.is_in(
+            second_layout = pc.is_in(
                 table["kind"], pa.array([writer.PLAIN_NODE, writer.RELATION], pa.int32())
             )
             for (codec, layout), tables in waiting.items():
-                compressed = table["zlib"] if codec == "zlib" else pa.compute.invert(table["zlib"])
-                in_layout = second_layout if layout else pa.compute.invert(second_layout)
-                tables.append(table.filter(pa.compute.and_(compressed, in_layout)))
+                compressed = table["zlib"] if codec == "zlib" else pc.invert(table["zlib"])
+                in_layout = second_layout if layout else pc.invert(second_layout)
+                tables.append(table.filter(pc.and_(compressed, in_layout)))
                 if sum(t.num_rows for t in tables) >= BLOCK_ROWS:
                     flush(codec, layout, BLOCK_ROWS)
         for (codec, layout), tables in waiting.items():

@@ -7,7 +7,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 
 # Row kinds of the writer's input.
 DENSE_NODE, PLAIN_NODE, WAY, RELATION = 0, 1, 2, 3
@@ -88,7 +88,7 @@ def block(rows: pa.Table, granularity: int, offset: int, date_granularity: int)
     strings = _Strings()
     groups = b""
     for kind, write in _WRITERS.items():
-        of_kind = rows.filter(pa.compute.equal(rows["kind"], kind))
+        of_kind = rows.filter(pc.equal(rows["kind"], kind))
         if of_kind.num_rows:
             groups += put(2, write(of_kind, strings, granularity, offset, date_granularity))
     scaling = put(17, granularity) + put(18, date_granularity) + put(19, offset) + put(20, offset)
