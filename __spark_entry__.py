@@ -14,17 +14,12 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import osm_fixtures
-import osm_fixtures.tables
 import osm_tables
-
-# The workers of a session that was started elsewhere do not have this directory on their path.
-for _package in (osm_tables, osm_fixtures):
-    cloudpickle.register_pickle_by_value(_package)
+from osm_fixtures.shipping import ship_packages
+from osm_fixtures.tables import write_entity_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,7 +32,9 @@ _files: dict[tuple[str, str], list[str]] = {}
 def entity_files(spark: SparkSession, sf_dir: str) -> list[str]:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _files:
-        _files[key] = osm_fixtures.tables.write_entity_files(spark, sf_dir)
+        # The workers of a session that was started elsewhere cannot import from this directory.
+        ship_packages(spark, os.path.dirname(os.path.abspath(__file__)), "osm_tables", "osm_fixtures")
+        _files[key] = write_entity_files(spark, sf_dir)
     return _files[key]
 
 

@@ -8,8 +8,6 @@ out evenly over the writing tasks, and a task holds one unfinished block per lay
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -20,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import writer
+from .shipping import new_shared_directory
 
 BLOCK_ROWS = 8000
 ROWS_PER_TASK = 4_000_000
@@ -202,24 +201,9 @@ def _write_files(directory: str):
     return write
 
 
-def shared_directory(spark: SparkSession) -> str:
-    """The folder that all machines of the cluster see."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    if shared:
-        return shared.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="osm-fixtures-")
-    raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can write to")
-
-
 def write_entity_files(spark: SparkSession, sf_dir: str) -> list[str]:
     """Write all entities of the tables in ``sf_dir`` and return the paths of the files."""
-    # A plain name stays a plain path; "file:/x" is written "file:///x" for Arrow.
-    directory = f"{shared_directory(spark)}/entities-{uuid.uuid4().hex}"
-    if directory.startswith("file:/") and not directory.startswith("file://"):
-        directory = "file://" + directory[len("file:") :]
+    directory = new_shared_directory(spark, "entities")
     system, root = fs.FileSystem.from_uri(directory)
     for codec in CODECS:
         system.create_dir(f"{root}/{codec}", recursive=True)
