@@ -173,18 +173,13 @@ class _Block:
     def batches(self, schema: pa.Schema, origin: str) -> Iterator[pa.RecordBatch]:
         for number, (starts, stops) in self.entities.items():
             entity_type, read = _KINDS[number]
-            if number == GROUP_DENSE:
-                # Deltas start again in every dense message, and each has its own optional parts.
-                parts = (Messages(self.content, [a], [b]) for a, b in zip(starts, stops))
+            messages = Messages(self.content, starts, stops)
+            rows = _Rows(self, schema, entity_type, origin)
+            if rows.wants(*_ENTITY_COLUMNS):
+                read(self, messages, rows)
             else:
-                parts = (Messages(self.content, starts, stops),)
-            for messages in parts:
-                rows = _Rows(self, schema, entity_type, origin)
-                if rows.wants(*_ENTITY_COLUMNS):
-                    read(self, messages, rows)
-                else:
-                    rows.n = messages.count(1) if number == GROUP_DENSE else len(starts)
-                yield from rows.batches()
+                rows.n = messages.count(1) if number == GROUP_DENSE else len(starts)
+            yield from rows.batches()
 
 
 def _short_fields(raw: bytes, pos: int, stop: int) -> Iterator[tuple[int, int, int, int]]:
@@ -301,11 +296,6 @@ def _structs(kind: pa.StructType, *arrays: pa.Array) -> pa.StructArray:
     return pa.StructArray.from_arrays(list(arrays), fields=list(kind))
 
 
-def _same_length(n: int, *arrays: np.ndarray) -> None:
-    if any(len(a) != n for a in arrays):
-        raise ValueError("parallel fields differ in length")
-
-
 def _same_counts(first: np.ndarray, *others: np.ndarray) -> None:
     if any((o != first).any() for o in others):
         raise ValueError("parallel fields differ in length")
@@ -336,32 +326,44 @@ def _metadata_column(block: _Block, rows: _Rows, name, values, dtype, present=No
 
 
 def _read_dense(block: _Block, messages: Messages, rows: _Rows) -> None:
-    ids, _ = messages.repeated(1)
-    n = len(ids)
-    rows.ids(np.cumsum(zigzag(ids)))
+    """Dense messages: each holds columns of nodes, ``sizes`` of them, and may lack optional columns."""
+    ids, sizes = messages.repeated(1)
+    rows.ids(running_sum(zigzag(ids), sizes))
     if rows.wants(S.LATITUDE, S.LONGITUDE):
-        lat, lon = messages.repeated(8)[0], messages.repeated(9)[0]
-        _same_length(n, lat, lon)
-        _coordinates(block, rows, np.cumsum(zigzag(lat)), np.cumsum(zigzag(lon)))
+        (lat, lat_counts), (lon, lon_counts) = messages.repeated(8), messages.repeated(9)
+        _same_counts(sizes, lat_counts, lon_counts)
+        lat, lon = running_sum(zigzag(lat), sizes), running_sum(zigzag(lon), sizes)
+        _coordinates(block, rows, lat, lon)
     if rows.wants(*S.METADATA):
         info = messages.submessages(5)
         for name, number, dtype, is_delta in _METADATA:
-            if not rows.wants(name):
-                continue
-            values, _ = info.repeated(number)
-            if len(values) == 0:
-                continue
-            _same_length(n, values)
-            values = np.cumsum(zigzag(values)) if is_delta else values.view(np.int64)
-            _metadata_column(block, rows, name, values, dtype)
+            if rows.wants(name):
+                values, counts = info.repeated(number)
+                _same_counts(sizes[counts > 0], counts[counts > 0])
+                values = running_sum(zigzag(values), counts) if is_delta else values.view(np.int64)
+                values, present = _spread(values, counts > 0, sizes)
+                _metadata_column(block, rows, name, values, dtype, present)
     if rows.wants(S.TAGS):
-        keys_values, _ = messages.repeated(10)
-        if len(keys_values):
-            rows.tags(*_dense_tags(keys_values.view(np.int64), n))
-
-
-def _dense_tags(ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Keys, values and tag counts from one list: pairs of every node, each node closed by a 0."""
+        keys_values, lengths = messages.repeated(10)
+        has = lengths > 0
+        keys, values, counts = _dense_tags(keys_values.view(np.int64), lengths[has], sizes[has])
+        rows.tags(keys, values, _spread(counts, has, sizes)[0])
+
+
+def _spread(values: np.ndarray, has: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes' values, 0 in the messages that have none, and which nodes have one."""
+    present = np.repeat(has, sizes)
+    if not has.all():
+        known, values = values, np.zeros(len(present), np.int64)
+        values[present] = known
+    return values, present
+
+
+def _dense_tags(
+    ids: np.ndarray, lengths: np.ndarray, sizes: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, values and tag counts of nodes. A message lists the pairs of every node, each node closed
+    by a 0; ``ids`` has ``lengths`` numbers for the ``sizes`` nodes of each message."""
     closing = np.flatnonzero(ids == 0)
     if (np.diff(closing, prepend=-1) % 2 == 0).any():
         # A 0 that stands where a value belongs is the empty string, not the end of a node.
@@ -371,7 +373,9 @@ def _dense_tags(ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.nda
                 closing.append(at)
                 pos = at + 1
         closing = np.array(closing, np.int64)
-    if len(closing) != n or (n and closing[-1] != len(ids) - 1):
+    ends, nodes = np.cumsum(lengths), np.cumsum(sizes)
+    _same_counts(nodes, np.searchsorted(closing, ends))
+    if (nodes == 0).any() or (closing[nodes - 1] != ends - 1).any():
         raise ValueError("parallel fields differ in length")
     pairs = np.delete(ids, closing).reshape(-1, 2)
     return pairs[:, 0], pairs[:, 1], (np.diff(closing, prepend=-1) - 1) // 2

@@ -177,6 +177,20 @@ def test_dense_messages_are_independent(rows_of):
     assert pick(rows_of(first + second, strings=["", "a", "b"]), "id", "version") == expected
 
 
+def test_dense_messages_do_not_share_columns(rows_of):
+    """Columns that are too short in one message and too long in the next do not add up."""
+    good = dense([1, 2], tags=[1, 2, 0, 0])
+    for first, second in (
+        (dense([1, 2], [5]), dense([1], [5, 6])),
+        (dense([1, 2], tags=[0]), dense([1], tags=[0, 0])),
+        (dense([1, 2], tags=[0, 1]), dense([1], tags=[2, 0])),
+        (dense([1, 2], info=put_list(1, [1])), dense([1], info=put_list(1, [1, 1]))),
+        (dense([]), dense([], tags=[0])),
+    ):
+        with pytest.raises(ValueError, match="differ in length"):
+            rows_of(good, first, second, good, strings=["", "a", "b"])
+
+
 def test_repeated_tag_keys(rows_of):
     tags = put_list(2, [1, 1]) + put_list(3, [2, 3])
     rows = rows_of(way(1, [1], rest=tags), strings=["", "a", "x", "y"])

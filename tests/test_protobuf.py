@@ -128,8 +128,7 @@ RELATIONS = st.lists(st.tuples(INT64, st.lists(MEMBER, max_size=4), TAGS, st.non
 BLOCK = st.fixed_dictionaries(
     {
         "nodes": NODES,
-        "dense": DENSE,
-        "dense_info": st.booleans(),
+        "dense": st.lists(st.tuples(DENSE, st.booleans()), max_size=3),
         "ways": WAYS,
         "relations": RELATIONS,
         "scaling": st.none()
@@ -176,7 +175,8 @@ class Encoder:
             node = group.nodes.add(id=id, lat=lat, lon=lon)
             self.tags(node, tags)
             self.info(node, info)
-        self.dense(block.primitivegroup.add().dense)
+        for rows, with_info in content["dense"]:
+            self.dense(block.primitivegroup.add().dense, rows, with_info)
         group = block.primitivegroup.add()
         for id, refs, tags, info in content["ways"]:
             way = group.ways.add(id=id, refs=differences(refs))
@@ -200,8 +200,7 @@ class Encoder:
         header = self.types["BlobHeader"](type="OSMData", datasize=len(payload)).SerializeToString()
         return struct.pack(">I", len(header)) + header + payload
 
-    def dense(self, dense):
-        rows = self.content["dense"]
+    def dense(self, dense, rows, with_info):
         dense.id.extend(differences([r[0] for r in rows]))
         dense.lat.extend(differences([r[1][0] for r in rows]))
         dense.lon.extend(differences([r[1][1] for r in rows]))
@@ -210,7 +209,7 @@ class Encoder:
                 for k, v in tags:
                     dense.keys_vals.extend((self.string(k), self.string(v)))
                 dense.keys_vals.append(0)
-        if self.content["dense_info"]:
+        if with_info:
             info = dense.denseinfo
             info.version.extend(r[3]["version"] for r in rows)
             for name in ("timestamp", "changeset", "uid"):
@@ -249,8 +248,9 @@ def expected_rows(content):
 
     for id, location, tags, info in content["nodes"]:
         yield row("Node", id, tags, info, **place(location))
-    for id, location, tags, info in content["dense"]:
-        yield row("Node", id, tags, info if content["dense_info"] else None, **place(location))
+    for rows, with_info in content["dense"]:
+        for id, location, tags, info in rows:
+            yield row("Node", id, tags, info if with_info else None, **place(location))
     for id, refs, tags, info in content["ways"]:
         nodes = [{"index": i, "nodeId": r} for i, r in enumerate(refs)]
         yield row("Way", id, tags, info, nodes=nodes)
