@@ -32,14 +32,20 @@ class Bytes:
         if (byte < 0x80).all():
             return byte.astype(np.uint64), pos + 1
         # Eight bytes at once. The lowest top bit that is clear marks the last byte of the number.
-        words = self._words[pos]
-        ends = ~words & np.uint64(0x8080808080808080)
-        mask = ends ^ (ends - np.uint64(1))
-        values = words & mask & np.uint64(0x7F7F7F7F7F7F7F7F)
+        values = self._words[pos]
+        mask = ~values
+        mask &= _TOP_BITS
+        long = np.flatnonzero(mask == 0)
+        spare = mask - np.uint64(1)
+        mask ^= spare
+        values &= mask
+        values &= ~_TOP_BITS
         for bits, low in _JOIN:
-            values = (values & low) | ((values & ~low) >> bits)
+            np.bitwise_and(values, ~low, out=spare)
+            spare >>= bits
+            values &= low
+            values |= spare
         after = pos + (np.bitwise_count(mask) >> 3)
-        long = np.flatnonzero(ends == 0)
         if long.size:
             values[long], after[long] = self._long_varints(pos[long], values[long])
         return values, after
@@ -77,6 +83,7 @@ class Bytes:
         return self.varints_at(first)[0], counts
 
 
+_TOP_BITS = np.uint64(0x8080808080808080)
 # Steps that close the gaps between 7-bit groups: how far to shift, and the bits that stay in place.
 _JOIN = tuple(
     (np.uint64(bits), np.uint64(low))
