@@ -107,7 +107,8 @@ class _Block:
         self.entities = self._entities(groups)
 
     def _field_starts(self, pos: int, stop: int) -> list[int]:
-        """Where every field of a group starts. One step per entity, so common lengths are read here."""
+        """Where every field of a group or string table starts. One step for each, so the common lengths
+        are read here."""
         raw, found = self._raw, []
         while pos < stop - 2:
             found.append(pos)
@@ -124,7 +125,7 @@ class _Block:
             found.append(pos)
             pos = next(fields(raw, pos, stop))[3]
         if pos != stop:
-            raise ValueError("entity does not fit its group")
+            raise ValueError("field does not fit its message")
         return found
 
     def _entities(self, groups: list[tuple[int, int]]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -142,13 +143,19 @@ class _Block:
 
     def strings(self) -> pa.Array:
         if self._strings is None:
-            raw, (pos, stop) = self._raw, self._table
-            table = [
-                raw[a:b].decode("utf-8", "replace")
-                for number, wire, a, b in _short_fields(raw, pos, stop)
-                if number == 1 and wire == BYTES
-            ]
-            self._strings = pa.array(table, pa.string())
+            at = np.array(self._field_starts(*self._table), np.int64)
+            at = at[self.content.data[at] == 1 * 8 + BYTES]
+            lengths, starts = self.content.varints_at(at + 1)
+            offsets = offsets_of(lengths.astype(np.int64))
+            shift = np.repeat(starts - offsets[:-1], np.diff(offsets))
+            text = self.content.data[np.arange(offsets[-1]) + shift]
+            buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(text)]
+            self._strings = pa.Array.from_buffers(pa.string(), len(at), buffers)
+            try:
+                self._strings.validate(full=True)
+            except pa.ArrowInvalid:
+                binary = pa.Array.from_buffers(pa.binary(), len(at), buffers).to_pylist()
+                self._strings = pa.array([b.decode("utf-8", "replace") for b in binary], pa.string())
         return self._strings
 
     def text(self, ids: np.ndarray) -> pa.Array:
@@ -182,21 +189,6 @@ class _Block:
             yield from rows.batches()
 
 
-def _short_fields(raw: bytes, pos: int, stop: int) -> Iterator[tuple[int, int, int, int]]:
-    """``fields``, faster where most fields are shorter than 128 bytes."""
-    while pos < stop:
-        if raw[pos] == 0x0A and pos + 1 < stop and raw[pos + 1] < 0x80:
-            start = pos + 2
-            pos = start + raw[pos + 1]
-            if pos > stop:
-                raise ValueError("string does not fit its table")
-            yield 1, BYTES, start, pos
-        else:
-            found = next(fields(raw, pos, stop))
-            yield found
-            pos = found[3]
-
-
 class _Rows:
     """Columns of the entities of one kind, each built for any stretch of rows."""
 
