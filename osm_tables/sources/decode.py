@@ -106,33 +106,41 @@ class _Block:
         self.content = Bytes(self._raw)
         self.entities = self._entities(groups)
 
-    def _field_starts(self, pos: int, stop: int) -> list[int]:
-        """Where every field of a group or string table starts. One step for each, so the common lengths
-        are read here."""
-        raw, found = self._raw, []
-        while pos < stop - 2:
-            found.append(pos)
+    def _field_starts(self, pos: int, stop: int) -> np.ndarray:
+        """Where every field of a group or string table starts.
+
+        Nothing else takes a step per field, so it takes for granted what nearly always holds, bytes
+        fields with small numbers, and looks at their keys afterwards.
+        """
+        raw, found, first = self._raw, [], pos
+        add, last = found.append, stop - 2
+        while pos < last:
+            add(pos)
             length = raw[pos + 1]
-            if raw[pos] & 0x87 != BYTES:
-                pos = next(fields(raw, pos, stop))[3]
-            elif length < 0x80:
+            if length < 0x80:
                 pos += length + 2
             elif raw[pos + 2] < 0x80:
-                pos += (length & 0x7F | raw[pos + 2] << 7) + 3
+                pos += length - 0x80 + (raw[pos + 2] << 7) + 3
             else:
-                pos = next(fields(raw, pos, stop))[3]
-        if pos < stop:
-            found.append(pos)
-            pos = next(fields(raw, pos, stop))[3]
-        if pos != stop:
-            raise ValueError("field does not fit its message")
-        return found
+                try:
+                    length, after = varint(raw, pos + 1, stop)
+                except ValueError:
+                    break
+                pos = after + length
+        if pos == last and raw[pos + 1] == 0:
+            add(pos)
+            pos += 2
+        starts = np.array(found, np.int64)
+        if pos == stop and (self.content.data[starts] & 0x87 == BYTES).all():
+            return starts
+        ends = [first] + [end for _, _, _, end in fields(raw, first, stop)]
+        return np.array(ends[:-1], np.int64)
 
     def _entities(self, groups: list[tuple[int, int]]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
         """(starts, stops) of the messages of every wanted kind, over all groups."""
         if not groups:
             return {}
-        at = np.concatenate([np.array(self._field_starts(a, b), np.int64) for a, b in groups])
+        at = np.concatenate([self._field_starts(a, b) for a, b in groups])
         keys, found = self.content.data[at], {}
         for kind in _KINDS:
             where = at[keys == kind * 8 + BYTES]
@@ -143,7 +151,7 @@ class _Block:
 
     def strings(self) -> pa.Array:
         if self._strings is None:
-            at = np.array(self._field_starts(*self._table), np.int64)
+            at = self._field_starts(*self._table)
             at = at[self.content.data[at] == 1 * 8 + BYTES]
             lengths, starts = self.content.varints_at(at + 1)
             offsets = offsets_of(lengths.astype(np.int64))

@@ -345,6 +345,15 @@ def test_unknown_fields_are_stepped_over(rows_of):
     assert sorted(r["id"] for r in rows) == [1, 2]
 
 
+def test_groups_with_unusual_fields(rows_of):
+    high = uvarint(14 * 8 + 1) + b"\xff" * 8 + put(20_000, 1)
+    fields = [way(1, [1]), high, put(14, 2**63), put(14, b""), way(2, [1]), put(14, b"x" * 20_000), way(3)]
+    for rotation in range(len(fields)):
+        group = b"".join(fields[rotation:] + fields[:rotation])
+        assert sorted(r["id"] for r in rows_of(group)) == [1, 2, 3]
+    assert [r["id"] for r in rows_of(b"".join(way(i, range(3000)) for i in range(4)))] == [0, 1, 2, 3]
+
+
 def test_fields_with_another_wire_type_are_unknown(rows_of):
     rows = rows_of(way(1, [5], rest=put(1, b"id?") + put(4, 7) + uvarint(8 * 8 + 5) + b"\x01\x02\x03\x04"))
     assert pick(rows, "id", "version") == [(1, None)]
