@@ -10,6 +10,8 @@ from .wire import BYTES, FIXED32, FIXED64, VARINT
 
 # Zero bytes after the data, so that a varint read at its very end stays inside the array.
 PADDING = 16
+# For fewer positions a search for each is cheaper than ranks for all bytes of a block.
+FEW = 256
 
 
 class Bytes:
@@ -17,15 +19,28 @@ class Bytes:
 
     def __init__(self, content):
         self.length = len(content)
-        self.data = np.zeros(self.length + PADDING, np.uint8)
+        self.data = np.zeros(-(-(self.length + PADDING) // 64) * 64, np.uint8)
         self.data[: self.length] = np.frombuffer(content, np.uint8)
-        self._words = np.ndarray(self.length + PADDING - 7, "<u8", self.data, strides=(1,))
+        self._words = np.ndarray(len(self.data) - 7, "<u8", self.data, strides=(1,))
 
     @cached_property
     def last_bytes(self) -> np.ndarray:
         """Where bytes stand that can end a number."""
         return np.flatnonzero(self.data[: self.length] < 0x80)
 
+    @cached_property
+    def _ranks(self) -> tuple[np.ndarray, np.ndarray]:
+        """Those bytes as bits, 64 to a number, and how many there are before each 64."""
+        bits = np.packbits(self.data < 0x80, bitorder="little").view("<u8")
+        return bits, offsets_of(np.bitwise_count(bits))
+
+    def _last_bytes_before(self, pos: np.ndarray) -> np.ndarray:
+        if len(pos) < FEW:
+            return np.searchsorted(self.last_bytes, pos)
+        bits, before = self._ranks
+        word, low = pos >> 6, (np.uint64(1) << (pos & 63).astype(np.uint64)) - np.uint64(1)
+        return before[word] + np.bitwise_count(bits[word] & low)
+
     def varints_at(self, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The varint at every position, and the positions after them."""
         byte = self.data[pos]
@@ -63,7 +78,7 @@ class Bytes:
     def count_varints(self, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """How many varints fill each byte range, and which last byte is the first one's."""
         last = self.last_bytes
-        at, to = np.searchsorted(last, starts), np.searchsorted(last, stops)
+        at, to = self._last_bytes_before(starts), self._last_bytes_before(stops)
         filled = starts < stops
         if (to[filled] == 0).any() or (last[to[filled] - 1] != stops[filled] - 1).any():
             raise ValueError("packed field ends inside a number")
