@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from osm_fixtures.shipping import ship_packages
-from osm_tables.llm import language, packing, quality
+from osm_tables.llm import language, near, packing, quality
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -50,11 +50,25 @@ def op5_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op6_ngram_jaccard_join(spark, sf_dir):
+    ship(spark)
+    found = near.jaccard_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id", "n_shingles", "n_links")
+
+
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
     return {
         "op1_language_id": op1_language_id,
         "op3_quality_rules": op3_quality_rules,
         "op5_packing": op5_packing,
+        "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+        "pipeline": pipeline,
     }
 
 
