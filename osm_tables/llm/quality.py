@@ -35,10 +35,15 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(one_space, " ", -1), "")
 
 
-def _runs(items: Column, n: int) -> Column:
-    """Structs ``0``, ``1``, ... of ``n`` neighbours, for every place that has so many."""
-    shifted = [F.slice(items, k + 1, F.size(items)) for k in range(n)]
-    return F.slice(F.arrays_zip(*shifted), 1, F.greatest(F.size(items) - (n - 1), F.lit(0)))
+def hashes_of(words: Column) -> Column:
+    return F.transform(words, lambda x: F.xxhash64(x))
+
+
+def pairs_of(hashes: Column) -> Column:
+    """Hashes of all neighbouring words."""
+    n = F.size(hashes)
+    pairs = F.zip_with(hashes, F.slice(hashes, 2, n), lambda x, y: F.xxhash64(x, y))
+    return F.slice(pairs, 1, F.greatest(n - 1, F.lit(0)))
 
 
 def duplicate_lines(text: Column) -> Column:
@@ -46,54 +51,40 @@ def duplicate_lines(text: Column) -> Column:
     return let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x)))
 
 
-def repeated_words(words: Column) -> Column:
+def repeated_words(words: Column, hashes: Column, pairs: Column) -> Column:
     """Words within windows of three that are found twice or more.
 
     The windows' hashes are sorted with their places, in one number while places fit (``2**21``
     words), so equal windows become neighbours; neighbours of equal hash are compared word by word.
     """
 
-    def count(w: Column, key, alike, place) -> Column:
-        def same(x: Column) -> Column:
-            i, j = place(x["0"]), place(x["1"])
-            equal = alike(x["0"], x["1"])
+    def count(key, alike, place) -> Column:
+        def same(x: Column, y: Column) -> Column:
+            i, j = place(x), place(y)
+            equal = alike(x, y)
             for k in range(3):
-                equal = equal & (w[i + k] == w[j + k])
+                equal = equal & (words[i + k] == words[j + k])
             return equal
 
         def places(s: Column) -> Column:
-            pairs = F.flatten(F.transform(F.filter(_runs(s, 2), same), lambda x: F.array(place(x["0"]), place(x["1"]))))
-            return F.sort_array(F.array_distinct(pairs))
+            pairs = F.transform(s, lambda x, k: F.when(same(x, F.get(s, k + 1)), F.array(place(x), place(F.get(s, k + 1)))))
+            return F.sort_array(F.array_distinct(F.flatten(F.filter(pairs, lambda x: x.isNotNull()))))
 
         def covered(p: Column) -> Column:
-            each = F.transform(_runs(p, 2), lambda x: F.least(F.lit(3), x["1"] - x["0"]))
-            return F.aggregate(each, F.when(F.size(p) > 0, F.lit(3)).otherwise(F.lit(0)), lambda a, x: a + x)
-
-        keys = F.sort_array(F.transform(_runs(w, 3), lambda x, i: key(F.xxhash64(x), i)))
-        return let(let(keys, places), covered)
-
-    def packed(w: Column) -> Column:
-        return count(
-            w,
-            lambda h, i: h.bitwiseAND(F.lit(~_PLACE)).bitwiseOR(i.cast("long")),
-            lambda x, y: F.shiftright(x.bitwiseXOR(y), _PLACE_BITS) == 0,
-            lambda x: x.bitwiseAND(F.lit(_PLACE)).cast("int"),
-        )
-
-    def wide(w: Column) -> Column:
-        return count(w, lambda h, i: F.struct(h.alias("h"), i.alias("i")), lambda x, y: x["h"] == y["h"], lambda x: x["i"])
-
-    return let(words, lambda w: F.when(F.size(w) <= _PLACE, packed(w)).otherwise(wide(w)))
+            each = F.transform(p, lambda x, k: F.least(F.lit(3), F.get(p, k + 1) - x))  # least() skips the last null
+            return F.aggregate(each, F.lit(0), lambda a, x: a + x)
 
+        windows = F.slice(pairs, 1, F.greatest(F.size(pairs) - 1, F.lit(0)))
+        keys = F.transform(windows, lambda x, i: key(F.xxhash64(x, hashes[i + 2]), i))
+        return let(let(F.sort_array(keys), places), covered)
 
-def _bucket(gram: Column, buckets: int) -> Column:
-    return F.xxhash64(gram).bitwiseAND(F.lit(buckets - 1)).cast("int")
-
-
-def _bucketed(words: Column, buckets: int) -> Column:
-    """The buckets of all words and pairs of words."""
-    single = F.transform(words, lambda x: _bucket(x, buckets))
-    return F.concat(single, F.transform(_runs(words, 2), lambda x: _bucket(x, buckets)))
+    packed = count(
+        lambda h, i: h.bitwiseAND(F.lit(~_PLACE)).bitwiseOR(i.cast("long")),
+        lambda x, y: F.shiftright(x.bitwiseXOR(y), _PLACE_BITS) == 0,
+        lambda x: x.bitwiseAND(F.lit(_PLACE)).cast("int"),
+    )
+    wide = count(lambda h, i: F.struct(h.alias("h"), i.alias("i")), lambda x, y: x["h"] == y["h"], lambda x: x["i"])
+    return F.when(F.size(words) <= _PLACE, packed).otherwise(wide)
 
 
 def ngram_weights(docs: DataFrame, labels: DataFrame, *, buckets: int = BUCKETS, max_trusted: int = MAX_TRUSTED) -> DataFrame:
@@ -107,13 +98,9 @@ def ngram_weights(docs: DataFrame, labels: DataFrame, *, buckets: int = BUCKETS,
     trusted = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__trusted")).distinct()
     trusted = trusted.orderBy(F.xxhash64("__trusted"), "__trusted").limit(max_trusted)
     own = docs.select("doc_id", "text").join(F.broadcast(trusted), F.col("doc_id") == F.col("__trusted"), "left")
-    own = own.select(F.col("__trusted").isNotNull().cast("long").alias("trusted"), words_of(F.col("text")).alias("words"))
-    # Rows of a word and the next one are hashed in generated code; the last has no pair.
-    pair = F.explode(F.arrays_zip("words", F.slice("words", 2, F.size("words")))).alias("pair")
-    first, both = F.col("pair.words"), F.col("pair")
-    both = F.when(both["1"].isNotNull(), _bucket(both, buckets))
-    own = own.select("trusted", pair).select("trusted", F.array(_bucket(first, buckets), both).alias("buckets"))
-    grams = own.select("trusted", F.explode("buckets").alias("bucket")).where("bucket IS NOT NULL")
+    own = own.select(F.col("__trusted").isNotNull().cast("long").alias("trusted"), hashes_of(words_of(F.col("text"))).alias("h"))
+    grams = own.select("trusted", F.explode(F.concat("h", pairs_of(F.col("h")))).alias("h"))
+    grams = grams.select("trusted", F.col("h").bitwiseAND(F.lit(buckets - 1)).cast("int").alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("good"))
     all_ = docs.sparkSession.range(0, buckets, 1, 1).select(F.col("id").cast("int").alias("bucket"))
     counts = all_.join(counts, "bucket", "left").select("bucket", *[F.coalesce(c, F.lit(0)).cast("double").alias(c) for c in ("raw", "good")])
@@ -139,10 +126,13 @@ def judge(
     weights = ngram_weights(docs, labels, buckets=buckets, max_trusted=max_trusted).scalar()
     text = F.coalesce(F.col("text"), F.lit(""))
     counted = docs.withColumn("__w", words_of(F.col("text"))).withColumn("__weights", weights)
-    total = let(
-        F.struct(F.col("__weights").alias("t"), _bucketed(F.col("__w"), buckets).alias("b")),
-        lambda x: F.aggregate(x["b"], F.lit(0.0), lambda a, b: a + x["t"][b]) / F.size(x["b"]),
-    )
+    counted = counted.withColumn("__h", hashes_of(F.col("__w"))).withColumn("__p", pairs_of(F.col("__h")))
+
+    def log_ratio(hashes: str) -> Column:
+        bucket = lambda x: x.bitwiseAND(F.lit(buckets - 1)).cast("int")
+        return F.aggregate(hashes, F.lit(0.0), lambda a, x: a + F.col("__weights")[bucket(x)])
+
+    total = (log_ratio("__h") + log_ratio("__p")) / (F.size("__h") + F.size("__p"))
     counted = counted.withColumn(
         "__v",
         F.struct(
@@ -150,7 +140,7 @@ def judge(
             F.length(F.array_join("__w", "")).cast("long").alias("word_chars"),
             (F.length(text) - F.length(F.regexp_replace(text, _SYMBOL, ""))).cast("long").alias("n_symbols"),
             duplicate_lines(F.col("text")).cast("long").alias("n_dup_lines"),
-            repeated_words(F.col("__w")).cast("long").alias("n_repeat_words"),
+            repeated_words(F.col("__w"), F.col("__h"), F.col("__p")).cast("long").alias("n_repeat_words"),
             F.when(F.size("__w") > 0, total).alias("score"),
         ),
     )
@@ -160,4 +150,4 @@ def judge(
         x["score"].alias("score"),
         ((x["n_words"] >= MIN_WORDS) & (100 * x["n_repeat_words"] <= 50 * x["n_words"]) & (x["score"] >= threshold)).alias("kept"),
     ))
-    return counted.withColumn("verdict", verdict).drop("__w", "__weights", "__v")
+    return counted.withColumn("verdict", verdict).drop("__w", "__h", "__p", "__weights", "__v")
