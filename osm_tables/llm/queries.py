@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from osm_fixtures.shipping import ship_packages
-from osm_tables.llm import language, near, packing, quality
+from osm_tables.llm import language, near, packing, pitman_yor, quality
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -34,6 +34,11 @@ def op1_language_id(spark, sf_dir):
     return found.select("doc_id", held_out(4).alias("held_out"), "lang_pred", "score")
 
 
+def op2_lm_scoring(spark, sf_dir):
+    ship(spark)
+    return pitman_yor.score_documents(table(spark, sf_dir, "documents"), held_out(7))
+
+
 def op3_quality_rules(spark, sf_dir):
     judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "verdict.*")
@@ -65,6 +70,7 @@ def pipeline(spark, sf_dir):
 def queries() -> dict:
     return {
         "op1_language_id": op1_language_id,
+        "op2_lm_scoring": op2_lm_scoring,
         "op3_quality_rules": op3_quality_rules,
         "op5_packing": op5_packing,
         "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
