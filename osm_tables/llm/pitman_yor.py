@@ -58,9 +58,9 @@ class Totals:
 
 @dataclass
 class Settings:
-    discount: float = 0.8
+    discount: float = 0.85
     strength: float = 1.0
-    root_discount: float = 0.5
+    root_discount: float = 0.8
     root_strength: float = 1.0
     sweeps: int = 3
     burn_in: int = 1

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from osm_fixtures.shipping import ship_packages
-from osm_tables.llm import language, near, packing, pitman_yor, quality
+from osm_tables.llm import language, near, packing, pitman_yor, quality, weighted
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -61,6 +61,10 @@ def op6_ngram_jaccard_join(spark, sf_dir):
     return found.select("doc_id", "class_id", "n_shingles", "n_links")
 
 
+def op7_document_fingerprints(spark, sf_dir):
+    return weighted.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -74,6 +78,7 @@ def queries() -> dict:
         "op3_quality_rules": op3_quality_rules,
         "op5_packing": op5_packing,
         "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+        "op7_document_fingerprints": op7_document_fingerprints,
         "pipeline": pipeline,
     }
 
