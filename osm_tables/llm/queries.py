@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from osm_fixtures.shipping import ship_packages
-from osm_tables.llm import language, near, packing, pitman_yor, quality, weighted
+from osm_tables.llm import chat, language, licences, near, packing, pitman_yor, quality, urls, weighted
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -44,6 +44,10 @@ def op3_quality_rules(spark, sf_dir):
     return judged.select("doc_id", "verdict.*")
 
 
+def op4_license_scans(spark, sf_dir):
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
@@ -65,6 +69,22 @@ def op7_document_fingerprints(spark, sf_dir):
     return weighted.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_url_filters(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge_urls(pages, urls.train(spark)).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op10_chat_formatting(spark, sf_dir):
+    ship(spark)
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    more = [F.struct(F.lit(-7).cast("bigint").alias("conv_id"), F.lit(i).cast("bigint").alias("turn"), F.lit(r).alias("role"), F.lit(said).alias("text"))
+            for i, r in enumerate(["user", "assistant"])]
+    rows = rows.unionByName(spark.range(0, 1, 1, 1).select(F.explode(F.array(*more)).alias("x")).select("x.*"))
+    path = tokenizer_path("byte_bpe_50k.json")
+    return chat.read_back(chat.format_conversations(rows, path), path)
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -76,12 +96,34 @@ def queries() -> dict:
         "op1_language_id": op1_language_id,
         "op2_lm_scoring": op2_lm_scoring,
         "op3_quality_rules": op3_quality_rules,
+        "op4_license_scans": op4_license_scans,
         "op5_packing": op5_packing,
         "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
         "op7_document_fingerprints": op7_document_fingerprints,
+        "op9_url_filters": op9_url_filters,
+        "op10_chat_formatting": op10_chat_formatting,
         "pipeline": pipeline,
     }
 
 
+_CHAT_SQL = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), measured AS (
+    SELECT *, role || chr(10) || text || chr(10) AS said,
+           CASE WHEN role = 'assistant' THEN text ELSE '' END AS learned,
+           14 + length(regexp_replace(role, '(\\|###|</turn>|:)', '\\\1', 'g'))
+              + length(regexp_replace(text, '(\\|###|</turn>)', '\\\1', 'g')) AS chars
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(said, '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(sum(length(learned)) AS BIGINT) AS loss_chars,
+       sha256(string_agg(learned, '' ORDER BY turn, role, text)) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM measured GROUP BY conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_chat_formatting": _CHAT_SQL}
