@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from osm_fixtures.shipping import ship_packages
-from osm_tables.llm import chat, language, licences, near, packing, pitman_yor, quality, urls, weighted
+from osm_tables.llm import chat, language, licences, near, packing, pitman_yor, quality, sentence_pieces, urls, weighted
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -69,6 +69,12 @@ def op7_document_fingerprints(spark, sf_dir):
     return weighted.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_sentencepiece(spark, sf_dir):
+    ship(spark)
+    path = tokenizer_path("piece_bpe_32k.model")
+    return sentence_pieces.digests(sentence_pieces.encode_documents(table(spark, sf_dir, "documents"), path), path)
+
+
 def op9_url_filters(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.judge_urls(pages, urls.train(spark)).select("page_id", "host", "path", "rule", "verdict")
@@ -100,6 +106,7 @@ def queries() -> dict:
         "op5_packing": op5_packing,
         "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
         "op7_document_fingerprints": op7_document_fingerprints,
+        "op8_sentencepiece": op8_sentencepiece,
         "op9_url_filters": op9_url_filters,
         "op10_chat_formatting": op10_chat_formatting,
         "pipeline": pipeline,
