@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from osm_tables.llm import shared
 from osm_tables.llm.text import SEGMENT, flat, mix, per_text, slices
@@ -196,8 +197,10 @@ def identify(docs: DataFrame, filters: LanguageFilters, *, names: tuple[str, str
     unread, except that columns called like ``names`` are replaced.
     """
     sent = docs.sparkSession.sparkContext.broadcast(filters)
-    kept = [c for c in docs.columns if c not in names]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[f"`{c}`" for c in kept]).schema)
+    kept = [f for f in docs.schema if f.name not in names]
+    # Numbered columns on the way: names with dots cannot be passed to a Python function.
+    plain = [f"c{i}" for i in range(len(kept) + 2)]
+    schema = StructType([StructField(c, f.dataType) for c, f in zip(plain, [*kept, StructField("", StringType()), StructField("", DoubleType())])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
@@ -211,7 +214,7 @@ def identify(docs: DataFrame, filters: LanguageFilters, *, names: tuple[str, str
                 score.append(found[1])
             columns = [batch.column(i) for i in range(batch.num_columns - 1)]
             columns += [pa.array(named[np.concatenate(best)], pa.string()), pa.array(np.concatenate(score))]
-            yield pa.RecordBatch.from_arrays(columns, [*kept, *names])
+            yield pa.RecordBatch.from_arrays(columns, plain)
 
-    text = F.col("text").alias("__text")
-    return docs.select(*[f"`{c}`" for c in kept], text).mapInArrow(run, f"{schema}, {names[0]} string, {names[1]} double")
+    own = [F.col(f"`{f.name}`").alias(c) for f, c in zip(kept, plain)]
+    return docs.select(*own, F.col("text").alias("text")).mapInArrow(run, schema).toDF(*[f.name for f in kept], *names)
