@@ -115,14 +115,15 @@ def with_edited(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     own = docs.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNotNull().alias("known"), F.xxhash64(text).alias("text_id"), text.alias("text"))
-    own = own.groupBy(*_KEY).agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    own = own.groupBy(*_KEY).agg(F.first("text").alias("text"))  # used twice below, shuffled once
     keys = docs.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNotNull().alias("known"), F.xxhash64(text).alias("text_id"), F.length(text).alias("n"))
-    keys = keys.groupBy(*_KEY).agg(F.first("n").alias("n"))
+    keys = keys.groupBy(*_KEY).agg(F.first("n").alias("n"), F.count("*").alias("copies"))
     links = neighbours(keys)
-    asked = links.join(keys, _KEY).select(*[F.col(f"next_{c}").alias(c) for c in _KEY], *[F.col(c).alias(f"for_{c}") for c in _KEY], F.floor(F.col("n") / 2).cast("int").alias("need"))
+    asked = links.join(keys, _KEY).select(*[F.col(f"next_{c}").alias(c) for c in _KEY], *[F.col(c).alias(f"for_{c}") for c in _KEY], F.floor(F.col("n") / 2).cast("int").alias("need"), "copies")
     given = own.join(asked, _KEY).select(
         *[F.col(f"for_{c}").alias(c) for c in _KEY],
         F.col("text").substr(F.lit(1), F.col("need")).alias("given"),
+        "copies",
         *[F.col(c).alias(f"next_{c}") for c in _KEY],
     )
     n = F.length("text")
