@@ -3,7 +3,7 @@
 A turn is rendered as ``### role:``, a line feed, the text, ``</turn>`` and a line feed. In ids the
 three control strings are reserved ids beyond the tokenizer's, so no text can imitate them: role and
 text are encoded separately and spliced between them. Control strings within a text are still
-escaped with a backslash (as is the backslash), so that the rendered form can be read back too. The
+escaped with a backslash (as are the backslash and every ``#``), so that the rendered form can be read back too. The
 loss mask is 1 over the ids of the assistant's texts: marks of +1 and -1 at their ends, summed up.
 
 Encoding, the heavy part, runs on single rows wherever they are; only finished turns are put in
@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from osm_tables.llm.packing import byte_bpe
 
 OPEN, COLON, CLOSE = "### ", ":\n", "</turn>\n"
-_TEXT = re.compile(r"\\|###|</turn>")
-_ROLE = re.compile(r"\\|###|</turn>|:")
-_ESCAPED = re.compile(r"\\(\\|###|</turn>|:)")
+_TEXT = re.compile(r"[\\#]|</turn>")
+_ROLE = re.compile(r"[\\#:]|</turn>")
+_ESCAPED = re.compile(r"(?s)\\(.)")
 SPEAKER = "assistant"
 _TURNS = "conv_id bigint, place bigint, start bigint, ids array<int>, loss array<boolean>"
 

@@ -328,16 +328,15 @@ def _finisher(settings: Settings, totals: Totals, log_p: np.ndarray, hot_counts:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in shared.groups(batches, ["batch"]):
-            blobs = dict(rows=None)
             added = []
             for kind, blob in zip(group.column("kind").to_pylist(), group.column("blob").to_pylist()):
                 if kind == 0:
                     ids, known, held, n, doc, word, context = _unpacked(blob)
                 else:
                     added.append(_unpacked(blob))
-            base = np.bincount(doc, np.log10(hot_counts[word] + 1), len(ids))
-            score = np.bincount(doc, log_p[word, context], len(ids))
-            n_known = np.bincount(doc, hot_counts[word] > 0, len(ids))
+            base = np.bincount(doc, np.log10(hot_counts[word] + 1), len(ids)).astype(float)
+            score = np.bincount(doc, log_p[word, context], len(ids)).astype(float)
+            n_known = np.bincount(doc[hot_counts[word] > 0], minlength=len(ids))
             for rows, b, s, k in added:
                 base[rows] += b
                 score[rows] += s

@@ -121,8 +121,8 @@ WITH turns AS (
 ), measured AS (
     SELECT *, role || chr(10) || text || chr(10) AS said,
            CASE WHEN role = 'assistant' THEN text ELSE '' END AS learned,
-           14 + length(regexp_replace(role, '(\\|###|</turn>|:)', '\\\1', 'g'))
-              + length(regexp_replace(text, '(\\|###|</turn>)', '\\\1', 'g')) AS chars
+           14 + length(regexp_replace(role, '([\\#:]|</turn>)', '\\\1', 'g'))
+              + length(regexp_replace(text, '([\\#]|</turn>)', '\\\1', 'g')) AS chars
     FROM turns
 )
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(said, '' ORDER BY turn, role, text)) AS turns_sha256,
