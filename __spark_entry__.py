@@ -100,7 +100,6 @@ def data_blob_counts(spark, sf_dir):
         sf_dir,
         columns=["entity_type", "id", "origin-file"],
         include_origin_file=True,
-        splits="index",
     )
     return entities.groupBy(_codec()).agg(F.count("*").alias("n"), _id_check())
 

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from ..plans.splits import FileRange
 from ..schema import to_arrow_schema
-from ..sources.reader import HEADER_CHUNK, blobs_in, over_ranges, planned_files, with_settings
+from ..sources.blobs import blobs_of_range
+from ..sources.reader import HEADER_CHUNK, FileSet, over_ranges, planned_files, with_settings
 
 BLOB_SCHEMA = T.StructType(
     [
@@ -28,23 +29,24 @@ BATCH_ROWS = 10_000
 
 
 def blob_index(
-    spark: SparkSession, paths: str | Sequence[str], partitions: int = 1, splits: str = "ranges"
+    spark: SparkSession, paths: str | Sequence[str], partitions: int = 1
 ) -> DataFrame:
     """One row per blob, from the blobs' headers only; large files are walked by many tasks.
 
     ``length`` counts the whole blob with its header; ``task_no`` is the read task that owns it.
     """
     options = with_settings(paths, None, {"partitions": partitions})
-    files, schema = planned_files(spark, options, splits), to_arrow_schema(BLOB_SCHEMA)
+    files, schema = planned_files(spark, options), to_arrow_schema(BLOB_SCHEMA)
 
-    def rows(task_no: int, part: FileRange) -> Iterator[tuple]:
-        with files.open(part.file_no, HEADER_CHUNK) as source:
-            for b in blobs_in(files, part, source):
+    def rows(files: FileSet, task_no: int, part: FileRange) -> Iterator[tuple]:
+        # Blobs are mostly smaller than a window, so windows are read one after another, ahead.
+        with files.open(part.file_no, HEADER_CHUNK, until=part.stop) as source:
+            for b in blobs_of_range(source, part.start, part.stop):
                 where = (b.offset, b.end - b.offset, b.data_offset, b.datasize)
                 yield (files.names[part.file_no], *where, b.blob_type, task_no)
 
-    def walk(task_no: int, part: FileRange) -> Iterator[pa.RecordBatch]:
-        found = rows(task_no, part)
+    def walk(files: FileSet, task_no: int, part: FileRange) -> Iterator[pa.RecordBatch]:
+        found = rows(files, task_no, part)
         while chunk := list(islice(found, BATCH_ROWS)):
             columns = [pa.array(c, f.type) for c, f in zip(zip(*chunk), schema)]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)

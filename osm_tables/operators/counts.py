@@ -23,7 +23,6 @@ def count_by_type(
     spark: SparkSession,
     paths: str | Sequence[str] = (),
     options: OsmReadOptions | None = None,
-    splits: str = "ranges",
     **settings,
 ) -> DataFrame:
     """(entity_type, count), as ``read_osm(...).groupBy("entity_type").count()`` would give it.
@@ -38,5 +37,5 @@ def count_by_type(
         columns = [pa.array(list(counts), pa.string()), pa.array(counts.values(), pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    per_blob = scan(spark, options, count, COUNT_SCHEMA, splits).filter(F.col("count") > 0)
+    per_blob = scan(spark, options, count, COUNT_SCHEMA).filter(F.col("count") > 0)
     return per_blob.groupBy(S.ENTITY_TYPE).agg(F.sum("count").alias("count"))

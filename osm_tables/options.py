@@ -34,12 +34,15 @@ _FLAGS = {
 }
 
 
+_BY_LOWER_NAME = {kind.lower(): kind for kind in ENTITY_TYPES}
+
+
 def entity_type_named(name: str) -> str:
     """The canonical spelling of an entity type; any letter case is accepted."""
-    for known in ENTITY_TYPES:
-        if known.lower() == name.lower():
-            return known
-    raise ValueError(f"Invalid entity type: {name!r}. Valid types: {','.join(ENTITY_TYPES)}")
+    kind = _BY_LOWER_NAME.get(name.lower())
+    if kind is None:
+        raise ValueError(f"{name!r} is no kind of entity; there are {', '.join(ENTITY_TYPES)}")
+    return kind
 
 
 @dataclass(frozen=True)

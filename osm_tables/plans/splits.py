@@ -12,9 +12,6 @@ from dataclasses import dataclass
 from itertools import accumulate
 from typing import NamedTuple, Protocol
 
-# A range shorter than this could hardly hold one blob; asking for more parallelism adds nothing.
-MIN_RANGE_BYTES = 64
-
 
 class FileRange(NamedTuple):
     file_no: int
@@ -25,8 +22,6 @@ class FileRange(NamedTuple):
 class Plan(Protocol):
     sizes: tuple[int, ...]
     n_tasks: int
-    # Whether ranges are stretches of whole blobs, or cut at any byte.
-    whole_blobs: bool
 
     def ranges_of(self, task_no: int) -> Sequence[FileRange]: ...
 
@@ -43,7 +38,6 @@ class SplitPlan:
     starts: tuple[int, ...]
     step: int
     n_tasks: int
-    whole_blobs = False
 
     def ranges_of(self, task_no: int) -> list[FileRange]:
         first, last = task_no * self.step, (task_no + 1) * self.step
@@ -66,7 +60,6 @@ class PerFilePlan:
     steps: tuple[int, ...]
     first_tasks: tuple[int, ...]
     n_tasks: int
-    whole_blobs = False
 
     def ranges_of(self, task_no: int) -> list[FileRange]:
         file_no = bisect_right(self.first_tasks, task_no) - 1
@@ -75,22 +68,6 @@ class PerFilePlan:
         return [FileRange(file_no, start, min(start + step, self.sizes[file_no]))]
 
 
-@dataclass(frozen=True)
-class WholeBlobPlan:
-    """Ranges found by a walk over all blob headers, listed by task."""
-
-    sizes: tuple[int, ...]
-    ranges: tuple[tuple[FileRange, ...], ...]
-    whole_blobs = True
-
-    @property
-    def n_tasks(self) -> int:
-        return len(self.ranges)
-
-    def ranges_of(self, task_no: int) -> tuple[FileRange, ...]:
-        return self.ranges[task_no]
-
-
 def split_bytes(
     sizes: Sequence[int], max_partition_bytes: int, open_cost_bytes: int, parallelism: int
 ) -> int:
@@ -102,9 +79,10 @@ def split_bytes(
 def plan_splits(
     sizes: Sequence[int], target_bytes: int, open_cost_bytes: int, partitions: int = 1
 ) -> SplitPlan | PerFilePlan:
-    """Tasks of ``target_bytes``; with ``partitions`` > 1, at least so many ranges of every file."""
+    """Tasks of ``target_bytes``; with ``partitions`` > 1, at least so many ranges of every
+    file, or one for each byte of a shorter one."""
     if partitions > 1:
-        steps = [max(MIN_RANGE_BYTES, min(target_bytes, size // partitions)) for size in sizes]
+        steps = [max(1, min(target_bytes, size // partitions)) for size in sizes]
         # An empty file still has one (empty) range, so that every task belongs to a file.
         counts = [max(1, -(-size // step)) for size, step in zip(sizes, steps)]
         *first_tasks, n_tasks = accumulate(counts, initial=0)

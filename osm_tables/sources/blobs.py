@@ -1,23 +1,24 @@
 """Finding the blobs of a file, from its first byte or from the middle.
 
-A file is a chain of blobs: 4-byte big-endian header length, header, payload. To read one huge file
-with many tasks and without a pass over all its headers, a task that starts in the middle looks for
-the next *sync point*: bytes that read as a data blob's header and are followed by another header.
-Bytes inside an uncompressed blob can imitate that, so no task trusts its neighbour's guess: each one
-follows its own chain past the end of its range and must land exactly on the next range's sync point.
-The first range starts at offset 0, which is certain, so when every task succeeds every start was
-right; otherwise the job fails instead of returning wrong rows. ``stitch`` reads such files too: it
-joins the chains of all ranges, and walks anew the ranges whose start was guessed wrong.
+A file is a chain of blobs: 4-byte big-endian header length, header, payload. A range of a file owns
+the blobs that begin in it. A task that starts in the middle must find the first of them although
+bytes inside an uncompressed blob can imitate blobs, even whole chains of them.
+
+It looks at the stretch before its range that is as long as the largest blob may be, so that a true
+blob must begin there, and takes everything in it that reads as the header of a data blob. One of
+these is true, so if all their chains lead to the same place at or after the start of the range, that
+place is right. If they disagree, the stretch before is taken as well, at worst back to the first
+byte of the file, which is certain. So every task finds its blobs alone, however a file is cut, with
+no pass over the file and no word from its neighbours.
 """
 
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from typing import NamedTuple
 
-from ..plans.splits import FileRange
-from .files import ReadAhead
+from .files import Buffered, ReadAhead
 from .wire import BYTES, VARINT, fields, signed, varint
 
 # Blob types, and the limits the file format sets.
@@ -26,13 +27,11 @@ HEADER_BLOB = "OSMHeader"
 MAX_HEADER_BYTES = 64 * 1024
 MAX_BLOB_BYTES = 32 * 1024 * 1024
 
-# Fixed value: header field 1, length 7, "OSMData".
-_SYNC_PATTERN = b"\x0a\x07OSMData"
-_SYNC_CHUNK = 256 * 1024
-
-
-class AmbiguousSplitError(ValueError):
-    """A blob contains bytes that look like the start of another blob."""
+_NAME = DATA_BLOB.encode()
+# From a header's length field to the type's name: 4 bytes, then the type's tag and length, and
+# before these, in files that write the size first, a tag and up to five bytes.
+_NAME_AT = range(6, 13)
+_REACH = 4 + MAX_HEADER_BYTES + MAX_BLOB_BYTES
 
 
 class Blob(NamedTuple):
@@ -46,11 +45,11 @@ class Blob(NamedTuple):
         return self.data_offset + self.datasize
 
 
-def read_blob_header(source: ReadAhead, offset: int, keep_window: bool = False) -> Blob:
-    (length,) = struct.unpack(">i", source.read(offset, 4, keep_window))
+def read_blob_header(source: ReadAhead | Buffered, offset: int) -> Blob:
+    (length,) = struct.unpack(">i", source.read(offset, 4))
     if not 0 <= length <= MAX_HEADER_BYTES:
         raise ValueError(f"{source.location}: bad blob header length {length} at offset {offset}")
-    header = source.read(offset + 4, length, keep_window)
+    header = source.read(offset + 4, length)
     blob_type = datasize = None
     try:
         for number, wire, start, stop in fields(header, 0, length):
@@ -65,37 +64,7 @@ def read_blob_header(source: ReadAhead, offset: int, keep_window: bool = False)
     return Blob(offset, offset + 4 + length, datasize, blob_type)
 
 
-def _is_sync_point(source: ReadAhead, offset: int) -> bool:
-    try:
-        blob = read_blob_header(source, offset, keep_window=True)
-        if blob.blob_type != DATA_BLOB or blob.datasize > MAX_BLOB_BYTES:
-            return False
-        if blob.end == source.size:
-            return True
-        read_blob_header(source, blob.end, keep_window=True)
-    except (ValueError, EOFError):
-        return False
-    return True
-
-
-def find_sync_point(source: ReadAhead, start: int, stop: int) -> int | None:
-    """Offset of the first sync point in ``[start, stop)``. Depends on the file's bytes only."""
-    overlap = len(_SYNC_PATTERN) - 1
-    # The pattern begins 4 bytes into the blob.
-    pos, last = start + 4, min(stop + 4 + overlap, source.size)
-    while pos + overlap < last:
-        length = min(_SYNC_CHUNK, last - pos)
-        chunk = bytes(source.read(pos, length, keep_window=True))
-        found = chunk.find(_SYNC_PATTERN)
-        while found >= 0:
-            if _is_sync_point(source, pos + found - 4):
-                return pos + found - 4
-            found = chunk.find(_SYNC_PATTERN, found + 1)
-        pos += length - overlap
-    return None
-
-
-def blobs_from(source: ReadAhead, pos: int, stop: int | None = None) -> Iterator[Blob]:
+def blobs_from(source: ReadAhead | Buffered, pos: int, stop: int | None = None) -> Iterator[Blob]:
     """The chain of blobs from a known blob start to another, or to the end of the file."""
     stop = source.size if stop is None else stop
     while pos < stop:
@@ -109,72 +78,65 @@ def blobs_from(source: ReadAhead, pos: int, stop: int | None = None) -> Iterator
         pos = blob.end
 
 
-def blobs_of_range(source: ReadAhead, start: int, stop: int) -> Iterator[Blob]:
-    """The blobs that belong to one range of a plan; the ranges of a plan share out every blob."""
-    first = 0 if start == 0 else find_sync_point(source, start, stop)
-    if first is None:
-        return
-    limit = None
-    for blob in blobs_from(source, first):
-        if blob.offset >= stop:
-            if limit is None:
-                limit = find_sync_point(source, stop, source.size)
-                limit = source.size if limit is None else limit
-            if blob.offset == limit:
-                return
-            if blob.offset > limit:
-                break
-        yield blob
-    else:
-        # The chain reached the end of the file; no later range may have found a start of its own.
-        if stop >= source.size or limit == source.size:
-            return
-        if limit is None and find_sync_point(source, stop, source.size) is None:
-            return
-    raise AmbiguousSplitError(
-        f"{source.location}: a blob that starts before offset {stop} contains bytes that look like "
-        "a blob of their own, so this file cannot be read in byte ranges; use splits='index'"
-    )
-
-
-class Chain(NamedTuple):
-    """A range, and the chain of blobs from its first sync point to one at or after its end.
-
-    ``first`` is -1 if the range has no sync point; ``last`` is -1 if the chain breaks off.
-    """
-
-    task_no: int
-    file_no: int
-    stop: int
-    first: int
-    last: int
-
-
-def follow_chain(source: ReadAhead, pos: int, stop: int) -> int:
-    """The first sync point at or after ``stop`` on the chain from a blob start, or the file's end."""
-    for blob in blobs_from(source, pos):
-        if blob.offset >= stop and _is_sync_point(source, blob.offset):
-            return blob.offset
-    return source.size
-
-
-def guess_chain(source: ReadAhead, task_no: int, part: FileRange) -> Chain:
-    first = 0 if part.start == 0 else find_sync_point(source, part.start, part.stop)
-    last = -1
-    if first is not None:
+def _candidates(source: Buffered, start: int, stop: int) -> Iterator[Blob]:
+    """Everything that begins in ``[start, stop)`` and reads as the header of a data blob."""
+    seen = set()
+    at = source.find(_NAME, start)
+    while 0 <= at < stop + _NAME_AT[-1]:
+        for back in _NAME_AT:
+            offset = at - back
+            if start <= offset < stop and offset not in seen:
+                try:
+                    blob = read_blob_header(source, offset)
+                except (ValueError, EOFError):
+                    continue
+                if blob.blob_type == DATA_BLOB and blob.datasize <= MAX_BLOB_BYTES:
+                    seen.add(offset)
+                    yield blob
+        at = source.find(_NAME, at + 1)
+
+
+def _landing(source: Buffered, blob: Blob, start: int, known: dict[int, int | None]) -> int | None:
+    """Where the chain from a blob first reaches ``start``; None if it breaks off before or there."""
+    path, found = [blob.offset], None
+    while True:
+        if blob.end > source.size:
+            break
+        if blob.end == source.size:
+            found = blob.end
+            break
+        if blob.end in known:
+            found = known[blob.end]
+            break
         try:
-            last = follow_chain(source, first, part.stop)
+            following = read_blob_header(source, blob.end)
         except (ValueError, EOFError):
-            pass  # The guess was wrong, or the file is broken: who needs this chain will find out.
-    return Chain(task_no, part.file_no, part.stop, -1 if first is None else first, last)
-
-
-def stitch(source: ReadAhead, chains: Iterable[Chain]) -> Iterator[tuple[int, FileRange]]:
-    """(task, stretch of whole blobs) for one file, given the chains of its ranges in order."""
-    pos = 0
-    for chain in chains:
-        if pos < chain.stop:
-            right = pos == chain.first and chain.last >= 0
-            end = chain.last if right else follow_chain(source, pos, chain.stop)
-            yield chain.task_no, FileRange(chain.file_no, pos, end)
-            pos = end
+            break
+        if following.offset >= start:
+            found = following.offset
+            break
+        blob = following
+        path.append(blob.offset)
+    known.update(dict.fromkeys(path, found))
+    return found
+
+
+def first_blob_at(source: ReadAhead, start: int) -> int:
+    """Offset of the first blob that begins at or after ``start``, or the file's end."""
+    stop = min(start, source.size)
+    while stop - _REACH > 0:
+        begin = stop - _REACH
+        nearby = source.buffered(begin, start + _REACH // 64)
+        known: dict[int, int | None] = {}
+        found = {_landing(nearby, blob, start, known) for blob in _candidates(nearby, begin, stop)} - {None}
+        if len(found) == 1:
+            return found.pop()
+        stop = begin
+    if start <= 0:
+        return 0
+    return next((blob.end for blob in blobs_from(source, 0, start) if blob.end >= start), source.size)
+
+
+def blobs_of_range(source: ReadAhead, start: int, stop: int) -> Iterator[Blob]:
+    """The blobs that begin in ``[start, stop)``; the ranges of a plan share out every blob."""
+    return blobs_from(source, first_blob_at(source, start), stop)

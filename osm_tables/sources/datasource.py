@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from concurrent.futures import ThreadPoolExecutor
-from itertools import chain
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import SparkSession
@@ -13,24 +11,15 @@ from pyspark.sql.types import StructType
 
 from .. import schema as S
 from ..options import FORMAT, OsmReadOptions
-from .blobs import Chain
-from .reader import (
-    FileSet,
-    chain_of,
-    check_splits,
-    entity_decoder,
-    file_set,
-    scan_range,
-    split_settings,
-    with_chains,
-)
-
-WALK_THREADS = 16
+from .reader import entity_decoder, file_set, scan_range, size_in_bytes, split_settings
 
 # Options of this source only. ``columns`` names the wanted columns, separated by commas, because
-# Spark does not tell a Python source which columns a query uses. ``splits`` is as in ``read_osm``.
+# Spark does not tell a Python source which columns a query uses. The others are Spark's own settings,
+# which this source takes when it is registered; as options they hold for one read.
 COLUMNS = "columns"
-SPLITS = "splits"
+MAX_PARTITION_BYTES = "maxPartitionBytes"
+OPEN_COST = "openCostInBytes"
+DEDUP_POLICY = "mapKeyDedupPolicy"
 
 
 class TaskPartition(InputPartition):
@@ -45,13 +34,10 @@ class OsmReader(DataSourceReader):
     a filter pushed by one query would also remove rows from the next.
     """
 
-    def __init__(self, options: OsmReadOptions, splits: str, schema: StructType, settings: dict):
-        check_splits(splits)
-        self._decode = entity_decoder(schema, options.selected_types)
+    def __init__(self, options: OsmReadOptions, schema: StructType, settings: dict, last_wins: bool):
+        self._decode = entity_decoder(schema, options.selected_types, last_wins)
         # Spark copies the reader to the tasks before it asks for partitions, so the plan is made now.
         self._files = file_set(options.paths, options.partitions, **settings)
-        if splits == "index":
-            self._files = _index_files(self._files)
 
     def partitions(self) -> list[InputPartition]:
         return [TaskPartition(n) for n in range(self._files.plan.n_tasks)]
@@ -61,14 +47,14 @@ class OsmReader(DataSourceReader):
             yield from scan_range(self._files, part, self._decode)
 
 
-def _index_files(files: FileSet) -> FileSet:
-    """As ``index_files``, but where there is no session to run a job in."""
-
-    def walk(task_no: int) -> list[Chain]:
-        return [chain_of(files, task_no, part) for part in files.plan.ranges_of(task_no)]
-
-    with ThreadPoolExecutor(WALK_THREADS) as pool:
-        return with_chains(files, chain.from_iterable(pool.map(walk, range(files.plan.n_tasks))))
+def _settings(options: Mapping[str, str], registered: dict) -> dict:
+    """Split settings as registered, unless options say otherwise; option names ignore case."""
+    given = {k.lower(): v for k, v in options.items()}
+    out = dict(registered)
+    for option, name in ((MAX_PARTITION_BYTES, "max_partition_bytes"), (OPEN_COST, "open_cost_bytes")):
+        if option.lower() in given:
+            out[name] = size_in_bytes(given[option.lower()])
+    return out
 
 
 def _accepted(options: OsmReadOptions, asked: StructType) -> StructType:
@@ -86,9 +72,11 @@ def _accepted(options: OsmReadOptions, asked: StructType) -> StructType:
 def register_osm(spark: SparkSession) -> None:
     """Make the format known to this session.
 
-    The source plans in a process without a session, so the session's split settings are taken now.
+    The source plans in a process without a session, so the session's split settings and its policy
+    for repeated map keys are taken now; options of the same names override them for one read.
     """
     settings = split_settings(spark)
+    policy = spark.conf.get("spark.sql.mapKeyDedupPolicy")
 
     class OsmDataSource(DataSource):
         @classmethod
@@ -101,7 +89,8 @@ def register_osm(spark: SparkSession) -> None:
 
         def reader(self, schema: StructType) -> DataSourceReader:
             options = OsmReadOptions.parse(self.options)
-            splits = self.options.get(SPLITS, "ranges")
-            return OsmReader(options, splits, _accepted(options, schema), settings)
+            last_wins = self.options.get(DEDUP_POLICY, policy).upper() == "LAST_WIN"
+            own = _settings(self.options, settings)
+            return OsmReader(options, _accepted(options, schema), own, last_wins)
 
     spark.dataSource.register(OsmDataSource)

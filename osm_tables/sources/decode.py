@@ -66,9 +66,12 @@ def check_header(blob) -> None:
                     raise ValueError(f"required feature {feature!r} is not supported")
 
 
-def decode_blob(blob, origin: str, schema: pa.Schema, types: frozenset[str]) -> Iterator[pa.RecordBatch]:
+def decode_blob(
+    blob, origin: str, schema: pa.Schema, types: frozenset[str], last_wins: bool = False
+) -> Iterator[pa.RecordBatch]:
+    """The entities of a blob; ``last_wins`` lets a map keep the last of an entity's equal tag keys."""
     for block in payloads(blob):
-        yield from _Block(block, types).batches(schema, origin)
+        yield from _Block(block, types, last_wins).batches(schema, origin)
 
 
 def count_blob(blob, types: frozenset[str]) -> Counter[str]:
@@ -79,7 +82,8 @@ def count_blob(blob, types: frozenset[str]) -> Counter[str]:
 class _Block:
     """A primitive block: shared strings and scaling, and where its entities lie."""
 
-    def __init__(self, block, types: frozenset[str]):
+    def __init__(self, block, types: frozenset[str], last_wins: bool = False):
+        self.last_wins = last_wins
         self.granularity, self.date_granularity = DEFAULT_GRANULARITY, DEFAULT_DATE_GRANULARITY
         self.lat_offset = self.lon_offset = 0
         self._strings = None
@@ -248,7 +252,8 @@ class _Rows:
         """Tags as a list or a map, whichever the schema has; null for an entity without tags."""
         offsets, text, kind = offsets_of(counts), self.block.text, self.type_of(S.TAGS)
         if pa.types.is_map(kind):
-            self._reject_repeated_keys(keys, counts)
+            keys, values, counts = self._distinct_keys(keys, values, counts)
+            offsets = offsets_of(counts)
 
         def column(a, b):
             bounds = pa.array(offsets[a : b + 1] - offsets[a], pa.int32())
@@ -263,15 +268,26 @@ class _Rows:
         self.charge(keys, counts)
         self.charge(values, counts)
 
-    def _reject_repeated_keys(self, keys: np.ndarray, counts: np.ndarray) -> None:
+    def _distinct_keys(
+        self, keys: np.ndarray, values: np.ndarray, counts: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         # The string table may hold the same text twice.
         distinct = self.block.strings().dictionary_encode().indices.to_numpy().astype(np.int64)
-        pairs = np.repeat(np.arange(self.n), counts) * len(distinct) + distinct[keys]
-        if len(np.unique(pairs)) != len(pairs):
+        entity = np.repeat(np.arange(self.n), counts)
+        pairs = entity * len(distinct) + distinct[keys]
+        different, first = np.unique(pairs, return_index=True)
+        if len(different) == len(pairs):
+            return keys, values, counts
+        if not self.block.last_wins:
             raise ValueError(
                 "an entity has the same tag key twice, which a map cannot hold; "
-                "read tags as a list, or use read_osm with spark.sql.mapKeyDedupPolicy=LAST_WIN"
+                "read tags as a list, or set mapKeyDedupPolicy to LAST_WIN"
             )
+        # As Spark builds maps: a key stays where it came first, with the value that came last.
+        last = len(pairs) - 1 - np.unique(pairs[::-1], return_index=True)[1]
+        in_order = np.argsort(first)
+        kept = first[in_order]
+        return keys[kept], values[last[in_order]], np.bincount(entity[kept], minlength=self.n)
 
     def charge(self, ids: np.ndarray, counts: np.ndarray) -> None:
         """Account for the text that every row will hold, unless it cannot come near the limit."""

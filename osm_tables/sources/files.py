@@ -58,6 +58,25 @@ def file_sizes(locations: Sequence[str]) -> list[int]:
     return sizes
 
 
+class Buffered:
+    """Part of a file in memory; what lies outside is read from the file."""
+
+    def __init__(self, source: ReadAhead, start: int, data: bytes):
+        self.location, self.size = source.location, source.size
+        self._source, self._start, self._data = source, start, data
+
+    def read(self, offset: int, length: int) -> memoryview:
+        at = offset - self._start
+        if 0 <= at and at + length <= len(self._data):
+            return memoryview(self._data)[at : at + length]
+        return self._source.read(offset, length)
+
+    def find(self, pattern: bytes, start: int) -> int:
+        """Offset of the first match at or after ``start`` in the buffer, or -1."""
+        at = self._data.find(pattern, max(0, start - self._start))
+        return at if at < 0 else at + self._start
+
+
 class ReadAhead:
     """Byte ranges of one open file, mostly read in order, served from a window of it.
 
@@ -85,11 +104,8 @@ class ReadAhead:
             self._fetcher.shutdown(cancel_futures=True)
         self._file.close()
 
-    def read(self, offset: int, length: int, keep_window: bool = False) -> memoryview:
-        """Exactly ``length`` bytes, or an error: a short read never passes as end of file.
-
-        ``keep_window`` is for a look elsewhere that should not move the window.
-        """
+    def read(self, offset: int, length: int) -> memoryview:
+        """Exactly ``length`` bytes, or an error: a short read never passes as end of file."""
         at = offset - self._start
         if 0 <= at and at + length <= len(self._window):
             return self._window[at : at + length]
@@ -98,11 +114,13 @@ class ReadAhead:
                 f"{self.location}: truncated, {length} bytes wanted at offset {offset} "
                 f"but the file ends at {self.size}"
             )
-        if keep_window:
-            return memoryview(self._fetch(offset, length))
         self._move_window(offset, length)
         return self._window[:length]
 
+    def buffered(self, start: int, stop: int) -> Buffered:
+        """The bytes from ``start`` to ``stop`` or the file's end, in memory."""
+        return Buffered(self, start, self._fetch(start, min(stop, self.size) - start))
+
     def _fetch(self, offset: int, length: int) -> bytes:
         data = self._file.read_at(length, offset)
         if len(data) < length:

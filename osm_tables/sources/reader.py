@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass, replace
 from functools import partial
-from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,17 +14,8 @@ from pyspark.sql import types as T
 from .. import schema as S
 from ..functions.entities import tags_as_map
 from ..options import OsmReadOptions
-from ..plans.splits import FileRange, Plan, WholeBlobPlan, plan_splits, split_bytes
-from .blobs import (
-    DATA_BLOB,
-    HEADER_BLOB,
-    Blob,
-    Chain,
-    blobs_from,
-    blobs_of_range,
-    guess_chain,
-    stitch,
-)
+from ..plans.splits import FileRange, Plan, plan_splits, split_bytes
+from .blobs import DATA_BLOB, HEADER_BLOB, blobs_of_range
 from .decode import check_header, decode_blob
 from .files import ReadAhead, file_sizes, to_location
 
@@ -33,7 +23,7 @@ from .files import ReadAhead, file_sizes, to_location
 BlobDecoder = Callable[[memoryview, str], Iterator[pa.RecordBatch]]
 
 DATA_CHUNK = 4 * 1024 * 1024
-HEADER_CHUNK = 16 * 1024
+HEADER_CHUNK = 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -77,14 +67,22 @@ def split_settings(spark: SparkSession) -> dict:
         or spark.sparkContext.defaultParallelism
     )
     return {
-        "max_partition_bytes": _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")),
-        "open_cost_bytes": _bytes(spark.conf.get("spark.sql.files.openCostInBytes")),
+        "max_partition_bytes": size_in_bytes(spark.conf.get("spark.sql.files.maxPartitionBytes")),
+        "open_cost_bytes": size_in_bytes(spark.conf.get("spark.sql.files.openCostInBytes")),
         "parallelism": int(parallelism),
-        "default_fs": setting("spark.hadoop.fs.defaultFS"),
+        "default_fs": default_file_system(spark),
     }
 
 
-def _bytes(text: str) -> int:
+def default_file_system(spark: SparkSession) -> str | None:
+    """Where paths without a scheme lie, by the session's Hadoop configuration.
+
+    That is made of the cluster's own files and of ``spark.hadoop.*``, so settings alone do not show it.
+    """
+    return spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
+
+
+def size_in_bytes(text: str) -> int:
     # Spark's size suffixes.
     units = {"b": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}
     text = text.strip().lower()
@@ -93,15 +91,10 @@ def _bytes(text: str) -> int:
     return int(text) if text[-1].isdigit() else int(text[:-1]) * units[text[-1]]
 
 
-def blobs_in(files: FileSet, part: FileRange, source: ReadAhead) -> Iterator[Blob]:
-    find_blobs = blobs_from if files.plan.whole_blobs else blobs_of_range
-    return find_blobs(source, part.start, part.stop)
-
-
 def scan_range(files: FileSet, part: FileRange, decode: BlobDecoder) -> Iterator[pa.RecordBatch]:
     """What ``decode`` makes of every data blob of a range, one blob in memory at a time."""
     with files.open(part.file_no, DATA_CHUNK, until=part.stop) as source:
-        for blob in blobs_in(files, part, source):
+        for blob in blobs_of_range(source, part.start, part.stop):
             kind = blob.blob_type.lower()
             if kind not in (DATA_BLOB.lower(), HEADER_BLOB.lower()):
                 continue
@@ -118,71 +111,38 @@ def scan_range(files: FileSet, part: FileRange, decode: BlobDecoder) -> Iterator
 def over_ranges(
     spark: SparkSession,
     files: FileSet,
-    read: Callable[[int, FileRange], Iterator[pa.RecordBatch]],
+    read: Callable[[FileSet, int, FileRange], Iterator[pa.RecordBatch]],
     schema: T.StructType,
 ) -> DataFrame:
     """What ``read`` makes of every range, given its task number; one Spark task for each of the plan.
 
-    A task gets a number and finds its ranges itself, so there is no list of ranges to shuffle.
+    A task gets a number and finds its ranges itself, so there is no list of ranges to shuffle. The
+    files, a few numbers and a name for each, go to an executor once, not with every task.
     """
+    sent = spark.sparkContext.broadcast(files)
 
     def read_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files = sent.value
         for batch in batches:
             for task_no in batch.column(0).to_pylist():
                 for part in files.plan.ranges_of(task_no):
-                    yield from read(task_no, part)
+                    yield from read(files, task_no, part)
 
     n = files.plan.n_tasks
     return spark.range(0, n, 1, n).withColumnRenamed("id", "task_no").mapInArrow(read_task, schema)
 
 
-def chain_of(files: FileSet, task_no: int, part: FileRange) -> Chain:
-    with files.open(part.file_no, HEADER_CHUNK) as source:
-        return guess_chain(source, task_no, part)
-
-
-def index_files(spark: SparkSession, files: FileSet) -> FileSet:
-    """The files with ranges of whole blobs, from a job that walks all headers range by range."""
-    names = Chain._fields
-    schema = T.StructType([T.StructField(n, T.LongType(), False) for n in names])
-    arrow_schema = S.to_arrow_schema(schema)
-
-    def walk(task_no: int, part: FileRange) -> Iterator[pa.RecordBatch]:
-        yield pa.RecordBatch.from_pylist([chain_of(files, task_no, part)._asdict()], arrow_schema)
-
-    # One row of five numbers per range, about as much as Spark itself keeps for a task.
-    found = over_ranges(spark, files, walk, schema).toArrow().select(names).to_pydict()
-    return with_chains(files, (Chain(*row) for row in zip(*found.values())))
-
-
-def with_chains(files: FileSet, chains: Iterable[Chain]) -> FileSet:
-    tasks: list[list[FileRange]] = [[] for _ in range(files.plan.n_tasks)]
-    in_order = sorted(chains, key=lambda c: (c.file_no, c.stop))
-    for file_no, of_file in groupby(in_order, lambda c: c.file_no):
-        with files.open(file_no, HEADER_CHUNK) as source:
-            for task_no, part in stitch(source, of_file):
-                tasks[task_no].append(part)
-    return replace(files, plan=WholeBlobPlan(files.plan.sizes, tuple(map(tuple, tasks))))
-
-
-def check_splits(splits: str) -> None:
-    if splits not in ("ranges", "index"):
-        raise ValueError(f"splits must be 'ranges' or 'index', not {splits!r}")
-
-
-def planned_files(spark: SparkSession, options: OsmReadOptions, splits: str) -> FileSet:
-    check_splits(splits)
-    files = file_set(options.paths, options.partitions, **split_settings(spark))
-    return index_files(spark, files) if splits == "index" else files
+def planned_files(spark: SparkSession, options: OsmReadOptions) -> FileSet:
+    return file_set(options.paths, options.partitions, **split_settings(spark))
 
 
 def scan(
-    spark: SparkSession, options: OsmReadOptions, decode: BlobDecoder, schema: T.StructType, splits: str
+    spark: SparkSession, options: OsmReadOptions, decode: BlobDecoder, schema: T.StructType
 ) -> DataFrame:
     """A DataFrame of what ``decode`` makes of the data blobs of all files, read range by range."""
-    files = planned_files(spark, options, splits)
+    files = planned_files(spark, options)
 
-    def read(_: int, part: FileRange) -> Iterator[pa.RecordBatch]:
+    def read(files: FileSet, _: int, part: FileRange) -> Iterator[pa.RecordBatch]:
         return scan_range(files, part, decode)
 
     return over_ranges(spark, files, read, schema)
@@ -200,17 +160,12 @@ def read_osm(
     paths: str | Sequence[str] = (),
     options: OsmReadOptions | None = None,
     columns: Sequence[str] | None = None,
-    splits: str = "ranges",
     **settings,
 ) -> DataFrame:
     """Entities of all ``paths`` as a DataFrame; the files are read when the DataFrame is used.
 
     ``settings`` are fields of ``OsmReadOptions``. ``columns`` limits what is decoded: Spark cannot
     push a later ``select`` into the decoder, so name the columns here when a few are enough.
-
-    ``splits="ranges"`` cuts files at byte offsets and finds blobs from there, in one pass.
-    ``splits="index"`` first runs a job that walks all blob headers; it is needed only for files whose
-    uncompressed blobs contain what looks like other blobs.
     """
     options = with_settings(paths, options, settings)
     result = S.osm_schema(options, columns)
@@ -218,12 +173,12 @@ def read_osm(
     if not decoded.fields:
         decoded = S.osm_schema(options, [S.ENTITY_TYPE])
     decode = entity_decoder(decoded, options.selected_types)
-    entities = scan(spark, options, decode, decoded, splits)
+    entities = scan(spark, options, decode, decoded)
     return entities.select([_as_result(f.name, options) for f in result.fields])
 
 
-def entity_decoder(schema: T.StructType, types: frozenset[str]) -> BlobDecoder:
-    return partial(decode_blob, schema=S.to_arrow_schema(schema), types=types)
+def entity_decoder(schema: T.StructType, types: frozenset[str], last_wins: bool = False) -> BlobDecoder:
+    return partial(decode_blob, schema=S.to_arrow_schema(schema), types=types, last_wins=last_wins)
 
 
 def _as_result(name: str, options: OsmReadOptions):

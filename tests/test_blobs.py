@@ -6,15 +6,8 @@ import pytest
 from micro import HEADER, block, data, dense, multiset, read_rows, size, way, write
 
 from osm_fixtures.writer import blob, put
-from osm_tables.plans.splits import FileRange
 from osm_tables.sources import blobs
-from osm_tables.sources.blobs import (
-    AmbiguousSplitError,
-    blobs_from,
-    blobs_of_range,
-    guess_chain,
-    stitch,
-)
+from osm_tables.sources.blobs import blobs_from, blobs_of_range
 from osm_tables.sources.files import ReadAhead
 
 CHUNKS = [1, 64, 4096, 2**22]
@@ -41,12 +34,18 @@ def some_blocks(n, codec="zlib"):
     ]
 
 
+@pytest.fixture(params=[blobs._REACH, 700])
+def reach(request, monkeypatch):
+    """How far back a range looks first; files here are small, so a short reach stands for large files."""
+    monkeypatch.setattr(blobs, "_REACH", request.param)
+
+
 @pytest.fixture(params=["raw", "zlib"])
 def plain_file(tmp_path, request):
     return write(tmp_path / "plain.pbf", HEADER, *some_blocks(12, request.param))
 
 
-def test_every_pair_of_cuts(plain_file):
+def test_every_pair_of_cuts(plain_file, reach):
     expected, end = offsets(plain_file), size(plain_file)
     for first in range(1, end, 7):
         for second in range(first + 1, end, 31):
@@ -54,14 +53,14 @@ def test_every_pair_of_cuts(plain_file):
 
 
 @pytest.mark.parametrize("chunk", CHUNKS)
-def test_read_ahead_does_not_matter(plain_file, chunk):
+def test_read_ahead_does_not_matter(plain_file, chunk, reach):
     expected = offsets(plain_file)
     assert offsets(plain_file, chunk) == expected
     cuts = list(range(50, size(plain_file), 50))
     assert offsets_by_ranges(plain_file, cuts, chunk) == expected
 
 
-def test_one_byte_ranges(plain_file):
+def test_one_byte_ranges(plain_file, reach):
     cuts = list(range(1, size(plain_file)))
     assert offsets_by_ranges(plain_file, cuts) == offsets(plain_file)
 
@@ -96,7 +95,7 @@ def test_other_blob_types_and_header_layouts(tmp_path):
         assert multiset(read_rows(path, partitions=partitions)) == multiset(rows)
 
 
-def test_blob_type_inside_a_string(tmp_path):
+def test_blob_type_inside_a_string(tmp_path, reach):
     """The text of a raw block may look like a header, but no chain of blobs follows from it."""
     look_alike = struct.pack(">I", 13) + put(1, "OSMData") + put(3, 20)
     texts = ["", "OSMData", b"\x00\x00\x00\x0d\x0a\x07OSMData\x18\x14", look_alike]
@@ -116,50 +115,31 @@ def file_in_a_file(tmp_path):
     return write(tmp_path / "nested.pbf", HEADER, *some_blocks(2), data(payload), *some_blocks(2))
 
 
-def test_false_chain_is_never_read_silently(file_in_a_file):
-    expected, refused = offsets(file_in_a_file), 0
+def test_false_chains_do_not_mislead(file_in_a_file, monkeypatch):
+    """Wherever a file is cut; the reach is that of its largest blob."""
+    expected = offsets(file_in_a_file)
     assert len(expected) == 6
-    for cut in range(1, size(file_in_a_file)):
-        try:
+    largest = max(b - a for a, b in zip(expected, [*expected[1:], size(file_in_a_file)]))
+    for reach in (blobs._REACH, largest + 1):
+        monkeypatch.setattr(blobs, "_REACH", reach)
+        for cut in range(1, size(file_in_a_file)):
             assert offsets_by_ranges(file_in_a_file, [cut]) == expected
-        except AmbiguousSplitError:
-            refused += 1
-    assert refused > 0
+        for step in (2, 17, 50, 333):
+            assert offsets_by_ranges(file_in_a_file, range(1, size(file_in_a_file), step)) == expected
     assert len(read_rows(file_in_a_file)) == 1 + 2 + 3 + 2
 
 
-def offsets_by_index(path, cuts, chunk=4096):
-    bounds = [0, *cuts, size(path)]
-    parts = [FileRange(0, *cut) for cut in zip(bounds, bounds[1:])]
-    found = []
-    with ReadAhead(path, size(path), chunk) as source:
-        chains = [guess_chain(source, i, part) for i, part in enumerate(parts)]
-        for task_no, stretch in stitch(source, chains):
-            assert parts[task_no].start <= stretch.start < parts[task_no].stop
-            found += [b.offset for b in blobs_from(source, stretch.start, stretch.stop)]
-    return found
-
-
-def test_index_of_any_file(plain_file, file_in_a_file):
-    for path in (plain_file, file_in_a_file):
-        expected = offsets(path)
-        for cut in range(1, size(path)):
-            assert offsets_by_index(path, [cut]) == expected
-        for step in (1, 2, 17, 50, 333):
-            assert offsets_by_index(path, range(1, size(path), step)) == expected
-
-
-def test_index_walks_anew_only_where_a_guess_was_wrong(plain_file, file_in_a_file, monkeypatch):
-    walked = []
-    real = blobs.follow_chain
-    monkeypatch.setattr(blobs, "follow_chain", lambda s, pos, stop: walked.append(pos) or real(s, pos, stop))
-    for path, again in ((plain_file, False), (file_in_a_file, True)):
-        bounds = [0, offsets(path)[3] + 30, size(path)]  # within the raw block of the nested file
-        with ReadAhead(path, size(path), 64) as source:
-            chains = [guess_chain(source, 0, FileRange(0, *cut)) for cut in zip(bounds, bounds[1:])]
-            walked.clear()
-            list(stitch(source, chains))
-        assert bool(walked) == again
+def test_only_the_stretch_before_a_range_is_read(tmp_path, monkeypatch):
+    path = write(tmp_path / "long.pbf", HEADER, *some_blocks(300))
+    expected = offsets(path)
+    monkeypatch.setattr(blobs, "_REACH", 2000)
+    fetched = []
+    real = ReadAhead._fetch
+    monkeypatch.setattr(ReadAhead, "_fetch", lambda self, at, n: fetched.append((at, n)) or real(self, at, n))
+    start = expected[250] + 1
+    with ReadAhead(path, size(path), 64) as source:
+        assert blobs.first_blob_at(source, start) == expected[251]
+    assert min(at for at, _ in fetched) >= start - 2000
 
 
 def truncated(tmp_path, keep):
@@ -179,4 +159,4 @@ def test_truncated_anywhere(tmp_path):
                 with pytest.raises((EOFError, ValueError)):
                     read_rows(path, partitions=partitions)
                 with pytest.raises((EOFError, ValueError)):
-                    offsets_by_index(path, [keep // 3, keep // 2])
+                    offsets_by_ranges(path, [keep // 3, keep // 2])

@@ -18,18 +18,32 @@ def path(tmp_path_factory):
 
 @settings(max_examples=200, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
-    st.lists(st.tuples(st.integers(0, 5000), st.integers(0, 800), st.booleans()), max_size=20),
+    st.lists(st.tuples(st.integers(0, 5000), st.integers(0, 800)), max_size=20),
     st.integers(1, 1000),
     st.sampled_from([0, 100, 2500, 5000, 9999]),
 )
 def test_any_reads(path, reads, chunk, until):
     with ReadAhead(path, len(CONTENT), chunk, until) as source:
-        for offset, length, keep_window in reads:
+        for offset, length in reads:
             if offset + length <= len(CONTENT):
-                assert source.read(offset, length, keep_window) == CONTENT[offset : offset + length]
+                assert source.read(offset, length) == CONTENT[offset : offset + length]
             else:
                 with pytest.raises(EOFError):
-                    source.read(offset, length, keep_window)
+                    source.read(offset, length)
+
+
+@given(st.integers(0, 4900), st.integers(1, 3000), st.integers(0, 4999), st.integers(0, 800))
+@settings(max_examples=100, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_buffered_reads(path, start, length, offset, n):
+    with ReadAhead(path, len(CONTENT), 64) as source:
+        held = source.buffered(start, start + length)
+        if offset + n <= len(CONTENT):
+            assert held.read(offset, n) == CONTENT[offset : offset + n]
+        else:
+            with pytest.raises(EOFError):
+                held.read(offset, n)
+        at = CONTENT[: start + length].find(CONTENT[offset : offset + 3], max(start, offset - 50))
+        assert held.find(CONTENT[offset : offset + 3], max(start, offset - 50)) == at
 
 
 @pytest.mark.parametrize("step", [1, 99, 100, 101, 700])

@@ -13,6 +13,8 @@ import __spark_entry__ as driver
 from osm_fixtures.writer import blob, put, put_list
 from osm_tables import FORMAT, OsmReadOptions, blob_index, count_by_type, osm_schema, read_osm, register_osm
 from osm_tables.functions import tags_as_map, way_node_ids
+from osm_tables.sources.files import to_location
+from osm_tables.sources.reader import file_set, over_ranges, split_settings
 
 TAGS = put_list(2, [1, 3]) + put_list(3, [2, 4])
 STRINGS = ["", "highway", "path", "name", "Süd"]
@@ -61,10 +63,9 @@ def test_default_read(spark, osm_file):
 
 
 @pytest.mark.parametrize("partitions", [1, 2, 3, 7, 1000])
-@pytest.mark.parametrize("splits", ["ranges", "index"])
-def test_parallelism_does_not_change_the_rows(spark, osm_file, partitions, splits):
-    entities = read_osm(spark, osm_file, partitions=partitions, splits=splits)
-    assert entities.rdd.getNumPartitions() >= partitions or partitions == 1000
+def test_parallelism_does_not_change_the_rows(spark, osm_file, partitions):
+    entities = read_osm(spark, osm_file, partitions=partitions)
+    assert entities.rdd.getNumPartitions() >= min(partitions, os.path.getsize(osm_file))
     assert rows(entities) == expected(osm_file)
 
 
@@ -75,7 +76,7 @@ def test_parallelism_on_larger_files(spark, sf_dir):
         return df.groupBy("entity_type").agg(F.count("*"), F.sum(F.xxhash64("*") % 1_000_003)).collect()
 
     whole = sorted(summary(read_osm(spark, files)))
-    for settings in ({"partitions": 13}, {"splits": "index"}, {"splits": "index", "partitions": 5}):
+    for settings in ({"partitions": 13}, {"partitions": 2}, {"partitions": 5}):
         assert sorted(summary(read_osm(spark, files, **settings))) == whole
 
 
@@ -120,7 +121,7 @@ def test_missing_file(spark, tmp_path):
 
 def test_empty_files(spark, tmp_path):
     empty, header = write(tmp_path / "empty.pbf"), write(tmp_path / "header.pbf", HEADER)
-    for settings in ({}, {"partitions": 3}, {"splits": "index"}):
+    for settings in ({}, {"partitions": 3}):
         entities = read_osm(spark, [empty, header], **settings)
         assert entities.schema == osm_schema(OsmReadOptions())
         assert entities.count() == 0
@@ -162,11 +163,16 @@ def test_repeated_keys_obey_the_policy(session, tmp_path):
         as_map.collect()
     with pytest.raises(PySparkException, match="same tag key"):
         session.read.format(FORMAT).option("tags-as-map", "true").load(path).collect()
+    last = session.read.format(FORMAT).option("tags-as-map", "true").option("mapKeyDedupPolicy", "last_win").load(path)
+    assert last.first()["tags"] == {"highway": "Süd"}
     session.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
     try:
         assert as_map.first()["tags"] == {"highway": "Süd"}
+        register_osm(session)
+        assert session.read.format(FORMAT).option("tags-as-map", "true").load(path).first()["tags"] == {"highway": "Süd"}
     finally:
         session.conf.unset("spark.sql.mapKeyDedupPolicy")
+        register_osm(session)
 
 
 def test_errors_name_file_and_offset(spark, tmp_path):
@@ -175,38 +181,65 @@ def test_errors_name_file_and_offset(spark, tmp_path):
         message = put(2, 10) + put(7, b"zstd")
         header = put(1, "OSMData") + put(3, len(message))
         f.write(len(header).to_bytes(4, "big") + header + message)
-    for settings in ({}, {"splits": "index"}):
+    for settings in ({}, {"partitions": 3}):
         with pytest.raises(PySparkException, match=r"zstd\.pbf: blob at offset \d+: .*zstd"):
             read_osm(spark, path, **settings).collect()
 
 
-def test_ambiguous_file_is_refused_then_read_by_index(spark, tmp_path):
+@pytest.fixture
+def nested_file(tmp_path):
+    """A raw blob that holds whole blobs as text."""
     inner = b"".join(small_blocks())
     payload = put(2, way(1, [7])) + put(1, put(1, "") + put(1, inner))
-    path = write(tmp_path / "nested.pbf", HEADER, data(payload), *small_blocks(100))
-    assert read_osm(spark, path).count() == 31
-    with pytest.raises(PySparkException, match="splits='index'"):
-        read_osm(spark, path, partitions=20).count()
-    assert read_osm(spark, path, partitions=20, splits="index").count() == 31
+    return write(tmp_path / "nested.pbf", HEADER, data(payload), *small_blocks(100))
 
 
-def test_data_source_reads_the_same_file_by_index(session, tmp_path):
-    inner = b"".join(small_blocks())
-    payload = put(2, way(1, [7])) + put(1, put(1, "") + put(1, inner))
-    path = write(tmp_path / "nested.pbf", HEADER, data(payload), *small_blocks(100))
-    source = session.read.format(FORMAT).option("partitions", 20)
-    with pytest.raises(PySparkException, match="splits='index'"):
-        source.load(path).count()
-    assert rows(source.option("splits", "index").load(path)) == expected(path)
-    empty = write(tmp_path / "empty.pbf")
-    assert source.option("splits", "index").load(empty).count() == 0
-    with pytest.raises(PySparkException, match="splits must be"):
-        source.option("splits", "other").load(path).count()
+@pytest.mark.parametrize("partitions", [1, 2, 7, 20])
+def test_blobs_within_a_blob_are_not_read(session, nested_file, partitions):
+    assert read_osm(session, nested_file, partitions=partitions).count() == 31
+    source = session.read.format(FORMAT).option("partitions", partitions)
+    assert rows(source.load(nested_file)) == expected(nested_file)
+
+
+def test_what_a_task_is_sent_does_not_grow_with_the_ranges(spark, monkeypatch):
+    from pyspark import cloudpickle
+
+    sent = []
+    real = type(spark.range(1)).mapInArrow
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", lambda self, f, s: sent.append(len(cloudpickle.dumps(f))) or real(self, f, s))
+    monkeypatch.setattr("osm_tables.sources.reader.file_sizes", lambda paths: [10**12])
+    for n in (10, 100_000):
+        files = file_set(["/no/such.pbf"], n, 10**12, 2**22, 1)
+        assert files.plan.n_tasks == n
+        assert len(cloudpickle.dumps(files)) < 2000
+        over_ranges(spark, files, lambda *_: iter(()), osm_schema(OsmReadOptions()))
+    assert abs(sent[0] - sent[1]) < 100
+
+
+def test_paths_without_a_scheme_lie_in_the_default_file_system(spark, osm_file):
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    old = configuration.get("fs.defaultFS")
+    try:
+        configuration.set("fs.defaultFS", "hdfs://names:8020")
+        assert spark.conf.get("spark.hadoop.fs.defaultFS", None) is None
+        default = split_settings(spark)["default_fs"]
+        assert to_location("/data/x.osm.pbf", default) == "hdfs://names:8020/data/x.osm.pbf"
+    finally:
+        configuration.set("fs.defaultFS", old)
+    assert to_location(osm_file, split_settings(spark)["default_fs"]) == osm_file
+
+
+def test_settings_of_one_read_through_the_data_source(session, osm_file):
+    source = session.read.format(FORMAT)
+    whole = source.load(osm_file)
+    cut_up = session.read.format(FORMAT).option("maxPartitionBytes", "100b").option("openCostInBytes", 64).load(osm_file)
+    assert cut_up.rdd.getNumPartitions() > 5 > whole.rdd.getNumPartitions()
+    assert rows(cut_up) == rows(whole)
 
 
 def test_blob_index(spark, osm_file):
-    for partitions, splits in ((1, "ranges"), (5, "ranges"), (5, "index")):
-        blobs = blob_index(spark, osm_file, partitions, splits).orderBy("offset").collect()
+    for partitions in (1, 5):
+        blobs = blob_index(spark, osm_file, partitions).orderBy("offset").collect()
         assert [b["blob_type"] for b in blobs] == ["OSMHeader"] + ["OSMData"] * 6
         assert [b["offset"] for b in blobs[1:]] == [b["offset"] + b["length"] for b in blobs[:-1]]
         assert blobs[-1]["offset"] + blobs[-1]["length"] == os.path.getsize(osm_file)
@@ -219,9 +252,8 @@ def test_count_by_type(spark, osm_file):
     counts = count_by_type(spark, osm_file, types={"way"}).collect()
     assert [tuple(r) for r in counts] == [("Way", 6)]
     options = OsmReadOptions().with_paths(osm_file).with_partitions(4)
-    for splits in ("ranges", "index"):
-        counted = count_by_type(spark, osm_file, options, splits=splits)
-        assert rows(counted) == rows(read_osm(spark, [osm_file] * 2).groupBy("entity_type").count())
+    counted = count_by_type(spark, osm_file, options)
+    assert rows(counted) == rows(read_osm(spark, [osm_file] * 2).groupBy("entity_type").count())
 
 
 def test_count_of_kinds_that_are_absent(spark, tmp_path):
@@ -262,7 +294,7 @@ def test_data_source_schema_needs_no_file(session):
 
 
 def test_data_source_unknown_type(session, osm_file):
-    with pytest.raises(PySparkException, match="Valid types: Node,Way,Relation"):
+    with pytest.raises(PySparkException, match="there are Node, Way, Relation"):
         session.read.format(FORMAT).option("types", "area").load(osm_file)
 
 

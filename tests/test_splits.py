@@ -1,7 +1,7 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from osm_tables.plans.splits import MIN_RANGE_BYTES, plan_splits, split_bytes
+from osm_tables.plans.splits import plan_splits, split_bytes
 
 SIZES = st.lists(st.integers(0, 5000), min_size=1, max_size=8)
 
@@ -33,8 +33,7 @@ def test_partitions_is_the_least_number_per_file(sizes, target, partitions):
     check_cover(sizes, plan)
     for file_no, size in enumerate(sizes):
         ranges = [r for t in range(plan.n_tasks) for r in plan.ranges_of(t) if r.file_no == file_no]
-        if size >= partitions * MIN_RANGE_BYTES:
-            assert len(ranges) >= partitions
+        assert len(ranges) >= min(partitions, size)
 
 
 def test_plan_does_not_grow_with_the_data():
