@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -20,6 +19,7 @@ from pyspark.sql import functions as F
 import osm_tables
 from osm_fixtures.shipping import ship_packages
 from osm_fixtures.tables import write_entity_files
+from osm_tables.operators.blob_index import count_at
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,24 +69,36 @@ def scan_all(spark, sf_dir):
 
 def scan_multi_path(spark, sf_dir):
     files = entity_files(spark, sf_dir)
-    return osm_tables.count_by_type(spark, files + files)
+    entities = osm_tables.read_osm(spark, files + files, columns=["entity_type", "id"])
+    return entities.groupBy("entity_type").agg(F.count("*").alias("n"), _id_check())
 
 
-def blob_index_stats(spark, sf_dir):
-    blobs = osm_tables.blob_index(spark, entity_files(spark, sf_dir))
+def index_stats(spark, files, blobs):
+    """What an index leads to: entities by codec and kind, wrong headers, and bytes it leaves out."""
+    codec = F.regexp_extract("file", r"/(raw|zlib)/part-\d+\.pbf$", 1).alias("codec")
+    counted = count_at(blobs).groupBy(codec, "entity_type").agg(F.sum("count").alias("n"))
     is_header = F.col("blob_type") == "OSMHeader"
-    files = blobs.groupBy("file").agg(
+    by_file = blobs.groupBy("file").agg(
         F.count_if(is_header).alias("headers"),
-        F.count_if(is_header & (F.col("offset") == 0)).alias("leading_headers"),
-        F.count_if(~is_header & (F.col("blob_type") != "OSMData")).alias("others"),
+        F.count_if(is_header & (F.col("offset") == 0)).alias("leading"),
         F.sum("length").alias("covered"),
-        F.max(F.col("offset") + F.col("length")).alias("end"),
     )
-    return files.agg(
-        F.count_if((F.col("headers") != 1) | (F.col("leading_headers") != 1)).alias("bad_headers"),
-        F.count_if(F.col("covered") != F.col("end")).alias("files_with_gaps"),
-        F.coalesce(F.sum("others"), F.lit(0)).alias("other_blobs"),
+    indexed = by_file.groupBy(codec).agg(
+        F.count_if((F.col("headers") != 1) | (F.col("leading") != 1)).alias("bad_headers"),
+        F.sum("covered").alias("covered"),
     )
+    # Spark's own listing of the files, without their contents.
+    listed = spark.read.format("binaryFile").load(files).select(F.col("path").alias("file"), "length")
+    sizes = listed.groupBy(codec).agg(F.sum("length").alias("size"))
+    checked = sizes.join(indexed, "codec", "left").select(
+        "codec", "bad_headers", (F.col("size") - F.coalesce("covered", F.lit(0))).alias("bytes_left_out")
+    )
+    return checked.join(counted, "codec", "left").select("codec", "entity_type", "n", "bad_headers", "bytes_left_out")
+
+
+def blob_index_stats(spark, sf_dir):
+    files = entity_files(spark, sf_dir)
+    return index_stats(spark, files, osm_tables.blob_index(spark, files))
 
 
 def scan_partitions(spark, sf_dir):
@@ -137,10 +149,10 @@ def origin_file_counts(spark, sf_dir):
 
 def sql_view_counts(spark, sf_dir):
     osm_tables.register_osm(spark)
-    view = f"entities_{uuid.uuid4().hex}"
+    view = "entities_of_sql_view_counts"
     paths = json.dumps(entity_files(spark, sf_dir))
     spark.sql(
-        f"CREATE TEMPORARY VIEW {view} USING {osm_tables.FORMAT} "
+        f"CREATE OR REPLACE TEMPORARY VIEW {view} USING {osm_tables.FORMAT} "
         f"OPTIONS (paths '{paths}', `exclude-tags` 'true', `columns` 'entity_type,id')"
     )
     return spark.sql(f"SELECT entity_type, count(*) AS n FROM {view} GROUP BY entity_type")
@@ -188,7 +200,8 @@ def prune_id_only(spark, sf_dir):
 
 
 def exclude_metadata(spark, sf_dir):
-    return read(spark, sf_dir, exclude_metadata=True).select(
+    columns = ["entity_type", "id", "tags", "nodes", "members"]
+    return read(spark, sf_dir, exclude_metadata=True, columns=columns).select(
         "entity_type",
         "id",
         _length("tags", "n_tags"),
@@ -198,7 +211,8 @@ def exclude_metadata(spark, sf_dir):
 
 
 def exclude_tags(spark, sf_dir):
-    return read(spark, sf_dir, exclude_tags=True).select(
+    columns = ["entity_type", "id", "changeset", "nodes", "members"]
+    return read(spark, sf_dir, exclude_tags=True, columns=columns).select(
         "entity_type", "id", "changeset", _length("nodes", "n_nodes"), _length("members", "n_members")
     )
 
@@ -259,22 +273,23 @@ def metadata_columns(spark, sf_dir):
 
 
 def types_node(spark, sf_dir):
-    nodes = read(spark, sf_dir, types={"node"})
+    nodes = read(spark, sf_dir, types={"node"}, columns=["entity_type", "id", "changeset", "latitude"])
     return nodes.select("entity_type", "id", "changeset", _e7("latitude"))
 
 
 def types_way(spark, sf_dir):
-    ways = read(spark, sf_dir, types={"way"})
+    ways = read(spark, sf_dir, types={"way"}, columns=["entity_type", "id", "changeset", "nodes"])
     return ways.select("entity_type", "id", "changeset", _length("nodes", "n_nodes"))
 
 
 def types_relation(spark, sf_dir):
-    relations = read(spark, sf_dir, types={"relation"})
+    relations = read(spark, sf_dir, types={"relation"}, columns=["entity_type", "id", "changeset", "members"])
     return relations.select("entity_type", "id", "changeset", _length("members", "n_members"))
 
 
 def types_node_way(spark, sf_dir):
-    entities = read(spark, sf_dir, types={"node", "way"})
+    columns = ["entity_type", "id", "changeset", "latitude", "nodes"]
+    entities = read(spark, sf_dir, types={"node", "way"}, columns=columns)
     return entities.select(
         "entity_type", "id", "changeset", _e7("latitude"), _length("nodes", "n_nodes")
     )
@@ -282,7 +297,8 @@ def types_node_way(spark, sf_dir):
 
 def filter_entity_type(spark, sf_dir):
     osm_tables.register_osm(spark)
-    entities = spark.read.format(osm_tables.FORMAT).load(entity_files(spark, sf_dir))
+    source = spark.read.format(osm_tables.FORMAT).option("columns", "entity_type,id,nodes")
+    entities = source.load(entity_files(spark, sf_dir))
     ways = entities.filter(F.col("entity_type") == "Way")
     return ways.select("entity_type", "id", _length("nodes", "n_nodes"))
 
@@ -341,7 +357,8 @@ def data_source_options(spark, sf_dir):
         .with_include_origin_file()
         .with_paths(*entity_files(spark, sf_dir))
     )
-    entities = spark.read.format(osm_tables.FORMAT).options(**options.to_options()).load()
+    source = spark.read.format(osm_tables.FORMAT).options(**options.to_options())
+    entities = source.option("columns", "entity_type,id,origin-file,tags,members").load()
     return entities.select(
         "entity_type",
         "id",
@@ -581,10 +598,12 @@ def oracle_sql() -> dict[str, str]:
     parts = {
         "entity_counts": 'SELECT entity_type, count(*) AS "count" FROM entity GROUP BY entity_type',
         "scan_all": "SELECT entity_type, id FROM entity",
-        "scan_multi_path": 'SELECT entity_type, 2 * count(*) AS "count" FROM entity GROUP BY entity_type',
+        "scan_multi_path": f"""
+            SELECT entity_type, 2 * count(*) AS n, CAST(2 * sum(id % {ID_MODULUS}) AS BIGINT) AS id_check
+            FROM entity GROUP BY entity_type""",
         "blob_index_stats": """
-            SELECT CAST(0 AS BIGINT) AS bad_headers, CAST(0 AS BIGINT) AS files_with_gaps,
-                   CAST(0 AS BIGINT) AS other_blobs""",
+            SELECT codec, entity_type, count(*) AS n, CAST(0 AS BIGINT) AS bad_headers,
+                   CAST(0 AS BIGINT) AS bytes_left_out FROM codec GROUP BY codec, entity_type""",
         "scan_partitions": f"SELECT entity_type, {_CHECKS} FROM entity GROUP BY entity_type",
         "data_blob_counts": f"SELECT codec, {_CHECKS} FROM codec GROUP BY codec",
         "scan_raw_vs_zlib": f"SELECT codec, entity_type, {_CHECKS} FROM codec GROUP BY codec, entity_type",

@@ -24,9 +24,9 @@ BLOCK_ROWS = 8000
 ROWS_PER_TASK = 4_000_000
 CODECS = ("raw", "zlib")
 
-# Block layouts: (granularity, coordinate offset, date granularity). Layout 0 holds dense nodes and
-# ways, layout 1 holds plain nodes and relations.
-LAYOUTS = ((100, 0, 1), (50, 500_000, 1000))
+# Block layouts: (granularity, latitude and longitude offset, date granularity). Layout 0 holds dense
+# nodes and ways, layout 1 holds plain nodes and relations.
+LAYOUTS = ((100, 0, 0, 1), (50, 500_000, -2_000_000, 1000))
 
 
 def _day_millis(column: str):

@@ -79,27 +79,34 @@ class _Strings:
     def __getitem__(self, text: str) -> int:
         return self.ids.setdefault(text, len(self.ids))
 
+    def ids_of(self, texts) -> np.ndarray:
+        """Ids of a column of texts; only different ones are looked up."""
+        texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
+        coded = texts.dictionary_encode()
+        own = np.array([self[t] for t in coded.dictionary.to_pylist()], np.int64)
+        return own[coded.indices.to_numpy(zero_copy_only=False)] if len(texts) else np.zeros(0, np.int64)
+
     def encode(self) -> bytes:
         return put(1, b"".join(put(1, s) for s in self.ids))
 
 
-def block(rows: pa.Table, granularity: int, offset: int, date_granularity: int) -> bytes:
+def block(rows: pa.Table, granularity: int, lat_offset: int, lon_offset: int, date_granularity: int) -> bytes:
     """One block: its rows grouped by kind. Coordinates arrive in units of 1e-7 degrees."""
     strings = _Strings()
     groups = b""
     for kind, write in _WRITERS.items():
         of_kind = rows.filter(pc.equal(rows["kind"], kind))
         if of_kind.num_rows:
-            groups += put(2, write(of_kind, strings, granularity, offset, date_granularity))
-    scaling = put(17, granularity) + put(18, date_granularity) + put(19, offset) + put(20, offset)
+            groups += put(2, write(of_kind, strings, granularity, (lat_offset, lon_offset), date_granularity))
+    scaling = put(17, granularity) + put(18, date_granularity) + put(19, lat_offset) + put(20, lon_offset)
     return strings.encode() + groups + scaling
 
 
-def _dense(rows: pa.Table, strings: _Strings, granularity: int, offset: int, date_granularity: int) -> bytes:
+def _dense(rows: pa.Table, strings: _Strings, granularity: int, offsets: tuple[int, int], date_granularity: int) -> bytes:
     def column(name):
         return rows[name].to_numpy()
 
-    users = np.array([strings[u] for u in rows["user"].to_pylist()], np.int64)
+    users = strings.ids_of(rows["user"])
     info = (
         put_array(1, column("version"))
         + put_array(2, column("timestamp") // date_granularity, delta=True, signed=True)
@@ -107,16 +114,20 @@ def _dense(rows: pa.Table, strings: _Strings, granularity: int, offset: int, dat
         + put_array(4, column("uid"), delta=True, signed=True)
         + put_array(5, users, delta=True, signed=True)
     )
-    pairs = []
-    for keys, values in zip(rows["keys"].to_pylist(), rows["values"].to_pylist()):
-        for k, v in zip(keys, values):
-            pairs += (strings[k], strings[v])
-        pairs.append(0)
+    # After each node's keys and values, which alternate, a zero.
+    keys, values = (rows[c].combine_chunks() for c in ("keys", "values"))
+    counts = pc.list_value_length(keys).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(2 * counts + 1)
+    pairs = np.zeros(int(ends[-1]), np.int64)
+    used = np.ones(len(pairs), bool)
+    used[ends - 1] = False
+    at = np.flatnonzero(used)
+    pairs[at[0::2]], pairs[at[1::2]] = strings.ids_of(keys.flatten()), strings.ids_of(values.flatten())
     dense = put_array(1, column("id"), delta=True, signed=True) + put(5, info)
-    for number, name in ((8, "lat_e7"), (9, "lon_e7")):
+    for number, name, offset in zip((8, 9), ("lat_e7", "lon_e7"), offsets):
         units = (column(name) * 100 - offset) // granularity
         dense += put_array(number, units, delta=True, signed=True)
-    return put(2, dense + put_array(10, np.array(pairs, np.int64)))
+    return put(2, dense + put_array(10, pairs))
 
 
 def _common(row: dict, strings: _Strings, date_granularity: int) -> bytes:
@@ -135,16 +146,16 @@ def _differences(values: list[int]) -> list[int]:
     return [zz(b - a) for a, b in zip([0, *values], values)]
 
 
-def _nodes(rows: pa.Table, strings: _Strings, granularity: int, offset: int, date_granularity: int) -> bytes:
+def _nodes(rows: pa.Table, strings: _Strings, granularity: int, offsets: tuple[int, int], date_granularity: int) -> bytes:
     out = []
     for row in rows.to_pylist():
-        lat, lon = ((row[n] * 100 - offset) // granularity for n in ("lat_e7", "lon_e7"))
+        lat, lon = ((row[n] * 100 - offset) // granularity for n, offset in zip(("lat_e7", "lon_e7"), offsets))
         message = put(1, zz(row["id"])) + _common(row, strings, date_granularity)
         out.append(put(1, message + put(8, zz(lat)) + put(9, zz(lon))))
     return b"".join(out)
 
 
-def _ways(rows: pa.Table, strings: _Strings, granularity: int, offset: int, date_granularity: int) -> bytes:
+def _ways(rows: pa.Table, strings: _Strings, granularity: int, offsets: tuple[int, int], date_granularity: int) -> bytes:
     out = []
     for row in rows.to_pylist():
         message = put(1, row["id"]) + _common(row, strings, date_granularity)
@@ -152,7 +163,7 @@ def _ways(rows: pa.Table, strings: _Strings, granularity: int, offset: int, date
     return b"".join(out)
 
 
-def _relations(rows: pa.Table, strings: _Strings, granularity: int, offset: int, date_granularity: int) -> bytes:
+def _relations(rows: pa.Table, strings: _Strings, granularity: int, offsets: tuple[int, int], date_granularity: int) -> bytes:
     out = []
     for row in rows.to_pylist():
         members = row["members"]

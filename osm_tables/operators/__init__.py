@@ -1,6 +1,6 @@
 """Jobs built on the reader."""
 
-from .blob_index import blob_index
+from .blob_index import blob_index, count_at
 from .counts import count_by_type
 
-__all__ = ["blob_index", "count_by_type"]
+__all__ = ["blob_index", "count_at", "count_by_type"]

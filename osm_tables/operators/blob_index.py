@@ -7,12 +7,24 @@ from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..options import ENTITY_TYPES
 from ..plans.splits import FileRange
 from ..schema import to_arrow_schema
-from ..sources.blobs import blobs_of_range
-from ..sources.reader import HEADER_CHUNK, FileSet, over_ranges, planned_files, with_settings
+from ..sources.blobs import DATA_BLOB, blobs_of_range
+from ..sources.decode import count_blob
+from ..sources.files import ReadAhead, file_sizes, to_location
+from ..sources.reader import (
+    DATA_CHUNK,
+    HEADER_CHUNK,
+    FileSet,
+    default_file_system,
+    over_ranges,
+    planned_files,
+    with_settings,
+)
 
 BLOB_SCHEMA = T.StructType(
     [
@@ -52,3 +64,32 @@ def blob_index(
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     return over_ranges(spark, files, walk, BLOB_SCHEMA)
+
+
+def count_at(blobs: DataFrame) -> DataFrame:
+    """(file, entity_type, count) of the data blobs of an index, read only where the index says they are."""
+    spark = blobs.sparkSession
+    default_fs = default_file_system(spark)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name = source = None
+        try:
+            for batch in batches:
+                found = []
+                for file, offset, size in zip(*(c.to_pylist() for c in batch.columns)):
+                    if file != name:
+                        if source is not None:
+                            source.__exit__()
+                        location = to_location(file, default_fs)
+                        name, source = file, ReadAhead(location, file_sizes([location])[0], DATA_CHUNK)
+                    counts = count_blob(source.read(offset, size), frozenset(ENTITY_TYPES))
+                    found += [(file, kind, n) for kind, n in counts.items()]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found)], ["file", "entity_type", "count"])
+        finally:
+            if source is not None:
+                source.__exit__()
+
+    data = blobs.where(F.col("blob_type") == DATA_BLOB).select("file", "data_offset", "datasize")
+    counted = data.mapInArrow(count, "file string, entity_type string, count bigint")
+    return counted.groupBy("file", "entity_type").agg(F.sum("count").alias("count"))

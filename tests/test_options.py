@@ -42,7 +42,7 @@ def test_no_types_means_all(text):
 
 
 def test_unknown_type_lists_valid_names():
-    with pytest.raises(ValueError, match="'area'.*Node,Way,Relation"):
+    with pytest.raises(ValueError, match="'area'.*Node, Way, Relation"):
         OsmReadOptions.parse({"types": "area"})
     with pytest.raises(ValueError):
         OsmReadOptions().with_type("area")

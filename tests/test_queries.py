@@ -5,8 +5,10 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+import osm_tables
 
 QUERIES = {query.__name__: query for query in driver._QUERIES}
 ORACLES = {name: sql for name, sql in driver.oracle_sql().items() if name in QUERIES}
@@ -49,3 +51,23 @@ def test_query_matches_sql(spark, sf_dir, tables, name):
 def test_entry(spark):
     counts = {r["entity_type"]: r["count"] for r in driver.entry(spark).collect()}
     assert counts == {"Node": 6000, "Way": 1500, "Relation": 150}
+
+
+def test_an_index_that_lacks_anything_is_seen(spark, sf_dir, tables):
+    files = driver.entity_files(spark, sf_dir)
+    blobs = osm_tables.blob_index(spark, files).cache()
+
+    def found(index):
+        return Counter(map(tuple, driver.index_stats(spark, files, index).collect()))
+
+    right = found(blobs)
+    columns = ["codec", "entity_type", "n", "bad_headers", "bytes_left_out"]
+    expected = tables.sql(ORACLES["blob_index_stats"]).select(*columns).fetchall()
+    assert right == Counter(expected)
+    first = blobs.where("blob_type = 'OSMData'").orderBy("file", "offset").first()
+    one = (F.col("file") == first["file"]) & (F.col("offset") == first["offset"])
+    end = blobs.groupBy("file").agg(F.max("offset").alias("offset")).orderBy("file").first()
+    tail = (F.col("file") == end["file"]) & (F.col("offset") == end["offset"])
+    for lacking in (one, tail, F.col("file") == first["file"], F.col("blob_type") == "OSMData", F.col("blob_type") == "OSMHeader"):
+        assert found(blobs.where(~lacking)) != right
+    blobs.unpersist()
