@@ -6,14 +6,11 @@ of ``documents``.
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from osm_tables.llm import language, near, packing, quality
 from osm_tables.llm.queries import held_out, ship, table, tokenizer_path
-from osm_tables.llm.shared import checkpoint_dir
+from osm_tables.llm.shared import new_table
 
 #: A text of which less than this share of the trigrams belongs to one learned language is rejected.
 MIN_LANGUAGE_SCORE = 0.2
@@ -61,7 +58,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again."""
     docs = table(spark, sf_dir, "documents")
-    place = os.path.join(checkpoint_dir(spark), f"pipeline-{uuid.uuid4().hex}")
+    place = new_table(spark, "pipeline")
     for i, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{place}/{i}-{name}")
         docs = spark.read.parquet(f"{place}/{i}-{name}")

@@ -32,9 +32,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def new_table(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder, which goes when the session's process ends."""
+    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` computed once and kept as a table in the shared folder; for rows worth compressing."""
-    path = os.path.join(checkpoint_dir(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
+    path = new_table(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
