@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import io
 import tempfile
 import uuid
@@ -23,7 +24,15 @@ def new_shared_directory(spark: SparkSession, name: str) -> str:
         shared = tempfile.mkdtemp(prefix="osm-fixtures-")
     if shared.startswith("file:/") and not shared.startswith("file://"):
         shared = "file://" + shared[len("file:") :]  # as Arrow spells it
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    directory = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_remove, directory)
+    return directory
+
+
+def _remove(directory: str) -> None:
+    system, root = fs.FileSystem.from_uri(directory)
+    if system.get_file_info(root).type == fs.FileType.Directory:
+        system.delete_dir(root)
 
 
 def ship_packages(spark: SparkSession, directory: str, *packages: str) -> None:
