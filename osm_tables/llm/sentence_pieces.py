@@ -29,11 +29,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 SPACE = "▁"
-#: Words remembered in a worker; then it starts anew.
-REMEMBERED = 600_000
+#: Words remembered in a worker.
+REMEMBERED = 1_000_000
 #: Weight of a byte piece, above that of any other way.
 _BYTE_WEIGHT = 1e6
-_BEGIN, _BROKEN = -1, -2  # what ends where a text begins, and where bytes end: any piece may follow
+# What ends where a text begins, and where bytes end (any piece may follow), and nothing yet.
+_BEGIN, _BROKEN, _NONE = -1, -2, -3
 
 
 class Transducer:
@@ -56,14 +57,27 @@ class Transducer:
         self.unknown = kind.index(kinds.UNKNOWN)
         self.byte = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == kinds.BYTE}
         self.byte_value = {i: b for b, i in self.byte.items()}
-        self.silent = {i for i, k in enumerate(kind) if k == kinds.CONTROL}
         self.ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type in (kinds.NORMAL, kinds.USER_DEFINED)}
-        self.openings = {x[:k] for x in self.ids for k in range(1, len(x))}
+        self.rank = {x: self.weights[i] for x, i in self.ids.items()}
+        self.compile_arcs()
         inner = [x.lstrip(SPACE) for x in self.ids]
         words = not any(SPACE in x or "\n" in x for x in inner)
         self.parts = re.compile(rf"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+" if words else r"(?s).+")
         self.follows: dict[int, bool] = {}
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = _Words(self.path)
+        self.own = list(range(len(self.names)))  # one object for each id, however often it is kept
+        space = " " if self.escape else SPACE
+        self.raw = [p.replace(SPACE, space).encode() for p in self.names]
+        for i, k in enumerate(kind):
+            if i in self.byte_value:
+                self.raw[i] = bytes([self.byte_value[i]])
+            elif k == kinds.CONTROL:
+                self.raw[i] = b""
+
+    def compile_arcs(self) -> None:
+        """For each text that a piece is or begins with: twice the piece (-2 if none), plus 1 if longer ones begin so."""
+        openings = {x[:k] for x in self.ids for k in range(1, len(x))}
+        self.arcs = {x: 2 * self.ids.get(x, -1) + (x in openings) for x in openings | self.ids.keys()}
 
     def normalised(self, text: str) -> str:
         if self.squeeze:
@@ -75,19 +89,26 @@ class Transducer:
 
     def merged(self, text: str) -> list[str]:
         """What merging gives: again and again the neighbours that make the piece of least weight, the first of equals."""
-        parts = list(text)
-        while True:
-            found = [(self.weights[i], k) for k in range(len(parts) - 1) if (i := self.ids.get(parts[k] + parts[k + 1])) is not None]
-            if not found:
-                return parts
-            k = min(found)[1]
+        parts, rank = list(text), self.rank.get
+        ranks = [rank(x + y, inf) for x, y in zip(parts, parts[1:])]
+        while ranks:
+            least = min(ranks)
+            if least == inf:
+                break
+            k = ranks.index(least)
             parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            del ranks[k]
+            if k:
+                ranks[k - 1] = rank(parts[k - 1] + parts[k], inf)
+            if k < len(ranks):
+                ranks[k] = rank(parts[k] + parts[k + 1], inf)
+        return parts
 
     def may_follow(self, before: int, piece: int) -> bool:
         key = before * len(self.names) + piece
         allowed = self.follows.get(key)
         if allowed is None:
-            if len(self.follows) > 2 * REMEMBERED:
+            if len(self.follows) > REMEMBERED:
                 self.follows.clear()
             own = [self.names[piece]] if before < 0 else [self.names[before], self.names[piece]]
             allowed = self.follows[key] = not self.merging or self.merged("".join(own)) == own
@@ -99,67 +120,86 @@ class Transducer:
         Of the states at one place only the best is kept: merging leaves one, and without merging
         what follows does not depend on the piece before.
         """
-        n, ids, openings = len(text), self.ids, self.openings
-        weight, back, last = array("d", [inf]) * (n + 1), array("i", [0]) * (n + 1), array("i", [0]) * (n + 1)
-        weight[0], last[0] = 0.0, _BEGIN
-        for i in range(n):
-            here, before = weight[i], last[i]
-            if here == inf:
-                continue
-            j = i
-            while j < n:
-                j += 1
-                part = text[i:j]
-                piece = ids.get(part)
-                if piece is not None:
-                    total = here if self.merging else here + self.weights[piece]
-                    if total < weight[j] and self.may_follow(before, piece):
-                        weight[j], back[j], last[j] = total, i, piece
-                elif j == i + 1 and here + _BYTE_WEIGHT < weight[j]:
-                    weight[j], back[j], last[j] = here + _BYTE_WEIGHT, i, _BROKEN
-                if part not in openings:
-                    break
+        back, last = (self._merging_states if self.merging else self._weighted_states)(text)
         out: list[int] = []
-        at = n
+        at = len(text)
         while at:
             begin, piece = back[at], last[at]
             if piece == _BROKEN:
                 raw = text[begin:at].encode("utf-8", "replace")
                 out += [self.byte[b] for b in raw[::-1]] if self.byte else [self.unknown]
             else:
-                out.append(piece)
+                out.append(self.own[piece])
             at = begin
         return tuple(out[::-1])
 
+    def _merging_states(self, text: str) -> tuple[array, array]:
+        """For each place where the piece that ends there begins, and that piece."""
+        n, arcs, follows, size = len(text), self.arcs, self.follows, len(self.names)
+        back, last = array("i", bytes(4 * (n + 1))), array("i", [_NONE]) * (n + 1)
+        last[0] = _BEGIN
+        for i in range(n):
+            before, j = last[i], i + 1
+            code = arcs.get(text[i])
+            if code is None or code < 0:
+                if last[j] == _NONE:
+                    back[j], last[j] = i, _BROKEN
+            while code is not None:
+                if code >= 0 and last[j] == _NONE:
+                    piece = code >> 1
+                    allowed = follows.get(before * size + piece)
+                    if allowed if allowed is not None else self.may_follow(before, piece):
+                        back[j], last[j] = i, piece
+                if j == n or not code & 1:
+                    break
+                j += 1
+                code = arcs.get(text[i:j])
+        return back, last
+
+    def _weighted_states(self, text: str) -> tuple[array, array]:
+        n, arcs = len(text), self.arcs
+        weight, back, last = array("d", [inf]) * (n + 1), array("i", bytes(4 * (n + 1))), array("i", [_NONE]) * (n + 1)
+        weight[0] = 0.0
+        for i in range(n):
+            j = i + 1
+            code = arcs.get(text[i])
+            if (code is None or code < 0) and weight[i] + _BYTE_WEIGHT < weight[j]:
+                weight[j], back[j], last[j] = weight[i] + _BYTE_WEIGHT, i, _BROKEN
+            while code is not None:
+                if code >= 0 and weight[i] + self.weights[code >> 1] < weight[j]:
+                    weight[j], back[j], last[j] = weight[i] + self.weights[code >> 1], i, code >> 1
+                if j == n or not code & 1:
+                    break
+                j += 1
+                code = arcs.get(text[i:j])
+        return back, last
+
     def encode(self, text: str) -> list[int]:
-        known, parts = self.known, self.parts.findall(self.normalised(text))
-        try:
-            return list(chain.from_iterable([known[p] for p in parts]))
-        except KeyError:
-            if len(known) > REMEMBERED:
-                known.clear()
-        out: list[int] = []
-        for part in parts:
-            ids = known.get(part)
-            if ids is None:
-                ids = self.path(part)
-                if len(part) < 100:
-                    known[part] = ids
-            out += ids
-        return out
+        return list(chain.from_iterable(map(self.known.__getitem__, self.parts.findall(self.normalised(text)))))
 
     def decode(self, ids: list[int]) -> str:
-        if not self.byte_value.keys().isdisjoint(ids):
-            raw = b"".join(
-                bytes([self.byte_value[i]]) if i in self.byte_value else b"" if i in self.silent else self.names[i].encode() for i in ids
-            )
-            text = raw.decode("utf-8", "replace")
-        else:
-            text = "".join([self.names[i] for i in ids if i not in self.silent])
-        text = text.replace(SPACE, " ") if self.escape else text
+        text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
+class _Words(dict):
+    """Ids of the words met lately: the newer half of them, and the half before."""
+
+    def __init__(self, path):
+        self._path, self._older = path, {}
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        ids = self._older.get(word)
+        if ids is None:
+            ids = self._path(word)
+        if len(word) < 100:
+            if len(self) >= REMEMBERED // 2:
+                self._older = dict(self)
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 @lru_cache(2)
 def compiled(path: str) -> Transducer:
     return Transducer(path)

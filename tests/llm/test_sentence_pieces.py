@@ -50,7 +50,7 @@ def test_weights_alone_decide_without_merging():
     transducer.merging = False
     transducer.names = ["<unk>", *"abc", "ab", "bc", "abc", "ca", "aab"]
     transducer.ids = {x: i for i, x in enumerate(transducer.names) if i}
-    transducer.openings = {x[:k] for x in transducer.ids for k in range(1, len(x))}
+    transducer.compile_arcs()
     transducer.weights = [0.0] + [rng.uniform(1, 5) for _ in transducer.ids]
 
     def ways(text):
