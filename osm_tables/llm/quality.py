@@ -1,9 +1,12 @@
 """Quality rules: how much more a text looks like trusted documents than like the raw corpus.
 
-Words and pairs of words are hashed into ``buckets``. Two multinomials over the buckets are counted:
-one over trusted documents, one over all documents. A text's score is the mean over its n-grams of
-``ln(p_trusted / p_raw)``; it is kept if simple rules hold and the score reaches ``threshold``. The
-same text always gets the same verdict.
+A text is cut into tokens, runs of punctuation and runs of anything else between white space, so that
+odd marks count whatever word they cling to. Tokens and pairs of tokens are hashed into ``buckets``.
+Two multinomials over the buckets are counted: one over trusted documents, one over all documents,
+whose counts are scaled to the number of trusted tokens; both get ``prior`` added to each bucket, so
+that a bucket says little while few tokens are expected in it. A text's score is the mean over its
+n-grams of ``ln(p_trusted / p_raw)``; it is kept if simple rules hold and the score reaches
+``threshold``. The same text always gets the same verdict.
 
 Everything is DataFrame functions. The counts are summed before they are shuffled, and only the
 ``buckets`` weights, one array, reach the tasks, as a scalar subquery; texts are never shuffled.
@@ -17,10 +20,12 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 14
 #: Trusted documents are at most so many of the labelled ones, those with the smallest hashed ids.
 MAX_TRUSTED = 20_000
-THRESHOLD = -0.05
+THRESHOLD = -0.35
+PRIOR = 5.0
 MIN_WORDS = 50
 _WORD = r"[^\x20\x09-\x0D]"
 _SYMBOL = r"[#*$%&|<>]+"
+_PUNCTUATION = r"([!-/:-@\[-`{-~]+)"
 _PLACE_BITS = 21
 _PLACE = (1 << _PLACE_BITS) - 1
 
@@ -35,6 +40,10 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(one_space, " ", -1), "")
 
 
+def tokens_of(text: Column) -> Column:
+    return words_of(F.regexp_replace(text, _PUNCTUATION, " $1 "))
+
+
 def hashes_of(words: Column) -> Column:
     return F.transform(words, lambda x: F.xxhash64(x))
 
@@ -87,7 +96,9 @@ def repeated_words(words: Column, hashes: Column, pairs: Column) -> Column:
     return F.when(F.size(words) <= _PLACE, packed).otherwise(wide)
 
 
-def ngram_weights(docs: DataFrame, labels: DataFrame, *, buckets: int = BUCKETS, max_trusted: int = MAX_TRUSTED) -> DataFrame:
+def ngram_weights(
+    docs: DataFrame, labels: DataFrame, *, buckets: int = BUCKETS, max_trusted: int = MAX_TRUSTED, prior: float = PRIOR
+) -> DataFrame:
     """One row, one array: ``ln(p_trusted / p_raw)`` of each bucket.
 
     Trusted are the documents that ``labels`` (doc_id, quality) gives quality 1, ``max_trusted`` of
@@ -98,7 +109,7 @@ def ngram_weights(docs: DataFrame, labels: DataFrame, *, buckets: int = BUCKETS,
     trusted = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__trusted")).distinct()
     trusted = trusted.orderBy(F.xxhash64("__trusted"), "__trusted").limit(max_trusted)
     own = docs.select("doc_id", "text").join(F.broadcast(trusted), F.col("doc_id") == F.col("__trusted"), "left")
-    own = own.select(F.col("__trusted").isNotNull().cast("long").alias("trusted"), hashes_of(words_of(F.col("text"))).alias("h"))
+    own = own.select(F.col("__trusted").isNotNull().cast("long").alias("trusted"), hashes_of(tokens_of(F.col("text"))).alias("h"))
     grams = own.select("trusted", F.explode(F.concat("h", pairs_of(F.col("h")))).alias("h"))
     grams = grams.select("trusted", F.col("h").bitwiseAND(F.lit(buckets - 1)).cast("int").alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("good"))
@@ -107,14 +118,20 @@ def ngram_weights(docs: DataFrame, labels: DataFrame, *, buckets: int = BUCKETS,
     listed = counts.agg(F.sort_array(F.collect_list(F.struct("bucket", "raw", "good"))).alias("c"), F.sum("raw").alias("n_raw"), F.sum("good").alias("n_good"))
 
     def weight(x: Column) -> Column:
-        good = F.ln((x["good"] + 1) / (F.col("n_good") + buckets))
-        return F.when(F.col("n_good") > 0, good - F.ln((x["raw"] + 1) / (F.col("n_raw") + buckets))).otherwise(F.lit(0.0))
+        expected = x["raw"] * F.col("n_good") / F.col("n_raw")
+        return F.when(F.col("n_good") > 0, F.ln((x["good"] + prior) / (expected + prior))).otherwise(F.lit(0.0))
 
     return listed.select(F.transform("c", lambda x: weight(x).cast("float")).alias("weights"))
 
 
 def judge(
-    docs: DataFrame, labels: DataFrame, *, buckets: int = BUCKETS, max_trusted: int = MAX_TRUSTED, threshold: float = THRESHOLD
+    docs: DataFrame,
+    labels: DataFrame,
+    *,
+    buckets: int = BUCKETS,
+    max_trusted: int = MAX_TRUSTED,
+    prior: float = PRIOR,
+    threshold: float = THRESHOLD,
 ) -> DataFrame:
     """``docs`` with a struct ``verdict``: n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, score (null without words) and kept.
@@ -123,16 +140,17 @@ def judge(
     same verdict each. Ties at the threshold are kept. Other columns pass through unread; one called
     ``verdict`` is replaced. With no trusted label only the rules decide.
     """
-    weights = ngram_weights(docs, labels, buckets=buckets, max_trusted=max_trusted).scalar()
+    weights = ngram_weights(docs, labels, buckets=buckets, max_trusted=max_trusted, prior=prior).scalar()
     text = F.coalesce(F.col("text"), F.lit(""))
     counted = docs.withColumn("__w", words_of(F.col("text"))).withColumn("__weights", weights)
     counted = counted.withColumn("__h", hashes_of(F.col("__w"))).withColumn("__p", pairs_of(F.col("__h")))
+    counted = counted.withColumn("__t", hashes_of(tokens_of(F.col("text")))).withColumn("__q", pairs_of(F.col("__t")))
 
     def log_ratio(hashes: str) -> Column:
         bucket = lambda x: x.bitwiseAND(F.lit(buckets - 1)).cast("int")
         return F.aggregate(hashes, F.lit(0.0), lambda a, x: a + F.col("__weights")[bucket(x)])
 
-    total = (log_ratio("__h") + log_ratio("__p")) / (F.size("__h") + F.size("__p"))
+    total = (log_ratio("__t") + log_ratio("__q")) / (F.size("__t") + F.size("__q"))
     counted = counted.withColumn(
         "__v",
         F.struct(
@@ -150,4 +168,4 @@ def judge(
         x["score"].alias("score"),
         ((x["n_words"] >= MIN_WORDS) & (100 * x["n_repeat_words"] <= 50 * x["n_words"]) & (x["score"] >= threshold)).alias("kept"),
     ))
-    return counted.withColumn("verdict", verdict).drop("__w", "__h", "__p", "__weights", "__v")
+    return counted.withColumn("verdict", verdict).drop("__w", "__h", "__p", "__t", "__q", "__weights", "__v")

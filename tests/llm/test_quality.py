@@ -20,7 +20,8 @@ def base_columns(text):
 
 
 def buckets_of(text, size):
-    h = [signed(xx(w)) for w in words(text)]
+    tokens = [t for w in words(text) for t in re.findall(r"[!-/:-@\[-`{-~]+|[^!-/:-@\[-`{-~]+", w)]
+    h = [signed(xx(t)) for t in tokens]
     pairs = [xx(("long", b), xx(("long", a))) for a, b in zip(h, h[1:])]
     return [x & (size - 1) for x in h] + [x & (size - 1) for x in pairs]
 
@@ -42,9 +43,8 @@ def test_every_value_against_brute_force(spark):
         raw.update(grams)
         if doc in (100, 101):
             good.update(grams)
-    weight = [
-        math.log((good[b] + 1) / (good.total() + size)) - math.log((raw[b] + 1) / (raw.total() + size)) for b in range(size)
-    ]
+    scale = good.total() / raw.total()
+    weight = [math.log((good[b] + Q.PRIOR) / (raw[b] * scale + Q.PRIOR)) for b in range(size)]
     found = rows_with_base(spark, rows, LABELS, buckets=size, threshold=-0.1)
     assert len(found) == len(rows)
     for r in found:
@@ -89,3 +89,15 @@ def test_plan_has_no_python(spark):
     judged = Q.judge(spark.createDataFrame(odd_docs(), DOCS), spark.createDataFrame(LABELS, "doc_id bigint, quality int"))
     plan = judged._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_junk_is_told_from_prose_at_every_size(spark, sf):
+    """Odd marks, tables and shouting score far below the threshold, plain prose far above it."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").repartition(8)
+    found = Q.judge(docs, spark.read.parquet(f"/root/testdata/{sf}/labels.parquet")).select("text", "verdict.*").toPandas()
+    found = found[~found.base_failed]
+    junk = found.text.str.contains(r"\| .* \| .* \||%%%|!! .*!! |\$\$\$", regex=True)
+    assert found.score[junk].max() < Q.THRESHOLD - 0.2
+    assert found.score[~junk].quantile(0.001) > Q.THRESHOLD + 0.2
+    assert (found.kept == ~junk).mean() > 0.999
