@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -40,14 +41,19 @@ def put_list(number: int, values) -> bytes:
     return put(number, b"".join(map(uvarint, values)))
 
 
-def put_array(number: int, values: np.ndarray, delta: bool = False, signed: bool = False) -> bytes:
-    """A packed field from an int64 array, optionally as zigzag numbers and as differences."""
-    values = np.asarray(values, np.int64)
-    if delta:
-        values = np.diff(values, prepend=np.int64(0))
-    if signed:
-        values = np.where(values >= 0, values * 2, values * -2 - 1)
-    rest = values.astype(np.uint64)
+class Pieces(NamedTuple):
+    """Bytes of many items, end to end, and how many each of them has."""
+
+    data: np.ndarray
+    sizes: np.ndarray
+
+
+def zigzag(values: np.ndarray) -> np.ndarray:
+    return np.where(values >= 0, values * 2, values * -2 - 1)
+
+
+def varints(values: np.ndarray) -> Pieces:
+    rest = np.asarray(values, np.int64).astype(np.uint64)
     groups = np.empty((len(rest), 10), np.uint8)
     used = np.ones(len(rest), np.int64)
     for k in range(10):
@@ -56,7 +62,52 @@ def put_array(number: int, values: np.ndarray, delta: bool = False, signed: bool
         used += rest > 0
     column = np.arange(10)
     groups[column < (used - 1)[:, None]] |= 128
-    return put(number, groups[column < used[:, None]].tobytes())
+    return Pieces(groups[column < used[:, None]], used)
+
+
+def put_array(number: int, values: np.ndarray, delta: bool = False, signed: bool = False) -> bytes:
+    """A packed field from an int64 array, optionally as zigzag numbers and as differences."""
+    values = np.asarray(values, np.int64)
+    if delta:
+        values = np.diff(values, prepend=np.int64(0))
+    return put(number, varints(zigzag(values) if signed else values).data.tobytes())
+
+
+def joined(*parts: Pieces) -> Pieces:
+    """For every item its bytes from all ``parts``, one after another."""
+    sizes = np.sum([p.sizes for p in parts], axis=0)
+    data = np.empty(int(sizes.sum()), np.uint8)
+    at = np.cumsum(sizes) - sizes
+    for part in parts:
+        within = np.arange(len(part.data)) - np.repeat(np.cumsum(part.sizes) - part.sizes, part.sizes)
+        data[np.repeat(at, part.sizes) + within] = part.data
+        at = at + part.sizes
+    return Pieces(data, sizes)
+
+
+def _only(pieces: Pieces, present: np.ndarray | None) -> Pieces:
+    if present is None:
+        return pieces
+    return Pieces(pieces.data[np.repeat(present, pieces.sizes)], np.where(present, pieces.sizes, 0))
+
+
+def _keys(number: int, n: int) -> Pieces:
+    return varints(np.full(n, number))
+
+
+def number_field(number: int, values: np.ndarray) -> Pieces:
+    return joined(_keys(number * 8, len(values)), varints(values))
+
+
+def bytes_field(number: int, content: Pieces, present: np.ndarray | None = None) -> Pieces:
+    """``content`` as a field of every item, or of those that are ``present``."""
+    return _only(joined(_keys(number * 8 + 2, len(content.sizes)), varints(content.sizes), content), present)
+
+
+def per_row(pieces: Pieces, counts: np.ndarray) -> Pieces:
+    """Items put together to rows of ``counts`` items."""
+    ends = np.concatenate(([0], np.cumsum(pieces.sizes)))[np.concatenate(([0], np.cumsum(counts)))]
+    return Pieces(pieces.data, np.diff(ends))
 
 
 def blob(blob_type: str, block: bytes, codec: str) -> bytes:
@@ -115,14 +166,13 @@ def _dense(rows: pa.Table, strings: _Strings, granularity: int, offsets: tuple[i
         + put_array(5, users, delta=True, signed=True)
     )
     # After each node's keys and values, which alternate, a zero.
-    keys, values = (rows[c].combine_chunks() for c in ("keys", "values"))
-    counts = pc.list_value_length(keys).to_numpy(zero_copy_only=False).astype(np.int64)
+    (keys, counts), (values, _) = (_lists(rows[c]) for c in ("keys", "values"))
     ends = np.cumsum(2 * counts + 1)
     pairs = np.zeros(int(ends[-1]), np.int64)
     used = np.ones(len(pairs), bool)
     used[ends - 1] = False
     at = np.flatnonzero(used)
-    pairs[at[0::2]], pairs[at[1::2]] = strings.ids_of(keys.flatten()), strings.ids_of(values.flatten())
+    pairs[at[0::2]], pairs[at[1::2]] = strings.ids_of(keys), strings.ids_of(values)
     dense = put_array(1, column("id"), delta=True, signed=True) + put(5, info)
     for number, name, offset in zip((8, 9), ("lat_e7", "lon_e7"), offsets):
         units = (column(name) * 100 - offset) // granularity
@@ -130,48 +180,68 @@ def _dense(rows: pa.Table, strings: _Strings, granularity: int, offsets: tuple[i
     return put(2, dense + put_array(10, pairs))
 
 
-def _common(row: dict, strings: _Strings, date_granularity: int) -> bytes:
-    out = b""
-    if row["keys"]:
-        out += put_list(2, [strings[k] for k in row["keys"]])
-        out += put_list(3, [strings[v] for v in row["values"]])
-    if row["has_info"]:
-        info = put(1, row["version"]) + put(2, row["timestamp"] // date_granularity)
-        info += put(3, row["changeset"]) + put(4, row["uid"]) + put(5, strings[row["user"]])
-        out += put(4, info)
-    return out
+def _lists(column: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    """The elements of all lists, and how many each list has."""
+    lists = column.combine_chunks()
+    return lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def _differences(values: list[int]) -> list[int]:
-    return [zz(b - a) for a, b in zip([0, *values], values)]
+def _differences(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    out = np.diff(values, prepend=np.int64(0))
+    first = (np.cumsum(counts) - counts)[counts > 0]
+    out[first] = values[first]
+    return zigzag(out)
+
+
+def _common(rows: pa.Table, strings: _Strings, date_granularity: int) -> Pieces:
+    """Tags and info of entities that are messages of their own."""
+
+    def column(name):
+        return rows[name].to_numpy()
+
+    parts = []
+    for number, name in ((2, "keys"), (3, "values")):
+        texts, counts = _lists(rows[name])
+        parts.append(bytes_field(number, per_row(varints(strings.ids_of(texts)), counts), counts > 0))
+    info = joined(
+        number_field(1, column("version")),
+        number_field(2, column("timestamp") // date_granularity),
+        number_field(3, column("changeset")),
+        number_field(4, column("uid")),
+        number_field(5, strings.ids_of(rows["user"])),
+    )
+    return joined(*parts, bytes_field(4, info, column("has_info").astype(bool)))
 
 
 def _nodes(rows: pa.Table, strings: _Strings, granularity: int, offsets: tuple[int, int], date_granularity: int) -> bytes:
-    out = []
-    for row in rows.to_pylist():
-        lat, lon = ((row[n] * 100 - offset) // granularity for n, offset in zip(("lat_e7", "lon_e7"), offsets))
-        message = put(1, zz(row["id"])) + _common(row, strings, date_granularity)
-        out.append(put(1, message + put(8, zz(lat)) + put(9, zz(lon))))
-    return b"".join(out)
+    lat, lon = ((rows[n].to_numpy() * 100 - offset) // granularity for n, offset in zip(("lat_e7", "lon_e7"), offsets))
+    message = joined(
+        number_field(1, zigzag(rows["id"].to_numpy())),
+        _common(rows, strings, date_granularity),
+        number_field(8, zigzag(lat)),
+        number_field(9, zigzag(lon)),
+    )
+    return bytes_field(1, message).data.tobytes()
 
 
 def _ways(rows: pa.Table, strings: _Strings, granularity: int, offsets: tuple[int, int], date_granularity: int) -> bytes:
-    out = []
-    for row in rows.to_pylist():
-        message = put(1, row["id"]) + _common(row, strings, date_granularity)
-        out.append(put(3, message + put_list(8, _differences(row["refs"]))))
-    return b"".join(out)
+    refs, counts = _lists(rows["refs"])
+    refs = per_row(varints(_differences(refs.to_numpy(zero_copy_only=False), counts)), counts)
+    message = joined(number_field(1, rows["id"].to_numpy()), _common(rows, strings, date_granularity), bytes_field(8, refs))
+    return bytes_field(3, message).data.tobytes()
 
 
 def _relations(rows: pa.Table, strings: _Strings, granularity: int, offsets: tuple[int, int], date_granularity: int) -> bytes:
-    out = []
-    for row in rows.to_pylist():
-        members = row["members"]
-        message = put(1, row["id"]) + _common(row, strings, date_granularity)
-        message += put_list(8, [strings[m["role"]] for m in members])
-        message += put_list(9, _differences([m["id"] for m in members]))
-        out.append(put(4, message + put_list(10, [m["type"] for m in members])))
-    return b"".join(out)
+    members, counts = _lists(rows["members"])
+    ids, types = (members.field(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("id", "type"))
+    message = joined(
+        number_field(1, rows["id"].to_numpy()),
+        _common(rows, strings, date_granularity),
+        bytes_field(8, per_row(varints(strings.ids_of(members.field("role"))), counts)),
+        bytes_field(9, per_row(varints(_differences(ids, counts)), counts)),
+        bytes_field(10, per_row(varints(types), counts)),
+    )
+    return bytes_field(4, message).data.tobytes()
 
 
 _WRITERS = {DENSE_NODE: _dense, PLAIN_NODE: _nodes, WAY: _ways, RELATION: _relations}
