@@ -40,6 +40,8 @@ CONTEXTS = 2048
 HOT = 1024
 #: Tokens of a batch, about, and rows at most (their numbers take 16 bits).
 BATCH_TOKENS, BATCH_ROWS = 1_000_000, 60_000
+#: Training tokens of a part at most, about; there are more parts than shuffle partitions if need be.
+PART_TOKENS = 4_000_000
 _END = np.uint64(0x5851F42D4C957F2D)
 _TRAIN = np.uint16(1 << 15)
 
@@ -375,6 +377,7 @@ def score_documents(docs: DataFrame, held_out: Column, **parameters) -> DataFram
     for r in seen.where("kind = 0").collect():
         customers[r["id"]] = r["n"]
     tokens = int(customers.sum())
+    settings.parts = max(settings.parts, -(-tokens // PART_TOKENS))
     frequent = seen.where((F.col("kind") == 1) & (F.col("n") * HOT > tokens)).orderBy(F.desc("n"), "id").limit(HOT).collect()
     settings.hot = np.sort(np.array([r["id"] for r in frequent], np.int64).view(np.uint64))
 
