@@ -38,6 +38,8 @@ RECALL = 0.9999
 BLOCK = 512
 #: Shingles of a block together, about; more blocks are made where texts are long.
 BLOCK_SHINGLES = 1_000_000
+#: A set with more than this part of the rows, 1 / HOT, is one of many copies.
+HOT = 1000
 #: A pair's signatures must agree in this part of the threshold; a pair at the threshold fails by 5 sigma.
 _ROUGH = 0.75
 
@@ -340,11 +342,20 @@ def jaccard_classes(
     known = sets.select("set_id", "weight", "least").join(tied, "set_id", "left").join(counted, "set_id", "left")
     known = known.select(
         "set_id",
+        "weight",
         F.coalesce("class_key", "set_id").alias("class_key"),
         F.when(F.col("class_key").isNull(), F.col("least")).otherwise(F.col("class_id")).alias("class_id"),
         (F.col("weight") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
     )
-    joined = full.select("doc_id", "text_id", "set_id", "n").join(known, "set_id")
+    known = shared.checkpointed(known)
+    # Sets of many copies, less than HOT of them, are looked up where the rows are; the others meet by set.
+    total = F.lit(full.count())
+    many = known.where(F.col("weight") * HOT > total).drop("weight")
+    few = known.where(F.col("weight") * HOT <= total).drop("weight")
+    own = full.select("doc_id", "text_id", "set_id", "n")
+    joined = own.join(F.broadcast(many), "set_id").unionByName(
+        own.join(F.broadcast(many.select("set_id")), "set_id", "left_anti").join(few, "set_id")
+    )
     empty = rows.where("n = 0").select("set_id", "doc_id", "text_id", "n", F.col("set_id").alias("class_key"), F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"))
     out = joined.unionByName(empty)
     return out.select("doc_id", "text_id", "set_id", F.col("n").alias("n_shingles"), "class_key", "class_id", "n_links")

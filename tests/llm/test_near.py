@@ -62,9 +62,10 @@ def order(rows):
     return sorted(rows, key=str)
 
 
-@pytest.mark.parametrize("block", [512, 4])
-def test_classes_and_links_against_brute_force(spark, monkeypatch, block):
+@pytest.mark.parametrize(("block", "hot"), [(512, 1000), (4, 1), (512, 30)])
+def test_classes_and_links_against_brute_force(spark, monkeypatch, block, hot):
     monkeypatch.setattr(near, "BLOCK", block)
+    monkeypatch.setattr(near, "HOT", hot)
     rows = planted()
     docs = spark.createDataFrame(rows, DOCS).repartition(5)
     found = near.jaccard_classes(docs).select("doc_id", "n_shingles", "class_id", "n_links").collect()
