@@ -1,8 +1,8 @@
 """Entity files from the driver's tables, written by a Spark job.
 
 Every line item becomes a node, every order a way, every customer a relation. Each entity is made from
-its own row alone, so there is no join and no group that a frequent key could swell; rows are dealt
-out evenly over the writing tasks, and a task holds one unfinished block per layout and codec.
+its own row alone, so there is no join, no shuffle and no group that a frequent key could swell; a task
+writes the rows of one partition of a table and holds one unfinished block per layout and codec.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ from . import writer
 from .shipping import new_shared_directory
 
 BLOCK_ROWS = 8000
-ROWS_PER_TASK = 4_000_000
 CODECS = ("raw", "zlib")
 
 # Block layouts: (granularity, latitude and longitude offset, date granularity). Layout 0 holds dense
@@ -210,10 +209,9 @@ def write_entity_files(spark: SparkSession, sf_dir: str) -> list[str]:
 
     sources = {"lineitem": _nodes, "orders": _ways, "customer": _relations}
     tables = {name: spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")) for name in sources}
-    rows = sum(t.count() for t in tables.values())
-    n_tasks = max(spark.sparkContext.defaultParallelism, -(-rows // ROWS_PER_TASK))
     nodes, ways, relations = (make(tables[name]) for name, make in sources.items())
-    entities = nodes.unionByName(ways).unionByName(relations).repartition(n_tasks)
+    # The tables' own partitions write the files; nothing is shuffled.
+    entities = nodes.unionByName(ways).unionByName(relations)
     entities.mapInArrow(_write_files(directory), "n_rows long").write.format("noop").mode(
         "overwrite"
     ).save()
