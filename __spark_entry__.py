@@ -312,7 +312,13 @@ SELECTIONS = {
 
 
 def full_scan(spark, sf_dir):
-    """Every column of every selected entity, drawn into one row per selection."""
+    """Every column of every selected entity, drawn into one row per selection: sizes, contents and their order."""
+
+    def content_sum(entities, column, alias, value):
+        if column not in entities.columns:
+            return F.lit(None).cast("long").alias(alias)
+        each = F.transform(column, lambda x, i: (i + 1) * value(x).cast("long"))
+        return F.sum(F.aggregate(each, F.lit(0).cast("long"), lambda a, x: a + x)).alias(alias)
 
     def size_sum(entities, column, alias):
         size = F.sum(F.array_size(column)) if column in entities.columns else F.lit(None)
@@ -339,6 +345,12 @@ def full_scan(spark, sf_dir):
             number_sum(entities, "longitude", "lon_check"),
             size_sum(entities, "nodes", "n_refs"),
             size_sum(entities, "members", "n_members"),
+            content_sum(entities, "tags", "tag_check", lambda x: 7 * F.length(x["key"]) + 13 * F.length(x["value"])),
+            content_sum(entities, "nodes", "ref_check", lambda x: x["nodeId"] % 1009),
+            content_sum(
+                entities, "members", "member_check",
+                lambda x: x["member_id"] % 1009 + F.length(x["role"]) + 3 * F.length(x["type"]),
+            ),
         )
         scans = scan if scans is None else scans.unionByName(scan)
     return scans
@@ -579,7 +591,22 @@ _SELECTION_TOTALS = f"""
     SELECT 'AllEntities' AS selection, * FROM each
     UNION ALL
     SELECT entity_type || 'sOnly', * FROM each
+), inside AS (
+    SELECT entity_type, (pos + 1) * (7 * length(key) + 13 * length(value)) AS tag,
+           CAST(NULL AS BIGINT) AS ref, CAST(NULL AS BIGINT) AS member FROM tag
+    UNION ALL
+    SELECT 'Way', NULL, ("index" + 1) * (node_id % 1009), NULL FROM way_node
+    UNION ALL
+    SELECT 'Relation', NULL, NULL,
+           (pos + 1) * (member_id % 1009 + length(role) + 3 * length(type)) FROM member
+), contents AS (
+    SELECT selection, CAST(sum(tag) AS BIGINT) AS tag_check, CAST(sum(ref) AS BIGINT) AS ref_check,
+           CAST(sum(member) AS BIGINT) AS member_check
+    FROM (SELECT 'AllEntities' AS selection, * FROM inside
+          UNION ALL SELECT entity_type || 'sOnly', * FROM inside)
+    GROUP BY selection
 )
+SELECT * FROM (
 SELECT selection, {_CHECKS},
        CAST(sum(version) FILTER (has_info) AS BIGINT) AS versions,
        CAST(sum("timestamp" % {ID_MODULUS}) FILTER (has_info) AS BIGINT) AS timestamp_check,
@@ -590,7 +617,7 @@ SELECT selection, {_CHECKS},
        CAST(sum(lat_e7 % {ID_MODULUS}) AS BIGINT) AS lat_check,
        CAST(sum(lon_e7 % {ID_MODULUS}) AS BIGINT) AS lon_check,
        CAST(sum(n_refs) AS BIGINT) AS n_refs, CAST(sum(n_members) AS BIGINT) AS n_members
-FROM selected GROUP BY selection"""
+FROM selected GROUP BY selection) LEFT JOIN contents USING (selection)"""
 
 
 def oracle_sql() -> dict[str, str]:
