@@ -1,7 +1,7 @@
 """Quality rules: how much more a text looks like trusted documents than like the raw corpus.
 
-A text is cut into tokens, runs of punctuation and runs of anything else between white space, so that
-odd marks count whatever word they cling to. Tokens and pairs of tokens are hashed into ``buckets``.
+A text is cut into tokens: words, out of which runs of odd marks (ASCII punctuation but for ``.,'-``)
+are cut as tokens of their own, so that they count whatever word they cling to. Tokens and pairs of tokens are hashed into ``buckets``.
 Two multinomials over the buckets are counted: one over trusted documents, one over all documents,
 whose counts are scaled to the number of trusted tokens; both get ``prior`` added to each bucket, so
 that a bucket says little while few tokens are expected in it. A text's score is the mean over its
@@ -25,7 +25,7 @@ PRIOR = 5.0
 MIN_WORDS = 50
 _WORD = r"[^\x20\x09-\x0D]"
 _SYMBOL = r"[#*$%&|<>]+"
-_PUNCTUATION = r"([!-/:-@\[-`{-~]+)"
+_MARK = r"[!-&(-+/:-@\[-`{-~]"
 _PLACE_BITS = 21
 _PLACE = (1 << _PLACE_BITS) - 1
 
@@ -40,14 +40,20 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(one_space, " ", -1), "")
 
 
-def tokens_of(text: Column) -> Column:
-    return words_of(F.regexp_replace(text, _PUNCTUATION, " $1 "))
-
-
 def hashes_of(words: Column) -> Column:
     return F.transform(words, lambda x: F.xxhash64(x))
 
 
+def has_marks(text: Column) -> Column:
+    return F.coalesce(text.rlike(_MARK), F.lit(False))
+
+
+def token_hashes(text: Column, word_hashes: Column) -> Column:
+    """Hashes of a text's tokens; those of its words if it has no odd marks."""
+    apart = F.regexp_replace(text, f"({_MARK}+)", " $1 ")
+    return F.when(has_marks(text), hashes_of(words_of(apart))).otherwise(word_hashes)
+
+
 def pairs_of(hashes: Column) -> Column:
     """Hashes of all neighbouring words."""
     n = F.size(hashes)
@@ -109,7 +115,7 @@ def ngram_weights(
     trusted = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__trusted")).distinct()
     trusted = trusted.orderBy(F.xxhash64("__trusted"), "__trusted").limit(max_trusted)
     own = docs.select("doc_id", "text").join(F.broadcast(trusted), F.col("doc_id") == F.col("__trusted"), "left")
-    own = own.select(F.col("__trusted").isNotNull().cast("long").alias("trusted"), hashes_of(tokens_of(F.col("text"))).alias("h"))
+    own = own.select(F.col("__trusted").isNotNull().cast("long").alias("trusted"), token_hashes(F.col("text"), hashes_of(words_of(F.col("text")))).alias("h"))
     grams = own.select("trusted", F.explode(F.concat("h", pairs_of(F.col("h")))).alias("h"))
     grams = grams.select("trusted", F.col("h").bitwiseAND(F.lit(buckets - 1)).cast("int").alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("good"))
@@ -144,7 +150,8 @@ def judge(
     text = F.coalesce(F.col("text"), F.lit(""))
     counted = docs.withColumn("__w", words_of(F.col("text"))).withColumn("__weights", weights)
     counted = counted.withColumn("__h", hashes_of(F.col("__w"))).withColumn("__p", pairs_of(F.col("__h")))
-    counted = counted.withColumn("__t", hashes_of(tokens_of(F.col("text")))).withColumn("__q", pairs_of(F.col("__t")))
+    counted = counted.withColumn("__t", token_hashes(F.col("text"), F.col("__h")))
+    counted = counted.withColumn("__q", F.when(has_marks(F.col("text")), pairs_of(F.col("__t"))).otherwise(F.col("__p")))
 
     def log_ratio(hashes: str) -> Column:
         bucket = lambda x: x.bitwiseAND(F.lit(buckets - 1)).cast("int")
