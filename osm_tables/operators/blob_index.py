@@ -23,6 +23,7 @@ from ..sources.reader import (
     default_file_system,
     over_ranges,
     planned_files,
+    session_s3_settings,
     with_settings,
 )
 
@@ -69,7 +70,7 @@ def blob_index(
 def count_at(blobs: DataFrame) -> DataFrame:
     """(file, entity_type, count) of the data blobs of an index, read only where the index says they are."""
     spark = blobs.sparkSession
-    default_fs = default_file_system(spark)
+    default_fs, s3 = default_file_system(spark), session_s3_settings(spark)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = source = None
@@ -81,7 +82,8 @@ def count_at(blobs: DataFrame) -> DataFrame:
                         if source is not None:
                             source.__exit__()
                         location = to_location(file, default_fs)
-                        name, source = file, ReadAhead(location, file_sizes([location])[0], DATA_CHUNK)
+                        size = file_sizes([location], s3)[0]
+                        name, source = file, ReadAhead(location, size, DATA_CHUNK, s3=s3)
                     counts = count_blob(source.read(offset, size), frozenset(ENTITY_TYPES))
                     found += [(file, kind, n) for kind, n in counts.items()]
                 if found:

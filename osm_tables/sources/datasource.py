@@ -11,11 +11,13 @@ from pyspark.sql.types import StructType
 
 from .. import schema as S
 from ..options import FORMAT, OsmReadOptions
+from .files import s3_settings
 from .reader import entity_decoder, file_set, scan_range, size_in_bytes, split_settings
 
 # Options of this source only. ``columns`` names the wanted columns, separated by commas, because
 # Spark does not tell a Python source which columns a query uses. The others are Spark's own settings,
-# which this source takes when it is registered; as options they hold for one read.
+# which this source takes when it is registered; as options they hold for one read. So do Hadoop's
+# ``fs.s3a.*`` settings for access.
 COLUMNS = "columns"
 MAX_PARTITION_BYTES = "maxPartitionBytes"
 OPEN_COST = "openCostInBytes"
@@ -54,6 +56,7 @@ def _settings(options: Mapping[str, str], registered: dict) -> dict:
     for option, name in ((MAX_PARTITION_BYTES, "max_partition_bytes"), (OPEN_COST, "open_cost_bytes")):
         if option.lower() in given:
             out[name] = size_in_bytes(given[option.lower()])
+    out["s3"] = out["s3"] | s3_settings(given)
     return out
 
 

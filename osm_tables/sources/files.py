@@ -4,15 +4,23 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import Future, ThreadPoolExecutor
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 from pyarrow import fs
 
 _URI = re.compile(r"^([A-Za-z][A-Za-z0-9+.\-]*):(/.*)$", re.DOTALL)
 # Schemes that Hadoop spells differently from Arrow.
 _SCHEMES = {"s3a": "s3", "s3n": "s3"}
+# Hadoop's names of access settings, and Arrow's.
+S3_SETTINGS = {
+    "fs.s3a.access.key": "access_key",
+    "fs.s3a.secret.key": "secret_key",
+    "fs.s3a.session.token": "session_token",
+    "fs.s3a.endpoint": "endpoint_override",
+    "fs.s3a.endpoint.region": "region",
+}
 
 
 def to_location(path: str, default_fs: str | None = None) -> str:
@@ -32,20 +40,29 @@ def to_location(path: str, default_fs: str | None = None) -> str:
     return f"{_SCHEMES.get(scheme.lower(), scheme)}:{quote(rest, safe='/%:@?&=+$,;~!*()[]')}"
 
 
-def file_system(location: str) -> tuple[fs.FileSystem, str]:
+def s3_settings(hadoop: Mapping[str, str | None]) -> dict[str, str]:
+    """Arrow's form of the access settings among Hadoop's; names ignore case, as options do."""
+    given = {k.lower(): v for k, v in hadoop.items() if v}
+    return {ours: given[name] for name, ours in S3_SETTINGS.items() if name in given}
+
+
+def file_system(location: str, s3: Mapping[str, str] | None = None) -> tuple[fs.FileSystem, str]:
+    """The file system of a location and the path in it; ``s3`` are settings for S3 locations."""
+    if s3 and location.startswith("s3://"):
+        return fs.S3FileSystem(**s3), unquote(location[len("s3://") :])
     return fs.FileSystem.from_uri(location)
 
 
-def file_sizes(locations: Sequence[str]) -> list[int]:
+def file_sizes(locations: Sequence[str], s3: Mapping[str, str] | None = None) -> list[int]:
     """Length of each file. One listing request per file system, issued in parallel by Arrow."""
     systems: dict[str, tuple[fs.FileSystem, list[int], list[str]]] = {}
     for i, location in enumerate(locations):
         root = "/".join(location.split("/")[:3]) if "://" in location else ""
         if root in systems:
             system = systems[root][0]
-            path = location if root == "" else file_system(location)[1]
+            path = location if root == "" else file_system(location, s3)[1]
         else:
-            system, path = file_system(location)
+            system, path = file_system(location, s3)
             systems[root] = (system, [], [])
         systems[root][1].append(i)
         systems[root][2].append(path)
@@ -84,12 +101,14 @@ class ReadAhead:
     that decoding does not wait for remote storage.
     """
 
-    def __init__(self, location: str, size: int, chunk_bytes: int, until: int = 0):
+    def __init__(
+        self, location: str, size: int, chunk_bytes: int, until: int = 0, s3: Mapping[str, str] | None = None
+    ):
         self.location = location
         self.size = size
         self._chunk_bytes = chunk_bytes
         self._until = min(until, size)
-        system, path = file_system(location)
+        system, path = file_system(location, s3)
         self._file = system.open_input_file(path)
         self._start = 0
         self._window = memoryview(b"")

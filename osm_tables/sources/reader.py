@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import partial
 
@@ -17,7 +17,7 @@ from ..options import OsmReadOptions
 from ..plans.splits import FileRange, Plan, plan_splits, split_bytes
 from .blobs import DATA_BLOB, HEADER_BLOB, blobs_of_range
 from .decode import check_header, decode_blob
-from .files import ReadAhead, file_sizes, to_location
+from .files import S3_SETTINGS, ReadAhead, file_sizes, s3_settings, to_location
 
 # The contents of a data blob and the file's name, to record batches.
 BlobDecoder = Callable[[memoryview, str], Iterator[pa.RecordBatch]]
@@ -33,9 +33,11 @@ class FileSet:
     names: tuple[str, ...]
     locations: tuple[str, ...]
     plan: Plan
+    s3: tuple[tuple[str, str], ...] = ()
 
     def open(self, file_no: int, chunk_bytes: int, until: int = 0) -> ReadAhead:
-        return ReadAhead(self.locations[file_no], self.plan.sizes[file_no], chunk_bytes, until)
+        size = self.plan.sizes[file_no]
+        return ReadAhead(self.locations[file_no], size, chunk_bytes, until, dict(self.s3))
 
 
 def file_set(
@@ -45,14 +47,16 @@ def file_set(
     open_cost_bytes: int,
     parallelism: int,
     default_fs: str | None = None,
+    s3: Mapping[str, str] | None = None,
 ) -> FileSet:
     if not paths:
         raise ValueError("no paths to read")
     # The same text is kept once, which halves what a task receives for many plain paths.
     locations = tuple(p if (at := to_location(p, default_fs)) == p else at for p in paths)
-    sizes = file_sizes(locations)
+    sizes = file_sizes(locations, s3)
     target = split_bytes(sizes, max_partition_bytes, open_cost_bytes, parallelism)
-    return FileSet(tuple(paths), locations, plan_splits(sizes, target, open_cost_bytes, partitions))
+    plan = plan_splits(sizes, target, open_cost_bytes, partitions)
+    return FileSet(tuple(paths), locations, plan, tuple((s3 or {}).items()))
 
 
 def split_settings(spark: SparkSession) -> dict:
@@ -71,6 +75,7 @@ def split_settings(spark: SparkSession) -> dict:
         "open_cost_bytes": size_in_bytes(spark.conf.get("spark.sql.files.openCostInBytes")),
         "parallelism": int(parallelism),
         "default_fs": default_file_system(spark),
+        "s3": session_s3_settings(spark),
     }
 
 
@@ -82,6 +87,11 @@ def default_file_system(spark: SparkSession) -> str | None:
     return spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
 
 
+def session_s3_settings(spark: SparkSession) -> dict[str, str]:
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    return s3_settings({name: hadoop.get(name) for name in S3_SETTINGS})
+
+
 def size_in_bytes(text: str) -> int:
     # Spark's size suffixes.
     units = {"b": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}

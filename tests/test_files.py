@@ -4,7 +4,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from osm_tables.sources.files import ReadAhead, file_sizes, to_location
+from osm_tables.sources import files
+from osm_tables.sources.files import ReadAhead, file_sizes, s3_settings, to_location
 
 CONTENT = os.urandom(5000)
 
@@ -84,3 +85,10 @@ def test_relative_paths(monkeypatch, tmp_path):
 
 def test_sizes(path):
     assert file_sizes([path, f"file://{path}", path]) == [5000, 5000, 5000]
+
+
+def test_s3_settings_reach_the_file_system(monkeypatch):
+    given = s3_settings({"fs.s3a.access.key": "me", "FS.S3A.Endpoint": "http://store:9000", "fs.s3a.secret.key": None, "other": "x"})
+    assert given == {"access_key": "me", "endpoint_override": "http://store:9000"}
+    monkeypatch.setattr(files.fs, "S3FileSystem", lambda **settings: settings)
+    assert files.file_system("s3://bucket/a%20b/x.pbf", given) == (given, "bucket/a b/x.pbf")

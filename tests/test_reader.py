@@ -207,7 +207,7 @@ def test_what_a_task_is_sent_does_not_grow_with_the_ranges(spark, monkeypatch):
     sent = []
     real = type(spark.range(1)).mapInArrow
     monkeypatch.setattr(type(spark.range(1)), "mapInArrow", lambda self, f, s: sent.append(len(cloudpickle.dumps(f))) or real(self, f, s))
-    monkeypatch.setattr("osm_tables.sources.reader.file_sizes", lambda paths: [10**12])
+    monkeypatch.setattr("osm_tables.sources.reader.file_sizes", lambda paths, s3: [10**12])
     for n in (10, 100_000):
         files = file_set(["/no/such.pbf"], n, 10**12, 2**22, 1)
         assert files.plan.n_tasks == n
@@ -229,6 +229,20 @@ def test_paths_without_a_scheme_lie_in_the_default_file_system(spark, osm_file):
     assert to_location(osm_file, split_settings(spark)["default_fs"]) == osm_file
 
 
+def test_access_settings_of_the_session_and_of_one_read(spark):
+    from osm_tables.sources.datasource import _settings
+
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    try:
+        configuration.set("fs.s3a.endpoint", "http://one:9000")
+        registered = split_settings(spark)
+        assert registered["s3"]["endpoint_override"] == "http://one:9000"
+        own = _settings({"fs.s3a.endpoint": "http://two:9000", "fs.s3a.access.key": "me"}, registered)
+        assert own["s3"]["endpoint_override"] == "http://two:9000" and own["s3"]["access_key"] == "me"
+    finally:
+        configuration.unset("fs.s3a.endpoint")
+
+
 def test_settings_of_one_read_through_the_data_source(session, osm_file):
     source = session.read.format(FORMAT)
     whole = source.load(osm_file)
