@@ -21,7 +21,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
-from math import ceil
 
 import numpy as np
 import pyarrow as pa

@@ -1,9 +1,9 @@
 """Quality rules: how much more a text looks like trusted documents than like the raw corpus.
 
 A text is cut into tokens: words, out of which runs of odd marks (ASCII punctuation but for ``.,'-``)
-are cut as tokens of their own, so that they count whatever word they cling to. Tokens and pairs of tokens are hashed into ``buckets``.
-Two multinomials over the buckets are counted: one over trusted documents, one over all documents,
-whose counts are scaled to the number of trusted tokens; both get ``prior`` added to each bucket, so
+are cut as tokens of their own, so that they count whatever word they cling to. Tokens and pairs of
+tokens are hashed into ``buckets``. Two multinomials over the buckets are counted: one over trusted
+documents, one over all documents, whose counts are scaled to the number of trusted tokens; both get ``prior`` added to each bucket, so
 that a bucket says little while few tokens are expected in it. A text's score is the mean over its
 n-grams of ``ln(p_trusted / p_raw)``; it is kept if simple rules hold and the score reaches
 ``threshold``. The same text always gets the same verdict.
