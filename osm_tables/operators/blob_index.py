@@ -77,14 +77,14 @@ def count_at(blobs: DataFrame) -> DataFrame:
         try:
             for batch in batches:
                 found = []
-                for file, offset, size in zip(*(c.to_pylist() for c in batch.columns)):
+                for file, offset, length in zip(*(c.to_pylist() for c in batch.columns)):
                     if file != name:
                         if source is not None:
                             source.__exit__()
                         location = to_location(file, default_fs)
-                        size = file_sizes([location], s3)[0]
-                        name, source = file, ReadAhead(location, size, DATA_CHUNK, s3=s3)
-                    counts = count_blob(source.read(offset, size), frozenset(ENTITY_TYPES))
+                        file_size = file_sizes([location], s3)[0]
+                        name, source = file, ReadAhead(location, file_size, DATA_CHUNK, s3=s3)
+                    counts = count_blob(source.read(offset, length), frozenset(ENTITY_TYPES))
                     found += [(file, kind, n) for kind, n in counts.items()]
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found)], ["file", "entity_type", "count"])
