@@ -175,4 +175,7 @@ def judge(
         x["score"].alias("score"),
         ((x["n_words"] >= MIN_WORDS) & (100 * x["n_repeat_words"] <= 50 * x["n_words"]) & (x["score"] >= threshold)).alias("kept"),
     ))
+    # The condition always holds. It depends on the row's place, which keeps a filter on the verdict above
+    # this projection; pushed below it, the filter would compute words and hashes again for every use.
+    verdict = F.when(F.monotonically_increasing_id() >= 0, verdict)
     return counted.withColumn("verdict", verdict).drop("__w", "__h", "__p", "__t", "__q", "__weights", "__v")
