@@ -101,3 +101,10 @@ def test_junk_is_told_from_prose_at_every_size(spark, sf):
     assert found.score[junk].max() < Q.THRESHOLD - 0.2
     assert found.score[~junk].quantile(0.001) > Q.THRESHOLD + 0.15
     assert (found.kept == ~junk).mean() > 0.999
+
+
+def test_a_filter_on_the_verdict_does_not_compute_it_again(spark):
+    labels = spark.createDataFrame(LABELS, "doc_id bigint, quality int")
+    judged = Q.judge(spark.createDataFrame(odd_docs(), DOCS), labels).where("verdict.kept").select("doc_id")
+    plan = judged._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter (isnotnull(verdict" in plan and plan.count("zip_with(") <= 3
