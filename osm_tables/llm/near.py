@@ -36,7 +36,7 @@ TREES, DEPTH = 24, 6
 RECALL = 0.9999
 BLOCK = 512
 #: Shingles of a block together, about; more blocks are made where texts are long.
-BLOCK_SHINGLES = 1_000_000
+BLOCK_SHINGLES = 400_000
 #: A set with more than this part of the rows, 1 / HOT, is one of many copies.
 HOT = 1000
 #: A pair's signatures must agree in this part of the threshold; a pair at the threshold fails by 5 sigma.
