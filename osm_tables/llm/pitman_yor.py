@@ -1,9 +1,8 @@
 """A hierarchical Pitman-Yor language model, sampled and applied on all executors.
 
-The model predicts a token from the word before it. Each of ``CONTEXTS`` restaurants belongs to a
-hashed class of previous words (a frequent word all but owns its class; one restaurant is for the
-beginning of a text); all of them share one parent, the restaurant of single words, whose base is
-uniform over the vocabulary and one unknown word:
+The model predicts a token from the word before it. Every previous word has a restaurant of its own
+(so has the beginning of a text); all of them share one parent, the restaurant of single words, whose
+base is uniform over the vocabulary and one unknown word:
 
     p(w | u) = (c_uw - d t_uw + (theta + d t_u) p(w)) / (theta + c_u)
 
@@ -13,11 +12,14 @@ leave and are seated again by the Chinese restaurant process, given the parent's
 restaurant's other tables as the last sweep left them. After ``burn_in`` sweeps the predictive
 probabilities of the following ones are averaged.
 
-Work is dealt out by word, once: a range of word hashes holds all that is known of its words, so a
-sweep is local but for one number per restaurant and a few totals, which are summed in between.
-Words that make up more than ``1 / HOT`` of the tokens (``HOT`` at most) are dealt out as counts and
-scored where their texts are. Every step works on packed arrays; the packed tokens are kept in the
-checkpoint folder, so a lost executor repeats only its part, with the same random numbers.
+Work is dealt out once, by word: a range of word hashes holds all that is known of its words. Words
+that make up more than ``1 / HOT`` of the tokens (``HOT`` at most) are dealt out by word and previous
+word, counted in advance; what all parts know of them is summed on the driver. A restaurant's
+customers are spread over the parts of the words that sit in it. So between sweeps each part sends its
+tables of each restaurant to the restaurant's home, a range of hashes of previous words, and gets the
+sums back; nothing that grows with the number of restaurants reaches the driver. Every step works on
+packed arrays; the packed tokens and the sums are kept in the checkpoint folder, so a lost executor
+repeats only its part, with the same random numbers.
 
 Words are 64-bit hashes of their bytes, A-Z lower-cased.
 """
@@ -25,7 +27,8 @@ Words are 64-bit hashes of their bytes, A-Z lower-cased.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,26 +39,29 @@ from pyspark.sql import functions as F
 from osm_tables.llm import shared
 from osm_tables.llm.text import flat, mix, slices, word_hashes
 
+#: Places for previous words in a part whose number of them is not given.
 CONTEXTS = 2048
 HOT = 1024
 #: Tokens of a batch, about, and rows at most (their numbers take 16 bits).
 BATCH_TOKENS, BATCH_ROWS = 1_000_000, 60_000
 #: Training tokens of a part at most, about; there are more parts than shuffle partitions if need be.
 PART_TOKENS = 4_000_000
+_EXCHANGE = "home int, part int, kind int, blob binary"
 _END = np.uint64(0x5851F42D4C957F2D)
-_TRAIN = np.uint16(1 << 15)
+_TRAIN = np.uint32(1 << 31)
 
 
 @dataclass
 class Totals:
-    """What a part must know of all others."""
+    """What a part must know of all others. On the driver ``customers`` and ``tables`` are empty."""
 
     tokens: int
-    customers: np.ndarray  # of each context
-    tables: np.ndarray  # of each context
+    customers: np.ndarray  # of each of the part's contexts
+    tables: np.ndarray  # of each of the part's contexts
     words: int = 0
     root_customers: float = 0.0
     root_tables: float = 0.0
+    hot_p: np.ndarray = field(default_factory=lambda: np.zeros(0))  # p(w) of frequent words
 
 
 @dataclass
@@ -72,17 +78,17 @@ class Settings:
 
 
 def tokens_of(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the tokens of texts (words, then an end), their contexts, and tokens per text."""
+    """Hashes of the tokens of texts (words, then an end), of the tokens before them, and tokens per text."""
     words, counts = word_hashes(data, at)
     tokens = np.insert(words, np.cumsum(counts), _END)
     before = np.concatenate(([_END], tokens[:-1]))
-    contexts = 1 + mix(before ^ np.uint64(0xABCDEF)) % np.uint64(CONTEXTS - 1)
-    contexts[before == _END] = 0
-    return tokens, contexts.astype(np.uint16), counts + 1
+    return tokens, before, counts + 1
 
 
 def _packed(*arrays: np.ndarray) -> bytes:
-    body = b"".join(a.tobytes() for a in arrays)
+    # The first bytes of sorted hashes compress well when they lie together.
+    planes = [a.view(np.uint8).reshape(-1, 8).T if a.dtype == np.uint64 else a for a in map(np.ascontiguousarray, arrays)]
+    body = b"".join(a.tobytes() for a in planes)
     head = np.array([len(arrays), len(body), *[x for a in arrays for x in (ord(a.dtype.char), len(a))]], "<i8")
     return head.tobytes() + pa.compress(body, "zstd", asbytes=True)
 
@@ -93,64 +99,90 @@ def _unpacked(blob: bytes) -> list[np.ndarray]:
     body = pa.decompress(blob[16 + 16 * n :], size, "zstd", asbytes=True)
     out, begin = [], 0
     for char, length in head:
-        out.append(np.frombuffer(body, chr(char), length, begin))
-        begin += out[-1].nbytes
+        found = np.frombuffer(body, chr(char), length, begin)
+        begin += found.nbytes
+        if found.dtype == np.uint64:
+            found = np.ascontiguousarray(found.view(np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+        out.append(found)
     return out
 
 
+def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
+    return ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _small(numbers: np.ndarray) -> np.ndarray:
+    """Whole numbers in as few bytes as they need."""
+    return numbers.astype(np.min_scalar_type(int(numbers.max()) if len(numbers) else 0))
+
+
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Training tokens by context, and by word for words that are frequent where they are seen."""
-    contexts, n, often = np.zeros(CONTEXTS, np.int64), 0, {}
+    """The number of training tokens, and counts of words that are frequent where they are seen."""
+    n, often = 0, {}
     for batch in batches:
         data, at = flat(batch.column(0))
         for b, e in slices(at):
-            tokens, context, _ = tokens_of(data[at[b] : at[e]], at[b : e + 1] - at[b])
-            contexts += np.bincount(context, minlength=CONTEXTS)
+            tokens, _, _ = tokens_of(data[at[b] : at[e]], at[b : e + 1] - at[b])
+            n += len(tokens)
             # Which words count as frequent steers the work, not the result: every eighth token will do.
             words, counts = np.unique(tokens[::8], return_counts=True)
             some = counts * HOT > counts.sum()
             for w, c in zip(words[some].tolist(), counts[some].tolist()):
                 often[w] = often.get(w, 0) + 8 * c
     words = np.array(list(often), np.uint64).view(np.int64)
-    kind = np.repeat([0, 1], [CONTEXTS, len(words)]).astype(np.int32)
-    ids = np.concatenate([np.arange(CONTEXTS), words])
-    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (kind, ids, np.concatenate([contexts, np.array(list(often.values()), np.int64)]))], ["kind", "id", "n"])
+    kind = np.repeat([0, 1], [1, len(words)]).astype(np.int32)
+    ids = np.concatenate([np.zeros(1, np.int64), words])
+    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (kind, ids, np.array([n, *often.values()], np.int64))], ["kind", "id", "n"])
 
 
 def _spread(settings: Settings):
-    """Texts to blobs: of each batch one for every part, and one of its rows and their frequent words."""
+    """Texts to blobs: of each batch one for every part, and one of its rows."""
     hot = settings.hot
 
     def blobs(number, docs, held, parts):
-        tokens, contexts, counts = (np.concatenate(x) for x in zip(*parts))
+        tokens, before, counts = (np.concatenate(x) for x in zip(*parts))
         doc = np.repeat(np.arange(len(counts), dtype=np.uint16), counts)
         train = ~np.array(held)[doc]
-        index = np.searchsorted(hot, tokens)
         is_hot = np.zeros(len(tokens), bool)
         if len(hot):
-            is_hot = hot[np.minimum(index, len(hot) - 1)] == tokens
+            is_hot = hot[np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)] == tokens
         known = np.array([x is not None for x in docs])
         ids = np.array([x or 0 for x in docs], np.int64)
-        rows = _packed(ids, known, np.array(held), counts.astype(np.int64), doc[is_hot], index[is_hot].astype(np.uint16), contexts[is_hot])
-        pairs, n_pairs = np.unique(index[is_hot & train].astype(np.int64) * CONTEXTS + contexts[is_hot & train], return_counts=True)
-        hot_words = hot[pairs // CONTEXTS]
+        yield number % settings.parts, number, 0, _packed(ids, known, np.array(held), counts.astype(np.int64))
+        names, context = np.unique(before, return_inverse=True)
+        # Rare words in the order of their hashes.
         cold = np.flatnonzero(~is_hot)
-        order = cold[np.argsort(tokens[cold], kind="stable")]
-        tokens, doc, contexts = tokens[order], doc[order], contexts[order] | np.where(train[order], _TRAIN, np.uint16(0))
-        begins = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1]))) if len(tokens) else np.zeros(0, np.int64)
-        words, times = tokens[begins], np.diff(np.append(begins, len(tokens)))
-        yield number % settings.parts, number, 0, rows
-        part_of = lambda x: ((x >> np.uint64(32)) * np.uint64(settings.parts) >> np.uint64(32)).astype(np.int64)
-        word_cuts = np.searchsorted(part_of(words), np.arange(settings.parts + 1))
-        hot_cuts = np.searchsorted(part_of(hot_words), np.arange(settings.parts + 1))
+        cold = cold[np.argsort(tokens[cold], kind="stable")]
+        cold_cuts = np.searchsorted(part_of(tokens[cold], settings.parts), np.arange(settings.parts + 1))
+        # Frequent words by part, pair and document, each with its number.
+        some = np.flatnonzero(is_hot)
+        some_part = part_of(mix(tokens[some] ^ mix(before[some])), settings.parts)
+        some = some[np.lexsort((doc[some], context[some], tokens[some], some_part))]
+        w, u, d = tokens[some], before[some], doc[some]
+        changes = np.ones(len(some), bool)
+        changes[1:] = (w[1:] != w[:-1]) | (u[1:] != u[:-1])
+        pair, firsts = np.cumsum(changes) - 1, np.flatnonzero(changes)
+        changes[1:] |= d[1:] != d[:-1]
+        entry = np.flatnonzero(changes)
+        times, pair_of = np.diff(np.append(entry, len(some))), pair[entry]
+        entries = np.bincount(pair_of, minlength=len(firsts))
+        pair_n = np.bincount(pair, train[some], len(firsts)).astype(np.int64)
+        pair_part = part_of(mix(w[firsts] ^ mix(u[firsts])), settings.parts)
+        pair_cuts = np.searchsorted(pair_part, np.arange(settings.parts + 1))
+        entry_cuts = np.searchsorted(pair_of, pair_cuts)
         for part in range(settings.parts):
-            own, its = slice(*word_cuts[part : part + 2]), slice(*hot_cuts[part : part + 2])
-            first, last = (begins[own.start] if own.start < len(words) else len(tokens)), (begins[own.stop] if own.stop < len(words) else len(tokens))
-            if last > first or its.stop > its.start:
-                yield part, number, 1, _packed(
-                    words[own], times[own].astype(np.uint32), contexts[first:last], doc[first:last],
-                    hot_words[its], (pairs[its] % CONTEXTS).astype(np.uint16), n_pairs[its].astype(np.int64),
-                )
+            own = cold[cold_cuts[part] : cold_cuts[part + 1]]
+            its, its_docs = slice(*pair_cuts[part : part + 2]), slice(*entry_cuts[part : part + 2])
+            if not len(own) and its.stop == its.start:
+                continue
+            begins = np.flatnonzero(np.concatenate(([True], tokens[own][1:] != tokens[own][:-1]))) if len(own) else np.zeros(0, np.int64)
+            both = np.concatenate([context[own], context[some[firsts[its]]]])
+            used, at = np.unique(both, return_inverse=True)
+            yield part, number, 1, _packed(
+                tokens[own[begins]], _small(np.diff(np.append(begins, len(own)))), _small(at[: len(own)]), np.packbits(train[own]), doc[own],
+                np.searchsorted(hot, w[firsts[its]]).astype(np.uint16), _small(at[len(own) :]), _small(pair_n[its]),
+                _small(entries[its]), d[entry[its_docs]], _small(times[its_docs]), names[used],
+            )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, docs, held, parts, size = TaskContext.get().partitionId() << 32, [], [], [], 0
@@ -200,49 +232,62 @@ def seat(customers: np.ndarray, base: np.ndarray, other: np.ndarray, discount: f
     return out
 
 
+def _root(customers: np.ndarray, tables: np.ndarray, totals: Totals, s: Settings) -> np.ndarray:
+    spare = (s.root_strength + s.root_discount * totals.root_tables) / (totals.words + 1)
+    return (customers - s.root_discount * tables + spare) / (s.root_strength + totals.root_customers)
+
+
+def _root_tables(customers: np.ndarray, own: np.ndarray | None, before: Totals, s: Settings, rng) -> np.ndarray:
+    """Tables that words take in the parent, given those they had."""
+    used = customers > 0
+    own = own if own is not None else used.astype(float)
+    base = np.full(len(used), 1 / (before.words + 1) if before.words else 1 / max(1, before.tokens))
+    other = np.maximum(max(before.root_tables, 1) - own, 0)
+    return np.where(used, seat(customers, base, other, s.root_discount, s.root_strength, rng), 0)
+
+
 class Part:
-    """All training customers of a range of words."""
+    """All training customers of a range of words, and of a range of pairs of frequent ones."""
 
-    def __init__(self, blobs: list[list[np.ndarray]], settings: Settings, part: int):
-        self.settings, self.rng = settings, np.random.default_rng([settings.seed, part])
+    def __init__(self, blobs: list[list[np.ndarray]], settings: Settings, part: int, contexts: int = CONTEXTS):
+        self.settings, self.rng, self.contexts = settings, np.random.default_rng([settings.seed, part]), contexts
         self.words = np.unique(np.concatenate([x for b in blobs for x in (b[0], b[4])]))
         keys, counts = [], []
-        for words, times, contexts, _, hot_words, hot_contexts, hot_counts in blobs:
+        for words, times, contexts, _, hot_words, hot_contexts, hot_counts, *_ in blobs:
             found = self._keys(np.repeat(words, times), contexts & ~_TRAIN)[contexts & _TRAIN != 0]
-            for k, n in ((found, None), (self._keys(hot_words, hot_contexts), hot_counts)):
+            some = np.asarray(hot_counts) > 0
+            for k, n in ((found, None), (self._keys(hot_words[some], hot_contexts[some]), hot_counts[some])):
                 k, back = np.unique(k, return_inverse=True)
                 keys.append(k)
                 counts.append(np.bincount(back, n, len(k)))
         self.pairs, back = np.unique(np.concatenate(keys), return_inverse=True)
         self.counts = np.bincount(back, np.concatenate(counts), len(self.pairs)).astype(float)
-        self.word, self.context = self.pairs // CONTEXTS, self.pairs % CONTEXTS
+        self.word, self.context = self.pairs // self.contexts, self.pairs % self.contexts
         self.word_counts = np.bincount(self.word, self.counts, len(self.words))
+        self.is_hot = np.isin(self.words, settings.hot)
+        self.hot_at = np.searchsorted(settings.hot, self.words[self.is_hot])
         self.tables = self.root_customers = self.root_tables = None
 
     def _keys(self, words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.words, words) * CONTEXTS + contexts.astype(np.int64)
+        return np.searchsorted(self.words, words) * self.contexts + contexts.astype(np.int64)
 
     def root(self, totals: Totals) -> np.ndarray:
         """p(w) of each word."""
-        s = self.settings
-        spare = (s.root_strength + s.root_discount * totals.root_tables) / (totals.words + 1)
-        return (self.root_customers - s.root_discount * self.root_tables + spare) / (s.root_strength + totals.root_customers)
+        p = _root(self.root_customers, self.root_tables, totals, self.settings)
+        p[self.is_hot] = totals.hot_p[self.hot_at]
+        return p
 
     def sweep(self, before: Totals) -> None:
         s = self.settings
         if self.tables is None:
             p, own = self.word_counts / max(1, before.tokens), np.minimum(self.counts, 1)
+            p[self.is_hot] = before.hot_p[self.hot_at]
         else:
             p, own = self.root(before), self.tables
         other = np.maximum(before.tables[self.context] - own, 0)
         self.tables = seat(self.counts, p[self.word], other, s.discount, s.strength, self.rng)
         self.root_customers = np.bincount(self.word, self.tables, len(self.words))
-        used = self.root_customers > 0
-        own = self.root_tables if self.root_tables is not None else used.astype(float)
-        base = np.full(len(used), 1 / (before.words + 1) if before.words else 1 / max(1, before.tokens))
-        other = np.maximum(max(before.root_tables, 1) - own, 0)
-        drawn = seat(self.root_customers, base, other, s.root_discount, s.root_strength, self.rng)
-        self.root_tables = np.where(used, drawn, 0)
+        self.root_tables = _root_tables(np.where(self.is_hot, 0, self.root_customers), self.root_tables, before, s, self.rng)
 
     def direct(self, totals: Totals) -> np.ndarray:
         s = self.settings
@@ -254,78 +299,171 @@ def _backoff(totals: Totals, settings: Settings) -> np.ndarray:
     return (settings.strength + settings.discount * totals.tables) / (settings.strength + totals.customers)
 
 
-def _parts(batches: Iterator[pa.RecordBatch], settings: Settings):
-    """(part, batches, blobs) for the parts that a task holds; blobs stay packed until their part is worked on."""
+def _unfolded(blobs: list[bytes], settings: Settings) -> tuple[np.ndarray, list[list[np.ndarray]]]:
+    """A part's different previous words, in order, and its blobs with numbers of those in place of their own."""
+    found = [_unpacked(b) for b in blobs]
+    names = np.unique(np.concatenate([np.zeros(0, np.uint64), *(f[-1] for f in found)]))
+    out = []
+    for words, times, context, train, doc, hot_words, hot_context, hot_counts, entries, *rest, own in found:
+        local = np.searchsorted(names, own).astype(np.uint32)
+        flags = np.unpackbits(train, count=len(context)).astype(np.uint32) * _TRAIN
+        pair = np.repeat(np.arange(len(entries)), entries)
+        out.append([words, times, local[context] | flags, doc, settings.hot[hot_words], local[hot_context], hot_counts, pair, *rest])
+    return names, out
+
+
+def _sent(settings: Settings, number: int, names: np.ndarray, sums: np.ndarray, report: list[np.ndarray]):
+    """A part's sums to the homes of its previous words, and what the driver is to know."""
+    cuts = np.searchsorted(part_of(names, settings.parts), np.arange(settings.parts + 1))
+    for home, (b, e) in enumerate(zip(cuts[:-1], cuts[1:])):
+        if e > b:
+            yield home, number, 1, _packed(names[b:e], _small(sums[b:e].astype(np.int64)))
+    yield number % settings.parts, number, 0, _packed(*report)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What a task was sent, as one row: lists of numbers, kinds and blobs, ordered by number."""
+    held = []
+    for batch in batches:
+        number, kind, blob = (batch.column(c).to_pylist() for c in ("batch", "kind", "blob"))
+        held += [x for x in zip(number, kind, blob) if x[1] >= 0]
+    columns = list(zip(*sorted(held, key=lambda x: x[:2]))) or [[], [], []]
+    kinds = (pa.int64(), pa.int32(), pa.binary())
+    lists = [pa.array([list(c)], pa.list_(k)) for c, k in zip(columns, kinds)]
+    yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), *lists], ["part", "batches", "kinds", "blobs"])
+
+
+def _sent_to(part: int, batches: list, kinds: list, blobs: list) -> tuple[list, list]:
+    """Numbers and blobs of the tokens that a part holds."""
+    own = [(n, b) for n, k, b in zip(batches, kinds, blobs) if k == 1]
+    return [n for n, _ in own], [bytes(b) for _, b in own]
+
+
+def _asker(settings: Settings):
+    """Customers of each previous word in a part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                names, blobs = _unfolded(_sent_to(**row)[1], settings)
+                customers, hot = np.zeros(len(names)), np.zeros(len(settings.hot))
+                for _, _, contexts, _, hot_words, hot_contexts, hot_counts, *_ in blobs:
+                    customers += np.bincount((contexts & ~_TRAIN)[contexts & _TRAIN != 0], minlength=len(names))
+                    customers += np.bincount(hot_contexts, hot_counts, len(names))
+                    if len(hot):
+                        hot += np.bincount(np.searchsorted(settings.hot, hot_words), hot_counts, len(hot))
+                yield _exchanged(_sent(settings, row["part"], names, customers, [hot]))
+
+    return run
+
+
+def _exchanged(rows) -> pa.RecordBatch:
+    home, part, kind, blob = zip(*rows)
+    arrays = [pa.array(home, pa.int32()), pa.array(part, pa.int32()), pa.array(kind, pa.int32()), pa.array(blob, pa.binary())]
+    return pa.RecordBatch.from_arrays(arrays, ["home", "part", "kind", "blob"])
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each part that sent sums to a home the sums over all parts, in the order it sent them."""
     held: dict[int, list] = {}
     for batch in batches:
-        for part, number, kind, blob in zip(*(batch.column(k).to_pylist() for k in range(4))):
-            if kind == 1:
-                held.setdefault(part, []).append((number, blob))
-    for part in sorted(held):
-        numbers, blobs = zip(*sorted(held.pop(part)))
-        yield part, numbers, [_unpacked(b) for b in blobs]
+        for home, part, kind, blob in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            if kind:
+                held.setdefault(home, []).append((part, blob))
+            else:
+                yield _exchanged([(home, part, 0, blob)])
+    for home in sorted(held):
+        parts, blobs = zip(*held.pop(home))
+        found = [_unpacked(b) for b in blobs]
+        _, at = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
+        sums = np.bincount(at, np.concatenate([f[1] for f in found]))[at].astype(np.int64)
+        cuts = np.concatenate(([0], np.cumsum([len(f[0]) for f in found]))).tolist()
+        yield _exchanged([(home, part, 1, _packed(_small(sums[b:e]))) for part, b, e in zip(parts, cuts, cuts[1:])])
+
+
+def _opened(row, sums, settings: Settings, history: list[Totals]):
+    """Names of a part's batches, its blobs, previous words, and the totals as it sees them."""
+    names, blobs = _sent_to(*row)
+    contexts, blobs = _unfolded(blobs, settings)
+    own: dict[int, list] = {}
+    for home, step, blob in zip(*sums[1:]):  # in the order of homes
+        own.setdefault(step, []).append(_unpacked(bytes(blob))[0].astype(float))
+    customers = np.concatenate([np.zeros(0), *own.get(0, [])])
+    seen = [replace(history[0], customers=customers, tables=0.5 * customers)]
+    for step, totals in enumerate(history[1:], 1):
+        tables = customers.copy()  # a lone customer has a table, see _sweeper
+        tables[customers > 1] = np.concatenate([np.zeros(0), *own.get(step, [])])
+        seen.append(replace(totals, customers=customers, tables=tables))
+    return names, blobs, contexts, seen
 
 
 def _sweeper(settings: Settings, history: list[Totals]):
     """Sums over a part after as many sweeps as there are totals."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, _, blobs in _parts(batches, settings):
-            part = Part(blobs, settings, number)
-            del blobs
-            for totals in history:
-                part.sweep(totals)
-            tables = np.bincount(part.context, part.tables, CONTEXTS)
-            sums = [np.count_nonzero(part.word_counts), part.root_customers.sum(), part.root_tables.sum()]
-            own = np.flatnonzero(np.isin(part.words, settings.hot))
-            pair = np.flatnonzero(np.isin(part.word, own))
-            kind = np.repeat([0, 1, 2, 3], [CONTEXTS, 3, len(own), len(pair)])
-            hashes = part.words.view(np.int64)
-            ids = np.concatenate([np.arange(CONTEXTS), np.arange(3), hashes[own], hashes[part.word[pair]]])
-            context = np.concatenate([np.zeros(CONTEXTS + 3 + len(own), np.int64), part.context[pair]])
-            x = np.concatenate([tables, sums, part.root_customers[own], part.counts[pair]])
-            y = np.concatenate([np.zeros(CONTEXTS + 3), part.root_tables[own], part.tables[pair]])
-            z = np.concatenate([np.zeros(CONTEXTS + 3), part.word_counts[own], np.zeros(len(pair))])
-            yield from shared.cut(pa.table([pa.array(v) for v in (kind.astype(np.int32), ids, context, x, y, z)], ["kind", "id", "context", "x", "y", "z"]))
+    def run(row, sums) -> list[tuple]:
+        number = row[0]
+        _, blobs, names, seen = _opened(row, sums, settings, history)
+        if not blobs:
+            return []
+        part = Part(blobs, settings, number, len(names))
+        del blobs
+        for totals in seen:
+            part.sweep(totals)
+        cold, hot = ~part.is_hot, np.zeros(len(settings.hot))
+        hot[part.hot_at] = part.root_customers[part.is_hot]
+        told = [np.count_nonzero(part.word_counts[cold]), part.root_customers[cold].sum(), part.root_tables[cold].sum()]
+        tables = np.bincount(part.context, part.tables, len(names))
+        # Where there is one customer there is one table: nothing to tell.
+        some = seen[0].customers > 1
+        return list(_sent(settings, number, names[some], tables[some], [np.array(told, float), hot]))
 
     return run
 
 
-def _scorer(settings: Settings, history: list[Totals]):
+def _scorer(settings: Settings, history: list[Totals], hot_counts: np.ndarray):
     """For each batch what a part's words add to its rows."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, names, blobs in _parts(batches, settings):
-            part = Part(blobs, settings, number)
-            direct, roots = np.zeros(len(part.pairs) + 1), []
-            for j, totals in enumerate(history[:-1]):
-                part.sweep(totals)
-                if j >= settings.burn_in:
-                    direct[:-1] += part.direct(history[j + 1])
-                    roots.append(part.root(history[j + 1]))
-            weights = [_backoff(t, settings) for t in history[1 + settings.burn_in :]]
-            out = []
-            for name, (words, times, contexts, doc, *_) in zip(names, blobs):
-                context = (contexts & ~_TRAIN).astype(np.int64)
-                word = np.repeat(np.searchsorted(part.words, words), times)
-                key = word * CONTEXTS + context
-                at = np.searchsorted(part.pairs, key)
-                at = np.where(np.append(part.pairs, -1)[at] == key, at, len(part.pairs))
-                p = direct[at]
-                for root, weight in zip(roots, weights):
-                    p = p + weight[context] * root[word]
-                count = part.word_counts[word]
-                rows = np.unique(doc)
-                total = lambda x: np.bincount(doc, x, int(rows[-1]) + 1 if len(rows) else 0)[rows]
-                blob = _packed(rows, total(np.log10(count + 1)), total(np.log10(p / len(roots))), total(count > 0).astype(np.uint32))
-                out.append((number, name, 1, blob))
-            if out:
-                yield _rows(out)
+    def run(row, sums) -> list[tuple]:
+        number = row[0]
+        names, blobs, contexts_, seen = _opened(row, sums, settings, history)
+        if not blobs:
+            return []
+        part = Part(blobs, settings, number, len(contexts_))
+        direct, roots = np.zeros(len(part.pairs) + 1), []
+        for j, totals in enumerate(seen[:-1]):
+            part.sweep(totals)
+            if j >= settings.burn_in:
+                direct[:-1] += part.direct(seen[j + 1])
+                roots.append(part.root(seen[j + 1]))
+        weights = [_backoff(t, settings) for t in seen[1 + settings.burn_in :]]
+        counts = part.word_counts.copy()
+        counts[part.is_hot] = hot_counts[part.hot_at]
+
+        def looked_up(words, context):
+            word = np.searchsorted(part.words, words)
+            key = word * part.contexts + context
+            at = np.searchsorted(part.pairs, key)
+            at = np.where(np.append(part.pairs, -1)[at] == key, at, len(part.pairs))
+            p = direct[at]
+            for root, weight in zip(roots, weights):
+                p = p + weight[context] * root[word]
+            return counts[word], np.log10(p / len(roots))
+
+        out = []
+        for name, (words, times, contexts, doc, hot_words, hot_contexts, _, pair, hot_doc, hot_times) in zip(names, blobs):
+            count, log_p = looked_up(np.repeat(words, times), (contexts & ~_TRAIN).astype(np.int64))
+            hot_count, hot_log = looked_up(hot_words, hot_contexts.astype(np.int64))
+            doc, n = np.concatenate([doc, hot_doc]), np.concatenate([np.ones(len(doc)), hot_times])
+            count, log_p = np.concatenate([count, hot_count[pair]]), np.concatenate([log_p, hot_log[pair]])
+            rows, at = np.unique(doc, return_inverse=True)
+            total = lambda x: np.bincount(at, n * x, len(rows))
+            out.append((number, name, 1, _packed(rows, total(np.log10(count + 1)), total(log_p), total(count > 0).astype(np.uint32))))
+        return out
 
     return run
 
 
-def _finisher(settings: Settings, totals: Totals, log_p: np.ndarray, hot_counts: np.ndarray):
+def _finisher(totals: Totals):
     """Rows with their scores, from a batch's rows and what all parts add to them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -333,13 +471,11 @@ def _finisher(settings: Settings, totals: Totals, log_p: np.ndarray, hot_counts:
             added = []
             for kind, blob in zip(group.column("kind").to_pylist(), group.column("blob").to_pylist()):
                 if kind == 0:
-                    ids, known, held, n, doc, word, context = _unpacked(blob)
+                    ids, known, held, n = _unpacked(blob)
                 else:
                     added.append(_unpacked(blob))
-            base = np.bincount(doc, np.log10(hot_counts[word] + 1), len(ids)).astype(float)
-            score = np.bincount(doc, log_p[word, context], len(ids)).astype(float)
-            n_known = np.bincount(doc[hot_counts[word] > 0], minlength=len(ids))
-            for rows, b, s, k in added:
+            base, score, n_known = np.zeros(len(ids)), np.zeros(len(ids)), np.zeros(len(ids), np.int64)
+            for rows, b, s, k in sorted(added, key=lambda x: x[1].tobytes()):
                 base[rows] += b
                 score[rows] += s
                 n_known[rows] += k
@@ -349,7 +485,7 @@ def _finisher(settings: Settings, totals: Totals, log_p: np.ndarray, hot_counts:
                     pa.array(ids, mask=~known.astype(bool)),
                     pa.array(held.astype(bool)),
                     pa.array(n),
-                    pa.array(n_known.astype(np.int64)),
+                    pa.array(n_known),
                     pa.array(np.full(len(ids), totals.tokens)),
                     pa.array(base),
                     pa.array(score),
@@ -373,45 +509,50 @@ def score_documents(docs: DataFrame, held_out: Column, **parameters) -> DataFram
     docs = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
     seen = docs.where("NOT held_out").select("text").mapInArrow(_survey, "kind int, id bigint, n bigint")
     seen = shared.checkpointed(seen.groupBy("kind", "id").agg(F.sum("n").alias("n")))
-    customers = np.zeros(CONTEXTS)
-    for r in seen.where("kind = 0").collect():
-        customers[r["id"]] = r["n"]
-    tokens = int(customers.sum())
+    tokens = sum(r["n"] for r in seen.where("kind = 0").collect())
     settings.parts = max(settings.parts, -(-tokens // PART_TOKENS))
     frequent = seen.where((F.col("kind") == 1) & (F.col("n") * HOT > tokens)).orderBy(F.desc("n"), "id").limit(HOT).collect()
     settings.hot = np.sort(np.array([r["id"] for r in frequent], np.int64).view(np.uint64))
 
-    blobs = docs.mapInArrow(_spread(settings), "part int, batch bigint, kind int, blob binary")
-    blobs = shared.checkpointed(blobs.repartitionById(settings.parts, F.col("part")))
-    history = [Totals(tokens, customers, 0.5 * customers)]
-    direct = np.zeros((len(settings.hot), CONTEXTS))
-    log_p, counts = np.zeros_like(direct), np.zeros(len(settings.hot))
-    kept = settings.sweeps - settings.burn_in
-    for sweep in range(settings.sweeps):
-        found = blobs.mapInArrow(_sweeper(settings, history), "kind int, id bigint, context bigint, x double, y double, z double")
-        found = found.groupBy("kind", "id", "context").agg(*[F.sum(c).alias(c) for c in "xyz"]).toArrow()
-        kind, ids, context, x, y, z = (found.column(k).to_numpy() for k in range(6))
-        tables, sums = np.zeros(CONTEXTS), np.zeros(3)
-        tables[ids[kind == 0]], sums[ids[kind == 1]] = x[kind == 0], x[kind == 1]
-        now = Totals(tokens, customers, tables, int(sums[0]), sums[1], sums[2])
+    # One row for each part, in a partition of its own, so that what is kept and what is sent later can be zipped.
+    every = spark.range(0, settings.parts, 1, 1).select(F.col("id").cast("int").alias("part"), F.lit(0).cast("bigint").alias("batch"), F.lit(-1).alias("kind"), F.lit(b"").alias("blob"))
+    gathered = "part int, batches array<bigint>, kinds array<int>, blobs array<binary>"
+
+    def by_part(rows: DataFrame) -> DataFrame:
+        return rows.unionAll(every).repartitionById(settings.parts, F.col("part")).mapInArrow(_gathered, gathered)
+
+    packed = shared.checkpointed(by_part(docs.mapInArrow(_spread(settings), "part int, batch bigint, kind int, blob binary")))
+    told = []
+
+    def exchanged(sent: DataFrame) -> list[list[np.ndarray]]:
+        """Sums at the homes are kept; what parts report comes back."""
+        sums = sent.repartitionById(settings.parts, F.col("home")).mapInArrow(_summed, _EXCHANGE)
+        told.append(shared.checkpointed(sums))
+        return [_unpacked(r["blob"]) for r in told[-1].where("kind = 0").select("part", "blob").orderBy("part").toLocalIterator()]
+
+    def with_sums(function, schema: str) -> DataFrame:
+        sums = [t.where("kind = 1").select("part", F.col("home").cast("bigint").alias("batch"), F.lit(k).alias("kind"), "blob") for k, t in enumerate(told)]
+        pairs = packed.rdd.zip(by_part(reduce(DataFrame.unionAll, sums)).rdd)
+        return spark.createDataFrame(pairs.flatMap(lambda x: function(*x)), schema, verifySchema=False)
+
+    none = np.zeros(0)
+    hot_counts = sum((r[0] for r in exchanged(packed.mapInArrow(_asker(settings), _EXCHANGE))), np.zeros(len(settings.hot)))
+    history = [Totals(tokens, none, none, hot_p=hot_counts / max(1, tokens))]
+    hot_tables, rng = None, np.random.default_rng([settings.seed, settings.parts, 1])
+    for _ in range(settings.sweeps):
+        reports = exchanged(with_sums(_sweeper(settings, history), _EXCHANGE))
+        words, root_customers, root_tables = sum((r[0] for r in reports), np.zeros(3))
+        hot_customers = sum((r[1] for r in reports), np.zeros(len(settings.hot)))
+        hot_tables = _root_tables(hot_customers, hot_tables, history[-1], settings, rng)
+        words += np.count_nonzero(hot_customers)
+        now = Totals(tokens, none, none, int(words), root_customers + hot_customers.sum(), root_tables + hot_tables.sum())
+        now.hot_p = _root(hot_customers, hot_tables, now, settings)
         history.append(now)
-        if sweep >= settings.burn_in and len(settings.hot):
-            at = np.searchsorted(settings.hot, ids.view(np.uint64))
-            own, pair = kind == 2, kind == 3
-            counts[at[own]] = z[own]
-            spare = (settings.root_strength + settings.root_discount * now.root_tables) / (now.words + 1)
-            root = np.full(len(settings.hot), spare)
-            root[at[own]] += x[own] - settings.root_discount * y[own]
-            root /= settings.root_strength + now.root_customers
-            direct += root[:, None] * _backoff(now, settings)[None, :]
-            where = (at[pair], context[pair])
-            direct[where] += (x[pair] - settings.discount * y[pair]) / (settings.strength + customers[context[pair]])
-    if len(settings.hot):
-        log_p = np.log10(direct / kept)
-    added = blobs.mapInArrow(_scorer(settings, history), "part int, batch bigint, kind int, blob binary")
-    rows = blobs.where("kind = 0").unionAll(added).select("batch", "kind", "blob")
+    added = with_sums(_scorer(settings, history, hot_counts), "part int, batch bigint, kind int, blob binary")
+    rows = packed.select(F.explode(F.arrays_zip("batches", "kinds", "blobs")).alias("x")).select("x.batches", "x.kinds", "x.blobs").where("kinds = 0")
+    rows = rows.toDF("batch", "kind", "blob").unionAll(added.select("batch", "kind", "blob"))
     rows = rows.repartition(settings.parts, "batch").sortWithinPartitions("batch")
     return rows.mapInArrow(
-        _finisher(settings, history[-1], log_p, counts),
+        _finisher(history[-1]),
         "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double",
     )

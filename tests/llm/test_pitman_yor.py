@@ -105,3 +105,16 @@ def test_held_out_perplexity(spark, sf_dir):
     perplexity = lambda column: 10 ** (-held[column].sum() / held.n_tokens.sum())
     assert perplexity("score") < 0.6 * perplexity("base_score")
     assert (found.score > found.base_score).mean() > 0.9
+
+
+def test_every_previous_word_has_a_restaurant_of_its_own(spark):
+    """After each of 6,000 words one other follows; classes of previous words would mix them up."""
+    rows = [(i, f"a{i} b{i} " * 6) for i in range(6000)] + [(10_000, "a7 b7"), (10_001, "a7 b8")]
+    docs = spark.createDataFrame(rows, DOCS).repartition(4)
+    found = {r["doc_id"]: r for r in P.score_documents(docs, F.col("doc_id") >= 10_000).collect()}
+    tokens, before, _ = P.tokens_of(np.frombuffer(b"a1 b1 a2", np.uint8), np.array([0, 8]))
+    assert len(set(before.tolist())) == 4 and (before[1:] == tokens[:-1]).all()
+    # b7 is seen six times after a7 and never after another word: nearly (6 - 0.85) / 7.
+    assert found[10_000]["score"] - found[10_001]["score"] > 3
+    second = [r["score"] for d, r in found.items() if d < 6000]
+    assert np.std(second) < 0.05 * abs(np.mean(second))
