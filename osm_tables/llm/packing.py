@@ -7,6 +7,9 @@ sequences; one that no sequence has room for is cut over the cheapest open ones.
 batch that fill no whole sequence go to sequences whose lengths are powers of two, which need no
 padding, so no token of padding is ever added.
 
+Ids are those of the ``tokenizers`` library at its defaults, without special tokens added: a string of
+an added token in a text (``<|endoftext|>``) is that token's one id.
+
 Every batch of tokens is packed where it was tokenized: no shuffle, and a task holds about
 ``batch_tokens`` ids at a time (a longer document alone). A sequence id is made of the partition and
 a running number, so it is the same when a lost task is run again.
@@ -29,6 +32,15 @@ SCHEMA = (
 )
 
 
+def encoder(path: str):
+    """A function from a text to its ids, as the file's own library has them."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    # The fast form leaves out the places of tokens, not the ids.
+    return lambda text: tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+
 def byte_bpe(path: str):
     """An encoder for the byte-level BPE in a ``tokenizers`` file; strings of special tokens are plain text."""
     import json
@@ -127,7 +139,7 @@ def pack_documents(
         return pa.table(columns), base + int(sequence.max()) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = byte_bpe(tokenizer).encode_ordinary
+        encode = encoder(tokenizer)
         base, held, docs, ids = TaskContext.get().partitionId() << 40, 0, [], []
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):

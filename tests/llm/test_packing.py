@@ -104,3 +104,14 @@ def test_no_documents_and_a_wrong_capacity(spark):
     assert packing.pack_documents(spark.createDataFrame([], DOCS), PATH).count() == 0
     with pytest.raises(ValueError, match="power of two"):
         packing.pack_documents(spark.createDataFrame([], DOCS), PATH, capacity=1000)
+
+
+def test_added_tokens_in_a_text_are_their_own_ids(spark):
+    rows = [(1, "a <|endoftext|> b"), (2, "<|endoftext|><|endoftext|>x<|endoftext"), (3, "plain"), (4, " \n <|endoftext|>"), (5, None)]
+    found = packing.pack_documents(spark.createDataFrame(rows, DOCS).coalesce(1), PATH, with_ids=True).collect()
+    ids = defaultdict(list)
+    for p in sorted(found, key=lambda p: (p["doc_id"], p["start"])):
+        ids[p["doc_id"]] += p["ids"]
+    assert ids[1] == [64, 220, 50256, 275, 0]
+    defaults = Tokenizer.from_file(PATH)
+    assert dict(ids) == {d: defaults.encode(t or "", add_special_tokens=False).ids + [0] for d, t in rows}
