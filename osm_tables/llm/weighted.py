@@ -1,14 +1,14 @@
 """Document fingerprints by consistent weighted sampling.
 
-A text's terms are its words, hashed into ``DIMENSIONS``; a term's weight ``s`` is how often it
+A text's terms are the 64-bit hashes of its words; a term's weight ``s`` is how often it
 occurs. For each of ``samples`` draws every term has its own fixed ``r`` and ``c`` from Gamma(2, 1)
 and ``b`` from U(0, 1), made from hashes. With ``t = floor(ln s / r + b)`` and
 ``ln a = ln c - r (t - b + 1)``, the draw is the pair (term, t) of the smallest ``a``. Two texts draw
 the same pair with a probability that equals the generalised Jaccard similarity of their weights,
-``sum(min) / sum(max)``; the part of equal draws estimates it.
+``sum(min) / sum(max)``; the part of equal draws estimates it,
+with a standard deviation of ``sqrt(J * (1 - J) / samples)`` for a similarity of ``J``.
 
-Everything is DataFrame functions. The table of ``r``, ``b`` and ``c`` has ``DIMENSIONS`` rows and is
-broadcast. A text's terms are counted within its row, and the smallest draws are aggregated where
+Everything is DataFrame functions; ``r``, ``b`` and ``c`` are computed from the term. A text's terms are counted within its row, and the smallest draws are aggregated where
 the text is, so texts are shuffled once, for finding each document's neighbour.
 """
 
@@ -20,15 +20,18 @@ from pyspark.sql import functions as F
 from osm_tables.llm import shared
 from osm_tables.llm.quality import hashes_of, words_of
 
-SAMPLES = 16
-DIMENSIONS = 1 << 16
+SAMPLES = 64
+#: Terms are taken modulo this power of two; 0 keeps all 64 bits of a word's hash.
+DIMENSIONS = 0
+#: Samples of a row while they are drawn; the code for all at once is too long to be compiled.
+_AT_ONCE = 8
 _BITS = 22
 _KEY = ["id", "known", "text_id"]
 
 
 def term_counts(text: Column) -> Column:
     """Structs of a hashed term and its count."""
-    terms = F.sort_array(F.transform(hashes_of(words_of(text)), lambda h: h.bitwiseAND(F.lit(DIMENSIONS - 1)).cast("int")))
+    terms = F.sort_array(F.transform(hashes_of(words_of(text)), lambda h: h.bitwiseAND(F.lit(DIMENSIONS - 1).cast("long"))))
 
     def runs(s: Column) -> Column:
         last = F.transform(s, lambda x, i: F.when(x == F.get(s, i + 1), F.lit(None)).otherwise(F.struct(x.alias("term"), i.alias("end"))))
@@ -39,20 +42,17 @@ def term_counts(text: Column) -> Column:
     return F.transform(F.array(terms), runs)[0]
 
 
-def draws(spark, samples: int = SAMPLES) -> DataFrame:
-    """For each term and sample the fixed r, b and ln c."""
+def draw(term: Column, j: Column) -> tuple[Column, Column, Column]:
+    """A term's fixed r, b and ln c for sample j."""
 
-    def uniform(j: int, k: int) -> Column:
-        bits = F.xxhash64("id", F.lit(j), F.lit(k)).bitwiseAND(F.lit((1 << 52) - 1))
+    def uniform(k: int) -> Column:
+        bits = F.xxhash64(term, j, F.lit(k)).bitwiseAND(F.lit((1 << 52) - 1))
         return (bits.cast("double") + 0.5) / float(1 << 52)
 
-    def gamma(j: int, k: int) -> Column:
-        return -F.ln(uniform(j, k) * uniform(j, k + 1))
+    def gamma(k: int) -> Column:
+        return -F.ln(uniform(k) * uniform(k + 1))
 
-    columns = [F.col("id").cast("int").alias("term")]
-    for j in range(samples):
-        columns += [gamma(j, 0).alias(f"r{j}"), uniform(j, 2).alias(f"b{j}"), F.ln(gamma(j, 3)).alias(f"c{j}")]
-    return spark.range(0, DIMENSIONS, 1, 4).select(*columns)
+    return gamma(0), uniform(2), F.ln(gamma(3))
 
 
 def fingerprints(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
@@ -62,19 +62,21 @@ def fingerprints(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> D
     partitioned by ``keys`` already, nothing is shuffled.
     """
     terms = texts.select(*keys, F.explode_outer(term_counts(F.col("__text"))).alias("x"))
-    terms = terms.select(*keys, F.col("x.term").alias("term"), F.ln(F.col("x.n").cast("double")).alias("s"))
-    joined = terms.join(F.broadcast(draws(texts.sparkSession, samples)), "term", "left")
+    rounds = F.explode(F.array(*[F.lit(i) for i in range(0, samples, _AT_ONCE)])).alias("first")
+    terms = terms.select(*keys, F.col("x.term").alias("term"), F.ln(F.col("x.n").cast("double")).alias("s"), rounds)
 
-    def drawn(j: int) -> Column:
-        r, b = F.col(f"r{j}"), F.col(f"b{j}")
+    def drawn(i: int) -> Column:
+        r, b, c = draw(F.col("term"), F.col("first") + i)
         t = F.floor(F.col("s") / r + b)
         # The size of ln a above, the pair's hash below: the smallest number is the draw.
-        size = ((F.col(f"c{j}") - r * (t - b + 1) + 1000) * float(1 << 30)).cast("long")
+        size = ((c - r * (t - b + 1) + 1000) * float(1 << 30)).cast("long")
         return F.shiftleft(size, _BITS).bitwiseOR(F.xxhash64("term", t).bitwiseAND(F.lit((1 << _BITS) - 1)))
 
-    least = [F.min(F.when(F.col("term").isNotNull(), drawn(j))).alias(f"d{j}") for j in range(samples)]
-    found = joined.groupBy(*keys).agg(*least)
-    return found.select(*keys, F.array(*[F.coalesce(f"d{j}", F.lit(-1).cast("long")) for j in range(samples)]).alias("draws"))
+    least = [F.min(F.when(F.col("term").isNotNull(), drawn(i))).alias(f"d{i}") for i in range(_AT_ONCE)]
+    found = terms.groupBy(*keys, "first").agg(*least)
+    own = F.array(*[F.coalesce(f"d{i}", F.lit(-1).cast("long")) for i in range(_AT_ONCE)])
+    found = found.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("first", own.alias("own")))).alias("rounds"))
+    return found.select(*keys, F.slice(F.flatten(F.col("rounds.own")), 1, samples).alias("draws"))
 
 
 def as_text(draws_: Column) -> Column:

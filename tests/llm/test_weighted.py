@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from osm_tables.llm import weighted as W
 from tests.llm.helpers import DOCS, odd_docs, signed, words, xx
@@ -94,3 +95,17 @@ def test_equal_draws_estimate_generalised_jaccard(spark):
 def test_plan_has_no_python(spark):
     plan = W.fingerprint_documents(spark.createDataFrame(odd_docs(), DOCS))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_likenesses_keep_the_error_bound_and_long_texts_do_not_collide(spark):
+    rng = np.random.default_rng(3)
+    rows, exact = [], []
+    for i in range(150):  # pairs of similarity 0.8, one after another
+        shared = [f"s{x}" for x in rng.choice(10**6, 240, replace=False)]
+        rows += [(2 * i, " ".join(shared + [f"x{i}y{k}" for k in range(30)])), (2 * i + 1, " ".join(shared + [f"z{i}y{k}" for k in range(30)]))]
+    docs = spark.createDataFrame(rows, DOCS)
+    found = {r["doc_id"]: r["near_next"] for r in W.fingerprint_documents(docs).collect()}
+    errors = [found[2 * i + 1] - 0.8 for i in range(150)]
+    assert W.SAMPLES >= 64 and np.std(errors) < 1.2 * math.sqrt(0.8 * 0.2 / 64) and abs(np.mean(errors)) < 0.015
+    text = F.lit(" ".join(f"w{k}" for k in range(3000)))
+    assert spark.range(1).select(F.size(W.term_counts(text))).first()[0] == 3000
