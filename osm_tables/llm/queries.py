@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from osm_fixtures.shipping import ship_packages
-from osm_tables.llm import chat, language, licences, near, packing, pitman_yor, quality, sentence_pieces, urls, weighted
+from osm_tables.llm import (
+    chat,
+    divergence,
+    language,
+    licences,
+    multi_index,
+    near,
+    packing,
+    pitman_yor,
+    quality,
+    sentence_pieces,
+    urls,
+    vector_codes,
+    weighted,
+)
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -92,6 +106,26 @@ def op10_chat_formatting(spark, sf_dir):
     return chat.read_back(chat.format_conversations(rows, path), path)
 
 
+def op11_nearest_neighbours(spark, sf_dir):
+    ship(spark)
+    rows = table(spark, sf_dir, "embeddings")
+    return multi_index.search(rows, "vec_id", "embedding", F.col("vec_id") % 20 == 0)
+
+
+def op12_vector_codes(spark, sf_dir):
+    ship(spark)
+    found = vector_codes.compress(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+    rows = vector_codes.with_label_errors(found.rows)
+    return rows.select(
+        F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(found.digest()).alias("codebooks_sha256")
+    )
+
+
+def op13_source_divergence(spark, sf_dir):
+    ship(spark)
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -110,6 +144,9 @@ def queries() -> dict:
         "op8_sentencepiece": op8_sentencepiece,
         "op9_url_filters": op9_url_filters,
         "op10_chat_formatting": op10_chat_formatting,
+        "op11_nearest_neighbours": op11_nearest_neighbours,
+        "op12_vector_codes": op12_vector_codes,
+        "op13_source_divergence": op13_source_divergence,
         "pipeline": pipeline,
     }
 
@@ -204,5 +241,88 @@ SELECT doc_id, any_value(len(words)) AS n_words, count(*) FILTER (base) AS n_bas
 FROM worded LEFT JOIN found USING (row_no) GROUP BY row_no, doc_id"""
 
 
+# The inner product of every query with every row, its products added in order.
+_NEAREST_SQL = """
+WITH kept AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), near AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_reduce(list_transform(list_zip(q.v, c.v), lambda x: x[1] * x[2]), lambda a, b: a + b) AS score,
+           row_number() OVER (PARTITION BY q.vec_id ORDER BY list_reduce(list_transform(list_zip(q.v, c.v), lambda x: x[1] * x[2]), lambda a, b: a + b) DESC, c.vec_id) AS rank
+    FROM kept q JOIN kept c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM near WHERE rank <= 20"""
+
+
+def _vector_codes_sql() -> str:
+    """Every part against every entry of its codebook, once for each round."""
+    kept = f"""kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS row_no, vec_id, label, embedding AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), piece AS (
+    SELECT row_no, p, pos, CAST(floor({vector_codes.SCALE} * CAST(v[p * (len(v) // {vector_codes.PARTS}) + pos] AS DOUBLE)) AS BIGINT) AS x
+    FROM kept, range({vector_codes.PARTS}) a(p), unnest(range(1, len(v) // {vector_codes.PARTS} + 1)) b(pos)
+), first AS (
+    SELECT row_no, row_number() OVER (ORDER BY vec_id NULLS LAST) - 1 AS e FROM kept QUALIFY e < {vector_codes.ENTRIES}
+), book0 AS (SELECT p, e, pos, x FROM piece JOIN first USING (row_no))"""
+    steps = [kept]
+    for i in range(vector_codes.ROUNDS + 1):
+        steps.append(f"""near{i} AS (
+    SELECT row_no, p, e, sum((s.x - b.x) * (s.x - b.x)) AS far FROM piece s JOIN book{i} b USING (p, pos) GROUP BY row_no, p, e
+    QUALIFY row_number() OVER (PARTITION BY row_no, p ORDER BY far, e) = 1
+)""")
+        if i < vector_codes.ROUNDS:
+            steps.append(f"""mean{i} AS (
+    SELECT p, e, pos, sum(x) AS s, count(*) AS n FROM near{i} JOIN piece USING (row_no, p) GROUP BY ALL
+), book{i + 1} AS (
+    SELECT p, e, pos, CAST(CASE WHEN n IS NULL THEN b.x ELSE (s - ((s % n) + n) % n) // n END AS BIGINT) AS x
+    FROM book{i} b LEFT JOIN mean{i} USING (p, e, pos)
+)""")
+    last = vector_codes.ROUNDS
+    return f"""
+WITH {", ".join(steps)}, coded AS (
+    SELECT row_no, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(far) AS BIGINT) AS error FROM near{last} GROUP BY row_no
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(x, ',' ORDER BY p, e, pos)) FROM book{last}) AS codebooks_sha256
+FROM kept JOIN coded USING (row_no)"""
+
+
+# Every kept term of every two sources, priced one by one.
+_DIVERGENCE_SQL = r"""
+WITH doc AS MATERIALIZED (
+    SELECT row_number() OVER () AS row_no, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), said AS (
+    SELECT row_no, lang, source, unnest(list_filter(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '')) AS term
+    FROM doc
+), kept AS (
+    SELECT lang, term, count(*) AS total FROM said GROUP BY lang, term HAVING count(DISTINCT row_no) >= 10
+), pair AS (SELECT DISTINCT lang, source FROM doc
+), n AS (SELECT lang, source, term, count(*) AS n FROM said JOIN kept USING (lang, term) GROUP BY ALL
+), of_lang AS (SELECT lang, CAST(sum(total) AS HUGEINT) AS held, count(*) AS kept FROM kept GROUP BY lang
+), of_group AS (
+    SELECT lang, source, CAST(coalesce(sum(n.n), 0) AS HUGEINT) AS held FROM pair LEFT JOIN n USING (lang, source) GROUP BY ALL
+), p AS (
+    SELECT lang, source, term, coalesce(n.n, 0) AS n,
+           1 + (1000000000 * CAST(coalesce(n.n, 0) + 2 AS HUGEINT)) // (g.held + 2 * l.kept) AS p,
+           1 + (1000000000 * CAST(kept.total + 2 AS HUGEINT)) // (l.held + 2 * l.kept) AS q
+    FROM of_group g JOIN of_lang l USING (lang) JOIN kept USING (lang) LEFT JOIN n USING (lang, source, term)
+), valued AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), every AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(v.value, 0) AS value
+    FROM pair a JOIN pair b ON a.lang = b.lang AND a.source <> b.source
+         LEFT JOIN valued v ON v.lang = a.lang AND v.source = a.source AND v.item = b.source
+    UNION ALL SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+       CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM every QUALIFY part = 'pair' OR rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_license_scans": _licence_sql(), "op6_ngram_jaccard_join": _JACCARD_SQL, "op10_chat_formatting": _CHAT_SQL}
+    return {"op4_license_scans": _licence_sql(), "op6_ngram_jaccard_join": _JACCARD_SQL, "op10_chat_formatting": _CHAT_SQL,
+            "op11_nearest_neighbours": _NEAREST_SQL, "op12_vector_codes": _vector_codes_sql(), "op13_source_divergence": _DIVERGENCE_SQL}

@@ -17,13 +17,13 @@ SMALL = "/root/testdata/sf0.001"
 def test_registered_queries():
     names = list(driver.queries())
     assert "pipeline" in names
-    assert sorted(int(x[2:].split("_")[0]) for x in names if re.match(r"op\d+_", x)) == list(range(1, 11))
+    assert sorted(int(x[2:].split("_")[0]) for x in names if re.match(r"op\d+_", x)) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(queries.oracle_sql()))
 def test_query_matches_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages", "conversations", "labels", "benchmark"):
+    for table in ("documents", "pages", "conversations", "labels", "benchmark", "embeddings"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     expected = connection.sql(queries.oracle_sql()[name]).to_arrow_table()
     columns = sorted(expected.column_names)
