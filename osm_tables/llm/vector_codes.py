@@ -151,7 +151,7 @@ def _next_books(kept: DataFrame, books: np.ndarray) -> np.ndarray:
     by_component = found.select("entry", "n", F.posexplode("total").alias("at", "value")) if width else None
     new = books.copy().reshape(parts * entries, width)
     if by_component is not None:  # parts x entries x width rows, whatever the table
-        for r in by_component.groupBy("entry", "at").agg(F.sum("value").alias("s"), F.sum("n").alias("n")).toLocalIterator():
+        for r in by_component.groupBy("entry", "at").agg(F.sum("value").alias("s"), F.sum("n").alias("n")).collect():
             new[r["entry"], r["at"]] = r["s"] // r["n"]
     return new.reshape(books.shape)
 
