@@ -32,7 +32,7 @@ from osm_tables.llm.shared import cut, written
 
 #: Fixed: documents that keep a term, parts that probabilities are told in, occurrences given beforehand, ranks.
 LEAST_DOCUMENTS, WHOLE, BEFOREHAND, RANKS = 10, 1_000_000_000, 2, 10
-#: So many groups at most are sent to all tasks (a name and five numbers each); more are joined by a shuffle.
+#: So many groups (or bands of a language) at most are sent to all tasks (a name and five numbers each); more are joined by a shuffle.
 BROADCAST_GROUPS = 100_000
 
 
@@ -219,7 +219,8 @@ def audit(df: DataFrame, text: str = "text", lang: str = "lang", source: str = "
 def _placed(terms: DataFrame, size: int) -> DataFrame:
     """``lang, term, band, page, at, terms``: pages of terms whose frequencies share a power of two."""
     terms = terms.select("lang", "term", F.floor(F.log2("total")).cast("int").alias("band"))
-    pages = terms.groupBy("lang", "band").agg(F.ceil(F.count("*") / size).cast("int").alias("pages"))
+    pages = written(terms.groupBy("lang", "band").agg(F.ceil(F.count("*") / size).cast("int").alias("pages")), "bands")
+    pages = F.broadcast(pages) if pages.count() <= BROADCAST_GROUPS else pages
     page = F.pmod(F.xxhash64("term"), F.col("pages")).cast("int").alias("page")
     paged = terms.join(pages, ["lang", "band"]).select("lang", "band", page, "term")
     own = Window.partitionBy("lang", "band", "page")
