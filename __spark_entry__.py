@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import osm_tables
-from osm_fixtures.shipping import ship_packages
+from osm_fixtures.shipping import new_shared_directory, ship_packages
 from osm_fixtures.tables import write_entity_files
 from osm_tables.operators.blob_index import count_at
 
@@ -26,7 +26,13 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Sums of ids are taken of remainders, so that they fit a bigint for any number of rows.
 ID_MODULUS = 1_000_003
 
+# What the filtering queries and their SQL ask for: ids, epoch milliseconds, and (south, west, north, east) in 1e-7
+# degrees, which no node has for its place to the last digit.
+_FIRST_WAY, _FIRST_TIME = 1000, 852_076_800_000
+_BOX = (-300_000_000.5, -600_000_000.5, 455_000_000.5, 1_200_000_000.5)
+
 _files: dict[tuple[str, str], list[str]] = {}
+_zones: dict[tuple[str, str], str] = {}
 
 
 def entity_files(spark: SparkSession, sf_dir: str) -> list[str]:
@@ -38,6 +44,15 @@ def entity_files(spark: SparkSession, sf_dir: str) -> list[str]:
     return _files[key]
 
 
+def stored_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table of the files' blobs, made once and read from disk, as a user would keep it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _zones:
+        _zones[key] = new_shared_directory(spark, "zones")
+        osm_tables.blob_zones(spark, entity_files(spark, sf_dir)).write.parquet(_zones[key])
+    return spark.read.parquet(_zones[key])
+
+
 def read(spark: SparkSession, sf_dir: str, **settings) -> DataFrame:
     return osm_tables.read_osm(spark, entity_files(spark, sf_dir), **settings)
 
@@ -381,6 +396,39 @@ def data_source_options(spark, sf_dir):
     )
 
 
+def indexed_scan(spark, sf_dir):
+    """`scan_all` by a stored index: no range is searched."""
+    return osm_tables.read_indexed(stored_zones(spark, sf_dir), columns=["entity_type", "id"])
+
+
+def skipped_scan(spark, sf_dir):
+    """Late ways, of which most blobs can hold none: only the others are opened."""
+    where = osm_tables.Where(ids=(_FIRST_WAY, None), times=(_FIRST_TIME, None))
+    columns = ["entity_type", "id", "timestamp", "nodes"]
+    ways = osm_tables.read_indexed(stored_zones(spark, sf_dir), columns=columns, where=where, types={"way"})
+    return ways.select("entity_type", "id", "timestamp", _length("nodes", "n_nodes"))
+
+
+def tag_filter(spark, sf_dir):
+    """Nodes with a key, within a box: other nodes are not built, blocks without the key not looked at."""
+    south, west, north, east = (x / 1e7 for x in _BOX)
+    where = osm_tables.Where(keys={"línea"}, box=(south, west, north, east))
+    nodes = read(spark, sf_dir, where=where)
+    return nodes.select("entity_type", "id", "user_sid", F.array_size("tags").cast("long").alias("n_tags"), _e7("latitude"), _e7("longitude"))
+
+
+def zone_totals(spark, sf_dir):
+    """What the zone maps say of all blobs together."""
+    zones = stored_zones(spark, sf_dir)
+    return zones.agg(
+        *(F.sum(f"n_{kind}").alias(f"n_{kind}") for kind in ("nodes", "ways", "relations")),
+        F.min("min_id").alias("min_id"), F.max("max_id").alias("max_id"),
+        F.round(F.min("min_latitude") * 1e7).cast("long").alias("south"), F.round(F.max("max_latitude") * 1e7).cast("long").alias("north"),
+        F.round(F.min("min_longitude") * 1e7).cast("long").alias("west"), F.round(F.max("max_longitude") * 1e7).cast("long").alias("east"),
+        F.min("min_timestamp").alias("first"), F.max("max_timestamp").alias("last"),
+    )
+
+
 _QUERIES: tuple[Query, ...] = (
     entity_counts,
     scan_all,
@@ -411,6 +459,10 @@ _QUERIES: tuple[Query, ...] = (
     filter_entity_type,
     full_scan,
     data_source_options,
+    indexed_scan,
+    skipped_scan,
+    tag_filter,
+    zone_totals,
 )
 
 
@@ -691,6 +743,20 @@ def oracle_sql() -> dict[str, str]:
             SELECT entity_type, id, CASE WHEN has_info THEN changeset END, NULL, n_nodes FROM way""",
         "filter_entity_type": "SELECT entity_type, id, n_nodes FROM way",
         "full_scan": _SELECTION_TOTALS,
+        "indexed_scan": "SELECT entity_type, id FROM entity",
+        "skipped_scan": f"""
+            SELECT entity_type, id, "timestamp", n_nodes FROM way
+            WHERE id >= {_FIRST_WAY} AND has_info AND "timestamp" >= {_FIRST_TIME}""",
+        "tag_filter": f"""
+            SELECT entity_type, id, CASE WHEN has_info THEN user_sid END AS user_sid, CAST(2 AS BIGINT) AS n_tags, lat_e7, lon_e7
+            FROM node WHERE tagged AND lat_e7 BETWEEN {_BOX[0]} AND {_BOX[2]} AND lon_e7 BETWEEN {_BOX[1]} AND {_BOX[3]}""",
+        "zone_totals": """
+            SELECT count(*) FILTER (entity_type = 'Node') AS n_nodes, count(*) FILTER (entity_type = 'Way') AS n_ways,
+                   count(*) FILTER (entity_type = 'Relation') AS n_relations, min(id) AS min_id, max(id) AS max_id,
+                   (SELECT min(lat_e7) FROM node) AS south, (SELECT max(lat_e7) FROM node) AS north,
+                   (SELECT min(lon_e7) FROM node) AS west, (SELECT max(lon_e7) FROM node) AS east,
+                   min("timestamp") FILTER (has_info) AS "first", max("timestamp") FILTER (has_info) AS "last"
+            FROM entity""",
         "data_source_options": """
             SELECT entity_type, id, CASE WHEN codec_key % 4 = 0 THEN 'raw' ELSE 'zlib' END AS codec,
                    CASE WHEN tagged THEN linea END AS linea, NULL AS segment,

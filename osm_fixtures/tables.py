@@ -1,8 +1,9 @@
 """Entity files from the driver's tables, written by a Spark job.
 
 Every line item becomes a node, every order a way, every customer a relation. Each entity is made from
-its own row alone, so there is no join, no shuffle and no group that a frequent key could swell; a task
-writes the rows of one partition of a table and holds one unfinished block per layout and codec.
+its own row alone. Every file is an extract as real ones are: a share of the keys of each table, its nodes,
+then its ways, then its relations, by id. Keys are shared out evenly by their size, which no frequent key
+can swell; a task writes one share and holds one unfinished block per kind and codec.
 """
 
 from __future__ import annotations
@@ -21,11 +22,13 @@ from . import writer
 from .shipping import new_shared_directory
 
 BLOCK_ROWS = 8000
+#: Files of each codec; tables of more than so many rows of a share get more shares.
+SHARES, SHARE_ROWS = 8, 2_000_000
 CODECS = ("raw", "zlib")
 
-# Block layouts: (granularity, latitude and longitude offset, date granularity). Layout 0 holds dense
-# nodes and ways, layout 1 holds plain nodes and relations.
+# Block layouts: (granularity, latitude and longitude offset, date granularity). A block holds one kind.
 LAYOUTS = ((100, 0, 0, 1), (50, 500_000, -2_000_000, 1000))
+LAYOUT_OF = {writer.PLAIN_NODE: 1, writer.DENSE_NODE: 0, writer.WAY: 0, writer.RELATION: 1}
 
 
 def _day_millis(column: str):
@@ -47,6 +50,7 @@ def _row(kind, codec_key, **columns):
 
     return [
         kind.cast("int").alias("kind"),
+        F.floor(codec_key * F.col("shares") / (F.col("greatest") + 1)).cast("int").alias("share"),
         (codec_key % 4 != 0).alias("zlib"),
         columns["id"].cast("long").alias("id"),
         columns["has_info"].alias("has_info"),
@@ -164,32 +168,28 @@ def _write_files(directory: str):
         streams = {codec: system.open_output_stream(f"{attempt}/{codec}") for codec in CODECS}
         for stream in streams.values():
             stream.write(writer.header_blob("OsmSchema-V0.6", "DenseNodes"))
-        waiting = {(codec, layout): [] for codec in CODECS for layout in (0, 1)}
+        waiting = {(codec, kind): [] for codec in CODECS for kind in LAYOUT_OF}
         n_rows = 0
 
-        def flush(codec, layout, least):
-            table = pa.concat_tables(waiting[codec, layout])
+        def flush(codec, kind, least):
+            table = pa.concat_tables(waiting[codec, kind])
             while table.num_rows >= least:
-                block = writer.block(table.slice(0, BLOCK_ROWS), *LAYOUTS[layout])
+                block = writer.block(table.slice(0, BLOCK_ROWS), *LAYOUTS[LAYOUT_OF[kind]])
                 streams[codec].write(writer.blob("OSMData", block, codec))
                 table = table.slice(BLOCK_ROWS)
-            waiting[codec, layout] = [table] if table.num_rows else []
+            waiting[codec, kind] = [table] if table.num_rows else []
 
         for batch in batches:
             table = pa.Table.from_batches([batch])
             n_rows += table.num_rows
-            second_layout = pc.is_in(
-                table["kind"], pa.array([writer.PLAIN_NODE, writer.RELATION], pa.int32())
-            )
-            for (codec, layout), tables in waiting.items():
-                compressed = table["zlib"] if codec == "zlib" else pc.invert(table["zlib"])
-                in_layout = second_layout if layout else pc.invert(second_layout)
-                tables.append(table.filter(pc.and_(compressed, in_layout)))
+            for (codec, kind), tables in waiting.items():
+                in_codec = table["zlib"] if codec == "zlib" else pc.invert(table["zlib"])
+                tables.append(table.filter(pc.and_(in_codec, pc.equal(table["kind"], kind))))
                 if sum(t.num_rows for t in tables) >= BLOCK_ROWS:
-                    flush(codec, layout, BLOCK_ROWS)
-        for (codec, layout), tables in waiting.items():
+                    flush(codec, kind, BLOCK_ROWS)
+        for (codec, kind), tables in waiting.items():
             if any(t.num_rows for t in tables):
-                flush(codec, layout, 1)
+                flush(codec, kind, 1)
         for codec, stream in streams.items():
             stream.close()
             # Every attempt of a task has the same rows; the last whole file to arrive stays.
@@ -209,9 +209,14 @@ def write_entity_files(spark: SparkSession, sf_dir: str) -> list[str]:
 
     sources = {"lineitem": _nodes, "orders": _ways, "customer": _relations}
     tables = {name: spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")) for name in sources}
-    nodes, ways, relations = (make(tables[name]) for name, make in sources.items())
-    # The tables' own partitions write the files; nothing is shuffled.
+    keys = {"lineitem": "l_orderkey", "orders": "o_orderkey", "customer": "c_custkey"}
+    ends = {name: table.agg(F.max(keys[name]), F.count("*")).first() for name, table in tables.items()}
+    shares = max(SHARES, -(-sum(n for _, n in ends.values()) // SHARE_ROWS))
+    nodes, ways, relations = (
+        make(tables[name].withColumns({"greatest": F.lit(ends[name][0] or 0), "shares": F.lit(shares)})) for name, make in sources.items()
+    )
     entities = nodes.unionByName(ways).unionByName(relations)
+    entities = entities.repartitionById(shares, F.col("share")).sortWithinPartitions("kind", "id").drop("share")
     entities.mapInArrow(_write_files(directory), "n_rows long").write.format("noop").mode(
         "overwrite"
     ).save()

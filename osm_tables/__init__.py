@@ -1,17 +1,23 @@
 """OpenStreetMap extracts as Spark DataFrames."""
 
-from .operators import blob_index, count_by_type
+from .operators import blob_index, blob_zones, count_by_type
 from .options import FORMAT, OsmReadOptions
+from .predicates import Where
 from .schema import osm_schema
 from .sources.datasource import register_osm
+from .sources.indexed import read_indexed, selected_blobs
 from .sources.reader import read_osm
 
 __all__ = [
     "FORMAT",
     "OsmReadOptions",
+    "Where",
     "blob_index",
+    "blob_zones",
     "count_by_type",
     "osm_schema",
+    "read_indexed",
     "read_osm",
     "register_osm",
+    "selected_blobs",
 ]

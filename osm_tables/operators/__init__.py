@@ -2,5 +2,6 @@
 
 from .blob_index import blob_index, count_at
 from .counts import count_by_type
+from .zones import blob_zones
 
-__all__ = ["blob_index", "count_at", "count_by_type"]
+__all__ = ["blob_index", "blob_zones", "count_at", "count_by_type"]

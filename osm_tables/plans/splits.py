@@ -13,18 +13,32 @@ from itertools import accumulate
 from typing import NamedTuple, Protocol
 
 
+#: Fixed: Spark numbers partitions by ints; a plan stays far below.
+MAX_TASKS = 1 << 24
+
+
 class FileRange(NamedTuple):
     file_no: int
     start: int
     stop: int
 
 
+class FileCut(NamedTuple):
+    """How one file is cut: the first of its tasks, the bytes of that task before the file, and the step."""
+
+    first_task: int
+    lead: int
+    step: int
+
+
 class Plan(Protocol):
     sizes: tuple[int, ...]
     n_tasks: int
 
     def ranges_of(self, task_no: int) -> Sequence[FileRange]: ...
 
+    def cuts(self) -> list[FileCut]: ...
+
 
 @dataclass(frozen=True)
 class SplitPlan:
@@ -51,6 +65,9 @@ class SplitPlan:
                 ranges.append(FileRange(file_no, start, stop))
         return ranges
 
+    def cuts(self) -> list[FileCut]:
+        return [FileCut(*divmod(start, self.step), self.step) for start in self.starts]
+
 
 @dataclass(frozen=True)
 class PerFilePlan:
@@ -67,6 +84,9 @@ class PerFilePlan:
         start = (task_no - self.first_tasks[file_no]) * step
         return [FileRange(file_no, start, min(start + step, self.sizes[file_no]))]
 
+    def cuts(self) -> list[FileCut]:
+        return [FileCut(first, 0, step) for first, step in zip(self.first_tasks, self.steps)]
+
 
 def split_bytes(
     sizes: Sequence[int], max_partition_bytes: int, open_cost_bytes: int, parallelism: int

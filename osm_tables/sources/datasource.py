@@ -11,8 +11,9 @@ from pyspark.sql.types import StructType
 
 from .. import schema as S
 from ..options import FORMAT, OsmReadOptions
+from ..plans.splits import FileRange
 from .files import s3_settings
-from .reader import entity_decoder, file_set, scan_range, size_in_bytes, split_settings
+from .reader import FileSet, entity_decoder, file_set, one_file, scan_range, size_in_bytes, split_settings
 
 # Options of this source only. ``columns`` names the wanted columns, separated by commas, because
 # Spark does not tell a Python source which columns a query uses. The others are Spark's own settings,
@@ -25,8 +26,10 @@ DEDUP_POLICY = "mapKeyDedupPolicy"
 
 
 class TaskPartition(InputPartition):
-    def __init__(self, task_no: int):
-        super().__init__(task_no)
+    """The ranges of one task: name, location, size, start and stop of each."""
+
+    def __init__(self, ranges: list[tuple[str, str, int, int, int]]):
+        super().__init__(ranges)
 
 
 class OsmReader(DataSourceReader):
@@ -38,15 +41,24 @@ class OsmReader(DataSourceReader):
 
     def __init__(self, options: OsmReadOptions, schema: StructType, settings: dict, last_wins: bool):
         self._decode = entity_decoder(schema, options.selected_types, last_wins)
-        # Spark copies the reader to the tasks before it asks for partitions, so the plan is made now.
-        self._files = file_set(options.paths, options.partitions, **settings)
+        self._s3 = tuple((settings.get("s3") or {}).items())
+        self._files: FileSet | None = file_set(options.paths, options.partitions, **settings)
+
+    def __getstate__(self) -> dict:
+        # Spark copies the reader to every task; the list of files stays where the plan is made.
+        return self.__dict__ | {"_files": None}
 
     def partitions(self) -> list[InputPartition]:
-        return [TaskPartition(n) for n in range(self._files.plan.n_tasks)]
+        files = self._files
+        parts = (files.plan.ranges_of(n) for n in range(files.plan.n_tasks))
+        return [
+            TaskPartition([(files.names[p.file_no], files.locations[p.file_no], files.plan.sizes[p.file_no], p.start, p.stop) for p in ranges])
+            for ranges in parts
+        ]
 
     def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
-        for part in self._files.plan.ranges_of(partition.value):
-            yield from scan_range(self._files, part, self._decode)
+        for name, location, size, start, stop in partition.value:
+            yield from scan_range(one_file(name, location, size, self._s3), FileRange(0, start, stop), self._decode)
 
 
 def _settings(options: Mapping[str, str], registered: dict) -> dict:

@@ -16,7 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 from .. import schema as S
-from ..options import ENTITY_TYPES, NODE, RELATION, WAY
+from ..options import ENTITY_TYPES, NODE, RELATION, WAY, OsmReadOptions
+from ..predicates import Where
 from .blobs import MAX_BLOB_BYTES
 from .columns import Bytes, Messages, offsets_of, running_sum, zigzag
 from .wire import BYTES, VARINT, fields, signed, varint
@@ -67,11 +68,14 @@ def check_header(blob) -> None:
 
 
 def decode_blob(
-    blob, origin: str, schema: pa.Schema, types: frozenset[str], last_wins: bool = False
+    blob, origin: str, schema: pa.Schema, types: frozenset[str], last_wins: bool = False, where: Where | None = None
 ) -> Iterator[pa.RecordBatch]:
-    """The entities of a blob; ``last_wins`` lets a map keep the last of an entity's equal tag keys."""
+    """The entities of a blob; ``last_wins`` lets a map keep the last of an entity's equal tag keys.
+
+    With ``where``, what its conditions look at is decoded first, and the rest of matching entities only.
+    """
     for block in payloads(blob):
-        yield from _Block(block, types, last_wins).batches(schema, origin)
+        yield from _Block(block, types, last_wins).batches(schema, origin, where)
 
 
 def count_blob(blob, types: frozenset[str]) -> Counter[str]:
@@ -189,20 +193,46 @@ class _Block:
                 counts[entity_type] += len(starts)
         return counts
 
-    def batches(self, schema: pa.Schema, origin: str) -> Iterator[pa.RecordBatch]:
+    def batches(self, schema: pa.Schema, origin: str, where: Where | None = None) -> Iterator[pa.RecordBatch]:
+        known = None
+        if where and where.keys:
+            known = pc.is_in(self.strings(), pa.array(sorted(where.keys), pa.string())).to_numpy(zero_copy_only=False)
+            if not known.any():
+                return
         for number, (starts, stops) in self.entities.items():
             entity_type, read = _KINDS[number]
             messages = Messages(self.content, starts, stops)
             rows = _Rows(self, schema, entity_type, origin)
+            if where and where.columns:
+                first = _Rows(self, _schema_of(where), entity_type, origin)
+                read(self, messages, first)
+                keep = where.matches(first.n, first.arrays, known)
+                if not keep.any():
+                    continue
+                if number == GROUP_DENSE:
+                    rows.keep = keep
+                else:
+                    starts, stops = starts[keep], stops[keep]
+                    messages = Messages(self.content, starts, stops)
             if rows.wants(*_ENTITY_COLUMNS):
                 read(self, messages, rows)
+            elif rows.keep is not None:
+                rows.n = int(rows.keep.sum())
             else:
                 rows.n = messages.count(1) if number == GROUP_DENSE else len(starts)
             yield from rows.batches()
 
 
+def _schema_of(where: Where) -> pa.Schema:
+    return S.to_arrow_schema(S.osm_schema(OsmReadOptions(), where.columns))
+
+
 class _Rows:
-    """Columns of the entities of one kind, each built for any stretch of rows."""
+    """Columns of the entities of one kind, each built for any stretch of rows.
+
+    ``arrays`` has the numbers that columns are built from, of all entities; with ``keep``, columns are
+    built of those entities only.
+    """
 
     def __init__(self, block: _Block, schema: pa.Schema, entity_type: str, origin: str):
         self.block = block
@@ -213,6 +243,11 @@ class _Rows:
             S.ORIGIN_FILE: lambda a, b: pa.repeat(pa.scalar(origin), b - a),
         }
         self._text_cost = 0
+        self.keep: np.ndarray | None = None
+        self.arrays: dict[str, tuple] = {}
+
+    def _kept(self, values: np.ndarray | None) -> np.ndarray | None:
+        return values if values is None or self.keep is None else values[self.keep]
 
     def wants(self, *names: str) -> bool:
         return any(n in self.schema.names for n in names)
@@ -222,16 +257,20 @@ class _Rows:
 
     def numbers(self, name: str, values: np.ndarray, dtype, present: np.ndarray | None = None) -> None:
         values = values.astype(dtype)
+        self.arrays[name] = values, present
+        values, present = self._kept(values), self._kept(present)
         missing = None if present is None or present.all() else ~present
         self.columns[name] = lambda a, b: pa.array(
             values[a:b], mask=None if missing is None else missing[a:b]
         )
 
     def ids(self, values: np.ndarray) -> None:
-        self.n = len(values)
+        self.n = len(values) if self.keep is None else int(self.keep.sum())
         self.numbers(S.ID, values, np.int64)
 
     def text(self, name: str, ids: np.ndarray, present: np.ndarray | None = None) -> None:
+        ids, present = self._kept(ids), self._kept(present)
+
         def column(a, b):
             mask = None if present is None else ~present[a:b]
             return self.block.strings().take(pa.array(ids[a:b], mask=mask))
@@ -250,6 +289,10 @@ class _Rows:
 
     def tags(self, keys: np.ndarray, values: np.ndarray, counts: np.ndarray) -> None:
         """Tags as a list or a map, whichever the schema has; null for an entity without tags."""
+        self.arrays[S.TAGS] = keys, counts
+        if self.keep is not None:
+            inside = np.repeat(self.keep, counts)
+            keys, values, counts = keys[inside], values[inside], counts[self.keep]
         offsets, text, kind = offsets_of(counts), self.block.text, self.type_of(S.TAGS)
         if pa.types.is_map(kind):
             keys, values, counts = self._distinct_keys(keys, values, counts)

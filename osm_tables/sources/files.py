@@ -114,6 +114,11 @@ class ReadAhead:
         self._window = memoryview(b"")
         self._fetcher = ThreadPoolExecutor(1) if until else None
         self._next: Future | None = None
+        self._last: int | None = None
+
+    def only_until(self, stop: int) -> None:
+        """From now on nothing beyond ``stop`` is fetched unless it is asked for."""
+        self._until = self._last = min(stop, self.size)
 
     def __enter__(self) -> ReadAhead:
         return self
@@ -153,7 +158,8 @@ class ReadAhead:
             parts = [self._window[offset - self._start :], self._next.result()]
             fetched = sum(map(len, parts))
         if fetched < length or not parts:
-            end = min(max(offset + length, offset + self._chunk_bytes), self.size)
+            ahead = offset + self._chunk_bytes if self._last is None else min(offset + self._chunk_bytes, self._last)
+            end = min(max(offset + length, ahead), self.size)
             parts.append(self._fetch(offset + fetched, end - offset - fetched))
         self._start = offset
         self._window = memoryview(parts[0] if len(parts) == 1 else b"".join(parts))

@@ -7,6 +7,7 @@ from dataclasses import dataclass, replace
 from functools import partial
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +15,8 @@ from pyspark.sql import types as T
 from .. import schema as S
 from ..functions.entities import tags_as_map
 from ..options import OsmReadOptions
-from ..plans.splits import FileRange, Plan, plan_splits, split_bytes
+from ..plans.splits import FileCut, FileRange, Plan, SplitPlan, plan_splits, split_bytes
+from ..predicates import Where
 from .blobs import DATA_BLOB, HEADER_BLOB, blobs_of_range
 from .decode import check_header, decode_blob
 from .files import S3_SETTINGS, ReadAhead, file_sizes, s3_settings, to_location
@@ -24,6 +26,8 @@ BlobDecoder = Callable[[memoryview, str], Iterator[pa.RecordBatch]]
 
 DATA_CHUNK = 4 * 1024 * 1024
 HEADER_CHUNK = 1024 * 1024
+#: File lists up to this size are sent to every executor.
+BROADCAST_BYTES = 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -126,9 +130,21 @@ def over_ranges(
 ) -> DataFrame:
     """What ``read`` makes of every range, given its task number; one Spark task for each of the plan.
 
-    A task gets a number and finds its ranges itself, so there is no list of ranges to shuffle. The
-    files, a few numbers and a name for each, go to an executor once, not with every task.
+    Names of a few files go to an executor once, and a task finds its ranges from its number. Beyond
+    ``BROADCAST_BYTES`` the files are rows of a table, cut into ranges there and dealt out by task, so
+    that a task is sent its own ranges only.
     """
+    n = files.plan.n_tasks
+    if len(cloudpickle.dumps(files)) > BROADCAST_BYTES:
+        s3 = files.s3
+
+        def read_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for task_no, name, location, size, start, stop in zip(*(c.to_pylist() for c in batch.columns)):
+                    yield from read(one_file(name, location, size, s3), task_no, FileRange(0, start, stop))
+
+        return ranges_table(spark, files).repartitionById(n, F.col("task_no").cast("int")).mapInArrow(read_rows, schema)
+
     sent = spark.sparkContext.broadcast(files)
 
     def read_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,10 +154,27 @@ def over_ranges(
                 for part in files.plan.ranges_of(task_no):
                     yield from read(files, task_no, part)
 
-    n = files.plan.n_tasks
     return spark.range(0, n, 1, n).withColumnRenamed("id", "task_no").mapInArrow(read_task, schema)
 
 
+def one_file(name: str, location: str, size: int, s3: tuple[tuple[str, str], ...]) -> FileSet:
+    return FileSet((name,), (location,), SplitPlan((size,), (0,), max(1, size), 1), s3)
+
+
+def ranges_table(spark: SparkSession, files: FileSet) -> DataFrame:
+    """``task_no, name, location, size, start, stop`` of every range of a plan, made by Spark from one row per file."""
+    cuts = files.plan.cuts()
+    rows = pa.table(
+        {"name": list(files.names), "location": list(files.locations), "size": pa.array(files.plan.sizes, pa.int64())}
+        | {name: pa.array([getattr(c, name) for c in cuts], pa.int64()) for name in FileCut._fields}
+    )
+    last = F.expr("(size - 1 + lead) div step")
+    ranges = spark.createDataFrame(rows).where("size > 0").withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    start = F.greatest(F.lit(0).cast("long"), F.expr("k * step - lead")).alias("start")
+    stop = F.least("size", F.expr("(k + 1) * step - lead")).alias("stop")
+    return ranges.select((F.col("first_task") + F.col("k")).alias("task_no"), "name", "location", "size", start, stop)
+
+
 def planned_files(spark: SparkSession, options: OsmReadOptions) -> FileSet:
     return file_set(options.paths, options.partitions, **split_settings(spark))
 
@@ -170,28 +203,35 @@ def read_osm(
     paths: str | Sequence[str] = (),
     options: OsmReadOptions | None = None,
     columns: Sequence[str] | None = None,
+    where: Where | None = None,
     **settings,
 ) -> DataFrame:
     """Entities of all ``paths`` as a DataFrame; the files are read when the DataFrame is used.
 
     ``settings`` are fields of ``OsmReadOptions``. ``columns`` limits what is decoded: Spark cannot
-    push a later ``select`` into the decoder, so name the columns here when a few are enough.
+    push a later ``select`` into the decoder, so name the columns here when a few are enough. ``where``
+    leaves out entities before they are built; the result is that of ``filter(where.condition())``.
     """
     options = with_settings(paths, options, settings)
-    result = S.osm_schema(options, columns)
-    decoded = S.osm_schema(replace(options, tags_as_map=False), columns)
-    if not decoded.fields:
-        decoded = S.osm_schema(options, [S.ENTITY_TYPE])
-    decode = entity_decoder(decoded, options.selected_types)
+    result, decoded = S.osm_schema(options, columns), decoded_schema(options, columns)
+    decode = entity_decoder(decoded, options.selected_types, where=where)
     entities = scan(spark, options, decode, decoded)
-    return entities.select([_as_result(f.name, options) for f in result.fields])
+    return entities.select([as_result(f.name, options) for f in result.fields])
+
+
+def decoded_schema(options: OsmReadOptions, columns: Sequence[str] | None) -> T.StructType:
+    """What tasks decode: maps are made by Spark from lists, and rows without columns need one."""
+    decoded = S.osm_schema(replace(options, tags_as_map=False), columns)
+    return decoded if decoded.fields else S.osm_schema(options, [S.ENTITY_TYPE])
 
 
-def entity_decoder(schema: T.StructType, types: frozenset[str], last_wins: bool = False) -> BlobDecoder:
-    return partial(decode_blob, schema=S.to_arrow_schema(schema), types=types, last_wins=last_wins)
+def entity_decoder(
+    schema: T.StructType, types: frozenset[str], last_wins: bool = False, where: Where | None = None
+) -> BlobDecoder:
+    return partial(decode_blob, schema=S.to_arrow_schema(schema), types=types, last_wins=last_wins, where=where)
 
 
-def _as_result(name: str, options: OsmReadOptions):
+def as_result(name: str, options: OsmReadOptions):
     column = F.col(f"`{name}`")
     if name == S.TAGS and options.tags_as_map:
         return tags_as_map(column).alias(name)

@@ -1,0 +1,242 @@
+"""Reading by a stored index, zone maps, and conditions tested before entities are built."""
+
+import json
+
+import pytest
+from micro import HEADER, block, data, dense, multiset, node, relation, way, write
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+
+import __spark_entry__ as driver
+from osm_fixtures.writer import put, put_list
+from osm_tables import OsmReadOptions, Where, blob_index, blob_zones, osm_schema, read_indexed, read_osm, register_osm, selected_blobs
+from osm_tables.plans import balance
+from osm_tables.plans.splits import plan_splits
+from osm_tables.schema import to_arrow_schema
+from osm_tables.sources import decode, reader
+from osm_tables.sources.blobs import DATA_BLOB
+from osm_tables.sources.reader import file_set, over_ranges, ranges_table
+
+STRINGS = ["", "highway", "path", "name", "Süd", "highway"]  # a key twice
+TAGS = put_list(2, [1, 3]) + put_list(3, [2, 4])
+INFO = put(4, put(1, 3) + put(2, 1_600_000) + put(3, 9) + put(4, 7) + put(5, 4))
+DENSE_INFO = put_list(1, [1, 1, 2]) + put_list(2, [2_000_000, 10, 10]) + put_list(3, [2, 0, 2]) + put_list(4, [2, 2, 2]) + put_list(5, [8, 0, 0])
+
+
+def odd_blocks():
+    """Every kind with and without metadata, tags and places; blocks without strings, entities or groups."""
+    return [
+        block(STRINGS, dense([1, 2, 3], [10, -20, 30], [1_790_000_000, -1_790_000_000, 5], tags=[1, 2, 0, 0, 5, 4, 0], info=DENSE_INFO)),
+        block(STRINGS, dense([11, 12], [900_000_000, -900_000_000], [0, 0])),
+        block(STRINGS, node(21, 7, 8, rest=TAGS + INFO), node(-22, -7, -8)),
+        block(STRINGS, way(31, [1, 2, 1], rest=TAGS), way(32, rest=INFO), way(33, [4], rest=put_list(2, [5]) + put_list(3, [2]))),
+        block(["", "name", "x", "y", "z"], relation(41, [(1, 1, 0)], rest=put_list(2, [1]) + put_list(3, [2])), relation(42, rest=INFO)),
+        block([""], dense([]), way(1)),
+        block([""]),
+    ]
+
+
+CONDITIONS = [
+    Where(),
+    Where(ids=(2, 31)), Where(ids=(None, 2)), Where(ids=(33, None)), Where(ids=(5, 5)),
+    Where(keys={"highway"}), Where(keys={"name", "none"}), Where(keys="none"),
+    Where(box=(-1, -180, 1, 180)), Where(box=(-90, 170, 90, -170)), Where(box=(0.000001, -1, 90, 1)), Where(box=(50, 0, 40, 1)),
+    Where(times=(1_600_000_000, None)), Where(times=(None, 1_600_000_000)), Where(times=(0, 1)),
+    Where(ids=(0, 30), keys={"highway"}, box=(-90, -180, 90, 180)), Where(keys={"highway"}, times=(1, None)),
+]
+
+
+@pytest.fixture(scope="module")
+def odd_file(tmp_path_factory):
+    blobs = [data(b, codec) for b, codec in zip(odd_blocks(), ["raw", "zlib"] * 4)]
+    return write(tmp_path_factory.mktemp("osm") / "odd.pbf", HEADER, *blobs)
+
+
+@pytest.fixture(scope="module")
+def zones(spark, odd_file, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("zones") / "z")
+    blob_zones(spark, odd_file).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def rows(df):
+    return multiset(json.dumps(r.asDict(recursive=True), ensure_ascii=False) for r in df.collect())
+
+
+@pytest.mark.parametrize("where", CONDITIONS, ids=str)
+def test_where_is_a_filter_before_building(spark, odd_file, zones, where):
+    wanted = rows(read_osm(spark, odd_file).where(where.condition()))
+    assert rows(read_osm(spark, odd_file, where=where)) == wanted
+    assert rows(read_indexed(zones, where=where)) == wanted
+    few = ["id", "nodes", "entity_type"]
+    assert rows(read_osm(spark, odd_file, columns=few, where=where)) == rows(read_osm(spark, odd_file).where(where.condition()).select(few))
+    assert read_osm(spark, odd_file, columns=[], where=where).count() == sum(wanted.values())
+
+
+def test_conditions_are_checked():
+    for wrong in ({"ids": (1,)}, {"box": (1, 2)}, {"times": (1, 2, 3)}):
+        with pytest.raises(ValueError, match="numbers"):
+            Where(**wrong)
+
+
+@pytest.mark.parametrize("settings", [{"tags_as_map": True, "types": {"relation"}}, {"include_origin_file": True}, {"way_nodes_as_id_list": True, "types": {"way"}}, {"exclude_tags": True}])
+def test_indexed_read_equals_the_plain_one(spark, odd_file, zones, settings):
+    plain, indexed = read_osm(spark, odd_file, **settings), read_indexed(zones, **settings)
+    assert indexed.schema == plain.schema and rows(indexed) == rows(plain)
+    where = Where(ids=(1, 40))
+    assert rows(read_indexed(zones, where=where, **settings)) == rows(read_osm(spark, odd_file, where=where, **settings))
+
+
+def test_many_files_and_any_index(spark, sf_dir):
+    files = driver.entity_files(spark, sf_dir)
+    wanted = rows(read_osm(spark, files, columns=["entity_type", "id", "members"]))
+    for index in (blob_index(spark, files), driver.stored_zones(spark, sf_dir)):
+        for partitions in (1, 50):
+            got = read_indexed(index, columns=["entity_type", "id", "members"], partitions=partitions)
+            assert got.rdd.getNumPartitions() >= partitions
+            assert rows(got) == wanted
+    twice = blob_index(spark, files[:1] * 2)
+    assert rows(read_indexed(twice, columns=["id"])) == rows(read_osm(spark, files[:1] * 2, columns=["id"]))
+
+
+def test_zones_hold_what_their_blobs_hold(zones):
+    found = {tuple(round(x, 9) if isinstance(x, float) else x for x in tuple(r)[6:]) for r in zones.where("blob_type = 'OSMData'").collect()}
+    dense_block = (3, 0, 0, 1, 3, -2e-06, 3e-06, -179.0, 179.0, 1_000_000_000, 1_000_010_000)
+    assert (2, 0, 0, -22, 21, -7e-07, 7e-07, -8e-07, 8e-07, 1_600_000_000, 1_600_000_000) in found
+    assert (0, 0, 0, *[None] * 8) in found and (0, 3, 0, 31, 33, *[None] * 4, 1_600_000_000, 1_600_000_000) in found
+    assert dense_block in found
+    header = [tuple(r)[6:] for r in zones.where("blob_type = 'OSMHeader'").collect()]
+    assert header == [(None,) * 11]
+
+
+def test_only_blobs_that_can_match_are_opened(spark, odd_file, tmp_path):
+    index = blob_zones(spark, odd_file)
+    places = selected_blobs(index, frozenset({"Way"})).select("data_offset", "datasize").collect()
+    assert len(places) == 2
+    # Without its other bytes the file still gives its ways: no header is read, and no other blob.
+    content = bytearray(open(odd_file, "rb").read())
+    kept = [(p["data_offset"], content[p["data_offset"] : p["data_offset"] + p["datasize"]]) for p in places]
+    wanted = rows(read_osm(spark, odd_file, types={"way"}))
+    index = spark.createDataFrame(index.collect(), index.schema)
+    content[:] = b"\xff" * len(content)
+    for at, part in kept:
+        content[at : at + len(part)] = part
+    broken = write(tmp_path / "broken.pbf", bytes(content))
+    moved = index.withColumn("file", F.lit(broken))
+    assert rows(read_indexed(moved, types={"way"})) == wanted
+    with pytest.raises(Exception, match="blob contents at offset"):
+        read_indexed(moved).collect()
+    assert selected_blobs(index, frozenset({"Node"}), Where(box=(80, -1, 90, 1))).count() == 1
+    assert selected_blobs(index, frozenset({"Node", "Way", "Relation"}), Where(ids=(41, None))).count() == 1
+    assert selected_blobs(index, frozenset({"Way"}), Where(box=(-90, -180, 90, 180))).count() == 0
+
+
+def test_blobs_by_kind_of_larger_files(spark, sf_dir):
+    zones = driver.stored_zones(spark, sf_dir)
+    data_blobs = zones.where(F.col("blob_type") == DATA_BLOB)
+    ways = selected_blobs(zones, frozenset({"Way"}))
+    assert ways.count() == data_blobs.where("n_ways > 0").count() < data_blobs.count()
+    late = selected_blobs(zones, frozenset({"Way"}), Where(ids=(12_000, None)))
+    assert 0 < late.count() < ways.count()
+
+
+def decoded(contents, where, columns=None):
+    schema = to_arrow_schema(osm_schema(OsmReadOptions(), columns))
+    return list(decode.decode_blob(contents, "", schema, frozenset({"Node", "Way", "Relation"}), where=where))
+
+
+def test_blocks_without_the_key_are_not_looked_at(monkeypatch):
+    contents = put(1, odd_blocks()[0])
+    assert sum(b.num_rows for b in decoded(contents, Where(keys="highway"))) == 2
+    built = []
+    real = decode._Rows.batches
+    monkeypatch.setattr(decode._Rows, "batches", lambda self: built.append(self.n) or real(self))
+    assert [b.num_rows for b in decoded(contents, Where(keys="highway", ids=(3, 3)))] == [1] and built == [1]
+    monkeypatch.setattr(decode, "Messages", None)
+    assert decoded(contents, Where(keys="railway")) == []
+
+
+def test_shares_are_even_and_in_order(spark, monkeypatch):
+    monkeypatch.setattr(balance, "STRETCH", 1000)
+    monkeypatch.setattr(balance, "GROUPS", 3)
+    sizes = {"a": [70] * 100, "b": [5, 900, 5], "c": [], "d": [1] * 50}
+    blobs, at = [], 0
+    for file, own in sizes.items():
+        at = 0
+        for size in own:
+            blobs.append((file, at, size))
+            at += size
+    df = spark.createDataFrame(blobs, "file string, data_offset long, datasize long").repartition(5)
+    for target, cost in ((200, 0), (350, 20), (10**6, 4)):
+        got = balance.with_tasks(df, target, cost).collect()
+        assert sorted(tuple(r)[:3] for r in got) == sorted(blobs)
+        total = balance.total_bytes(df, cost)
+        assert max(r["task"] for r in got) < total // target + 1
+        by_task = {}
+        for r in got:
+            by_task[r["task"]] = by_task.get(r["task"], 0) + r["datasize"]
+        assert all(n <= target + 900 for n in by_task.values())
+        if target < 1000:
+            assert len(by_task) >= total // (target + 70) // 2
+        for file in sizes:  # within a stretch, blobs that follow one another
+            tasks = [r["task"] for r in sorted(got, key=lambda r: r["data_offset"]) if r["file"] == file and r["data_offset"] < 1000]
+            assert tasks == sorted(tasks)
+
+
+def test_what_a_task_is_sent_does_not_grow_with_the_files(spark, monkeypatch):
+    sent = []
+    real = type(spark.range(1)).mapInArrow
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", lambda self, f, s: sent.append(len(cloudpickle.dumps(f))) or real(self, f, s))
+    for n in (10, 100_000):
+        index = spark.range(n).select(
+            F.concat(F.lit("/no/such/"), "id").alias("file"), F.lit(100).cast("long").alias("data_offset"),
+            F.lit(2**20).cast("long").alias("datasize"), F.lit("OSMData").alias("blob_type"),
+        )
+        read_indexed(index)
+    assert sent[0] == sent[1] < 5000
+    monkeypatch.setattr("osm_tables.sources.reader.file_sizes", lambda paths, s3: [2**20] * len(paths))
+    files = file_set([f"/no/such/{i}" for i in range(100_000)], 1, 2**27, 2**22, 1)
+    over_ranges(spark, files, lambda *_: iter(()), osm_schema(OsmReadOptions()))
+    assert sent[2] < 5000
+
+
+def test_readers_of_the_data_source_leave_their_files_behind(spark, odd_file):
+    from osm_tables.sources.datasource import OsmReader
+
+    source = OsmReader(OsmReadOptions().with_paths(*[odd_file] * 1000), osm_schema(OsmReadOptions()), split_settings_for(spark), False)
+    assert len(cloudpickle.dumps(source)) < 5000
+    parts = source.partitions()
+    copy = cloudpickle.loads(cloudpickle.dumps(source))
+    assert sum(b.num_rows for p in parts for b in copy.read(p)) == 1000 * len(read_osm(spark, odd_file).collect())
+    register_osm(spark)
+    assert rows(spark.read.format("osm_pbf").load([odd_file] * 3)) == rows(read_osm(spark, [odd_file] * 3))
+
+
+def split_settings_for(spark):
+    return reader.split_settings(spark)
+
+
+@pytest.mark.parametrize("partitions", [1, 3])
+def test_ranges_as_rows_are_those_of_the_plan(spark, odd_file, monkeypatch, partitions):
+    sizes = [0, 1, 17, 1000, 5, 0, 333]
+    plan = plan_splits(sizes, 100, 7, partitions)
+    files = reader.FileSet(tuple(map(str, range(len(sizes)))), tuple("abcdefg"), plan)
+    wanted = {(t, str(p.file_no), p.start, p.stop) for t in range(plan.n_tasks) for p in plan.ranges_of(t) if p.start < p.stop}
+    got = ranges_table(spark, files).select("task_no", "name", "start", "stop").collect()
+    assert len(got) == len(wanted) and {tuple(r) for r in got} == wanted
+    plain = rows(read_osm(spark, [odd_file] * 4, partitions=partitions, include_origin_file=True))
+    monkeypatch.setattr(reader, "BROADCAST_BYTES", 0)
+    assert rows(read_osm(spark, [odd_file] * 4, partitions=partitions, include_origin_file=True)) == plain
+    assert blob_index(spark, [odd_file] * 2, partitions).count() == 16
+
+
+def test_a_file_that_shrank_is_an_error(spark, odd_file, tmp_path):
+    path = write(tmp_path / "x.pbf", open(odd_file, "rb").read())
+    index = spark.createDataFrame(blob_zones(spark, path).collect(), blob_zones(spark, path).schema)
+    write(path, open(odd_file, "rb").read()[:200])
+    with pytest.raises(Exception, match="truncated"):
+        read_indexed(index).collect()
+
+
+def test_nothing_to_read(zones):
+    assert read_indexed(zones.where("false")).collect() == []
