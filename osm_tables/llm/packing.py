@@ -17,6 +17,7 @@ a running number, so it is the same when a lost task is run again.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -33,28 +34,54 @@ SCHEMA = (
 
 
 def encoder(path: str):
-    """A function from a text to its ids, as the file's own library has them."""
-    from tokenizers import Tokenizer
+    """A function from a text to its ids, those of ``tokenizers`` at its defaults for a byte-level BPE file.
 
-    tokenizer = Tokenizer.from_file(path)
-    # The fast form leaves out the places of tokens, not the ids.
-    return lambda text: tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-
-
-def byte_bpe(path: str):
-    """An encoder for the byte-level BPE in a ``tokenizers`` file; strings of special tokens are plain text."""
+    Texts are cut at the strings of added tokens, each of which is one id, and what lies between is merged by
+    ``tiktoken``, which has the same ids in a third of the time. A file whose added tokens take in blanks around
+    them, match whole words only or lie within one another goes to ``tokenizers`` itself.
+    """
     import json
 
-    import tiktoken
-
     with open(path, encoding="utf-8") as file:
         content = json.load(file)
+    added = {x["content"]: x["id"] for x in content["added_tokens"]}
+    odd = any(x["single_word"] or x["lstrip"] or x["rstrip"] for x in content["added_tokens"])
+    plain_form = content["pre_tokenizer"] == {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
+    if odd or content["normalizer"] or not plain_form or any(a != b and a in b for a in added for b in added):
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(path)
+        return lambda text: tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+    merge = byte_bpe(content).encode_ordinary
+    if not added:
+        return merge
+    parts = re.compile("|".join(map(re.escape, added)))
+
+    def encode(text: str) -> list[int]:
+        found = parts.search(text)
+        if found is None:
+            return merge(text)
+        ids, at = [], 0
+        while found:
+            ids += merge(text[at : found.start()])
+            ids.append(added[found[0]])
+            at = found.end()
+            found = parts.search(text, at)
+        return ids + merge(text[at:])
+
+    return encode
+
+
+def byte_bpe(content: dict):
+    """The byte-level BPE in a ``tokenizers`` file; strings of added tokens are plain text."""
+    import tiktoken
+
     # Byte-level vocabularies write each byte as a printable character: itself, or one from U+0100 on.
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     rest = [b for b in range(256) if b not in set(plain)]
     byte = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
-    special = {x["content"] for x in content["added_tokens"]}
-    ranks = {bytes(byte[c] for c in piece): i for piece, i in content["model"]["vocab"].items() if piece not in special}
+    added = {x["content"] for x in content["added_tokens"]}
+    ranks = {bytes(byte[c] for c in piece): i for piece, i in content["model"]["vocab"].items() if piece not in added}
     words = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
     return tiktoken.Encoding("byte_bpe", pat_str=words, mergeable_ranks=ranks, special_tokens={})
 

@@ -17,9 +17,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    out = Tokenizer.from_file(PATH)
-    out.encode_special_tokens = True
-    return out
+    return Tokenizer.from_file(PATH)
 
 
 def check(pieces, lengths, capacity):
@@ -67,12 +65,30 @@ def test_costs_are_balanced():
 
 
 def test_ids_are_the_tokenizers(tokenizer):
-    texts = [t or "" for _, t in odd_docs()] + ["<|endoftext|> it's 100% <|x|>\n\n  tail  "]
-    encode = packing.byte_bpe(PATH).encode_ordinary
+    texts = [t or "" for _, t in odd_docs()] + ["<|endoftext|> it's 100% <|x|>\n\n  tail  ", "a <|endoftext|>", "x  <|endoftext|><|endoftext|>  y", "<|endoftext"]
+    encode = packing.encoder(PATH)
     for text in texts:
         assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_ids_of_all_documents_are_the_tokenizers(spark, sf_dir, tokenizer):
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    encode = packing.encoder(PATH)
+    wanted = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+    assert all(encode(t) == w.ids for t, w in zip(texts, wanted, strict=True))
+
+
+def test_files_with_odd_added_tokens_go_to_their_library(tmp_path, tokenizer):
+    import json
+
+    content = json.load(open(PATH, encoding="utf-8"))
+    content["added_tokens"][0]["rstrip"] = True
+    path = tmp_path / "odd.json"
+    path.write_text(json.dumps(content), encoding="utf-8")
+    text = "a <|endoftext|>  b"
+    assert packing.encoder(str(path))(text) == Tokenizer.from_file(str(path)).encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("batch", [2_000_000, 300])
 def test_documents_against_the_tokenizer(spark, tokenizer, batch):
     rows = odd_docs() + [(7000, "many words " * 3000)]
