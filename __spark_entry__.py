@@ -20,6 +20,7 @@ import osm_tables
 from osm_fixtures.shipping import new_shared_directory, ship_packages
 from osm_fixtures.tables import write_entity_files
 from osm_tables.operators.blob_index import count_at
+from osm_tables.operators.geometry import EARTH
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -429,6 +430,54 @@ def zone_totals(spark, sf_dir):
     )
 
 
+def way_lines(spark, sf_dir):
+    """Ways with their length in whole metres and their box."""
+    columns = ["entity_type", "id", "version", "timestamp", "latitude", "longitude", "nodes"]
+    lines = osm_tables.way_lines(read(spark, sf_dir, types={"node", "way"}, columns=columns))
+    box = (F.round(F.col(c) * 1e7).cast("long").alias(c) for c in ("south", "west", "north", "east"))
+    return lines.select("id", "n_refs", "n_missing", F.round("length").cast("long").alias("metres"), *box)
+
+
+def relation_closure(spark, sf_dir):
+    """All that relations hold, through relations in them."""
+    return osm_tables.relation_closure(read(spark, sf_dir, types={"relation"}, columns=["entity_type", "id", "members"]))
+
+
+def relation_groups(spark, sf_dir):
+    """Relations that hang together by holding one another."""
+    relations = read(spark, sf_dir, types={"relation"}, columns=["entity_type", "id", "members"])
+    held = relations.select(F.col("id").alias("a"), F.explode("members").alias("x")).where("x.type = 'Relation'")
+    edges = held.select("a", F.col("x.member_id").alias("b")).unionByName(relations.select(F.col("id").alias("a"), F.col("id").alias("b")))
+    return osm_tables.components(edges)
+
+
+def way_components(spark, sf_dir):
+    """Ways that hang together by shared nodes."""
+    return osm_tables.way_components(read(spark, sf_dir, types={"way"}, columns=["entity_type", "id", "nodes"]))
+
+
+def _extracts(spark, sf_dir):
+    """Two overlapping extracts: the files' entities without some, and the same later, with some edited."""
+    entities = read(spark, sf_dir, exclude_tags=True)
+    edited = (F.col("id") % 5 == 0) & F.col("version").isNotNull()
+    after = entities.withColumn("changeset", F.when(edited, F.col("changeset") + 1).otherwise(F.col("changeset")))
+    after = after.withColumn("version", F.when(edited, F.col("version") + 1).otherwise(F.col("version")))
+    return entities.where("id % 7 <> 0"), after.where("id % 11 <> 0")
+
+
+def latest_entities(spark, sf_dir):
+    """Two extracts as one, each entity in its latest state."""
+    before, after = _extracts(spark, sf_dir)
+    latest = osm_tables.latest_entities(before.unionByName(after))
+    sizes = [F.coalesce(F.array_size(c), F.lit(-1)).cast("long").alias(n) for c, n in (("nodes", "n_nodes"), ("members", "n_members"))]
+    return latest.select("entity_type", "id", "version", "timestamp", "changeset", *sizes)
+
+
+def extract_diff(spark, sf_dir):
+    """What changed from one extract to the next."""
+    return osm_tables.extract_diff(*_extracts(spark, sf_dir))
+
+
 _QUERIES: tuple[Query, ...] = (
     entity_counts,
     scan_all,
@@ -463,6 +512,12 @@ _QUERIES: tuple[Query, ...] = (
     skipped_scan,
     tag_filter,
     zone_totals,
+    way_lines,
+    relation_closure,
+    relation_groups,
+    way_components,
+    latest_entities,
+    extract_diff,
 )
 
 
@@ -492,7 +547,7 @@ def queries() -> dict[str, Query]:
 # What the files hold, stated over the tables: one row per entity, and one per tag, way node and
 # member. ``codec_key`` decides the file's codec.
 _ENTITIES = """
-WITH node AS (
+WITH RECURSIVE node AS (
     SELECT 'Node' AS entity_type, l_orderkey * 8 + l_linenumber AS id, l_orderkey AS codec_key,
            l_orderkey % 8 = 3 AS plain,
            NOT (l_orderkey % 8 = 3 AND l_linenumber = 2) AS has_info,
@@ -672,6 +727,68 @@ SELECT selection, {_CHECKS},
 FROM selected GROUP BY selection) LEFT JOIN contents USING (selection)"""
 
 
+# Line items may share an id: the newest counts.
+_LINES_SQL = f"""
+, newest AS (
+    SELECT id, lat_e7, lon_e7 FROM node
+    QUALIFY row_number() OVER (PARTITION BY id ORDER BY CASE WHEN has_info THEN version ELSE -1 END DESC,
+                               CASE WHEN has_info THEN "timestamp" ELSE -1 END DESC, lat_e7 DESC, lon_e7 DESC) = 1
+), place AS (
+    SELECT w.id, w."index", n.lat_e7 / 1e7 AS lat, n.lon_e7 / 1e7 AS lon, n.lat_e7, n.lon_e7
+    FROM way_node w LEFT JOIN newest n ON n.id = w.node_id
+), step AS (
+    SELECT *, lead(lat) OVER o AS lat2, lead(lon) OVER o AS lon2 FROM place WINDOW o AS (PARTITION BY id ORDER BY "index")
+), measured AS (
+    SELECT *, CASE WHEN h > 1 THEN 1.0 ELSE h END AS a FROM (
+        SELECT *, sin(radians(lat2 - lat) / 2) ** 2 + cos(radians(lat)) * cos(radians(lat2)) * sin(radians(lon2 - lon) / 2) ** 2 AS h FROM step)
+), line AS (
+    SELECT id, count(*) AS n_refs, count(*) FILTER (lat IS NULL) AS n_missing,
+           CASE WHEN count(lat) > 0 THEN sum(coalesce(2 * {EARTH} * atan2(sqrt(a), sqrt(1 - a)), 0)) END AS metres,
+           min(lat_e7) AS south, min(lon_e7) AS west, max(lat_e7) AS north, max(lon_e7) AS east
+    FROM measured GROUP BY id
+)
+SELECT way.id, coalesce(n_refs, 0) AS n_refs, coalesce(n_missing, 0) AS n_missing, CAST(round(metres) AS BIGINT) AS metres,
+       south, west, north, east
+FROM way LEFT JOIN line USING (id)"""
+
+# Recursion stands in the first WITH, which the entities' own tables follow.
+_CLOSURE_SQL = """
+, held AS (SELECT DISTINCT id, type AS member_type, member_id FROM member
+), reached AS (
+    SELECT id, member_id, 1 AS depth FROM held WHERE member_type = 'Relation'
+    UNION SELECT r.id, h.member_id, r.depth + 1 FROM reached r JOIN held h ON h.id = r.member_id AND h.member_type = 'Relation' AND r.depth < 40
+), holder AS (SELECT id, id AS through, 0 AS depth FROM (SELECT DISTINCT id FROM held) UNION ALL SELECT id, member_id, depth FROM reached)
+SELECT holder.id, member_type, member_id, CAST(min(depth) + 1 AS INTEGER) AS depth
+FROM holder JOIN held ON held.id = holder.through GROUP BY ALL"""
+
+_GROUPS_SQL = """
+, link AS (
+    SELECT id AS a, member_id AS b FROM member WHERE type = 'Relation' UNION SELECT member_id, id FROM member WHERE type = 'Relation'
+    UNION SELECT id, id FROM relation
+), reached AS (
+    SELECT a AS id, b AS other FROM link UNION SELECT r.id, l.b FROM reached r JOIN link l ON l.a = r.other
+)
+SELECT id, min(other) AS component FROM reached GROUP BY id"""
+
+_COMPONENTS_SQL = """
+, reached AS (
+    SELECT id, id AS other FROM way
+    UNION SELECT r.id, y.id FROM reached r JOIN way_node x ON x.id = r.other JOIN way_node y ON y.node_id = x.node_id
+)
+SELECT id, min(other) AS component FROM reached GROUP BY id"""
+
+_EXTRACTS_SQL = """
+, each AS (
+    SELECT m.*, coalesce(w.n_nodes, -1) AS n_nodes, coalesce(r.n_members, -1) AS n_members FROM metadata m
+    LEFT JOIN way w ON w.entity_type = m.entity_type AND w.id = m.id LEFT JOIN relation r ON r.entity_type = m.entity_type AND r.id = m.id
+), before AS (SELECT * FROM each WHERE id % 7 <> 0
+), after AS (
+    SELECT * REPLACE (CAST(version + CASE WHEN id % 5 = 0 THEN 1 ELSE 0 END AS INT) AS version,
+                      changeset + CASE WHEN version IS NOT NULL AND id % 5 = 0 THEN 1 ELSE 0 END AS changeset)
+    FROM each WHERE id % 11 <> 0
+)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """For each key in ``queries()``, SQL over the tables with the same result."""
     parts = {
@@ -743,6 +860,21 @@ def oracle_sql() -> dict[str, str]:
             SELECT entity_type, id, CASE WHEN has_info THEN changeset END, NULL, n_nodes FROM way""",
         "filter_entity_type": "SELECT entity_type, id, n_nodes FROM way",
         "full_scan": _SELECTION_TOTALS,
+        "way_lines": _LINES_SQL,
+        "relation_closure": _CLOSURE_SQL,
+        "relation_groups": _GROUPS_SQL,
+        "way_components": _COMPONENTS_SQL,
+        "latest_entities": _EXTRACTS_SQL + """
+            SELECT entity_type, id, version, "timestamp", changeset, n_nodes, n_members
+            FROM (SELECT * FROM before UNION SELECT * FROM after)
+            QUALIFY row_number() OVER (PARTITION BY entity_type, id ORDER BY version DESC NULLS LAST, "timestamp" DESC, changeset DESC) = 1""",
+        "extract_diff": _EXTRACTS_SQL + """
+            SELECT coalesce(b.entity_type, a.entity_type) AS entity_type, coalesce(b.id, a.id) AS id,
+                   CASE WHEN b.id IS NULL THEN 'created' WHEN a.id IS NULL THEN 'deleted' ELSE 'modified' END AS change,
+                   b.version AS before_version, a.version AS after_version
+            FROM (SELECT entity_type, id, max(version) AS version FROM before GROUP BY ALL) b
+                 FULL JOIN (SELECT entity_type, id, max(version) AS version FROM after GROUP BY ALL) a ON a.entity_type = b.entity_type AND a.id = b.id
+            WHERE a.id IS NULL OR b.id IS NULL OR a.version IS DISTINCT FROM b.version""",
         "indexed_scan": "SELECT entity_type, id FROM entity",
         "skipped_scan": f"""
             SELECT entity_type, id, "timestamp", n_nodes FROM way

@@ -1,6 +1,16 @@
 """OpenStreetMap extracts as Spark DataFrames."""
 
-from .operators import blob_index, blob_zones, count_by_type
+from .operators import (
+    blob_index,
+    blob_zones,
+    components,
+    count_by_type,
+    extract_diff,
+    latest_entities,
+    relation_closure,
+    way_components,
+    way_lines,
+)
 from .options import FORMAT, OsmReadOptions
 from .predicates import Where
 from .schema import osm_schema
@@ -14,10 +24,16 @@ __all__ = [
     "Where",
     "blob_index",
     "blob_zones",
+    "components",
     "count_by_type",
+    "extract_diff",
+    "latest_entities",
     "osm_schema",
     "read_indexed",
     "read_osm",
     "register_osm",
+    "relation_closure",
     "selected_blobs",
+    "way_components",
+    "way_lines",
 ]

@@ -2,6 +2,20 @@
 
 from .blob_index import blob_index, count_at
 from .counts import count_by_type
+from .geometry import way_lines
+from .graphs import components, relation_closure, way_components
+from .versions import extract_diff, latest_entities
 from .zones import blob_zones
 
-__all__ = ["blob_index", "blob_zones", "count_at", "count_by_type"]
+__all__ = [
+    "blob_index",
+    "blob_zones",
+    "components",
+    "count_at",
+    "count_by_type",
+    "extract_diff",
+    "latest_entities",
+    "relation_closure",
+    "way_components",
+    "way_lines",
+]

@@ -1,0 +1,147 @@
+"""Lines, closures, components and versions against plain Python on small and odd inputs."""
+
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from osm_tables import OsmReadOptions, components, extract_diff, latest_entities, osm_schema, relation_closure, way_components, way_lines
+from osm_tables.operators.geometry import EARTH
+
+SCHEMA = osm_schema(OsmReadOptions())
+
+
+def entity(kind, id, version=1, time=0, tags=None, lat=None, lon=None, refs=None, members=None, changeset=5):
+    nodes = None if refs is None else list(enumerate(refs))
+    return (kind, id, version, time, changeset, 7, "u", tags, lat, lon, nodes, members)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).repartition(4)
+
+
+def metres(a, b):
+    la, lb = math.radians(a[0]), math.radians(b[0])
+    h = math.sin((lb - la) / 2) ** 2 + math.cos(la) * math.cos(lb) * math.sin(math.radians(b[1] - a[1]) / 2) ** 2
+    return 2 * EARTH * math.asin(math.sqrt(h))
+
+
+@pytest.mark.parametrize("popular", [100_000, 3])
+def test_way_lines(spark, popular):
+    rng = random.Random(1)
+    places = {i: (rng.uniform(-80, 80), rng.uniform(-180, 180)) for i in range(40)}
+    rows = [entity("Node", i, lat=p[0], lon=p[1]) for i, p in places.items()]
+    rows += [entity("Node", 3, 0, lat=1.0, lon=1.0), entity("Node", 4, None, lat=1.0, lon=1.0), entity("Node", 5, lat=places[5][0], lon=places[5][1])]
+    refs = {100 + i: [rng.choice([0, 0, 0, rng.randrange(50)]) for _ in range(rng.randrange(1, 9))] for i in range(60)}
+    refs |= {1: [], 2: [0], 3: [99, 98], 4: [7, 8, 7], 5: [7, 99, 8, 9]}
+    rows += [entity("Way", i, refs=r) for i, r in refs.items()] + [entity("Way", 4, refs=refs[4]), entity("Way", 4, 2, refs=[1, 2]), entity("Relation", 4, members=[])]
+    found = {(r["id"], r["version"]): r for r in way_lines(frame(spark, rows), popular).collect()}
+    assert set(found) == {(i, 1) for i in refs} | {(4, 2)}
+    for (id, version), r in found.items():
+        own = refs[id] if version == 1 else [1, 2]
+        at = [places.get(n) for n in own]
+        assert [(p["index"], p["nodeId"]) for p in r["points"]] == list(enumerate(own))
+        assert [(p["latitude"], p["longitude"]) for p in r["points"]] == [p or (None, None) for p in at]
+        assert (r["n_refs"], r["n_missing"]) == (len(own), at.count(None))
+        known = [p for p in at if p]
+        if known:
+            assert r["length"] == pytest.approx(sum(metres(a, b) for a, b in zip(at, at[1:]) if a and b))
+            assert (r["south"], r["north"]) == (min(p[0] for p in known), max(p[0] for p in known))
+            assert (r["west"], r["east"]) == (min(p[1] for p in known), max(p[1] for p in known))
+        else:
+            assert (r["length"], r["south"], r["west"], r["north"], r["east"]) == (None,) * 5
+    assert way_lines(frame(spark, [])).collect() == []
+
+
+def test_relation_closure(spark):
+    holds = {
+        1: [(2, "Relation"), (10, "Node")], 2: [(3, "Relation")], 3: [(1, "Relation"), (30, "Way")],  # a circle
+        4: [(4, "Relation")], 5: [(1, "Relation"), (99, "Relation"), (99, "Relation")], 6: [], 7: [(1, "Node")],
+    } | {i: [(i + 1, "Relation")] for i in range(100, 112)}
+    rows = [entity("Relation", i, members=[(m, "r", k) for m, k in own]) for i, own in holds.items()]
+    wanted = {}
+    for root in holds:
+        level, depth, seen = [root], 1, set()
+        while level:
+            following = []
+            for holder in level:
+                for m, kind in holds.get(holder, []):
+                    if (root, kind, m) not in wanted:
+                        wanted[root, kind, m] = depth
+                        if kind == "Relation":
+                            following.append(m)
+            level, depth = following, depth + 1
+    got = relation_closure(frame(spark, rows)).collect()
+    assert {(r["id"], r["member_type"], r["member_id"]): r["depth"] for r in got} == wanted and len(got) == len(wanted)
+    assert relation_closure(frame(spark, [entity("Node", 1, lat=0.0, lon=0.0)])).collect() == []
+
+
+def by_hand(edges):
+    least = {v: v for e in edges for v in e}
+    while True:
+        changed = False
+        for a, b in edges:
+            low = min(least[a], least[b])
+            changed |= least[a] != low or least[b] != low
+            least[a] = least[b] = low
+        if not changed:
+            return least
+
+
+def test_components(spark):
+    rng = random.Random(2)
+    path = [(i, i + 1) for i in range(200, 330)]
+    rng.shuffle(path)
+    star = [(1000, i) for i in range(1001, 1400)]
+    made = [(rng.randrange(100), rng.randrange(100)) for _ in range(70)]
+    edges = path + star + made + [(-5, -5), (2000, 7), (7, 2000), (7, 2000)]
+    df = spark.createDataFrame([*edges, (None, 1), (1, None)], "a long, b long").repartition(3)
+    got = {r["id"]: r["component"] for r in components(df).collect()}
+    assert got == by_hand(edges)
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_rounds_grow_with_the_logarithm(spark, monkeypatch):
+    from osm_tables.operators import graphs
+
+    rounds = []
+    real = graphs.written
+    monkeypatch.setattr(graphs, "written", lambda df, name: rounds.append(name) or real(df, name))
+    df = spark.range(600).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert components(df).where("component <> 0").count() == 0
+    assert rounds.count("jumps") <= 12
+
+
+def test_way_components_by_shared_nodes(spark):
+    refs = {1: [10, 11], 2: [11, 12], 3: [13], 4: [], 5: [12, 10], 6: [14, 14], 7: [13, 15]} | {100 + i: [99, 1000 + i] for i in range(300)}
+    rows = [entity("Way", i, refs=r) for i, r in refs.items()] + [entity("Node", 10, lat=0.0, lon=0.0)]
+    got = {r["id"]: r["component"] for r in way_components(frame(spark, rows)).collect()}
+    assert got == {1: 1, 2: 1, 5: 1, 3: 3, 7: 3, 4: 4, 6: 6} | {100 + i: 100 for i in range(300)}
+
+
+def test_latest_and_diff(spark):
+    tags = [("a", "b")]
+    before = [
+        entity("Node", 1, 1, lat=1.0, lon=1.0), entity("Node", 1, 3, lat=3.0, lon=3.0), entity("Node", 1, 2, lat=2.0, lon=2.0),
+        entity("Way", 1, 1, refs=[1]), entity("Node", 2, None, None, lat=1.0, lon=1.0, changeset=None), entity("Node", 2, 1, lat=2.0, lon=2.0),
+        entity("Node", 3, 1, 5, tags, 1.0, 1.0), entity("Node", 3, 1, 9, tags, 2.0, 2.0), entity("Node", 4, 1, lat=1.0, lon=1.0),
+        entity("Relation", 9, 1, members=[(1, "", "Node")]), entity("Relation", 9, 1, members=[(1, "", "Node")]),
+    ]
+    latest = latest_entities(frame(spark, before))
+    assert latest.schema.simpleString() == SCHEMA.simpleString()
+    assert {(r["entity_type"], r["id"], r["version"], r["timestamp"], r["latitude"]) for r in latest.collect()} == {
+        ("Node", 1, 3, 0, 3.0), ("Way", 1, 1, 0, None), ("Node", 2, 1, 0, 2.0), ("Node", 3, 1, 9, 2.0), ("Node", 4, 1, 0, 1.0), ("Relation", 9, 1, 0, None)
+    }
+    assert latest.count() == 6
+    after = [r for r in before if r[:2] != ("Node", 4) and r[1] != 9]
+    after += [entity("Node", 1, 4, lat=3.0, lon=3.0), entity("Way", 8, 1, refs=[]), entity("Relation", 9, 1, members=[(2, "", "Node")]), entity("Node", 2, 0, lat=9.0, lon=9.0)]
+    got = {tuple(r) for r in extract_diff(frame(spark, before), frame(spark, after)).collect()}
+    assert got == {("Node", 1, "modified", 3, 4), ("Way", 8, "created", None, 1), ("Relation", 9, "modified", 1, 1), ("Node", 4, "deleted", 1, None)}
+    assert extract_diff(frame(spark, before), frame(spark, before[::-1])).collect() == []
+
+
+def test_ties_do_not_depend_on_order(spark):
+    rows = [entity("Node", i % 50, 1, 0, lat=float(i), lon=0.0) for i in range(400)]
+    one, other = (sorted(map(str, latest_entities(frame(spark, r)).collect())) for r in (rows, rows[::-1]))
+    assert one == other and len(one) == 50
