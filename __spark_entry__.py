@@ -456,6 +456,26 @@ def way_components(spark, sf_dir):
     return osm_tables.way_components(read(spark, sf_dir, types={"way"}, columns=["entity_type", "id", "nodes"]))
 
 
+def relation_rings(spark, sf_dir):
+    """Ways of relations, stitched end to end."""
+    columns = ["entity_type", "id", "nodes", "members"]
+    rings = osm_tables.relation_rings(read(spark, sf_dir, types={"way", "relation"}, columns=columns))
+    return rings.select("id", "ring", "kind", "n_ways", F.concat_ws(",", "ways").alias("ways"))
+
+
+def nodes_in_boxes(spark, sf_dir):
+    """How many nodes lie in each of many boxes, one for each supplier."""
+    nodes = read(spark, sf_dir, types={"node"}, columns=["entity_type", "id", "latitude", "longitude"])
+    key = F.col("s_suppkey")
+    south, west, size = (key * 7919) % 170 - 85.5, (key * 104_729) % 360 - 180.5, 0.25 + key % 13
+    boxes = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(
+        key.alias("box"), south.alias("south"), west.alias("west"), (south + size).alias("north"),
+        F.when(west + size > 180, west + size - 360).otherwise(west + size).alias("east"),
+    )
+    found = osm_tables.nodes_in_boxes(nodes, boxes)
+    return found.groupBy("box").agg(F.count("*").alias("n"), _id_check())
+
+
 def _extracts(spark, sf_dir):
     """Two overlapping extracts: the files' entities without some, and the same later, with some edited."""
     entities = read(spark, sf_dir, exclude_tags=True)
@@ -516,6 +536,8 @@ _QUERIES: tuple[Query, ...] = (
     relation_closure,
     relation_groups,
     way_components,
+    relation_rings,
+    nodes_in_boxes,
     latest_entities,
     extract_diff,
 )
@@ -777,6 +799,15 @@ _COMPONENTS_SQL = """
 )
 SELECT id, min(other) AS component FROM reached GROUP BY id"""
 
+# Ways of the files share no node, so a ring has one way; tests have others.
+_RINGS_SQL = """
+, ends AS (
+    SELECT id AS way, min(node_id) FILTER ("index" = 0) AS first, max_by(node_id, "index") AS last FROM way_node GROUP BY id
+), own AS (SELECT DISTINCT m.id, way, first, last FROM member m JOIN ends ON way = member_id WHERE type = 'Way')
+SELECT id, way AS ring, CASE WHEN first = last THEN 'ring' ELSE 'open' END AS kind, CAST(1 AS BIGINT) AS n_ways,
+       CASE WHEN first = last THEN CAST(way AS VARCHAR) ELSE '' END AS ways
+FROM own"""
+
 _EXTRACTS_SQL = """
 , each AS (
     SELECT m.*, coalesce(w.n_nodes, -1) AS n_nodes, coalesce(r.n_members, -1) AS n_members FROM metadata m
@@ -864,6 +895,15 @@ def oracle_sql() -> dict[str, str]:
         "relation_closure": _CLOSURE_SQL,
         "relation_groups": _GROUPS_SQL,
         "way_components": _COMPONENTS_SQL,
+        "relation_rings": _RINGS_SQL,
+        "nodes_in_boxes": f"""
+            , box AS (
+                SELECT s_suppkey AS box, (s_suppkey * 7919) % 170 - 85.5 AS south, (s_suppkey * 104729) % 360 - 180.5 AS west,
+                       0.25 + s_suppkey % 13 AS size FROM supplier
+            )
+            SELECT box, {_CHECKS} FROM box JOIN node ON lat_e7 BETWEEN south * 1e7 AND (south + size) * 1e7
+                 AND (lon_e7 BETWEEN west * 1e7 AND (west + size) * 1e7 OR lon_e7 <= (west + size - 360) * 1e7 AND west + size > 180)
+            GROUP BY box""",
         "latest_entities": _EXTRACTS_SQL + """
             SELECT entity_type, id, version, "timestamp", changeset, n_nodes, n_members
             FROM (SELECT * FROM before UNION SELECT * FROM after)

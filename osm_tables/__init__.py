@@ -7,7 +7,9 @@ from .operators import (
     count_by_type,
     extract_diff,
     latest_entities,
+    nodes_in_boxes,
     relation_closure,
+    relation_rings,
     way_components,
     way_lines,
 )
@@ -28,11 +30,13 @@ __all__ = [
     "count_by_type",
     "extract_diff",
     "latest_entities",
+    "nodes_in_boxes",
     "osm_schema",
     "read_indexed",
     "read_osm",
     "register_osm",
     "relation_closure",
+    "relation_rings",
     "selected_blobs",
     "way_components",
     "way_lines",

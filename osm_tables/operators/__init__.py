@@ -4,6 +4,8 @@ from .blob_index import blob_index, count_at
 from .counts import count_by_type
 from .geometry import way_lines
 from .graphs import components, relation_closure, way_components
+from .rings import relation_rings
+from .tiles import nodes_in_boxes, tile
 from .versions import extract_diff, latest_entities
 from .zones import blob_zones
 
@@ -15,7 +17,10 @@ __all__ = [
     "count_by_type",
     "extract_diff",
     "latest_entities",
+    "nodes_in_boxes",
     "relation_closure",
+    "relation_rings",
+    "tile",
     "way_components",
     "way_lines",
 ]

@@ -6,9 +6,22 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from osm_tables import OsmReadOptions, components, extract_diff, latest_entities, osm_schema, relation_closure, way_components, way_lines
+from osm_tables import (
+    OsmReadOptions,
+    components,
+    extract_diff,
+    latest_entities,
+    nodes_in_boxes,
+    osm_schema,
+    relation_closure,
+    relation_rings,
+    way_components,
+    way_lines,
+)
+from osm_tables.operators import tiles
 from osm_tables.operators.geometry import EARTH
 
+WAY = "Way"
 SCHEMA = osm_schema(OsmReadOptions())
 
 
@@ -145,3 +158,62 @@ def test_ties_do_not_depend_on_order(spark):
     rows = [entity("Node", i % 50, 1, 0, lat=float(i), lon=0.0) for i in range(400)]
     one, other = (sorted(map(str, latest_entities(frame(spark, r)).collect())) for r in (rows, rows[::-1]))
     assert one == other and len(one) == 50
+
+
+def test_rings_open_and_touching(spark):
+    refs = {
+        1: [10, 11, 12], 2: [14, 13, 12], 3: [14, 10], 4: [20, 21, 22, 20], 5: [30, 31], 6: [31, 32], 7: [40, 41], 8: [41, 40],
+        9: [50, 51, 50], 10: [50, 52, 50], 11: [], 12: [60], 13: [32, 30],
+    }
+    holds = {
+        100: [(1, WAY), (2, WAY), (3, WAY), (4, WAY), (1, WAY), (1, "Node"), (999, WAY), (11, WAY)], 101: [(5, WAY), (6, WAY), (7, WAY), (8, WAY)],
+        102: [(9, WAY), (10, WAY), (12, WAY)], 103: [], 104: [(6, WAY), (5, WAY), (13, WAY), (3, WAY)],
+    }
+    rows = [entity("Way", i, refs=r) for i, r in refs.items()] + [entity("Way", 1, refs=refs[1])]
+    rows += [entity("Relation", i, members=[(m, "outer", k) for m, k in own]) for i, own in holds.items()]
+    got = {(r["id"], r["ring"]): (r["kind"], r["n_ways"], r["ways"]) for r in relation_rings(frame(spark, rows)).collect()}
+    assert got == {
+        (100, 1): ("ring", 3, [1, -2, 3]), (100, 4): ("ring", 1, [4]), (101, 5): ("open", 2, None), (101, 7): ("ring", 2, [7, 8]),
+        (102, 9): ("touching", 2, None), (102, 12): ("ring", 1, [12]), (104, 5): ("ring", 3, [5, 6, 13]), (104, 3): ("open", 1, None),
+    }
+
+
+def test_a_long_ring(spark):
+    n = 300
+    rows = [entity("Way", i, refs=[i, i % n + 1] if i % 3 else [i % n + 1, i]) for i in range(1, n + 1)]
+    rows.append(entity("Relation", 1, members=[(i, "", WAY) for i in range(n, 0, -1)]))
+    (row,) = relation_rings(frame(spark, rows)).collect()
+    assert (row["kind"], row["n_ways"]) == ("ring", n)
+    assert [abs(w) for w in row["ways"]] in ([*range(1, n + 1)], [1, *range(n, 1, -1)])
+    assert all((w > 0) == (abs(w) % 3 != 0) for w in row["ways"])
+
+
+@pytest.mark.parametrize("sent", [100_000, 0])
+def test_nodes_in_boxes(spark, monkeypatch, sent):
+    monkeypatch.setattr(tiles, "SENT", sent)
+    rng = random.Random(5)
+    places = [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(400)] + [(90.0, 180.0), (-90.0, -180.0), (0.0, 0.0), (0.0, 0.0), (45.0, 180.0)]
+    boxes = [(i, *sorted((rng.uniform(-90, 90), rng.uniform(-90, 90)))) for i in range(30)]
+    boxes = [(i, s, rng.uniform(-180, 180), n, rng.uniform(-180, 180)) for i, s, n in boxes]
+    boxes += [(50, -90.0, -180.0, 90.0, 180.0), (51, 0.0, 0.0, 0.0, 0.0), (52, 44.9, 179.9, 45.1, -179.9), (53, 1.0, 0.0, -1.0, 0.0), (54, None, 0.0, 1.0, 1.0)]
+    boxes += [(60 + i, p[0] - 1e-7, p[1] - 1e-7, p[0] + 1e-7, p[1] + 1e-7) for i, p in enumerate(places[:20])]
+    rows = [entity("Node", i, lat=p[0], lon=p[1]) for i, p in enumerate(places)] + [entity("Node", 999), entity("Way", 1, refs=[1])]
+    wanted = sorted(
+        (b, i) for i, (lat, lon) in enumerate(places) for b, s, w, n, e in boxes
+        if s is not None and s <= lat <= n and (w <= lon <= e if w <= e else lon >= w or lon <= e)
+    )
+    found = nodes_in_boxes(frame(spark, rows), spark.createDataFrame(boxes, "box long, south double, west double, north double, east double"))
+    assert sorted((r["box"], r["id"]) for r in found.collect()) == wanted
+    assert "CartesianProduct" not in (plan := found._jdf.queryExecution().executedPlan().toString()) and "NestedLoop" not in plan
+    none = spark.createDataFrame([], "box long, south double, west double, north double, east double")
+    assert nodes_in_boxes(frame(spark, rows), none).collect() == []
+
+
+def test_tiles_nest_and_keep_their_order(spark):
+    rng = random.Random(6)
+    df = spark.createDataFrame([(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(200)], "lat double, lon double")
+    levels = [tiles.tile(F.col("lat"), F.col("lon"), n).alias(f"t{n}") for n in (3, 4, 24)]
+    for lat, lon, t3, t4, t24 in df.select("lat", "lon", *levels).collect():
+        assert t4 >> 2 == t3 and t24 >> 42 == t3
+        x, y = (math.floor((d + 180) * 8 / 360) for d in (lon, lat))
+        assert t3 == sum((x >> k & 1) << 2 * k | (y >> k & 1) << 2 * k + 1 for k in range(3))
