@@ -8,8 +8,10 @@ the same pair with a probability that equals the generalised Jaccard similarity
 ``sum(min) / sum(max)``; the part of equal draws estimates it,
 with a standard deviation of ``sqrt(J * (1 - J) / samples)`` for a similarity of ``J``.
 
-Everything is DataFrame functions; ``r``, ``b`` and ``c`` are computed from the term. A text's terms are counted within its row, and the smallest draws are aggregated where
-the text is, so texts are shuffled once, for finding each document's neighbour.
+Everything is DataFrame functions; ``r``, ``b`` and ``c`` are computed from the term, once for a text and its edited
+text together. Terms are counted within the row, and the smallest draws are aggregated where the texts were joined.
+A draw is kept as 32 bits of the pair's hash. Texts of any length have their words counted in one array of hashes,
+16 bytes a word.
 """
 
 from __future__ import annotations
@@ -21,66 +23,101 @@ from osm_tables.llm import shared
 from osm_tables.llm.quality import hashes_of, words_of
 
 SAMPLES = 64
-#: Terms are taken modulo this power of two; 0 keeps all 64 bits of a word's hash.
-DIMENSIONS = 0
 #: Samples of a row while they are drawn; the code for all at once is too long to be compiled.
-_AT_ONCE = 8
+_AT_ONCE = 4
 _BITS = 22
 _KEY = ["id", "known", "text_id"]
+_KINDS = ("own", "edited")
 
 
-def term_counts(text: Column) -> Column:
-    """Structs of a hashed term and its count."""
-    terms = F.sort_array(F.transform(hashes_of(words_of(text)), lambda h: h.bitwiseAND(F.lit(DIMENSIONS - 1).cast("long"))))
+def pair_counts(own: Column, edited: Column) -> Column:
+    """Structs of a term and how often it occurs in each of two texts: ``term, own, edited``.
+
+    A term is a word's 64-bit hash without its last bit, in which the sorted list keeps the text.
+    """
+
+    def marked(text: Column, kind: int) -> Column:
+        return F.transform(hashes_of(words_of(text)), lambda h: h.bitwiseAND(F.lit(-2)).bitwiseOR(F.lit(kind)))
 
     def runs(s: Column) -> Column:
-        last = F.transform(s, lambda x, i: F.when(x == F.get(s, i + 1), F.lit(None)).otherwise(F.struct(x.alias("term"), i.alias("end"))))
-        ends = F.filter(last, lambda x: x.isNotNull())
-        return F.transform(F.array(ends), lambda e: F.transform(e, lambda x, k: F.struct(
-            x["term"].alias("term"), (x["end"] - F.coalesce(F.get(e, k - 1)["end"], F.lit(-1))).alias("n"))))[0]
+        last = F.transform(s, lambda x, i: F.when(x == F.get(s, i + 1), F.lit(None)).otherwise(F.struct(x.alias("x"), i.alias("end"))))
+        return F.filter(last, lambda x: x.isNotNull())
 
-    return F.transform(F.array(terms), runs)[0]
+    def counts(e: Column) -> Column:
+        return F.transform(e, lambda x, k: F.struct(x["x"].alias("x"), (x["end"] - F.coalesce(F.get(e, k - 1)["end"], F.lit(-1))).alias("n")))
 
+    def merged(n: Column) -> Column:
+        def one(x, k):
+            own, before, after = x["x"].bitwiseAND(F.lit(1)) == 0, F.get(n, k - 1), F.get(n, k + 1)
+            both = after["x"] == x["x"] + 1
+            alone = ~F.coalesce(before["x"] == x["x"] - 1, F.lit(False))
+            term = x["x"].bitwiseAND(F.lit(-2)).alias("term")
+            first = F.struct(term, x["n"].alias("own"), F.when(own & both, after["n"]).otherwise(F.lit(0)).alias("edited"))
+            second = F.struct(term, F.lit(0).alias("own"), x["n"].alias("edited"))
+            return F.when(own, first).when(alone, second)
 
-def draw(term: Column, j: Column) -> tuple[Column, Column, Column]:
-    """A term's fixed r, b and ln c for sample j."""
+        return F.filter(F.transform(n, one), lambda x: x.isNotNull())
+
+    marks = F.sort_array(F.concat(marked(own, 0), marked(edited, 1)))
+    # Each list is bound once: as the only element of an array that is transformed.
+    for step in (runs, counts, merged):
+        marks = F.transform(F.array(marks), step)[0]
+    return marks
 
-    def uniform(k: int) -> Column:
-        bits = F.xxhash64(term, j, F.lit(k)).bitwiseAND(F.lit((1 << 52) - 1))
-        return (bits.cast("double") + 0.5) / float(1 << 52)
 
-    def gamma(k: int) -> Column:
-        return -F.ln(uniform(k) * uniform(k + 1))
+def draw(term: Column, j: Column) -> tuple[Column, Column, Column]:
+    """A term's fixed r, b and ln c for sample j, from two hashes."""
+    first = F.xxhash64(term, j)
+    second = F.xxhash64(first)
 
-    return gamma(0), uniform(2), F.ln(gamma(3))
+    def uniform(h: Column, low: int, bits: int) -> Column:
+        part = F.shiftrightunsigned(h, low).bitwiseAND(F.lit((1 << bits) - 1))
+        return (part.cast("double") + 0.5) * (1.0 / (1 << bits))
+
+    r = -F.ln(uniform(first, 0, 32) * uniform(first, 32, 32))
+    return r, uniform(second, 0, 22), F.ln(-F.ln(uniform(second, 22, 21) * uniform(second, 43, 21)))
 
 
 def fingerprints(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
-    """``keys`` of ``texts`` (which name a row) and its fingerprint, an array of ``samples`` longs.
+    """``keys`` of ``texts`` (which name a row) and its other columns, with ``own`` and ``edited`` replaced by their
+    fingerprints, arrays of ``samples`` ints.
 
-    A text without words has -1 in every place. ``texts`` has a column ``__text``; where it is
-    partitioned by ``keys`` already, nothing is shuffled.
+    A text without words has -1 in every place. Where ``texts`` is partitioned by ``keys`` already, nothing is shuffled.
     """
-    terms = texts.select(*keys, F.explode_outer(term_counts(F.col("__text"))).alias("x"))
+    terms = texts.select(*keys, F.explode(pair_counts(F.col("own"), F.col("edited"))).alias("x"))
     rounds = F.explode(F.array(*[F.lit(i) for i in range(0, samples, _AT_ONCE)])).alias("first")
-    terms = terms.select(*keys, F.col("x.term").alias("term"), F.ln(F.col("x.n").cast("double")).alias("s"), rounds)
+    # ln 0 is null, and so is all that a text draws from a term that it lacks.
+    logs = [F.ln(F.col(f"x.{kind}").cast("double")).alias(f"s_{kind}") for kind in _KINDS]
+    terms = terms.select(*keys, F.col("x.term").alias("term"), *logs).select("*", rounds)
+    fixed = {}
+    for i in range(_AT_ONCE):
+        fixed[f"r{i}"], fixed[f"b{i}"], fixed[f"c{i}"] = draw(F.col("term"), F.col("first") + i)
+    terms = terms.withColumns(fixed)
+
+    def drawn(kind: str, i: int) -> Column:
+        t = F.floor(F.col(f"s_{kind}") / F.col(f"r{i}") + F.col(f"b{i}"))
+        # The size of ln a above, bits of the pair below: the smallest number is the draw.
+        size = F.floor((F.col(f"c{i}") - F.col(f"r{i}") * (t - F.col(f"b{i}") + 1) + 1000) * float(1 << 30))
+        pair = F.col("term").bitwiseXOR(F.shiftright("term", 32)).bitwiseXOR(F.shiftleft(t, 1))
+        return F.shiftleft(size, _BITS).bitwiseOR(pair.bitwiseAND(F.lit((1 << _BITS) - 1)))
+
+    least = [F.min(drawn(kind, i)).alias(f"{kind}{i}") for kind in _KINDS for i in range(_AT_ONCE)]
+    found = terms.groupBy(*keys, "first").agg(*least)
+    halves = [F.array(*[_short(F.col(f"{kind}{i}")) for i in range(_AT_ONCE)]).alias(kind) for kind in _KINDS]
+    found = found.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("first", *halves))).alias("rounds"))
+    found = found.select(*keys, *[F.slice(F.flatten(F.col(f"rounds.{kind}")), 1, samples).alias(kind) for kind in _KINDS])
+    wordless = F.array_repeat(F.lit(-1), samples)
+    others = [c for c in texts.columns if c not in (*keys, *_KINDS)]
+    return texts.select(*keys, *others).join(found, keys, "left").select(*keys, *others, *[F.coalesce(kind, wordless).alias(kind) for kind in _KINDS])
 
-    def drawn(i: int) -> Column:
-        r, b, c = draw(F.col("term"), F.col("first") + i)
-        t = F.floor(F.col("s") / r + b)
-        # The size of ln a above, the pair's hash below: the smallest number is the draw.
-        size = ((c - r * (t - b + 1) + 1000) * float(1 << 30)).cast("long")
-        return F.shiftleft(size, _BITS).bitwiseOR(F.xxhash64("term", t).bitwiseAND(F.lit((1 << _BITS) - 1)))
 
-    least = [F.min(F.when(F.col("term").isNotNull(), drawn(i))).alias(f"d{i}") for i in range(_AT_ONCE)]
-    found = terms.groupBy(*keys, "first").agg(*least)
-    own = F.array(*[F.coalesce(f"d{i}", F.lit(-1).cast("long")) for i in range(_AT_ONCE)])
-    found = found.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("first", own.alias("own")))).alias("rounds"))
-    return found.select(*keys, F.slice(F.flatten(F.col("rounds.own")), 1, samples).alias("draws"))
+def _short(x: Column) -> Column:
+    """32 bits of a draw's hash; -1 where there is none."""
+    return F.when(x.isNull(), F.lit(-1)).otherwise(F.shiftright(F.xxhash64(x), 32).cast("int"))
 
 
 def as_text(draws_: Column) -> Column:
-    return F.array_join(F.transform(draws_, lambda x: F.lpad(F.lower(F.hex(F.xxhash64(x).bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
+    return F.array_join(F.transform(draws_, lambda x: F.lpad(F.lower(F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))), 8, "0")), "")
 
 
 def likeness(one: Column, two: Column) -> Column:
@@ -97,7 +134,7 @@ def neighbours(docs: DataFrame) -> DataFrame:
     order = [F.desc("known"), F.desc("id"), F.desc("text_id")]
     parts = shared.shuffle_partitions(docs.sparkSession)
     ranged = docs.select(*_KEY).repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id())
-    ranged = shared.checkpointed(ranged.select("part", F.struct("known", "id", "text_id").alias("me")))
+    ranged = shared.written(ranged.select("part", F.struct("known", "id", "text_id").alias("me")), "ranges")
     own = ranged.withColumn("next", F.lead("me").over(Window.partitionBy("part").orderBy(F.desc("me"))))
     firsts = ranged.groupBy("part").agg(F.max("me").alias("first"))  # a row for each range
     every = Window.orderBy("part")
@@ -109,7 +146,7 @@ def neighbours(docs: DataFrame) -> DataFrame:
 
 
 def with_edited(docs: DataFrame) -> DataFrame:
-    """One row for each different (doc_id, text): its text, an edited text, how often it occurs, and the next key.
+    """One row for each different (doc_id, text): its text, an edited text, how often it occurs, and the key before it.
 
     The edited text's last ``n_chars // 2`` characters are replaced by the first as many of the next
     document. Rows that agree in doc_id and text are one document here; documents with one doc_id
@@ -122,15 +159,12 @@ def with_edited(docs: DataFrame) -> DataFrame:
     keys = keys.groupBy(*_KEY).agg(F.first("n").alias("n"), F.count("*").alias("copies"))
     links = neighbours(keys)
     asked = links.join(keys, _KEY).select(*[F.col(f"next_{c}").alias(c) for c in _KEY], *[F.col(c).alias(f"for_{c}") for c in _KEY], F.floor(F.col("n") / 2).cast("int").alias("need"), "copies")
-    given = own.join(asked, _KEY).select(
-        *[F.col(f"for_{c}").alias(c) for c in _KEY],
-        F.col("text").substr(F.lit(1), F.col("need")).alias("given"),
-        "copies",
-        *[F.col(c).alias(f"next_{c}") for c in _KEY],
-    )
+    asking = own.join(asked, _KEY)
+    given = asking.select(*[F.col(f"for_{c}").alias(c) for c in _KEY], F.col("text").substr(F.lit(1), F.col("need")).alias("given"), "copies")
+    before = asked.select(*_KEY, *[F.col(f"for_{c}").alias(f"before_{c}") for c in _KEY])
     n = F.length("text")
     edited = F.concat(F.col("text").substr(F.lit(1), n - F.floor(n / 2).cast("int")), F.col("given")).alias("edited")
-    return own.join(given, _KEY).select(*_KEY, *[f"next_{c}" for c in _KEY], "copies", "text", edited)
+    return own.join(given, _KEY).join(before, _KEY).select(*_KEY, *[f"before_{c}" for c in _KEY], "copies", "text", edited)
 
 
 def fingerprint_documents(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
@@ -141,26 +175,21 @@ def fingerprint_documents(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     their own. Repeated rows come back as often as they are there. Other columns are not read.
     """
     edited = with_edited(docs)
-    kinds = F.explode(F.array(
-        F.struct(F.lit(0).alias("kind"), F.col("text").alias("__text")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("__text"))
-    )).alias("x")
-    facts = [*_KEY, *[f"next_{c}" for c in _KEY], "copies", "n_chars", "sha"]
-    texts = edited.select(*facts[:7], F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("sha"), kinds)
-    texts = texts.select(*facts, "x.kind", "x.__text")
-    found = fingerprints(texts, [*facts, "kind"], samples)
-    both = found.groupBy(*facts).agg(
-        F.max(F.when(F.col("kind") == 0, F.col("draws"))).alias("draws"), F.max(F.when(F.col("kind") == 1, F.col("draws"))).alias("edited_draws")
-    )
-    both = shared.written(both, "fingerprints")
-    following = both.select(*[F.col(c).alias(f"next_{c}") for c in _KEY], F.col("draws").alias("next_draws"))
-    out = both.join(following, [f"next_{c}" for c in _KEY])
+    before = [f"before_{c}" for c in _KEY]
+    facts = [F.length("text").cast("long").alias("n_chars"), F.unhex(F.sha2("edited", 256)).alias("sha")]
+    drawn = fingerprints(edited.select(*_KEY, *before, "copies", *facts, F.col("text").alias("own"), "edited"), _KEY, samples)
+    # Each row goes to its key, and its fingerprint to the key before it: one shuffle, nothing written.
+    here = F.struct(*[F.col(c).alias(c) for c in _KEY], F.struct("copies", "n_chars", "sha", *_KINDS).alias("here"), F.lit(None).cast("array<int>").alias("after"))
+    there = F.struct(*[F.col(b).alias(c) for b, c in zip(before, _KEY)], F.lit(None).alias("here"), F.col("own").alias("after"))
+    sent = drawn.select(F.explode(F.array(here, there)).alias("x")).select("x.*")
+    out = sent.groupBy(*_KEY).agg(F.max("here").alias("here"), F.max("after").alias("after")).select(*_KEY, "here.*", "after")
     out = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     return out.select(
         F.when(F.col("known"), F.col("id")).alias("doc_id"),
         "n_chars",
-        F.col("sha").alias("edited_sha256"),
-        as_text(F.col("draws")).alias("fingerprint"),
-        as_text(F.col("edited_draws")).alias("edited_fingerprint"),
-        likeness(F.col("draws"), F.col("edited_draws")).alias("near_edited"),
-        likeness(F.col("draws"), F.col("next_draws")).alias("near_next"),
+        F.lower(F.hex("sha")).alias("edited_sha256"),
+        as_text(F.col("own")).alias("fingerprint"),
+        as_text(F.col("edited")).alias("edited_fingerprint"),
+        likeness(F.col("own"), F.col("edited")).alias("near_edited"),
+        likeness(F.col("own"), F.col("after")).alias("near_next"),
     )

@@ -13,13 +13,16 @@ from tests.llm.helpers import DOCS, odd_docs, signed, words, xx
 
 def by_hand(text, samples):
     """The draws of a text, from the definition."""
-    count = Counter(signed(xx(w)) & (W.DIMENSIONS - 1) for w in words(text))
+    count = Counter(signed(xx(w)) & -2 for w in words(text))
     out = []
     for j in range(samples):
-        u = lambda term, k: ((xx(k, xx(j, xx(("long", term)))) & ((1 << 52) - 1)) + 0.5) / (1 << 52)
         best = None
         for term, n in count.items():
-            r, c, b = -math.log(u(term, 0) * u(term, 1)), -math.log(u(term, 3) * u(term, 4)), u(term, 2)
+            first = xx(j, xx(("long", term)))
+            second = xx(("long", signed(first)))
+            u = lambda h, low, bits: ((h >> low & ((1 << bits) - 1)) + 0.5) / (1 << bits)
+            r, b = -math.log(u(first, 0, 32) * u(first, 32, 32)), u(second, 0, 22)
+            c = -math.log(u(second, 22, 21) * u(second, 43, 21))
             t = math.floor(math.log(n) / r + b)
             size = math.log(c) - r * (t - b + 1)
             if best is None or size < best[0]:
@@ -108,4 +111,14 @@ def test_likenesses_keep_the_error_bound_and_long_texts_do_not_collide(spark):
     errors = [found[2 * i + 1] - 0.8 for i in range(150)]
     assert W.SAMPLES >= 64 and np.std(errors) < 1.2 * math.sqrt(0.8 * 0.2 / 64) and abs(np.mean(errors)) < 0.015
     text = F.lit(" ".join(f"w{k}" for k in range(3000)))
-    assert spark.range(1).select(F.size(W.term_counts(text))).first()[0] == 3000
+    assert spark.range(1).select(F.size(W.pair_counts(text, text))).first()[0] == 3000
+
+
+def test_terms_are_counted_in_both_texts(spark):
+    texts = ["a b a c c c d", "c b b e", "", " ", "a"]
+    pairs = [(x, y) for x in texts for y in texts]
+    df = spark.createDataFrame(pairs, "own string, edited string")
+    for r in df.select("own", "edited", W.pair_counts(F.col("own"), F.col("edited")).alias("found")).collect():
+        x, y = words(r["own"]), words(r["edited"])
+        wanted = {(signed(xx(w)) & -2, x.count(w), y.count(w)) for w in {*x, *y}}
+        assert {tuple(f) for f in r["found"]} == wanted and len(r["found"]) == len(wanted)
