@@ -25,28 +25,48 @@ RULES = [
     ("net", "/fr/", "block"),
 ]
 
-#: Names of sites to learn from. Blocked: gambling, pills, adult, advertising, spam.
-BLOCKED = """
-casino-win casino-royal best-casino casinobonus poker-casino online-slots lucky-slots free-bets sportbets bet-now
-betting-tips cheap-pills pills-online cheapmeds buy-cheap-pills pharmacy-pills adult-x xxx-adult adult-video hot-adult
-ads-track adserver track-ads ad-tracker click-ads popup-ads spam-farm link-farm spamlinks farm-spam bulk-spam free-money win-prizes
+#: Words of site names to learn from, general ones of each kind.
+BLOCKED_WORDS = """
+casino poker roulette jackpot blackjack betting bookie gamble lottery wager slots bingo
+pharmacy pills viagra steroids dosage painkiller rx meds
+porn adult escort erotic nude webcam xxx sexy
+adserver banner popup tracker tracking clickbait affiliate advert ads
+spam phishing malware loans payday hacked giveaway replica counterfeit warez
 """.split()
-ALLOWED = """
-news library university wikipedia gardening recipes museum weather city-council science maps health school travel-notes
-history dailynews theshore thering ththen therea thither another station tension ration thenation edition relation fountain
-books music-school open-data code thermal other hearing thesis cinema hiking-club there bakery opera ththed therhe tionble
-thand thour nding ention rather winter freedom trackside adage farmers cheese bethany pillar
+ALLOWED_WORDS = """
+news library university encyclopedia garden recipe museum weather council science map health school travel history daily
+music code thermal cinema hiking bakery opera river forest mountain village parish county bridge station railway harbour
+letter poem novel grammar physics chemistry biology geology algebra statistics theatre orchestra painting sculpture
+football cycling swimming chess sailing farm orchard cheese bread kitchen furniture carpenter plumber electric repair
+court parliament ministry police hospital clinic dentist charity church temple archive journal review magazine radio
+hotel hostel airport ferry tram bicycle garage insurance bank market bookshop florist tailor wedding children toys
+schule zeitung wetter rathaus verein reise kirche garten ecole mairie journal voyage jardin bibliotheque musee meteo
+escuela noticias tiempo ayuntamiento viaje iglesia jardin biblioteca museo ciencia salud
 """.split()
+#: What stands beside a word in a name, alike for both kinds.
+_BESIDE = ["", "best-", "my", "the", "-online", "-24", "world", "-home", "free-", "-club", "top", "-direct"]
+
+
+def names_of(words: list[str]) -> list[str]:
+    """Each word as three names, alone and with what often stands beside one."""
+    out = []
+    for i, word in enumerate(words):
+        for k in range(3):
+            other = _BESIDE[(i + 5 * k) % len(_BESIDE)]
+            out.append(word + other if other.startswith("-") else other + word)
+    return out
+
+
 _BEFORE = ["", "www.", "m.", "blog."]
 _AFTER = [".example.com", ".example.net", ".example.org", ".com", ".net", ".org"]
 _PATHS = ["/en/1", "/de/2.html", "/fr/3/", "/es/4", "/", "/page"]
 
 
-def labelled_urls(blocked=BLOCKED, allowed=ALLOWED) -> list[tuple[str, float]]:
-    """Each name as a few hosts and paths; what is around a name is alike for both labels."""
+def labelled_urls(blocked=tuple(BLOCKED_WORDS), allowed=tuple(ALLOWED_WORDS)) -> list[tuple[str, float]]:
+    """Names of each word as a few hosts and paths; what is around a name is alike for both labels."""
     out = []
-    for names, label in ((blocked, 1.0), (allowed, 0.0)):
-        for i, name in enumerate(names):
+    for words, label in ((blocked, 1.0), (allowed, 0.0)):
+        for i, name in enumerate(names_of(list(words))):
             for k in range(4):
                 out.append((f"{_BEFORE[(i + k) % 4]}{name}{_AFTER[(i + 2 * k + k // 3) % 6]}{_PATHS[(i // 2 + k) % 6]}", label))
     return out
@@ -74,11 +94,13 @@ def grams(host: Column, path: Column) -> Column:
 
     def of(text: Column, mark: str) -> Column:
         text = F.concat(F.lit("^"), text, F.lit("$"))
-        parts = []
-        for n in SIZES:
+
+        def of_size(n: int) -> Column:
             last = F.length(text) - n
             places = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-            parts.append(F.transform(places, lambda i, n=n: F.concat(F.lit(mark), text.substr(i + 1, F.lit(n)))))
+            return F.transform(places, lambda i: F.concat(F.lit(mark), text.substr(i + 1, F.lit(n))))
+
+        parts = [of_size(n) for n in SIZES]
         return F.concat(*parts)
 
     # Numbers in paths say nothing; they are all written as 0.

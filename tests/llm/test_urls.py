@@ -46,13 +46,43 @@ def test_hosts_paths_and_rules(spark, model):
             assert r["verdict"] == "allow" and r["score"] == 0
 
 
+def test_grams_are_all_pieces_of_host_and_path(spark):
+    rows = [("a.example.com", "/en/123/x4"), ("", ""), ("é", "/"), ("ab", "")]
+    df = spark.createDataFrame(rows, "host string, path string")
+    for host, path, found in df.select("host", "path", urls.grams(df["host"], df["path"])).collect():
+        wanted = []
+        for text, mark in ((host, "h"), (re.sub("[0-9]+", "0", path), "p")):
+            text = f"^{text}$"
+            wanted += [mark + text[i : i + n] for n in urls.SIZES for i in range(len(text) - n + 1)]
+        assert found == wanted
+
+
+#: Words in neither training list.
+BAD = "pokerstars-royal megacasino sportsbetting roulettewheel jackpots cheappharmacy sexcam pornhubs popups adverts spammer betslots pill-mart".split()
+GOOD = "astronomy kindergarten sourdough lighthouse accordion plumbing vineyard geography dictionary observatory knitting marathon".split()
+
+
+def held_out_urls():
+    bad = [f"https://{a}{n}.example.{t}/{p}" for n in BAD for a in ("", "www.") for t in ("net", "org") for p in ("de/5", "en/4.html")]
+    good = [f"https://{a}{n}.example.{t}/{p}" for n in GOOD for a in ("", "m.") for t in ("net", "org") for p in ("de/5", "en/4.html")]
+    return bad, good
+
+
 def test_names_decide_where_no_rule_does(spark, model):
-    bad = [f"https://{a}{n}.example.{t}/{p}" for n in ("casino-win", "free-bets", "cheap-pills", "adult-x") for a in ("", "www.") for t in ("net", "org") for p in ("de/5", "en/4.html")]
-    good = [f"https://{a}{n}.example.{t}/{p}" for n in ("thatly", "museum", "garden", "ththor") for a in ("", "m.") for t in ("net", "org") for p in ("de/5", "en/4.html")]
+    bad, good = held_out_urls()
+    assert not set(BAD + GOOD) & set(urls.names_of(urls.BLOCKED_WORDS + urls.ALLOWED_WORDS))
     rows = [(i, u) for i, u in enumerate(bad + good)]
     out = urls.judge_urls(spark.createDataFrame(rows, "page_id bigint, url string"), model).collect()
     right = [(r["verdict"] == "block") == (r["page_id"] < len(bad)) for r in out]
-    assert sum(right) >= 0.9 * len(right)
+    assert sum(right) >= 0.8 * len(right)
+
+
+def test_no_site_of_the_pages_is_learned_from(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    host, _ = urls.split_url(pages["url"])
+    parts = {p for r in pages.select(host.alias("host")).distinct().collect() for p in r["host"].split(".")}
+    learned = set(urls.names_of(urls.BLOCKED_WORDS + urls.ALLOWED_WORDS)) | {p for u, _ in urls.labelled_urls() for p in u.split("/")[0].split(".")}
+    assert parts & learned <= {"www", "m", "blog", "example", "com", "net", "org"}
 
 
 def test_training_rows_are_learned_and_no_pages_give_none(spark, model):
