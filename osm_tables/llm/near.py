@@ -368,9 +368,10 @@ def keep_first(docs: DataFrame, **parameters) -> DataFrame:
     """
     classes = jaccard_classes(docs, **parameters).where("n_shingles > 0")
     first = classes.groupBy("class_key").agg(F.min(F.struct("doc_id", "text_id")).alias("first"))
-    first = first.select(F.col("first.doc_id").alias("__doc"), F.col("first.text_id").alias("__text"))
+    doc, text, mine = shared.unused(docs.columns, "__doc", "__text", "__own")
+    first = first.select(F.col("first.doc_id").alias(doc), F.col("first.text_id").alias(text))
     worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    own = docs.withColumn("__own", _text_id())
-    kept = own.where(worded).join(first, (F.col("__own") == F.col("__text")) & F.col("doc_id").eqNullSafe(F.col("__doc")))
-    kept = kept.dropDuplicates(["__text", "__doc"]).select(*[f"`{c}`" for c in docs.columns])
+    own = docs.withColumn(mine, _text_id())
+    kept = own.where(worded).join(first, (F.col(mine) == F.col(text)) & F.col("doc_id").eqNullSafe(F.col(doc)))
+    kept = kept.dropDuplicates([text, doc]).select(*[f"`{c}`" for c in docs.columns])
     return kept.unionByName(docs.where(~worded))

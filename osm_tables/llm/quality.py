@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from osm_tables.llm.shared import unused
+
 BUCKETS = 1 << 14
 #: Trusted documents are at most so many of the labelled ones, those with the smallest hashed ids.
 MAX_TRUSTED = 20_000
@@ -138,38 +140,41 @@ def judge(
     max_trusted: int = MAX_TRUSTED,
     prior: float = PRIOR,
     threshold: float = THRESHOLD,
+    name: str = "verdict",
 ) -> DataFrame:
-    """``docs`` with a struct ``verdict``: n_words, word_chars, n_symbols, n_dup_lines,
+    """``docs`` with a struct called ``name``: n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, score (null without words) and kept.
 
     Null text has no words and fails, as texts of under 50 words do. Repeated rows and texts get the
     same verdict each. Ties at the threshold are kept. Other columns pass through unread; one called
-    ``verdict`` is replaced. With no trusted label only the rules decide.
+    like ``name`` is replaced. With no trusted label only the rules decide.
     """
     weights = ngram_weights(docs, labels, buckets=buckets, max_trusted=max_trusted, prior=prior).scalar()
+    # Helper columns have names that the documents lack.
+    w, h, p, t, q, held, v = unused(docs.columns, "__w", "__h", "__p", "__t", "__q", "__weights", "__v")
     text = F.coalesce(F.col("text"), F.lit(""))
-    counted = docs.withColumn("__w", words_of(F.col("text"))).withColumn("__weights", weights)
-    counted = counted.withColumn("__h", hashes_of(F.col("__w"))).withColumn("__p", pairs_of(F.col("__h")))
-    counted = counted.withColumn("__t", token_hashes(F.col("text"), F.col("__h")))
-    counted = counted.withColumn("__q", F.when(has_marks(F.col("text")), pairs_of(F.col("__t"))).otherwise(F.col("__p")))
+    counted = docs.withColumn(w, words_of(F.col("text"))).withColumn(held, weights)
+    counted = counted.withColumn(h, hashes_of(F.col(w))).withColumn(p, pairs_of(F.col(h)))
+    counted = counted.withColumn(t, token_hashes(F.col("text"), F.col(h)))
+    counted = counted.withColumn(q, F.when(has_marks(F.col("text")), pairs_of(F.col(t))).otherwise(F.col(p)))
 
     def log_ratio(hashes: str) -> Column:
         bucket = lambda x: x.bitwiseAND(F.lit(buckets - 1)).cast("int")
-        return F.aggregate(hashes, F.lit(0.0), lambda a, x: a + F.col("__weights")[bucket(x)])
+        return F.aggregate(hashes, F.lit(0.0), lambda a, x: a + F.col(held)[bucket(x)])
 
-    total = (log_ratio("__t") + log_ratio("__q")) / (F.size("__t") + F.size("__q"))
+    total = (log_ratio(t) + log_ratio(q)) / (F.size(t) + F.size(q))
     counted = counted.withColumn(
-        "__v",
+        v,
         F.struct(
-            F.size("__w").cast("long").alias("n_words"),
-            F.length(F.array_join("__w", "")).cast("long").alias("word_chars"),
+            F.size(w).cast("long").alias("n_words"),
+            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
             (F.length(text) - F.length(F.regexp_replace(text, _SYMBOL, ""))).cast("long").alias("n_symbols"),
             duplicate_lines(F.col("text")).cast("long").alias("n_dup_lines"),
-            repeated_words(F.col("__w"), F.col("__h"), F.col("__p")).cast("long").alias("n_repeat_words"),
-            F.when(F.size("__w") > 0, total).alias("score"),
+            repeated_words(F.col(w), F.col(h), F.col(p)).cast("long").alias("n_repeat_words"),
+            F.when(F.size(w) > 0, total).alias("score"),
         ),
     )
-    verdict = let(F.col("__v"), lambda x: F.struct(
+    verdict = let(F.col(v), lambda x: F.struct(
         *[x[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
         ((x["n_words"] < MIN_WORDS) | (100 * x["n_repeat_words"] > 50 * x["n_words"])).alias("base_failed"),
         x["score"].alias("score"),
@@ -178,4 +183,4 @@ def judge(
     # The condition always holds. It depends on the row's place, which keeps a filter on the verdict above
     # this projection; pushed below it, the filter would compute words and hashes again for every use.
     verdict = F.when(F.monotonically_increasing_id() >= 0, verdict)
-    return counted.withColumn("verdict", verdict).drop("__w", "__h", "__p", "__t", "__q", "__weights", "__v")
+    return counted.withColumn(name, verdict).drop(w, h, p, t, q, held, v)

@@ -37,7 +37,8 @@ def stages(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     copy = docs.where("doc_id % 10 = 3").withColumn("doc_id", F.col("doc_id") + 100_000)
     odd = spark.createDataFrame([(None, None, None, None, None), (-1, "", "en", "s", 0), (-2, "1 2 3 " * 40, "en", "s", 0)], docs.schema)
-    out = [docs.unionByName(copy).unionByName(odd).withColumn("verdict", F.lit("x"))]
+    clashing = ["verdict", "__w", "__H", "__weights", "__v", "__doc", "__text", "__own", "lang_pred", "LANG_SCORE", "_lang_pred"]
+    out = [docs.unionByName(copy).unionByName(odd).withColumns({c: F.lit(c) for c in clashing})]
     for _, stage in corpus_pipeline.STAGES:
         out.append(stage(spark, out[-1], SMALL).cache())
     return out
@@ -46,6 +47,8 @@ def stages(spark):
 def test_stages_in_order(stages):
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "language_id", "near_copies", "packing"]
     assert all(sorted(x.columns) == sorted(stages[0].columns) for x in stages[:-1])
+    for column in stages[0].columns[-11:]:
+        assert {r[0] for r in stages[3].select(f"`{column}`").distinct().collect()} == {column}
 
 
 def test_quality_drops_what_the_rules_reject(stages):
