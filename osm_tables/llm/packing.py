@@ -52,7 +52,7 @@ def encoder(path: str):
 
         tokenizer = Tokenizer.from_file(path)
         return lambda text: tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-    merge = byte_bpe(content).encode_ordinary
+    merge = byte_bpe(path).encode_ordinary
     if not added:
         return merge
     parts = re.compile("|".join(map(re.escape, added)))
@@ -72,10 +72,14 @@ def encoder(path: str):
     return encode
 
 
-def byte_bpe(content: dict):
-    """The byte-level BPE in a ``tokenizers`` file; strings of added tokens are plain text."""
+def byte_bpe(path: str):
+    """An encoder for the byte-level BPE in a ``tokenizers`` file; strings of added tokens are plain text."""
+    import json
+
     import tiktoken
 
+    with open(path, encoding="utf-8") as file:
+        content = json.load(file)
     # Byte-level vocabularies write each byte as a printable character: itself, or one from U+0100 on.
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     rest = [b for b in range(256) if b not in set(plain)]
