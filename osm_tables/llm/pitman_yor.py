@@ -15,11 +15,15 @@ probabilities of the following ones are averaged.
 Work is dealt out once, by word: a range of word hashes holds all that is known of its words. Words
 that make up more than ``1 / HOT`` of the tokens (``HOT`` at most) are dealt out by word and previous
 word, counted in advance; what all parts know of them is summed on the driver. A restaurant's
-customers are spread over the parts of the words that sit in it. So between sweeps each part sends its
-tables of each restaurant to the restaurant's home, a range of hashes of previous words, and gets the
-sums back; nothing that grows with the number of restaurants reaches the driver. Every step works on
-packed arrays; the packed tokens and the sums are kept in the checkpoint folder, so a lost executor
-repeats only its part, with the same random numbers.
+customers are spread over the parts of the words that sit in it. So each part sends customers and
+different words of each restaurant to the restaurant's home, a range of hashes of previous words, and
+gets the sums back, with a number for each restaurant in which some word has more than one customer.
+Only there can tables change: after a sweep a part sends the tables that it has beyond one a word, by
+those numbers, and gets the sums back. Nothing that grows with the number of restaurants reaches the
+driver. Every step works on packed arrays; the packed tokens and the sums are kept in the checkpoint
+folder, so a lost executor repeats only its part, with the same random numbers. Parts follow from the
+number of training tokens alone, and random numbers from the part, so the number of shuffle partitions
+changes no score.
 
 Words are 64-bit hashes of their bytes, A-Z lower-cased.
 """
@@ -44,8 +48,10 @@ CONTEXTS = 2048
 HOT = 1024
 #: Tokens of a batch, about, and rows at most (their numbers take 16 bits).
 BATCH_TOKENS, BATCH_ROWS = 1_000_000, 60_000
-#: Training tokens of a part at most, about; there are more parts than shuffle partitions if need be.
-PART_TOKENS = 4_000_000
+#: Training tokens of a part at most, about, and the fewest parts.
+PART_TOKENS, PARTS = 1_500_000, 8
+#: Frequent words that have a number of two bytes. Saves bytes only.
+DICTIONARY = 16_384
 _EXCHANGE = "home int, part int, kind int, blob binary"
 _END = np.uint64(0x5851F42D4C957F2D)
 _TRAIN = np.uint32(1 << 31)
@@ -73,7 +79,9 @@ class Settings:
     sweeps: int = 3
     burn_in: int = 1
     seed: int = 1
-    parts: int = 8
+    one_by_one: bool = False  # seat beyond 16 customers, too, one after another
+    parts: int = PARTS
+    dictionary: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
     hot: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
 
 
@@ -116,23 +124,39 @@ def _small(numbers: np.ndarray) -> np.ndarray:
     return numbers.astype(np.min_scalar_type(int(numbers.max()) if len(numbers) else 0))
 
 
+def _numbered(words: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of words in a sorted list, and whether they are there."""
+    if not len(among):
+        return np.zeros(len(words), np.int64), np.zeros(len(words), bool)
+    at = np.minimum(np.searchsorted(among, words), len(among) - 1)
+    return at, among[at] == words
+
+
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The number of training tokens, and counts of words that are frequent where they are seen."""
-    n, often = 0, {}
+    """The number of training tokens, and counts of frequent words."""
+    n, words, often, more = 0, np.zeros(0, np.uint64), np.zeros(0), []
+
+    def folded(words, often, more):
+        found, back = np.unique(np.concatenate([words, *more]), return_inverse=True)
+        counts = np.bincount(back, np.concatenate([often, np.ones(len(back) - len(words))]), len(found))
+        top = np.lexsort((found, -counts))[:DICTIONARY]
+        return found[top], counts[top]
+
     for batch in batches:
         data, at = flat(batch.column(0))
         for b, e in slices(at):
             tokens, _, _ = tokens_of(data[at[b] : at[e]], at[b : e + 1] - at[b])
             n += len(tokens)
-            # Which words count as frequent steers the work, not the result: every eighth token will do.
-            words, counts = np.unique(tokens[::8], return_counts=True)
-            some = counts * HOT > counts.sum()
-            for w, c in zip(words[some].tolist(), counts[some].tolist()):
-                often[w] = often.get(w, 0) + 8 * c
-    words = np.array(list(often), np.uint64).view(np.int64)
+            # Which words count as frequent steers the work: every eighth token will do.
+            more.append(tokens[::8])
+            if sum(map(len, more)) > BATCH_TOKENS:
+                words, often = folded(words, often, more)
+                more = []
+    words, often = folded(words, often, more)
     kind = np.repeat([0, 1], [1, len(words)]).astype(np.int32)
-    ids = np.concatenate([np.zeros(1, np.int64), words])
-    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (kind, ids, np.array([n, *often.values()], np.int64))], ["kind", "id", "n"])
+    ids = np.concatenate([np.zeros(1, np.int64), words.view(np.int64)])
+    counts = np.concatenate([[n], 8 * often]).astype(np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (kind, ids, counts)], ["kind", "id", "n"])
 
 
 def _spread(settings: Settings):
@@ -143,9 +167,7 @@ def _spread(settings: Settings):
         tokens, before, counts = (np.concatenate(x) for x in zip(*parts))
         doc = np.repeat(np.arange(len(counts), dtype=np.uint16), counts)
         train = ~np.array(held)[doc]
-        is_hot = np.zeros(len(tokens), bool)
-        if len(hot):
-            is_hot = hot[np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)] == tokens
+        is_hot = _numbered(tokens, hot)[1]
         known = np.array([x is not None for x in docs])
         ids = np.array([x or 0 for x in docs], np.int64)
         yield number % settings.parts, number, 0, _packed(ids, known, np.array(held), counts.astype(np.int64))
@@ -178,10 +200,17 @@ def _spread(settings: Settings):
             begins = np.flatnonzero(np.concatenate(([True], tokens[own][1:] != tokens[own][:-1]))) if len(own) else np.zeros(0, np.int64)
             both = np.concatenate([context[own], context[some[firsts[its]]]])
             used, at = np.unique(both, return_inverse=True)
+            # Previous words with a number come first.
+            numbers, known_ = _numbered(names[used], settings.dictionary)
+            order = np.argsort(~known_, kind="stable")
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            at = place[at]
             yield part, number, 1, _packed(
                 tokens[own[begins]], _small(np.diff(np.append(begins, len(own)))), _small(at[: len(own)]), np.packbits(train[own]), doc[own],
                 np.searchsorted(hot, w[firsts[its]]).astype(np.uint16), _small(at[len(own) :]), _small(pair_n[its]),
-                _small(entries[its]), d[entry[its_docs]], _small(times[its_docs]), names[used],
+                _small(entries[its]), d[entry[its_docs]], _small(times[its_docs]),
+                numbers[known_].astype(np.uint16), names[used[~known_]],
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,11 +238,12 @@ def _rows(rows) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["part", "batch", "kind", "blob"])
 
 
-def seat(customers: np.ndarray, base: np.ndarray, other: np.ndarray, discount: float, strength: float, rng) -> np.ndarray:
+def seat(customers: np.ndarray, base: np.ndarray, other: np.ndarray, discount: float, strength: float, rng, one_by_one: bool = False) -> np.ndarray:
     """Tables that customers of one word take when they are seated one after another.
 
     ``base`` is the parent's probability of the word, ``other`` the restaurant's tables of other
-    words. Beyond 16 customers a sixteenth of those seated come in together.
+    words. Beyond 16 customers a sixteenth of those seated come in together, unless ``one_by_one``:
+    that is exact, in as many steps as a word has customers.
     """
     order = np.argsort(-customers, kind="stable")
     c, p, o = customers[order], base[order], other[order]
@@ -222,7 +252,7 @@ def seat(customers: np.ndarray, base: np.ndarray, other: np.ndarray, discount: f
         n = int(np.searchsorted(-c, -seated))  # those with more customers come first
         if not n:
             break
-        step = max(1, seated // 16)
+        step = 1 if one_by_one else max(1, seated // 16)
         new = (strength + discount * (o[:n] + t[:n])) * p[:n]
         chance = np.clip(new / (new + seated - discount * t[:n]), 0, 1)
         t[:n] += rng.random(n) < chance if step == 1 else rng.binomial(np.minimum(step, c[:n] - seated).astype(np.int64), chance)
@@ -243,7 +273,7 @@ def _root_tables(customers: np.ndarray, own: np.ndarray | None, before: Totals,
     own = own if own is not None else used.astype(float)
     base = np.full(len(used), 1 / (before.words + 1) if before.words else 1 / max(1, before.tokens))
     other = np.maximum(max(before.root_tables, 1) - own, 0)
-    return np.where(used, seat(customers, base, other, s.root_discount, s.root_strength, rng), 0)
+    return np.where(used, seat(customers, base, other, s.root_discount, s.root_strength, rng, s.one_by_one), 0)
 
 
 class Part:
@@ -285,7 +315,7 @@ class Part:
         else:
             p, own = self.root(before), self.tables
         other = np.maximum(before.tables[self.context] - own, 0)
-        self.tables = seat(self.counts, p[self.word], other, s.discount, s.strength, self.rng)
+        self.tables = seat(self.counts, p[self.word], other, s.discount, s.strength, self.rng, s.one_by_one)
         self.root_customers = np.bincount(self.word, self.tables, len(self.words))
         self.root_tables = _root_tables(np.where(self.is_hot, 0, self.root_customers), self.root_tables, before, s, self.rng)
 
@@ -302,6 +332,7 @@ def _backoff(totals: Totals, settings: Settings) -> np.ndarray:
 def _unfolded(blobs: list[bytes], settings: Settings) -> tuple[np.ndarray, list[list[np.ndarray]]]:
     """A part's different previous words, in order, and its blobs with numbers of those in place of their own."""
     found = [_unpacked(b) for b in blobs]
+    found = [[*f, np.concatenate([settings.dictionary[numbers], others])] for *f, numbers, others in found]
     names = np.unique(np.concatenate([np.zeros(0, np.uint64), *(f[-1] for f in found)]))
     out = []
     for words, times, context, train, doc, hot_words, hot_context, hot_counts, entries, *rest, own in found:
@@ -312,15 +343,6 @@ def _unfolded(blobs: list[bytes], settings: Settings) -> tuple[np.ndarray, list[
     return names, out
 
 
-def _sent(settings: Settings, number: int, names: np.ndarray, sums: np.ndarray, report: list[np.ndarray]):
-    """A part's sums to the homes of its previous words, and what the driver is to know."""
-    cuts = np.searchsorted(part_of(names, settings.parts), np.arange(settings.parts + 1))
-    for home, (b, e) in enumerate(zip(cuts[:-1], cuts[1:])):
-        if e > b:
-            yield home, number, 1, _packed(names[b:e], _small(sums[b:e].astype(np.int64)))
-    yield number % settings.parts, number, 0, _packed(*report)
-
-
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What a task was sent, as one row: lists of numbers, kinds and blobs, ordered by number."""
     held = []
@@ -340,19 +362,23 @@ def _sent_to(part: int, batches: list, kinds: list, blobs: list) -> tuple[list,
 
 
 def _asker(settings: Settings):
-    """Customers of each previous word in a part."""
+    """Customers and different words of each previous word in a part, to its home, and customers of frequent words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
+                number = row["part"]
                 names, blobs = _unfolded(_sent_to(**row)[1], settings)
-                customers, hot = np.zeros(len(names)), np.zeros(len(settings.hot))
-                for _, _, contexts, _, hot_words, hot_contexts, hot_counts, *_ in blobs:
-                    customers += np.bincount((contexts & ~_TRAIN)[contexts & _TRAIN != 0], minlength=len(names))
-                    customers += np.bincount(hot_contexts, hot_counts, len(names))
-                    if len(hot):
-                        hot += np.bincount(np.searchsorted(settings.hot, hot_words), hot_counts, len(hot))
-                yield _exchanged(_sent(settings, row["part"], names, customers, [hot]))
+                hot, out = np.zeros(len(settings.hot)), []
+                if blobs:
+                    part = Part(blobs, settings, number, len(names))
+                    hot[part.hot_at] = part.word_counts[part.is_hot]
+                    sums = [np.bincount(part.context, n, len(names)).astype(np.int64) for n in (part.counts, None)]
+                    cuts = np.searchsorted(part_of(names, settings.parts), np.arange(settings.parts + 1))
+                    for home, (b, e) in enumerate(zip(cuts[:-1], cuts[1:])):
+                        if e > b:
+                            out.append((home, number, 1, _packed(names[b:e], *(_small(x[b:e]) for x in sums))))
+                yield _exchanged([*out, (number, number, 0, _packed(hot))])
 
     return run
 
@@ -375,26 +401,41 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for home in sorted(held):
         parts, blobs = zip(*held.pop(home))
         found = [_unpacked(b) for b in blobs]
-        _, at = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
-        sums = np.bincount(at, np.concatenate([f[1] for f in found]))[at].astype(np.int64)
         cuts = np.concatenate(([0], np.cumsum([len(f[0]) for f in found]))).tolist()
-        yield _exchanged([(home, part, 1, _packed(_small(sums[b:e]))) for part, b, e in zip(parts, cuts, cuts[1:])])
+        together = [np.concatenate(x) for x in zip(*found)]
+        if len(together) == 3:  # names, customers, different words
+            _, at = np.unique(together[0], return_inverse=True)
+            customers, pairs = (np.bincount(at, x).astype(np.int64) for x in together[1:])
+            varies = customers > pairs
+            numbers = np.cumsum(varies) - 1
+            customers, pairs, numbers, varies = customers[at], pairs[at], numbers[at], varies[at]
+            for part, b, e in zip(parts, cuts, cuts[1:]):
+                gaps = np.diff(numbers[b:e][varies[b:e]], prepend=0)
+                yield _exchanged([(home, part, 1, _packed(_small(customers[b:e]), _small(customers[b:e] - pairs[b:e]), _small(gaps)))])
+        else:
+            at = np.concatenate([np.cumsum(f[0], dtype=np.int64) for f in found])
+            sums = np.bincount(at, together[1]).astype(np.int64)[at]
+            for part, b, e in zip(parts, cuts, cuts[1:]):
+                yield _exchanged([(home, part, 1, _packed(_small(sums[b:e])))])
 
 
 def _opened(row, sums, settings: Settings, history: list[Totals]):
-    """Names of a part's batches, its blobs, previous words, and the totals as it sees them."""
+    """Names of a part's batches, its blobs, previous words, the totals as it sees them, and where tables go."""
     names, blobs = _sent_to(*row)
     contexts, blobs = _unfolded(blobs, settings)
     own: dict[int, list] = {}
     for home, step, blob in zip(*sums[1:]):  # in the order of homes
-        own.setdefault(step, []).append(_unpacked(bytes(blob))[0].astype(float))
-    customers = np.concatenate([np.zeros(0), *own.get(0, [])])
-    seen = [replace(history[0], customers=customers, tables=0.5 * customers)]
+        own.setdefault(step, []).append((home, *_unpacked(bytes(blob))))
+    none = [np.zeros(0, np.int64)]
+    customers, beyond = (np.concatenate(none + [f[k] for f in own.get(0, [])]).astype(float) for k in (1, 2))
+    varies, homes = beyond > 0, [(f[0], f[3]) for f in own.get(0, [])]
+    # At first each word of a restaurant has one table.
+    seen = [replace(history[0], customers=customers, tables=customers - beyond)]
     for step, totals in enumerate(history[1:], 1):
-        tables = customers.copy()  # a lone customer has a table, see _sweeper
-        tables[customers > 1] = np.concatenate([np.zeros(0), *own.get(step, [])])
+        tables = customers - beyond
+        tables[varies] += np.concatenate(none + [f[1] for f in own.get(step, [])])
         seen.append(replace(totals, customers=customers, tables=tables))
-    return names, blobs, contexts, seen
+    return names, blobs, contexts, seen, homes
 
 
 def _sweeper(settings: Settings, history: list[Totals]):
@@ -402,7 +443,7 @@ def _sweeper(settings: Settings, history: list[Totals]):
 
     def run(row, sums) -> list[tuple]:
         number = row[0]
-        _, blobs, names, seen = _opened(row, sums, settings, history)
+        _, blobs, names, seen, homes = _opened(row, sums, settings, history)
         if not blobs:
             return []
         part = Part(blobs, settings, number, len(names))
@@ -412,10 +453,13 @@ def _sweeper(settings: Settings, history: list[Totals]):
         cold, hot = ~part.is_hot, np.zeros(len(settings.hot))
         hot[part.hot_at] = part.root_customers[part.is_hot]
         told = [np.count_nonzero(part.word_counts[cold]), part.root_customers[cold].sum(), part.root_tables[cold].sum()]
-        tables = np.bincount(part.context, part.tables, len(names))
-        # Where there is one customer there is one table: nothing to tell.
-        some = seen[0].customers > 1
-        return list(_sent(settings, number, names[some], tables[some], [np.array(told, float), hot]))
+        more = np.bincount(part.context, part.tables - 1, len(names)).astype(np.int64)
+        more, out, begin = more[seen[0].customers > seen[0].tables], [], 0
+        for home, gaps in homes:
+            if len(gaps):
+                out.append((home, number, 1, _packed(gaps, _small(more[begin : begin + len(gaps)]))))
+            begin += len(gaps)
+        return [*out, (number, number, 0, _packed(np.array(told, float), hot))]
 
     return run
 
@@ -425,7 +469,7 @@ def _scorer(settings: Settings, history: list[Totals], hot_counts: np.ndarray):
 
     def run(row, sums) -> list[tuple]:
         number = row[0]
-        names, blobs, contexts_, seen = _opened(row, sums, settings, history)
+        names, blobs, contexts_, seen, _ = _opened(row, sums, settings, history)
         if not blobs:
             return []
         part = Part(blobs, settings, number, len(contexts_))
@@ -502,17 +546,20 @@ def score_documents(docs: DataFrame, held_out: Column, **parameters) -> DataFram
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score (add-one single words) and
     score, both log10 probabilities of the whole text. Null text is empty: its end token alone.
     Rows are scored one by one, repeated ones alike; null doc_ids stay. With nothing to learn from
-    every token has probability 1 in either model. Other columns are not read.
+    every token has probability 1 in either model. A text of any length is read whole, in segments.
+    Other columns, whatever their names, are not read.
     """
     spark = docs.sparkSession
-    settings = Settings(parts=shared.shuffle_partitions(spark), **parameters)
+    settings = Settings(**parameters)
     docs = docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
     seen = docs.where("NOT held_out").select("text").mapInArrow(_survey, "kind int, id bigint, n bigint")
     seen = shared.checkpointed(seen.groupBy("kind", "id").agg(F.sum("n").alias("n")))
     tokens = sum(r["n"] for r in seen.where("kind = 0").collect())
-    settings.parts = max(settings.parts, -(-tokens // PART_TOKENS))
-    frequent = seen.where((F.col("kind") == 1) & (F.col("n") * HOT > tokens)).orderBy(F.desc("n"), "id").limit(HOT).collect()
-    settings.hot = np.sort(np.array([r["id"] for r in frequent], np.int64).view(np.uint64))
+    settings.parts = max(PARTS, -(-tokens // PART_TOKENS))
+    frequent = seen.where("kind = 1").orderBy(F.desc("n"), "id").limit(DICTIONARY).collect()
+    words, counts = np.array([(r["id"], r["n"]) for r in frequent], np.int64).reshape(-1, 2).T
+    settings.dictionary = np.sort(words.astype(np.int64).view(np.uint64))
+    settings.hot = np.sort(words[counts * HOT > tokens][:HOT].view(np.uint64))
 
     # One row for each part, in a partition of its own, so that what is kept and what is sent later can be zipped.
     every = spark.range(0, settings.parts, 1, 1).select(F.col("id").cast("int").alias("part"), F.lit(0).cast("bigint").alias("batch"), F.lit(-1).alias("kind"), F.lit(b"").alias("blob"))

@@ -91,6 +91,43 @@ def test_the_same_seed_gives_the_same_scores(spark):
     assert run() == run()
 
 
+def test_shuffle_partitions_change_no_score(spark, monkeypatch):
+    monkeypatch.setattr(P, "PART_TOKENS", 500)  # many parts
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * j) % 37}" for j in range(60))) for i in range(120)], DOCS).repartition(3)
+    before, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for n in ("4", "23"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append(sorted((r["doc_id"], round(r["score"], 9)) for r in P.score_documents(docs, F.lit(False)).collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(found[0]) == 120 and found[0] == found[1]
+
+
+def test_sums_at_homes():
+    """Customers, words and tables of each previous word, summed over parts, come back in the order they were sent."""
+    names = [np.array([3, 5, 9], np.uint64), np.array([5, 7, 9], np.uint64)]
+    customers, pairs = [np.array([4, 1, 2]), np.array([1, 3, 1])], [np.array([2, 1, 2]), np.array([1, 1, 1])]
+    asked = [(0, i, 1, P._packed(names[i], customers[i], pairs[i])) for i in range(2)]
+    back = [r["blob"] for b in P._summed(iter([P._exchanged(asked)])) for r in b.to_pylist()]
+    # 3 and 7 vary; 5 (1 + 1 customers, 1 + 1 words) and 9 do not.
+    first, second = ([x.tolist() for x in P._unpacked(b)] for b in back)
+    assert first == [[4, 2, 3], [2, 0, 0], [0]] and second == [[2, 3, 3], [0, 2, 0], [1]]
+    sent = [(0, i, 1, P._packed(np.array(gaps), np.array(more))) for i, (gaps, more) in enumerate([([0], [1]), ([1], [2])])]
+    back = [P._unpacked(r["blob"])[0].tolist() for b in P._summed(iter([P._exchanged(sent)])) for r in b.to_pylist()]
+    assert back == [[1], [2]]
+
+
+def test_seating_one_by_one():
+    """The exact process beyond 16 customers, against its expectation and the grouped one."""
+    d, theta, p, n = 0.5, 1.0, 0.3, 4000
+    mean = {}
+    for exact in (True, False):
+        rng = np.random.default_rng(5)
+        mean[exact] = P.seat(np.full(n, 200.0), np.full(n, p), np.zeros(n), d, theta, rng, exact).mean()
+    assert mean[False] == pytest.approx(mean[True], rel=0.03)
+
+
 def test_nothing_to_learn_from_and_no_rows(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], DOCS)
     found = {r["doc_id"]: r for r in P.score_documents(docs, F.lit(True)).collect()}
