@@ -149,7 +149,7 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n += len(tokens)
             # Which words count as frequent steers the work: every eighth token will do.
             more.append(tokens[::8])
-            if sum(map(len, more)) > BATCH_TOKENS:
+            if sum(map(len, more)) > BATCH_TOKENS // 8:
                 words, often = folded(words, often, more)
                 more = []
     words, often = folded(words, often, more)
@@ -247,9 +247,9 @@ def seat(customers: np.ndarray, base: np.ndarray, other: np.ndarray, discount: f
     """
     order = np.argsort(-customers, kind="stable")
     c, p, o = customers[order], base[order], other[order]
-    t, seated = np.ones(len(c)), 1
+    t, seated, falling = np.ones(len(c)), 1, -c
     while True:
-        n = int(np.searchsorted(-c, -seated))  # those with more customers come first
+        n = int(np.searchsorted(falling, -seated))  # those with more customers come first
         if not n:
             break
         step = 1 if one_by_one else max(1, seated // 16)
@@ -296,8 +296,32 @@ class Part:
         self.word_counts = np.bincount(self.word, self.counts, len(self.words))
         self.is_hot = np.isin(self.words, settings.hot)
         self.hot_at = np.searchsorted(settings.hot, self.words[self.is_hot])
+        self.singles = np.zeros(len(self.words))  # pairs with one customer, thus one table, that are not among the pairs
         self.tables = self.root_customers = self.root_tables = None
 
+    def varying(self) -> list[np.ndarray]:
+        """All that a sweep needs: pairs with more than one customer, and of each word its other pairs."""
+        some = self.counts > 1
+        singles = np.bincount(self.word[~some], minlength=len(self.words))
+        numbers = [np.diff(self.word[some], prepend=0), self.context[some], self.counts[some], singles, self.word_counts]
+        return [*(_small(x.astype(np.int64)) for x in numbers), np.packbits(self.is_hot), self.hot_at]
+
+    @classmethod
+    def restored(cls, state: list[np.ndarray], settings: Settings, part: int, step: int) -> "Part":
+        self = cls.__new__(cls)
+        self.settings, self.rng = settings, np.random.default_rng([settings.seed, part, step])
+        gaps, self.context, counts, singles, word_counts, hot, self.hot_at = state
+        self.word, self.counts = np.cumsum(gaps, dtype=np.int64), counts.astype(float)
+        self.singles, self.word_counts = singles.astype(float), word_counts.astype(float)
+        self.is_hot = np.unpackbits(hot, count=len(singles)).astype(bool)
+        self.tables = self.root_customers = self.root_tables = None
+        return self
+
+    def seated(self, tables: np.ndarray, root_tables: np.ndarray) -> None:
+        """As a sweep left it."""
+        self.tables, self.root_tables = tables.astype(float), root_tables.astype(float)
+        self.root_customers = np.bincount(self.word, self.tables, len(self.singles)) + self.singles
+
     def _keys(self, words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.words, words) * self.contexts + contexts.astype(np.int64)
 
@@ -316,7 +340,7 @@ class Part:
             p, own = self.root(before), self.tables
         other = np.maximum(before.tables[self.context] - own, 0)
         self.tables = seat(self.counts, p[self.word], other, s.discount, s.strength, self.rng, s.one_by_one)
-        self.root_customers = np.bincount(self.word, self.tables, len(self.words))
+        self.root_customers = np.bincount(self.word, self.tables, len(self.singles)) + self.singles
         self.root_tables = _root_tables(np.where(self.is_hot, 0, self.root_customers), self.root_tables, before, s, self.rng)
 
     def direct(self, totals: Totals) -> np.ndarray:
@@ -362,7 +386,7 @@ def _sent_to(part: int, batches: list, kinds: list, blobs: list) -> tuple[list,
 
 
 def _asker(settings: Settings):
-    """Customers and different words of each previous word in a part, to its home, and customers of frequent words."""
+    """Customers and different words of each previous word in a part, to its home, what sweeps need, and customers of frequent words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -373,6 +397,7 @@ def _asker(settings: Settings):
                 if blobs:
                     part = Part(blobs, settings, number, len(names))
                     hot[part.hot_at] = part.word_counts[part.is_hot]
+                    out.append((number, number, 2, _packed(*part.varying())))
                     sums = [np.bincount(part.context, n, len(names)).astype(np.int64) for n in (part.counts, None)]
                     cuts = np.searchsorted(part_of(names, settings.parts), np.arange(settings.parts + 1))
                     for home, (b, e) in enumerate(zip(cuts[:-1], cuts[1:])):
@@ -390,14 +415,14 @@ def _exchanged(rows) -> pa.RecordBatch:
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each part that sent sums to a home the sums over all parts, in the order it sent them."""
+    """For each part that sent sums to a home the sums over all parts, in the order it sent them; the rest as it is."""
     held: dict[int, list] = {}
     for batch in batches:
         for home, part, kind, blob in zip(*(batch.column(k).to_pylist() for k in range(4))):
-            if kind:
+            if kind == 1:
                 held.setdefault(home, []).append((part, blob))
             else:
-                yield _exchanged([(home, part, 0, blob)])
+                yield _exchanged([(home, part, kind, blob)])
     for home in sorted(held):
         parts, blobs = zip(*held.pop(home))
         found = [_unpacked(b) for b in blobs]
@@ -419,67 +444,81 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _exchanged([(home, part, 1, _packed(_small(sums[b:e])))])
 
 
-def _opened(row, sums, settings: Settings, history: list[Totals]):
-    """Names of a part's batches, its blobs, previous words, the totals as it sees them, and where tables go."""
-    names, blobs = _sent_to(*row)
-    contexts, blobs = _unfolded(blobs, settings)
-    own: dict[int, list] = {}
-    for home, step, blob in zip(*sums[1:]):  # in the order of homes
-        own.setdefault(step, []).append((home, *_unpacked(bytes(blob))))
+def _opened(sums, history: list[Totals]):
+    """What a part was sent: totals after each step as it sees them, where its tables go, and its own states by step."""
+    own, states = {}, {}
+    for home, kind, blob in zip(*sums[1:]):  # in the order of homes
+        found = _unpacked(bytes(blob))
+        if kind % 2:
+            states[kind // 2] = found
+        else:
+            own.setdefault(kind // 2, []).append((home, *found))
     none = [np.zeros(0, np.int64)]
     customers, beyond = (np.concatenate(none + [f[k] for f in own.get(0, [])]).astype(float) for k in (1, 2))
     varies, homes = beyond > 0, [(f[0], f[3]) for f in own.get(0, [])]
     # At first each word of a restaurant has one table.
-    seen = [replace(history[0], customers=customers, tables=customers - beyond)]
+    seen = {0: replace(history[0], customers=customers, tables=customers - beyond)}
     for step, totals in enumerate(history[1:], 1):
-        tables = customers - beyond
-        tables[varies] += np.concatenate(none + [f[1] for f in own.get(step, [])])
-        seen.append(replace(totals, customers=customers, tables=tables))
-    return names, blobs, contexts, seen, homes
+        if step in states:
+            tables = customers - beyond
+            tables[varies] += np.concatenate(none + [f[1] for f in own.get(step, [])])
+            seen[step] = replace(totals, customers=customers, tables=tables)
+    return seen, homes, states
 
 
 def _sweeper(settings: Settings, history: list[Totals]):
-    """Sums over a part after as many sweeps as there are totals."""
+    """One sweep of every part after the last of ``history``: its sums, and the tables as they are."""
 
-    def run(row, sums) -> list[tuple]:
-        number = row[0]
-        _, blobs, names, seen, homes = _opened(row, sums, settings, history)
-        if not blobs:
-            return []
-        part = Part(blobs, settings, number, len(names))
-        del blobs
-        for totals in seen:
-            part.sweep(totals)
-        cold, hot = ~part.is_hot, np.zeros(len(settings.hot))
-        hot[part.hot_at] = part.root_customers[part.is_hot]
-        told = [np.count_nonzero(part.word_counts[cold]), part.root_customers[cold].sum(), part.root_tables[cold].sum()]
-        more = np.bincount(part.context, part.tables - 1, len(names)).astype(np.int64)
-        more, out, begin = more[seen[0].customers > seen[0].tables], [], 0
-        for home, gaps in homes:
-            if len(gaps):
-                out.append((home, number, 1, _packed(gaps, _small(more[begin : begin + len(gaps)]))))
-            begin += len(gaps)
-        return [*out, (number, number, 0, _packed(np.array(told, float), hot))]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                number, step = row["part"], len(history) - 1
+                seen, homes, states = _opened((number, row["batches"], row["kinds"], row["blobs"]), history)
+                if not states:
+                    continue
+                part = Part.restored(states[0], settings, number, step)
+                if step:
+                    part.seated(*states[step])
+                part.sweep(seen[step])
+                cold, hot = ~part.is_hot, np.zeros(len(settings.hot))
+                hot[part.hot_at] = part.root_customers[part.is_hot]
+                told = [np.count_nonzero(part.word_counts[cold]), part.root_customers[cold].sum(), part.root_tables[cold].sum()]
+                more = np.bincount(part.context, part.tables - 1, len(seen[0].customers)).astype(np.int64)
+                more, out, begin = more[seen[0].customers > seen[0].tables], [], 0
+                for home, gaps in homes:
+                    if len(gaps):
+                        out.append((home, number, 1, _packed(gaps, _small(more[begin : begin + len(gaps)]))))
+                    begin += len(gaps)
+                state = (_small(x.astype(np.int64)) for x in (part.tables, part.root_tables))
+                yield _exchanged([*out, (number, number, 0, _packed(np.array(told, float), hot)), (number, number, 2, _packed(*state))])
 
     return run
 
 
+def _fixed(x: np.ndarray) -> np.ndarray:
+    """Sums that are not negative, in billionths: their first bytes compress to nothing."""
+    return np.rint(np.maximum(x, 0) * 1e9).astype(np.uint64)
+
+
 def _scorer(settings: Settings, history: list[Totals], hot_counts: np.ndarray):
     """For each batch what a part's words add to its rows."""
 
     def run(row, sums) -> list[tuple]:
         number = row[0]
-        names, blobs, contexts_, seen, _ = _opened(row, sums, settings, history)
+        names, blobs = _sent_to(*row)
+        contexts_, blobs = _unfolded(blobs, settings)
         if not blobs:
             return []
+        seen, _, states = _opened(sums, history)
         part = Part(blobs, settings, number, len(contexts_))
-        direct, roots = np.zeros(len(part.pairs) + 1), []
-        for j, totals in enumerate(seen[:-1]):
-            part.sweep(totals)
-            if j >= settings.burn_in:
-                direct[:-1] += part.direct(seen[j + 1])
-                roots.append(part.root(seen[j + 1]))
-        weights = [_backoff(t, settings) for t in seen[1 + settings.burn_in :]]
+        direct, roots, averaged, varies = np.zeros(len(part.pairs) + 1), [], sorted(states), part.counts > 1
+        for step in averaged:
+            tables = np.ones(len(part.pairs))
+            tables[varies] = states[step][0]
+            part.seated(tables, states[step][1])
+            direct[:-1] += part.direct(seen[step])
+            roots.append(part.root(seen[step]))
+        weights = [_backoff(seen[step], settings) for step in averaged]
         counts = part.word_counts.copy()
         counts[part.is_hot] = hot_counts[part.hot_at]
 
@@ -501,7 +540,7 @@ def _scorer(settings: Settings, history: list[Totals], hot_counts: np.ndarray):
             count, log_p = np.concatenate([count, hot_count[pair]]), np.concatenate([log_p, hot_log[pair]])
             rows, at = np.unique(doc, return_inverse=True)
             total = lambda x: np.bincount(at, n * x, len(rows))
-            out.append((number, name, 1, _packed(rows, total(np.log10(count + 1)), total(log_p), total(count > 0).astype(np.uint32))))
+            out.append((number, name, 1, _packed(rows, _fixed(total(np.log10(count + 1))), _fixed(-total(log_p)), total(count > 0).astype(np.uint32))))
         return out
 
     return run
@@ -520,8 +559,8 @@ def _finisher(totals: Totals):
                     added.append(_unpacked(blob))
             base, score, n_known = np.zeros(len(ids)), np.zeros(len(ids)), np.zeros(len(ids), np.int64)
             for rows, b, s, k in sorted(added, key=lambda x: x[1].tobytes()):
-                base[rows] += b
-                score[rows] += s
+                base[rows] += b / 1e9
+                score[rows] -= s / 1e9
                 n_known[rows] += k
             base -= n * np.log10(totals.tokens + totals.words + 1)
             yield pa.RecordBatch.from_arrays(
@@ -569,6 +608,7 @@ def score_documents(docs: DataFrame, held_out: Column, **parameters) -> DataFram
         return rows.unionAll(every).repartitionById(settings.parts, F.col("part")).mapInArrow(_gathered, gathered)
 
     packed = shared.checkpointed(by_part(docs.mapInArrow(_spread(settings), "part int, batch bigint, kind int, blob binary")))
+    shared.release(spark)
     told = []
 
     def exchanged(sent: DataFrame) -> list[list[np.ndarray]]:
@@ -577,17 +617,20 @@ def score_documents(docs: DataFrame, held_out: Column, **parameters) -> DataFram
         told.append(shared.checkpointed(sums))
         return [_unpacked(r["blob"]) for r in told[-1].where("kind = 0").select("part", "blob").orderBy("part").toLocalIterator()]
 
-    def with_sums(function, schema: str) -> DataFrame:
-        sums = [t.where("kind = 1").select("part", F.col("home").cast("bigint").alias("batch"), F.lit(k).alias("kind"), "blob") for k, t in enumerate(told)]
-        pairs = packed.rdd.zip(by_part(reduce(DataFrame.unionAll, sums)).rdd)
-        return spark.createDataFrame(pairs.flatMap(lambda x: function(*x)), schema, verifySchema=False)
+    def sums_of(steps, states) -> DataFrame:
+        """What each part was sent in these steps, and its own states, as one row."""
+        kept = [t.where("kind = 1" + " OR kind = 2" * (k in states)).select(
+            "part", F.col("home").cast("bigint").alias("batch"), (F.lit(2 * k - 1) + F.col("kind")).alias("kind"), "blob"
+        ) for k, t in enumerate(told) if k in steps]
+        return by_part(reduce(DataFrame.unionAll, kept))
 
     none = np.zeros(0)
     hot_counts = sum((r[0] for r in exchanged(packed.mapInArrow(_asker(settings), _EXCHANGE))), np.zeros(len(settings.hot)))
     history = [Totals(tokens, none, none, hot_p=hot_counts / max(1, tokens))]
     hot_tables, rng = None, np.random.default_rng([settings.seed, settings.parts, 1])
     for _ in range(settings.sweeps):
-        reports = exchanged(with_sums(_sweeper(settings, history), _EXCHANGE))
+        steps = {0, len(history) - 1}
+        reports = exchanged(sums_of(steps, steps).mapInArrow(_sweeper(settings, history), _EXCHANGE))
         words, root_customers, root_tables = sum((r[0] for r in reports), np.zeros(3))
         hot_customers = sum((r[1] for r in reports), np.zeros(len(settings.hot)))
         hot_tables = _root_tables(hot_customers, hot_tables, history[-1], settings, rng)
@@ -595,7 +638,9 @@ def score_documents(docs: DataFrame, held_out: Column, **parameters) -> DataFram
         now = Totals(tokens, none, none, int(words), root_customers + hot_customers.sum(), root_tables + hot_tables.sum())
         now.hot_p = _root(hot_customers, hot_tables, now, settings)
         history.append(now)
-    added = with_sums(_scorer(settings, history, hot_counts), "part int, batch bigint, kind int, blob binary")
+    averaged = set(range(settings.burn_in + 1, settings.sweeps + 1))
+    pairs, score = packed.rdd.zip(sums_of({0} | averaged, averaged).rdd), _scorer(settings, history, hot_counts)
+    added = spark.createDataFrame(pairs.flatMap(lambda x: score(*x)), "part int, batch bigint, kind int, blob binary", verifySchema=False)
     rows = packed.select(F.explode(F.arrays_zip("batches", "kinds", "blobs")).alias("x")).select("x.batches", "x.kinds", "x.blobs").where("kinds = 0")
     rows = rows.toDF("batch", "kind", "blob").unionAll(added.select("batch", "kind", "blob"))
     rows = rows.repartition(settings.parts, "batch").sortWithinPartitions("batch")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -32,6 +33,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of what is checkpointed by now; it does so when the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def new_table(spark: SparkSession, name: str) -> str:
     """A path in the shared folder, which goes when the session's process ends."""
     path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
