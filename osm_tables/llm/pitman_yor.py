@@ -50,8 +50,8 @@ HOT = 1024
 BATCH_TOKENS, BATCH_ROWS = 1_000_000, 60_000
 #: Training tokens of a part at most, about, and the fewest parts.
 PART_TOKENS, PARTS = 1_500_000, 8
-#: Frequent words that have a number of two bytes. Saves bytes only.
-DICTIONARY = 16_384
+#: Frequent words that have a number (of two bytes), and how many a task proposes. Saves bytes only.
+DICTIONARY, PROPOSED = 65_536, 32_768
 _EXCHANGE = "home int, part int, kind int, blob binary"
 _END = np.uint64(0x5851F42D4C957F2D)
 _TRAIN = np.uint32(1 << 31)
@@ -132,6 +132,19 @@ def _numbered(words: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndar
     return at, among[at] == words
 
 
+def _coded(words: np.ndarray, dictionary: np.ndarray) -> list[np.ndarray]:
+    """Ascending words as three arrays: which of them have a number, the gaps of these, and the others."""
+    at, known = _numbered(words, dictionary)
+    return [np.packbits(known), _small(np.diff(at[known], prepend=0)), words[~known]]
+
+
+def _decoded(known: np.ndarray, gaps: np.ndarray, others: np.ndarray, dictionary: np.ndarray) -> np.ndarray:
+    known = np.unpackbits(known, count=len(gaps) + len(others)).astype(bool)
+    words = np.empty(len(known), np.uint64)
+    words[known], words[~known] = dictionary[np.cumsum(gaps, dtype=np.int64)], others
+    return words
+
+
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The number of training tokens, and counts of frequent words."""
     n, words, often, more = 0, np.zeros(0, np.uint64), np.zeros(0), []
@@ -139,7 +152,7 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def folded(words, often, more):
         found, back = np.unique(np.concatenate([words, *more]), return_inverse=True)
         counts = np.bincount(back, np.concatenate([often, np.ones(len(back) - len(words))]), len(found))
-        top = np.lexsort((found, -counts))[:DICTIONARY]
+        top = np.lexsort((found, -counts))[:PROPOSED]
         return found[top], counts[top]
 
     for batch in batches:
@@ -200,17 +213,11 @@ def _spread(settings: Settings):
             begins = np.flatnonzero(np.concatenate(([True], tokens[own][1:] != tokens[own][:-1]))) if len(own) else np.zeros(0, np.int64)
             both = np.concatenate([context[own], context[some[firsts[its]]]])
             used, at = np.unique(both, return_inverse=True)
-            # Previous words with a number come first.
-            numbers, known_ = _numbered(names[used], settings.dictionary)
-            order = np.argsort(~known_, kind="stable")
-            place = np.empty(len(order), np.int64)
-            place[order] = np.arange(len(order))
-            at = place[at]
             yield part, number, 1, _packed(
-                tokens[own[begins]], _small(np.diff(np.append(begins, len(own)))), _small(at[: len(own)]), np.packbits(train[own]), doc[own],
+                *_coded(tokens[own[begins]], settings.dictionary), _small(np.diff(np.append(begins, len(own)))), _small(at[: len(own)]), np.packbits(train[own]), doc[own],
                 np.searchsorted(hot, w[firsts[its]]).astype(np.uint16), _small(at[len(own) :]), _small(pair_n[its]),
                 _small(entries[its]), d[entry[its_docs]], _small(times[its_docs]),
-                numbers[known_].astype(np.uint16), names[used[~known_]],
+                *_coded(names[used], settings.dictionary),
             )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,7 +363,7 @@ def _backoff(totals: Totals, settings: Settings) -> np.ndarray:
 def _unfolded(blobs: list[bytes], settings: Settings) -> tuple[np.ndarray, list[list[np.ndarray]]]:
     """A part's different previous words, in order, and its blobs with numbers of those in place of their own."""
     found = [_unpacked(b) for b in blobs]
-    found = [[*f, np.concatenate([settings.dictionary[numbers], others])] for *f, numbers, others in found]
+    found = [[_decoded(*f[:3], settings.dictionary), *f[3:-3], _decoded(*f[-3:], settings.dictionary)] for f in found]
     names = np.unique(np.concatenate([np.zeros(0, np.uint64), *(f[-1] for f in found)]))
     out = []
     for words, times, context, train, doc, hot_words, hot_context, hot_counts, entries, *rest, own in found:
@@ -604,8 +611,9 @@ def score_documents(docs: DataFrame, held_out: Column, **parameters) -> DataFram
     every = spark.range(0, settings.parts, 1, 1).select(F.col("id").cast("int").alias("part"), F.lit(0).cast("bigint").alias("batch"), F.lit(-1).alias("kind"), F.lit(b"").alias("blob"))
     gathered = "part int, batches array<bigint>, kinds array<int>, blobs array<binary>"
 
-    def by_part(rows: DataFrame) -> DataFrame:
-        return rows.unionAll(every).repartitionById(settings.parts, F.col("part")).mapInArrow(_gathered, gathered)
+    def by_part(rows: DataFrame, use=None, schema: str = gathered) -> DataFrame:
+        run = (lambda batches: use(_gathered(batches))) if use else _gathered
+        return rows.unionAll(every).repartitionById(settings.parts, F.col("part")).mapInArrow(run, schema)
 
     packed = shared.checkpointed(by_part(docs.mapInArrow(_spread(settings), "part int, batch bigint, kind int, blob binary")))
     shared.release(spark)
@@ -615,14 +623,15 @@ def score_documents(docs: DataFrame, held_out: Column, **parameters) -> DataFram
         """Sums at the homes are kept; what parts report comes back."""
         sums = sent.repartitionById(settings.parts, F.col("home")).mapInArrow(_summed, _EXCHANGE)
         told.append(shared.checkpointed(sums))
+        shared.release(spark)
         return [_unpacked(r["blob"]) for r in told[-1].where("kind = 0").select("part", "blob").orderBy("part").toLocalIterator()]
 
-    def sums_of(steps, states) -> DataFrame:
+    def sums_of(steps, states, *use) -> DataFrame:
         """What each part was sent in these steps, and its own states, as one row."""
         kept = [t.where("kind = 1" + " OR kind = 2" * (k in states)).select(
             "part", F.col("home").cast("bigint").alias("batch"), (F.lit(2 * k - 1) + F.col("kind")).alias("kind"), "blob"
         ) for k, t in enumerate(told) if k in steps]
-        return by_part(reduce(DataFrame.unionAll, kept))
+        return by_part(reduce(DataFrame.unionAll, kept), *use)
 
     none = np.zeros(0)
     hot_counts = sum((r[0] for r in exchanged(packed.mapInArrow(_asker(settings), _EXCHANGE))), np.zeros(len(settings.hot)))
@@ -630,7 +639,7 @@ def score_documents(docs: DataFrame, held_out: Column, **parameters) -> DataFram
     hot_tables, rng = None, np.random.default_rng([settings.seed, settings.parts, 1])
     for _ in range(settings.sweeps):
         steps = {0, len(history) - 1}
-        reports = exchanged(sums_of(steps, steps).mapInArrow(_sweeper(settings, history), _EXCHANGE))
+        reports = exchanged(sums_of(steps, steps, _sweeper(settings, history), _EXCHANGE))
         words, root_customers, root_tables = sum((r[0] for r in reports), np.zeros(3))
         hot_customers = sum((r[1] for r in reports), np.zeros(len(settings.hot)))
         hot_tables = _root_tables(hot_customers, hot_tables, history[-1], settings, rng)
