@@ -498,6 +498,19 @@ def extract_diff(spark, sf_dir):
     return osm_tables.extract_diff(*_extracts(spark, sf_dir))
 
 
+def tag_rollup(spark, sf_dir):
+    """Tags, values and users by kind and key, merged from the sketches of each file; numbers above 500 are estimates and left out."""
+    columns = ["entity_type", "uid", "tags"]
+    sketches = [osm_tables.tag_sketches(osm_tables.read_osm(spark, f, columns=columns)) for f in entity_files(spark, sf_dir)]
+    few = [F.when(F.col(c) <= 500, F.col(c)).alias(c) for c in ("n_values", "n_users")]
+    return osm_tables.tag_rollup(*sketches).select("entity_type", "key", "n", *few)
+
+
+def heavy_tags(spark, sf_dir):
+    """Tags that make up a hundredth of the tags of their kind."""
+    return osm_tables.heavy_tags(read(spark, sf_dir, columns=["entity_type", "tags"]))
+
+
 _QUERIES: tuple[Query, ...] = (
     entity_counts,
     scan_all,
@@ -540,6 +553,8 @@ _QUERIES: tuple[Query, ...] = (
     nodes_in_boxes,
     latest_entities,
     extract_diff,
+    tag_rollup,
+    heavy_tags,
 )
 
 
@@ -820,6 +835,19 @@ _EXTRACTS_SQL = """
 )"""
 
 
+_USED_TAGS_SQL = ", used_tag AS (" + " UNION ALL ".join(
+    f"SELECT entity_type, '{key}' AS key, {column} AS value, CASE WHEN has_info THEN uid END AS uid FROM {table}{where}"
+    for table, key, column, where in (
+        ("node", "highway", "highway", " WHERE tagged"),
+        ("node", "línea", "linea", " WHERE tagged"),
+        ("way", "status", "status", " WHERE tagged"),
+        ("way", "priority", "priority", " WHERE tagged"),
+        ("relation", "name", "name", ""),
+        ("relation", "segment", "segment", ""),
+    )
+) + ")"
+
+
 def oracle_sql() -> dict[str, str]:
     """For each key in ``queries()``, SQL over the tables with the same result."""
     parts = {
@@ -915,6 +943,14 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT entity_type, id, max(version) AS version FROM before GROUP BY ALL) b
                  FULL JOIN (SELECT entity_type, id, max(version) AS version FROM after GROUP BY ALL) a ON a.entity_type = b.entity_type AND a.id = b.id
             WHERE a.id IS NULL OR b.id IS NULL OR a.version IS DISTINCT FROM b.version""",
+        "tag_rollup": _USED_TAGS_SQL + """
+            SELECT entity_type, key, count(*) AS n,
+                   CASE WHEN count(DISTINCT value) <= 500 THEN count(DISTINCT value) END AS n_values,
+                   CASE WHEN count(DISTINCT uid) <= 500 THEN count(DISTINCT uid) END AS n_users
+            FROM used_tag GROUP BY GROUPING SETS ((entity_type, key), (key))""",
+        "heavy_tags": """
+            SELECT entity_type, key, value, count(*) AS n FROM tag GROUP BY entity_type, key, value
+            QUALIFY count(*) >= 0.01 * sum(count(*)) OVER (PARTITION BY entity_type)""",
         "indexed_scan": "SELECT entity_type, id FROM entity",
         "skipped_scan": f"""
             SELECT entity_type, id, "timestamp", n_nodes FROM way

@@ -6,10 +6,13 @@ from .operators import (
     components,
     count_by_type,
     extract_diff,
+    heavy_tags,
     latest_entities,
     nodes_in_boxes,
     relation_closure,
     relation_rings,
+    tag_rollup,
+    tag_sketches,
     way_components,
     way_lines,
 )
@@ -29,6 +32,7 @@ __all__ = [
     "components",
     "count_by_type",
     "extract_diff",
+    "heavy_tags",
     "latest_entities",
     "nodes_in_boxes",
     "osm_schema",
@@ -38,6 +42,8 @@ __all__ = [
     "relation_closure",
     "relation_rings",
     "selected_blobs",
+    "tag_rollup",
+    "tag_sketches",
     "way_components",
     "way_lines",
 ]

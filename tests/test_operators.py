@@ -10,11 +10,14 @@ from osm_tables import (
     OsmReadOptions,
     components,
     extract_diff,
+    heavy_tags,
     latest_entities,
     nodes_in_boxes,
     osm_schema,
     relation_closure,
     relation_rings,
+    tag_rollup,
+    tag_sketches,
     way_components,
     way_lines,
 )
@@ -217,3 +220,45 @@ def test_tiles_nest_and_keep_their_order(spark):
         assert t4 >> 2 == t3 and t24 >> 42 == t3
         x, y = (math.floor((d + 180) * 8 / 360) for d in (lon, lat))
         assert t3 == sum((x >> k & 1) << 2 * k | (y >> k & 1) << 2 * k + 1 for k in range(3))
+
+
+def tagged(i, tags, kind="Node", uid=7):
+    row = entity(kind, i, tags=tags)
+    return (*row[:5], uid, *row[6:])
+
+
+def test_tag_rollup_merges_tables_and_kinds(spark):
+    one = [tagged(1, [("a", "x"), ("b", "y")]), tagged(2, [("a", "x"), ("a", "z")], uid=8), tagged(3, None), tagged(4, []), tagged(5, [("a", "x")], WAY, 8)]
+    other = [tagged(1, [("a", "x")], uid=None), tagged(6, [("a", "w"), ("c", "")], WAY, 9)]
+    got = sorted((str(r[0]), *r[1:]) for r in tag_rollup(*(tag_sketches(frame(spark, r)) for r in (one, other))).collect())
+    assert got == [
+        ("Node", "a", 4, 2, 2), ("Node", "b", 1, 1, 1), ("None", "a", 6, 3, 3), ("None", "b", 1, 1, 1), ("None", "c", 1, 1, 1),
+        ("Way", "a", 2, 2, 2), ("Way", "c", 1, 1, 1),
+    ]
+    as_map = frame(spark, one[:1] + one[2:]).withColumn("tags", F.map_from_entries("tags"))
+    assert sorted(tuple(r)[:4] for r in tag_sketches(as_map).select("entity_type", "key", "n", F.hll_sketch_estimate("value_sketch")).collect()) == [
+        ("Node", "a", 1, 1), ("Node", "b", 1, 1), ("Way", "a", 1, 1)
+    ]
+    assert tag_rollup(tag_sketches(frame(spark, one).where("false"))).collect() == []
+
+
+def test_tag_rollup_error_bound(spark):
+    df = spark.range(60_000).selectExpr(
+        "'Node' AS entity_type", "cast(id % 20000 as int) AS uid", "array(struct('k' AS key, concat('v', id % 30000) AS value)) AS tags"
+    )
+    (row,) = (r for r in tag_rollup(tag_sketches(df)).collect() if r["entity_type"])
+    assert row["n"] == 60_000
+    assert row["n_values"] == pytest.approx(30_000, rel=0.025) and row["n_users"] == pytest.approx(20_000, rel=0.025)
+
+
+def test_heavy_tags(spark):
+    rows = [tagged(i, [("k", f"v{i % 3}"), ("id", str(i)), ('q"', "\u00e9\n")]) for i in range(300)] + [tagged(i, [("k", "v0")], WAY) for i in range(3)]
+    got = {tuple(r) for r in heavy_tags(frame(spark, rows), 0.1).collect()}
+    assert got == {("Node", "k", f"v{i}", 100) for i in range(3)} | {("Node", 'q"', "\u00e9\n", 300), (WAY, "k", "v0", 3)}
+    # Many more tags than are tracked: none that is heavy is missed, and counts are off by the stated part at most.
+    df = spark.range(40_000).selectExpr("'Node' AS entity_type", "array(struct('k' AS key, if(id % 10 = 0, 'often', concat('v', id)) AS value)) AS tags")
+    found = {r["value"]: r["n"] for r in heavy_tags(df, 0.05, 256).collect()}
+    assert set(found) == {"often"} and 4000 <= found["often"] <= 4000 + 40_000 * 3.5 / 256
+    assert heavy_tags(df.where("false")).collect() == []
+    with pytest.raises(ValueError):
+        heavy_tags(df, 0.0)
