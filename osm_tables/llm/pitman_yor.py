@@ -602,7 +602,8 @@ def score_documents(docs: DataFrame, held_out: Column, **parameters) -> DataFram
     seen = shared.checkpointed(seen.groupBy("kind", "id").agg(F.sum("n").alias("n")))
     tokens = sum(r["n"] for r in seen.where("kind = 0").collect())
     settings.parts = max(PARTS, -(-tokens // PART_TOKENS))
-    frequent = seen.where("kind = 1").orderBy(F.desc("n"), "id").limit(DICTIONARY).collect()
+    # No more than 2^20 words are that frequent, so no more are sorted on the driver.
+    frequent = seen.where((F.col("kind") == 1) & (F.col("n") * (1 << 20) >= tokens)).orderBy(F.desc("n"), "id").limit(DICTIONARY).collect()
     words, counts = np.array([(r["id"], r["n"]) for r in frequent], np.int64).reshape(-1, 2).T
     settings.dictionary = np.sort(words.astype(np.int64).view(np.uint64))
     settings.hot = np.sort(words[counts * HOT > tokens][:HOT].view(np.uint64))
