@@ -239,7 +239,7 @@ def decode_documents(encoded: DataFrame, model: str) -> DataFrame:
 
 
 def digests(encoded: DataFrame, model: str) -> DataFrame:
-    """doc_id, n_ids, n_bytes (ids of single bytes), ids_crc32 (little-endian, 32 bits each), and the decoded text's length and SHA-256."""
+    """doc_id, ids, n_ids, n_bytes (ids of single bytes), ids_crc32 (little-endian, 32 bits each), and the decoded text's length and SHA-256."""
     import hashlib
     import zlib
 
@@ -253,10 +253,10 @@ def digests(encoded: DataFrame, model: str) -> DataFrame:
                 text = transducer.decode(ids.tolist())
                 n_bytes = int(((ids >= byte[0]) & (ids <= byte[-1])).sum()) if len(byte) else 0
                 rows.append((len(ids), n_bytes, zlib.crc32(ids.astype("<u4").tobytes()), len(text), hashlib.sha256(text.encode()).hexdigest()))
-            columns = [batch.column(0), *(pa.array(c) for c in zip(*rows))] if rows else []
+            columns = [batch.column(0), batch.column(1), *(pa.array(c) for c in zip(*rows))] if rows else []
             if columns:
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_ids", "n_bytes", "ids_crc32", "decoded_chars", "decoded_sha256"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "n_ids", "n_bytes", "ids_crc32", "decoded_chars", "decoded_sha256"])
 
     return encoded.select("doc_id", "ids").mapInArrow(
-        run, "doc_id bigint, n_ids bigint, n_bytes bigint, ids_crc32 bigint, decoded_chars bigint, decoded_sha256 string"
+        run, "doc_id bigint, ids array<int>, n_ids bigint, n_bytes bigint, ids_crc32 bigint, decoded_chars bigint, decoded_sha256 string"
     )
