@@ -649,7 +649,10 @@ def score_documents(docs: DataFrame, held_out: Column, **parameters) -> DataFram
         now.hot_p = _root(hot_customers, hot_tables, now, settings)
         history.append(now)
     averaged = set(range(settings.burn_in + 1, settings.sweeps + 1))
-    pairs, score = packed.rdd.zip(sums_of({0} | averaged, averaged).rdd), _scorer(settings, history, hot_counts)
+    # Kept first, so that a task that scores has one Python worker and not two.
+    sums, score = shared.checkpointed(sums_of({0} | averaged, averaged)), _scorer(settings, history, hot_counts)
+    shared.release(spark)
+    pairs = packed.rdd.zip(sums.rdd)
     added = spark.createDataFrame(pairs.flatMap(lambda x: score(*x)), "part int, batch bigint, kind int, blob binary", verifySchema=False)
     rows = packed.select(F.explode(F.arrays_zip("batches", "kinds", "blobs")).alias("x")).select("x.batches", "x.kinds", "x.blobs").where("kinds = 0")
     rows = rows.toDF("batch", "kind", "blob").unionAll(added.select("batch", "kind", "blob"))
