@@ -216,6 +216,23 @@ def test_what_a_task_is_sent_does_not_grow_with_the_ranges(spark, monkeypatch):
     assert abs(sent[0] - sent[1]) < 100
 
 
+@pytest.mark.parametrize("broadcast_bytes", [2**20, 0])
+def test_spark_takes_no_read_for_smaller_than_its_files(spark, sf_dir, monkeypatch, broadcast_bytes):
+    """Or it gathers large reads on the driver to join them."""
+    files = driver.entity_files(spark, sf_dir)
+    size = sum(os.path.getsize(to_location(f).removeprefix("file://")) for f in files)
+    monkeypatch.setattr("osm_tables.sources.reader.BROADCAST_BYTES", broadcast_bytes)
+    ids = read_osm(spark, files, columns=["id"])
+    assert ids._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() >= size
+    assert ids.count() == 76_500
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size - 1)
+    try:
+        joined = ids.join(ids.select(F.col("id").alias("other")), F.col("id") == F.col("other"))
+        assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_paths_without_a_scheme_lie_in_the_default_file_system(spark, osm_file):
     configuration = spark.sparkContext._jsc.hadoopConfiguration()
     old = configuration.get("fs.defaultFS")
