@@ -21,7 +21,6 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 from math import inf
 
 import numpy as np
@@ -78,6 +77,7 @@ class Transducer:
         """For each text that a piece is or begins with: twice the piece (-2 if none), plus 1 if longer ones begin so."""
         openings = {x[:k] for x in self.ids for k in range(1, len(x))}
         self.arcs = {x: 2 * self.ids.get(x, -1) + (x in openings) for x in openings | self.ids.keys()}
+        self.single = {x for x in self.ids if len(x) == 1}
 
     def normalised(self, text: str) -> str:
         if self.squeeze:
@@ -120,6 +120,8 @@ class Transducer:
         Of the states at one place only the best is kept: merging leaves one, and without merging
         what follows does not depend on the piece before.
         """
+        if self.merging and self.single.issuperset(text):
+            return self._merging_path(text)
         back, last = (self._merging_states if self.merging else self._weighted_states)(text)
         out: list[int] = []
         at = len(text)
@@ -133,6 +135,38 @@ class Transducer:
             at = begin
         return tuple(out[::-1])
 
+    def _merging_path(self, text: str) -> tuple[int, ...]:
+        """The path of pieces that may follow one another, the longest tried first.
+
+        Merging leaves one path to each place, so a place that leads nowhere is met once.
+        """
+        n, arcs, follows, size = len(text), self.arcs, self.follows, len(self.names)
+        path: list[int] = []
+        ways: list[list[tuple[int, int]]] = []  # for each piece of the path, those not yet tried in its place
+        before, i = _BEGIN, 0
+        while i < n:
+            j, code, found = i + 1, arcs[text[i]], []
+            while code is not None:
+                if code >= 0:
+                    found.append((code >> 1, j))
+                if j == n or not code & 1:
+                    break
+                j += 1
+                code = arcs.get(text[i:j])
+            while True:
+                while not found:
+                    found = ways.pop()
+                    path.pop()
+                    before = path[-1] if path else _BEGIN
+                piece, j = found.pop()
+                allowed = follows.get(before * size + piece)
+                if allowed if allowed is not None else self.may_follow(before, piece):
+                    break
+            ways.append(found)
+            path.append(piece)
+            before, i = piece, j
+        return tuple(path)
+
     def _merging_states(self, text: str) -> tuple[array, array]:
         """For each place where the piece that ends there begins, and that piece."""
         n, arcs, follows, size = len(text), self.arcs, self.follows, len(self.names)
@@ -174,8 +208,12 @@ class Transducer:
                 code = arcs.get(text[i:j])
         return back, last
 
+    def packed(self, text: str) -> bytes:
+        """Ids of a text, 32 bits each: those of its words, put together as bytes and not id by id."""
+        return b"".join(map(self.known.__getitem__, self.parts.findall(self.normalised(text))))
+
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.known.__getitem__, self.parts.findall(self.normalised(text)))))
+        return np.frombuffer(self.packed(text), np.int32).tolist()
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.raw.__getitem__, ids)).decode("utf-8", "replace")
@@ -183,15 +221,15 @@ class Transducer:
 
 
 class _Words(dict):
-    """Ids of the words met lately: the newer half of them, and the half before."""
+    """Ids of the words met lately, 32 bits each: the newer half of them, and the half before."""
 
     def __init__(self, path):
         self._path, self._older = path, {}
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> bytes:
         ids = self._older.get(word)
         if ids is None:
-            ids = self._path(word)
+            ids = array("i", self._path(word)).tobytes()
         if len(word) < 100:
             if len(self) >= REMEMBERED // 2:
                 self._older = dict(self)
@@ -212,13 +250,13 @@ def encode_documents(docs: DataFrame, model: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = compiled(model).encode
+        packed = compiled(model).packed
         for batch in batches:
             for b in range(0, batch.num_rows, 500):
                 part = batch.slice(b, 500)
-                found = [np.array(encode(x.as_py() or ""), np.int32) for x in part.column(1)]
-                ends = np.concatenate(([0], np.cumsum([len(x) for x in found])))
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found)))
+                found = [packed(x or "") for x in part.column(1).to_pylist()]
+                ends = np.concatenate(([0], np.cumsum([len(x) // 4 for x in found])))
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], ["doc_id", "ids"])
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, ids array<int>")

@@ -79,3 +79,30 @@ def test_documents_round_trip(spark, library):
         ids = np.array(r["ids"], "<u4")
         assert (r["doc_id"], len(ids), zlib.crc32(ids.tobytes()), hashlib.sha256(r["text"].encode()).hexdigest()) in digests
     assert S.encode_documents(docs.where("false"), PATH).count() == 0
+
+
+def test_pieces_tried_longest_first_are_those_of_all_states():
+    class Counted(dict):
+        n = 0
+
+        def get(self, key, default=None):
+            self.n += 1
+            return dict.get(self, key, default)
+
+    transducer = S.Transducer(PATH)
+    transducer.arcs = Counted(transducer.arcs)
+    rng = random.Random(4)
+    all_states = longest_first = 0
+    for letters in ["etaoinsh", "ab", string.ascii_letters] * 500:
+        word = S.SPACE + "".join(rng.choices(letters, k=rng.randrange(1, 25)))
+        before = transducer.arcs.n
+        found = transducer.path(word)
+        between = transducer.arcs.n
+        back, last = transducer._merging_states(word)
+        longest_first, all_states = longest_first + between - before, all_states + transducer.arcs.n - between
+        at, ids = len(word), []
+        while at:
+            ids.append(last[at])
+            at = back[at]
+        assert found == tuple(ids[::-1]), word
+    assert longest_first < 0.8 * all_states
