@@ -20,11 +20,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from osm_tables.llm import shared
-from osm_tables.llm.quality import hashes_of, words_of
+from osm_tables.llm.quality import hashes_of, let, words_of
+from osm_tables.llm.shared import unused
 
 SAMPLES = 64
 #: Samples of a row while they are drawn; the code for all at once is too long to be compiled.
 _AT_ONCE = 4
+#: A text's draws are looked for among terms whose ``a`` can be below this, divided by the number of its words.
+_NEAR = 16.0
 _BITS = 22
 _KEY = ["id", "known", "text_id"]
 _KINDS = ("own", "edited")
@@ -65,17 +68,39 @@ def pair_counts(own: Column, edited: Column) -> Column:
     return marks
 
 
-def draw(term: Column, j: Column) -> tuple[Column, Column, Column]:
-    """A term's fixed r, b and ln c for sample j, from two hashes."""
-    first = F.xxhash64(term, j)
-    second = F.xxhash64(first)
+def _uniforms(first: Column, second: Column) -> dict[str, Column]:
+    """``exp(-r)``, b and ``exp(-c)`` from a term's two hashes for a sample."""
 
     def uniform(h: Column, low: int, bits: int) -> Column:
         part = F.shiftrightunsigned(h, low).bitwiseAND(F.lit((1 << bits) - 1))
         return (part.cast("double") + 0.5) * (1.0 / (1 << bits))
 
-    r = -F.ln(uniform(first, 0, 32) * uniform(first, 32, 32))
-    return r, uniform(second, 0, 22), F.ln(-F.ln(uniform(second, 22, 21) * uniform(second, 43, 21)))
+    return {"r": uniform(first, 0, 32) * uniform(first, 32, 32), "b": uniform(second, 0, 22), "c": uniform(second, 22, 21) * uniform(second, 43, 21)}
+
+
+def draw(term: Column, j: Column) -> tuple[Column, Column, Column]:
+    """A term's fixed r, b and ln c for sample j, from two hashes."""
+    first = F.xxhash64(term, j)
+    u = _uniforms(first, F.xxhash64(first))
+    return -F.ln(u["r"]), u["b"], F.ln(-F.ln(u["c"]))
+
+
+def _least(u: Column, v: Column) -> Column:
+    """A number that ``s * a`` of a term that occurs ``s`` times never falls below, made of ``u = exp(-r)`` and
+    ``v = exp(-c)`` without a logarithm.
+
+    As ``t <= ln s / r + b``, ``s * a >= c * u``; and ``c`` is more than the first terms of the series of ``-ln v``.
+    """
+    w = 1 - v
+    return u * w * (1 + w * (w * (1.0 / 3) + 0.5))
+
+
+def _packed(term: Column, s: Column, r: Column, b: Column, c: Column) -> tuple[Column, Column]:
+    """The size of a draw, ``ln a``, as a whole number, and the draw: the smallest number of a text is its draw."""
+    t = F.floor(s / r + b)
+    size = F.floor((c - r * (t - b + 1) + 1000) * float(1 << 30))
+    pair = term.bitwiseXOR(F.shiftright(term, 32)).bitwiseXOR(F.shiftleft(t, 1))
+    return size, F.shiftleft(size, _BITS).bitwiseOR(pair.bitwiseAND(F.lit((1 << _BITS) - 1)))
 
 
 def fingerprints(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> DataFrame:
@@ -83,37 +108,67 @@ def fingerprints(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> D
     fingerprints, arrays of ``samples`` ints.
 
     A text without words has -1 in every place. Where ``texts`` is partitioned by ``keys`` already, nothing is shuffled.
+
+    The smallest ``a`` of a text of ``n`` words is larger than ``_NEAR / n`` with a probability of ``exp(-_NEAR)``.
+    Logarithms are taken only for terms that can be below that; a text whose draw is not below it is drawn from all
+    its terms.
     """
-    terms = texts.select(*keys, F.explode(pair_counts(F.col("own"), F.col("edited"))).alias("x"))
+    counted = texts.select(*keys, pair_counts(F.col("own"), F.col("edited")).alias("pairs"))
+    near = [(_NEAR / F.greatest(F.aggregate("pairs", F.lit(0).cast("long"), lambda a, x: a + x[kind]), F.lit(1))).alias(f"near_{kind}") for kind in _KINDS]  # noqa: B023
+    counted = counted.select(*keys, *near, "pairs")
+    most = [F.floor((F.ln(f"near_{kind}") + 1000) * float(1 << 30) - 2).alias(f"most_{kind}") for kind in _KINDS]
+    terms = counted.select(*keys, *[f"near_{kind}" for kind in _KINDS], *most, F.explode("pairs").alias("x"))
     rounds = F.explode(F.array(*[F.lit(i) for i in range(0, samples, _AT_ONCE)])).alias("first")
     # ln 0 is null, and so is all that a text draws from a term that it lacks.
     logs = [F.ln(F.col(f"x.{kind}").cast("double")).alias(f"s_{kind}") for kind in _KINDS]
-    terms = terms.select(*keys, F.col("x.term").alias("term"), *logs).select("*", rounds)
+    reach = F.greatest(*[F.col(f"x.{kind}") * F.col(f"near_{kind}") for kind in _KINDS]).alias("reach")
+    terms = terms.select(*keys, F.col("x.term").alias("term"), *logs, reach, *[f"most_{kind}" for kind in _KINDS]).select("*", rounds)
+    terms = terms.withColumns({f"h{i}": F.xxhash64("term", F.col("first") + i) for i in range(_AT_ONCE)})
+    terms = terms.withColumns({f"g{i}": F.xxhash64(f"h{i}") for i in range(_AT_ONCE)})
+    fixed = {}
+    for i in range(_AT_ONCE):
+        u = _uniforms(F.col(f"h{i}"), F.col(f"g{i}"))
+        fixed |= {f"u{i}": u["r"], f"v{i}": u["c"], f"b{i}": u["b"]}
+    terms = terms.withColumns(fixed)
     fixed = {}
     for i in range(_AT_ONCE):
-        fixed[f"r{i}"], fixed[f"b{i}"], fixed[f"c{i}"] = draw(F.col("term"), F.col("first") + i)
+        can = _least(F.col(f"u{i}"), F.col(f"v{i}")) <= F.col("reach")
+        fixed |= {f"r{i}": F.when(can, -F.ln(f"u{i}")), f"c{i}": F.when(can, F.ln(-F.ln(f"v{i}")))}
     terms = terms.withColumns(fixed)
 
     def drawn(kind: str, i: int) -> Column:
-        t = F.floor(F.col(f"s_{kind}") / F.col(f"r{i}") + F.col(f"b{i}"))
-        # The size of ln a above, bits of the pair below: the smallest number is the draw.
-        size = F.floor((F.col(f"c{i}") - F.col(f"r{i}") * (t - F.col(f"b{i}") + 1) + 1000) * float(1 << 30))
-        pair = F.col("term").bitwiseXOR(F.shiftright("term", 32)).bitwiseXOR(F.shiftleft(t, 1))
-        return F.shiftleft(size, _BITS).bitwiseOR(pair.bitwiseAND(F.lit((1 << _BITS) - 1)))
+        size, draw_ = _packed(F.col("term"), F.col(f"s_{kind}"), F.col(f"r{i}"), F.col(f"b{i}"), F.col(f"c{i}"))
+        return F.when(size <= F.col(f"most_{kind}"), draw_)
 
     least = [F.min(drawn(kind, i)).alias(f"{kind}{i}") for kind in _KINDS for i in range(_AT_ONCE)]
     found = terms.groupBy(*keys, "first").agg(*least)
     halves = [F.array(*[_short(F.col(f"{kind}{i}")) for i in range(_AT_ONCE)]).alias(kind) for kind in _KINDS]
     found = found.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("first", *halves))).alias("rounds"))
-    found = found.select(*keys, *[F.slice(F.flatten(F.col(f"rounds.{kind}")), 1, samples).alias(kind) for kind in _KINDS])
-    wordless = F.array_repeat(F.lit(-1), samples)
+    quick = dict(zip(_KINDS, unused([*texts.columns], *[f"__{kind}" for kind in _KINDS])))
+    found = found.select(*keys, *[F.slice(F.flatten(F.col(f"rounds.{kind}")), 1, samples).alias(quick[kind]) for kind in _KINDS])
     others = [c for c in texts.columns if c not in (*keys, *_KINDS)]
-    return texts.select(*keys, *others).join(found, keys, "left").select(*keys, *others, *[F.coalesce(kind, wordless).alias(kind) for kind in _KINDS])
+
+    def whole(kind: str) -> Column:
+        all_drawn = F.col(quick[kind]).isNotNull() & ~F.exists(quick[kind], lambda x: x.isNull())
+        return F.when(all_drawn, F.col(quick[kind])).otherwise(draws_of_all(pair_counts(F.col("own"), F.col("edited")), kind, samples)).alias(kind)
+
+    return texts.select(*keys, *others, *_KINDS).join(found, keys, "left").select(*keys, *others, *[whole(kind) for kind in _KINDS])
+
+
+def draws_of_all(pairs: Column, kind: str, samples: int) -> Column:
+    """A text's fingerprint, drawn from all of its terms; -1 in every place if it has none."""
+
+    def one(p: Column, j: Column) -> Column:
+        each = F.transform(p, lambda x: _packed(x["term"], F.ln(x[kind].cast("double")), *draw(x["term"], j))[1])
+        return F.coalesce(_short(F.array_min(each)), F.lit(-1))
+
+    places = F.sequence(F.lit(0), F.lit(samples - 1))
+    return let(pairs, lambda p: F.transform(places, lambda j: one(p, j)))
 
 
 def _short(x: Column) -> Column:
-    """32 bits of a draw's hash; -1 where there is none."""
-    return F.when(x.isNull(), F.lit(-1)).otherwise(F.shiftright(F.xxhash64(x), 32).cast("int"))
+    """32 bits of a draw's hash; null where there is none."""
+    return F.when(x.isNotNull(), F.shiftright(F.xxhash64(x), 32).cast("int"))
 
 
 def as_text(draws_: Column) -> Column:

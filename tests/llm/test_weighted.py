@@ -122,3 +122,21 @@ def test_terms_are_counted_in_both_texts(spark):
         x, y = words(r["own"]), words(r["edited"])
         wanted = {(signed(xx(w)) & -2, x.count(w), y.count(w)) for w in {*x, *y}}
         assert {tuple(f) for f in r["found"]} == wanted and len(r["found"]) == len(wanted)
+
+
+def test_terms_that_cannot_be_drawn_take_no_logarithms(spark, monkeypatch):
+    docs = spark.createDataFrame(odd_docs(), DOCS).union(spark.createDataFrame([(900, "a b a c d"), (901, "a " * 400 + "b")], DOCS))
+    drawn = sorted(map(repr, W.fingerprint_documents(docs).collect()))
+    # No term is near, or few are: what is missing is drawn from all terms, and is the same.
+    for near in (1e-9, 1.0, 1e9):
+        monkeypatch.setattr(W, "_NEAR", near)
+        assert sorted(map(repr, W.fingerprint_documents(docs).collect())) == drawn
+    terms = spark.range(20_000).select(F.xxhash64("id").alias("term"), (F.col("id") % 30 + 1).alias("n"), (F.col("id") % 64).cast("int").alias("j"))
+    first = F.xxhash64("term", "j")
+    u = W._uniforms(first, F.xxhash64(first))
+    r, b, c = W.draw(F.col("term"), F.col("j"))
+    t = F.floor(F.ln(F.col("n").cast("double")) / r + b)
+    a = F.exp(c - r * (t - b + 1))
+    bound = W._least(u["r"], u["c"]) / F.col("n")
+    seen = terms.select((bound / a).alias("part")).agg(F.max("part"), F.avg("part")).first()
+    assert seen[0] <= 1 + 1e-9 and seen[1] > 0.3
