@@ -9,13 +9,15 @@ the same pair with a probability that equals the generalised Jaccard similarity
 with a standard deviation of ``sqrt(J * (1 - J) / samples)`` for a similarity of ``J``.
 
 Everything is DataFrame functions; ``r``, ``b`` and ``c`` are computed from the term, once for a text and its edited
-text together. Terms are counted within the row, and the smallest draws are aggregated where the texts were joined.
+text together, and with logarithms only if a lower bound of ``a`` says that the term can be a draw. Terms are counted within the row, and the smallest draws are aggregated where the texts were joined.
 A draw is kept as 32 bits of the pair's hash. Texts of any length have their words counted in one array of hashes,
 16 bytes a word.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +27,7 @@ from osm_tables.llm.shared import unused
 
 SAMPLES = 64
 #: Samples of a row while they are drawn; the code for all at once is too long to be compiled.
-_AT_ONCE = 4
+_AT_ONCE = 2
 #: A text's draws are looked for among terms whose ``a`` can be below this, divided by the number of its words.
 _NEAR = 16.0
 _BITS = 22
@@ -46,24 +48,20 @@ def pair_counts(own: Column, edited: Column) -> Column:
         last = F.transform(s, lambda x, i: F.when(x == F.get(s, i + 1), F.lit(None)).otherwise(F.struct(x.alias("x"), i.alias("end"))))
         return F.filter(last, lambda x: x.isNotNull())
 
-    def counts(e: Column) -> Column:
-        return F.transform(e, lambda x, k: F.struct(x["x"].alias("x"), (x["end"] - F.coalesce(F.get(e, k - 1)["end"], F.lit(-1))).alias("n")))
-
-    def merged(n: Column) -> Column:
+    def merged(e: Column) -> Column:
         def one(x, k):
-            own, before, after = x["x"].bitwiseAND(F.lit(1)) == 0, F.get(n, k - 1), F.get(n, k + 1)
-            both = after["x"] == x["x"] + 1
-            alone = ~F.coalesce(before["x"] == x["x"] - 1, F.lit(False))
+            own, before, after = x["x"].bitwiseAND(F.lit(1)) == 0, F.get(e, k - 1), F.get(e, k + 1)
+            n = x["end"] - F.coalesce(before["end"], F.lit(-1))
             term = x["x"].bitwiseAND(F.lit(-2)).alias("term")
-            first = F.struct(term, x["n"].alias("own"), F.when(own & both, after["n"]).otherwise(F.lit(0)).alias("edited"))
-            second = F.struct(term, F.lit(0).alias("own"), x["n"].alias("edited"))
-            return F.when(own, first).when(alone, second)
+            first = F.struct(term, n.alias("own"), F.when(after["x"] == x["x"] + 1, after["end"] - x["end"]).otherwise(F.lit(0)).alias("edited"))
+            second = F.struct(term, F.lit(0).alias("own"), n.alias("edited"))
+            return F.when(own, first).when(~F.coalesce(before["x"] == x["x"] - 1, F.lit(False)), second)
 
-        return F.filter(F.transform(n, one), lambda x: x.isNotNull())
+        return F.filter(F.transform(e, one), lambda x: x.isNotNull())
 
     marks = F.sort_array(F.concat(marked(own, 0), marked(edited, 1)))
     # Each list is bound once: as the only element of an array that is transformed.
-    for step in (runs, counts, merged):
+    for step in (runs, merged):
         marks = F.transform(F.array(marks), step)[0]
     return marks
 
@@ -85,14 +83,17 @@ def draw(term: Column, j: Column) -> tuple[Column, Column, Column]:
     return -F.ln(u["r"]), u["b"], F.ln(-F.ln(u["c"]))
 
 
-def _least(u: Column, v: Column) -> Column:
-    """A number that ``s * a`` of a term that occurs ``s`` times never falls below, made of ``u = exp(-r)`` and
-    ``v = exp(-c)`` without a logarithm.
+def _least(u: Column, b: Column, v: Column, once: Column) -> Column:
+    """A number that ``s * a`` of a term that occurs ``s`` times never falls below, made of ``u = exp(-r)``, b and
+    ``v = exp(-c)`` without a logarithm; a greater one where the term occurs at most ``once``.
 
-    As ``t <= ln s / r + b``, ``s * a >= c * u``; and ``c`` is more than the first terms of the series of ``-ln v``.
+    As ``t <= ln s / r + b``, ``s * a >= c * u``; for ``s = 1``, ``a = c * u * exp(r * b)``. The first terms of the series of
+    ``-ln v``, ``-ln u`` and ``exp`` are less than these.
     """
-    w = 1 - v
-    return u * w * (1 + w * (w * (1.0 / 3) + 0.5))
+    w, x = 1 - v, 1 - u
+    y = b * x * (1 + 0.5 * x)
+    least = u * w * (1 + w * (w * (1.0 / 3) + 0.5))
+    return F.when(once, least * (1 + y * (1 + 0.5 * y))).otherwise(least)
 
 
 def _packed(term: Column, s: Column, r: Column, b: Column, c: Column) -> tuple[Column, Column]:
@@ -122,7 +123,8 @@ def fingerprints(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> D
     # ln 0 is null, and so is all that a text draws from a term that it lacks.
     logs = [F.ln(F.col(f"x.{kind}").cast("double")).alias(f"s_{kind}") for kind in _KINDS]
     reach = F.greatest(*[F.col(f"x.{kind}") * F.col(f"near_{kind}") for kind in _KINDS]).alias("reach")
-    terms = terms.select(*keys, F.col("x.term").alias("term"), *logs, reach, *[f"most_{kind}" for kind in _KINDS]).select("*", rounds)
+    once = (F.greatest("x.own", "x.edited") == 1).alias("once")
+    terms = terms.select(*keys, F.col("x.term").alias("term"), *logs, reach, once, *[f"most_{kind}" for kind in _KINDS]).select("*", rounds)
     terms = terms.withColumns({f"h{i}": F.xxhash64("term", F.col("first") + i) for i in range(_AT_ONCE)})
     terms = terms.withColumns({f"g{i}": F.xxhash64(f"h{i}") for i in range(_AT_ONCE)})
     fixed = {}
@@ -130,10 +132,13 @@ def fingerprints(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> D
         u = _uniforms(F.col(f"h{i}"), F.col(f"g{i}"))
         fixed |= {f"u{i}": u["r"], f"v{i}": u["c"], f"b{i}": u["b"]}
     terms = terms.withColumns(fixed)
+    terms = terms.withColumns({f"can{i}": _least(*[F.col(f"{x}{i}") for x in "ubv"], F.col("once")) <= F.col("reach") for i in range(_AT_ONCE)})
+    # The condition always holds. It depends on the row's place, which keeps the filter above the hashes.
+    some = F.when(F.monotonically_increasing_id() >= 0, reduce(Column.__or__, [F.col(f"can{i}") for i in range(_AT_ONCE)]))
+    terms = terms.withColumn("some", some).where("some")
     fixed = {}
     for i in range(_AT_ONCE):
-        can = _least(F.col(f"u{i}"), F.col(f"v{i}")) <= F.col("reach")
-        fixed |= {f"r{i}": F.when(can, -F.ln(f"u{i}")), f"c{i}": F.when(can, F.ln(-F.ln(f"v{i}")))}
+        fixed |= {f"r{i}": F.when(F.col(f"can{i}"), -F.ln(f"u{i}")), f"c{i}": F.when(F.col(f"can{i}"), F.ln(-F.ln(f"v{i}")))}
     terms = terms.withColumns(fixed)
 
     def drawn(kind: str, i: int) -> Column:
@@ -149,7 +154,7 @@ def fingerprints(texts: DataFrame, keys: list[str], samples: int = SAMPLES) -> D
     others = [c for c in texts.columns if c not in (*keys, *_KINDS)]
 
     def whole(kind: str) -> Column:
-        all_drawn = F.col(quick[kind]).isNotNull() & ~F.exists(quick[kind], lambda x: x.isNull())
+        all_drawn = F.coalesce(F.size(quick[kind]) == samples, F.lit(False)) & ~F.exists(quick[kind], lambda x: x.isNull())
         return F.when(all_drawn, F.col(quick[kind])).otherwise(draws_of_all(pair_counts(F.col("own"), F.col("edited")), kind, samples)).alias(kind)
 
     return texts.select(*keys, *others, *_KINDS).join(found, keys, "left").select(*keys, *others, *[whole(kind) for kind in _KINDS])

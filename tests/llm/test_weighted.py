@@ -137,6 +137,6 @@ def test_terms_that_cannot_be_drawn_take_no_logarithms(spark, monkeypatch):
     r, b, c = W.draw(F.col("term"), F.col("j"))
     t = F.floor(F.ln(F.col("n").cast("double")) / r + b)
     a = F.exp(c - r * (t - b + 1))
-    bound = W._least(u["r"], u["c"]) / F.col("n")
+    bound = W._least(u["r"], u["b"], u["c"], F.col("n") == 1) / F.col("n")
     seen = terms.select((bound / a).alias("part")).agg(F.max("part"), F.avg("part")).first()
     assert seen[0] <= 1 + 1e-9 and seen[1] > 0.3
