@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..options import NODE
 from ..plans.tables import written
+from .sums import sums_in_boxes
 
 #: The finest level: 2**LEVELS tiles each way.
 LEVELS = 24
@@ -56,7 +59,7 @@ def box_tiles(boxes: DataFrame) -> DataFrame:
     return cells.withColumn("tile", _interleaved(F.col("x"), F.col("y"))).drop("x", "y")
 
 
-def nodes_in_boxes(entities: DataFrame, boxes: DataFrame) -> DataFrame:
+def nodes_in_boxes(entities: DataFrame, boxes: DataFrame, totals: Mapping[str, Column] | None = None) -> DataFrame:
     """``box`` and ``id, latitude, longitude`` of every node in each of ``boxes`` (box, south, west, north, east).
 
     Borders belong to a box; one whose west is greater than its east lies across the 180th meridian; boxes with a
@@ -65,16 +68,23 @@ def nodes_in_boxes(entities: DataFrame, boxes: DataFrame) -> DataFrame:
     Nodes and boxes meet by equal tiles and are then compared. Each box has a level of tiles by its size, and a node
     a row for each level that boxes have (`LEVELS` + 1 at most), so no box is compared with all nodes, and no
     tile is smaller than what a box needs.
+
+    With ``totals`` (whole numbers made of an entity's columns, by name) there is a row for each ``box`` that holds nodes
+    instead: ``n``, its rows, and the sums of ``totals`` over these. Rows by node and box grow with the product of
+    both; sums are made without them (`sums_in_boxes`).
     """
     split = F.when(
         F.col("west") > F.col("east"), F.array(F.struct(F.col("west").alias("w"), F.lit(180.0).alias("e")), F.struct(F.lit(-180.0).alias("w"), F.col("east").alias("e")))
     ).otherwise(F.array(F.struct(F.col("west").alias("w"), F.col("east").alias("e"))))
     whole = boxes.where("south <= north AND west IS NOT NULL AND east IS NOT NULL")
     parts = whole.select("box", "south", "north", F.explode(split).alias("x")).select("box", "south", F.col("x.w").alias("west"), "north", F.col("x.e").alias("east"))
+    lat, lon = F.col(S.LATITUDE), F.col(S.LONGITUDE)
+    nodes = entities.where((F.col(S.ENTITY_TYPE) == NODE) & lat.isNotNull() & lon.isNotNull())
+    if totals is not None:
+        return sums_in_boxes(nodes, parts, totals)
     tiles = written(box_tiles(parts), "box-tiles")
     levels = [r["level"] for r in tiles.select("level").distinct().collect()]  # LEVELS + 1 at most
-    lat, lon = F.col(S.LATITUDE), F.col(S.LONGITUDE)
-    nodes = entities.where((F.col(S.ENTITY_TYPE) == NODE) & lat.isNotNull() & lon.isNotNull()).select(S.ID, S.LATITUDE, S.LONGITUDE)
+    nodes = nodes.select(S.ID, S.LATITUDE, S.LONGITUDE)
     if not levels:
         return tiles.limit(0).join(nodes, F.lit(False)).select("box", S.ID, S.LATITUDE, S.LONGITUDE)
     # Tiles nest, so those of coarser levels are the first bits of the finest.

@@ -2,7 +2,9 @@
 
 import math
 import random
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from osm_tables import (
     way_components,
     way_lines,
 )
-from osm_tables.operators import tiles
+from osm_tables.operators import sums, tiles
 from osm_tables.operators.geometry import EARTH
 
 WAY = "Way"
@@ -212,6 +214,64 @@ def test_nodes_in_boxes(spark, monkeypatch, sent):
     assert nodes_in_boxes(frame(spark, rows), none).collect() == []
 
 
+ODD = (math.nan, math.inf, -math.inf, 0.0, -0.0, 1.0, 180.0, -180.0, 200.0)
+BOXES = "box string, south double, west double, north double, east double"
+
+
+@pytest.mark.parametrize("strip", [1 << 18, 700, 40])
+def test_totals_in_boxes(spark, monkeypatch, strip):
+    """Totals are those of the nodes found one by one, however the map is cut, on odd numbers and crowded places too."""
+    monkeypatch.setattr(sums, "STRIP", strip)
+    rng = random.Random(7)
+    places = [(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(300)] + [(rng.randrange(4), rng.randrange(4)) for _ in range(300)]
+    places = [(float(y), float(x)) for y, x in places] + [(5.0, rng.uniform(-180, 180)) for _ in range(200)] + [(45.0, 9.0)] * 200 + [(rng.choice(ODD), rng.choice(ODD)) for _ in range(200)]
+    boxes = [(str(i % 50), *sorted((rng.uniform(-90, 90), rng.uniform(-90, 90))), rng.uniform(-180, 180), rng.uniform(-180, 180)) for i in range(60)]
+    boxes = [(b, s, w, n, e) for b, s, n, w, e in boxes] + [(f"p{i}", *p, *p) for i, p in enumerate(places[::90])] + [("none", 89.5, 1.0, 89.5, 1.0)] * 2
+    boxes += [(rng.choice(["x", "y", None]), *(rng.choice((*ODD, 2.0, 3.0, 45.0)) for _ in range(4))) for _ in range(80)] + [("all", -90.0, -180.0, 90.0, 180.0)] * 3
+    boxes += [("z", None, 0.0, 1.0, 1.0), ("z", 0.0, None, 1.0, 1.0), ("z", 0.0, 0.0, 1.0, None)]
+    rows = [entity("Node", (-1) ** i * (i + 2**40), version=None if i % 5 == 0 else i % 3, lat=y, lon=x) for i, (y, x) in enumerate(places)]
+    entities, boxes = frame(spark, [*rows, entity("Node", 999), entity("Way", 1, refs=[1])]), spark.createDataFrame(boxes, BOXES)
+    one_by_one = nodes_in_boxes(entities, boxes).join(entities.select("id", "version"), "id")
+    wanted = one_by_one.groupBy("box").agg(F.count("*").alias("n"), F.sum("id").alias("ids"), F.coalesce(F.sum("version"), F.lit(0)).alias("versions")).collect()
+    found = nodes_in_boxes(entities, boxes, {"ids": F.col("id"), "versions": F.col("version")})
+    assert found.columns == ["box", "n", "ids", "versions"]
+    assert Counter(map(tuple, found.collect())) == Counter(map(tuple, wanted))
+    assert len(wanted) > 60 and {"none", "z"}.isdisjoint(r["box"] for r in wanted)
+    assert nodes_in_boxes(entities, boxes.limit(0), {}).collect() == nodes_in_boxes(entities.limit(0), boxes, {}).collect() == []
+
+
+def test_totals_make_no_row_for_each_node_in_a_box(spark, monkeypatch):
+    monkeypatch.setattr(sums, "STRIP", 500)
+    made, real = {}, sums.written
+    monkeypatch.setattr(sums, "written", lambda df, name: made.setdefault(name, real(df, name)))
+    nodes = spark.range(4000).selectExpr("'Node' AS entity_type", "id", "cast(id % 80 as double) AS latitude", "cast(id div 80 as double) AS longitude")
+    boxes = spark.range(500).selectExpr("id AS box", "-1d - id / 1000 AS south", "-1d AS west", "80d AS north", "80d + id / 1000 AS east")
+    found = nodes_in_boxes(nodes, boxes, {"ids": F.col("id")})
+    assert found.where("n = 4000 AND ids = 4000 * 3999 / 2").count() == found.count() == 500
+    assert {name: df.count() for name, df in made.items() if name != "box-sums"} == {"box-nodes": 4000, "box-corners": 2000}
+    # Two rows for a corner and one for a cell at most; nodes and boxes multiplied are two million.
+    assert made["box-sums"].count() <= 2 * 2000 + 12**2
+    assert "box-nodes" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_totals_are_whole_numbers_that_fit(spark):
+    entities, boxes = frame(spark, [entity("Node", 2**62, lat=1.0, lon=1.0)] * 2), spark.createDataFrame([("a", 0.0, 0.0, 2.0, 2.0)], BOXES)
+    with pytest.raises(TypeError):
+        nodes_in_boxes(entities, boxes, {"x": F.col("latitude")})
+    with pytest.raises(OverflowError):
+        nodes_in_boxes(entities, boxes, {"x": F.col("id")})
+
+
+def test_sums_below_corners():
+    rng = np.random.default_rng(8)
+    for n, m in ((0, 3), (5, 0), (1, 1), (200, 90), (60, 300)):
+        a, b = rng.integers(0, 30, (2, n))
+        at_a, at_b = rng.integers(-1, 31, (2, m))
+        values = rng.integers(-(2**50), 2**50, (2, n))
+        below = (a <= at_a[:, None]) & (b <= at_b[:, None])
+        assert (sums.sums_below(a, b, values, at_a, at_b) == [[v[x].sum() for x in below] for v in values]).all()
+
+
 def test_tiles_nest_and_keep_their_order(spark):
     rng = random.Random(6)
     df = spark.createDataFrame([(rng.uniform(-90, 90), rng.uniform(-180, 180)) for _ in range(200)], "lat double, lon double")
